@@ -1,0 +1 @@
+"""Intentionally empty: the reference behaviour has no streaming operators."""
