@@ -179,7 +179,7 @@ FULL = {
     "freg": """
   SELECT concat('C', s_nationkey) AS cid,
          CASE WHEN yr % 2 = 0 THEN min(s_name) ELSE max(s_name) END AS legal_name,
-         CASE WHEN yr % 4 = 0 THEN 'Agent' WHEN s_nationkey % 2 = 0 THEN 'Account Manager' ELSE 'Other' END AS role,
+         CASE WHEN s_nationkey % 4 = 3 THEN 'Other' WHEN yr % 4 = 0 THEN 'Agent' WHEN s_nationkey % 2 = 0 THEN 'Account Manager' ELSE 'Other' END AS role,
          make_date(yr, 1, 1) AS effective_start,
          CASE WHEN yr % 5 = 0 THEN NULL WHEN yr % 5 = 1 THEN make_date(yr, 7, 1) ELSE make_date(yr + 1, 1, 1) END AS effective_end,
          s_nationkey % 2 = 0 AS is_npu

@@ -1,75 +1,113 @@
-"""Building blocks of rule tests. A test is TRUE for a violating row; NULL is no violation."""
+"""Building blocks of rule tests, as Spark SQL text.
+
+A test is TRUE for a violating row; NULL is no violation. Text instead of Column objects, because a
+catalogue of many rules then reaches the JVM in one call per table and can be kept as data.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from ledgerproof import constants as K
 
-from pyspark.sql import Column, functions as F
 
-from ledgerproof import constants as K
+def lit(value: str) -> str:
+    """A quoted string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def listed(values: list[str]) -> str:
+    return ", ".join(lit(v.strip().upper()) for v in values)
 
 
-def missing(name: str) -> Column:
-    return F.col(name).isNull()
+def missing(name: str) -> str:
+    return f"({name} IS NULL)"
 
 
-def blank(name: str) -> Column:
+def blank(name: str) -> str:
     """Null, empty or white space only."""
-    return F.col(name).isNull() | (F.trim(F.col(name)) == "")
+    return f"({name} IS NULL OR trim({name}) = '')"
 
 
-def any_missing(*names: str) -> Column:
-    return reduce(or_, [missing(n) for n in names])
+def any_missing(*names: str) -> str:
+    return "(" + " OR ".join(f"{n} IS NULL" for n in names) + ")"
 
 
-def norm(name: str) -> Column:
+def norm(name: str) -> str:
     """Upper-cased, trimmed text for comparison with fixed names."""
-    return F.upper(F.trim(F.col(name)))
+    return f"upper(trim({name}))"
 
 
-def unknown(name: str, values: list[str]) -> Column:
+def unknown(name: str, values: list[str]) -> str:
     """Present and outside the list."""
-    return F.col(name).isNotNull() & ~norm(name).isin([v.upper() for v in values])
+    if not values:
+        return f"({name} IS NOT NULL)"
+    return f"({name} IS NOT NULL AND {norm(name)} NOT IN ({listed(values)}))"
+
+
+def known(name: str, values: list[str]) -> str:
+    return f"({norm(name)} IN ({listed(values)}))" if values else "false"
+
+
+def surely(test: str) -> str:
+    """The test with NULL read as FALSE, for use under NOT."""
+    return f"coalesce({test}, false)"
 
 
-def known(name: str, values: list[str]) -> Column:
-    return norm(name).isin([v.upper() for v in values])
+def on_or_before_floor(name: str) -> str:
+    return f"(CAST({name} AS DATE) <= DATE'{K.DATE_FLOOR}')"
 
 
-def on_or_before_floor(name: str) -> Column:
-    return F.col(name).cast("date") <= F.lit(K.DATE_FLOOR).cast("date")
+def not_matching(name: str, pattern: str) -> str:
+    return f"({name} NOT RLIKE r'{pattern}')"
 
 
-def not_matching(name: str, pattern: str) -> Column:
-    return ~F.col(name).rlike(pattern)
+def is_seller(name: str = "filer_unique_id") -> str:
+    return f"startswith({name}, '{K.SELLER_PREFIX}')"
 
 
-def is_seller(name: str = "filer_unique_id") -> Column:
-    return F.col(name).startswith(K.SELLER_PREFIX)
+def is_agent(name: str = "filer_unique_id") -> str:
+    return f"startswith({name}, '{K.AGENT_PREFIX}')"
 
 
-def is_agent(name: str = "filer_unique_id") -> Column:
-    return F.col(name).startswith(K.AGENT_PREFIX)
+def says_yes(name: str) -> str:
+    return surely(known(name, K.YES_VALUES))
 
 
-def says_yes(name: str) -> Column:
-    return F.coalesce(norm(name).isin(K.YES_VALUES), F.lit(False))
+def period_start(period: str = "period") -> str:
+    return f"make_date(int(substr({period}, 1, 4)), int(substr({period}, 6, 1)) * 3 - 2, 1)"
 
 
-def day(text: str) -> Column:
-    return F.lit(text).cast("date")
+def period_end(period: str = "period") -> str:
+    return f"last_day(make_date(int(substr({period}, 1, 4)), int(substr({period}, 6, 1)) * 3, 1))"
 
 
-def off_by_more_than(expected: Column, reported: Column, absolute: float, relative: float) -> Column:
+def since(period: str) -> str:
+    """Period gate; canonical quarters order like strings."""
+    return f"(period >= '{period}')"
+
+
+def before(period: str) -> str:
+    return f"(period < '{period}')"
+
+
+def off_by_more_than(expected: str, reported: str) -> str:
     """Difference beyond the larger of an absolute and a relative tolerance."""
-    allowed = F.greatest(F.lit(absolute), F.lit(relative) * F.abs(expected))
-    return F.abs(expected - reported) > allowed
+    allowed = f"greatest({K.ABS_TOLERANCE}D, {K.REL_TOLERANCE}D * abs({expected}))"
+    return f"(abs({expected} - {reported}) > {allowed})"
+
+
+def both_set(a: str, b: str) -> str:
+    return f"({a} IS NOT NULL AND {b} IS NOT NULL)"
+
+
+def hub_without_known_location(authority: str, location: str, hubs: list[str]) -> str:
+    return f"({norm(authority)} = 'HUB' AND NOT {surely(known(location, hubs))})"
 
 
-def both_set(a: str, b: str) -> Column:
-    return F.col(a).isNotNull() & F.col(b).isNotNull()
+def effective_at(day: str, start: str, end: str) -> str:
+    """Validity interval with an open end when null."""
+    return f"({start} <= {day} AND ({end} IS NULL OR {day} < {end}))"
 
 
-def hub_without_known_location(authority: str, location: str, hubs: list[str]) -> Column:
-    return (norm(authority) == "HUB") & ~F.coalesce(known(location, hubs), F.lit(False))
+def overlaps(first: str, last: str, start: str, end: str) -> str:
+    """Valid on some day of [first, last]."""
+    return f"({start} <= {last} AND ({end} IS NULL OR {end} > {first}))"

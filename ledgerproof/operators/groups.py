@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_GROUPS = 1000
 
 
-def fingerprint(columns: list[str]) -> Column:
-    """One text key for many columns; equal exactly when all values, nulls included, are equal."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
-    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+def fingerprint(columns: list[str]) -> str:
+    """SQL text of one key for many columns; equal when all values, nulls included, are equal.
+
+    Every value carries its length, so different rows never give the same text.
+    """
+    texts = [f"CAST({c} AS STRING)" for c in columns]
+    parts = [f"coalesce(concat(length({t}), ':', {t}), 'n')" for t in texts]
+    return f"sha2(concat({', '.join(parts)}), 256)"
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

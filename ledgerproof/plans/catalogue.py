@@ -2,46 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerproof import constants as K
 from ledgerproof.context import FILING_KEYS, FilingContext, Settings
 from ledgerproof.functions import predicates as P
-from ledgerproof.functions.periods import applies, period_end, period_start
 from ledgerproof.operators.groups import differs_within, set_difference_keys
-from ledgerproof.operators.intervals import effective_at, overlaps
 from ledgerproof.operators.results import category, stage
-from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup, Test
+from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
 
 ERROR, WARNING, XSD = "Error", "Warning", "XSD"
-PERIOD = "period"
 
+NPU = P.known("ferc_tariff_reference", ["NPU"])
+METERED = P.known("product_name", K.METERED_PRODUCTS)
 
-def col(name: str) -> Column:
-    return F.col(name)
 
-
-def gate(valid_from: str | None = None, valid_before: str | None = None) -> Column:
-    return applies(F.col(PERIOD), valid_from, valid_before)
-
-
-def key(name: str) -> Test:
-    return lambda: F.col(name)
-
-
-FILING = {"cid": key("cid"), "period": key("period")}
+def required(rule_id: str, name: str, severity: str = ERROR) -> Check:
+    """A text column that must not be blank."""
+    return Check(rule_id, severity, "T1", f"{name} is missing", P.blank(name))
 
 
-def product_units(products: list[str], units: list[str], **period) -> Test:
-    return lambda: gate(**period) & P.known("product_name", products) & P.known("rate_units", units)
+def present(rule_id: str, name: str, gate: str = "true", severity: str = ERROR, template: str = "T1") -> Check:
+    """A typed column that must not be null where the gate holds."""
+    return Check(rule_id, severity, template, f"{name} is missing", f"{gate} AND {P.missing(name)}")
 
 
-def required(rule_id: str, name: str, severity: str = ERROR) -> Check:
-    return Check(rule_id, severity, "T1", f"{name} is missing", lambda: P.blank(name))
+def floor(rule_id: str, name: str) -> Check:
+    return Check(rule_id, ERROR, "T2", f"{name} must be after {K.DATE_FLOOR}", P.on_or_before_floor(name), name)
 
 
-def floor(rule_id: str, name: str) -> Check:
-    return Check(rule_id, ERROR, "T2", f"{name} must be after {K.DATE_FLOOR}", lambda: P.on_or_before_floor(name), name)
+def wrong_units(rule_id: str, severity: str, gate: str, products: list[str], units: list[str]) -> Check:
+    test = f"{gate} AND {P.known('product_name', products)} AND {P.known('rate_units', units)}"
+    return Check(rule_id, severity, "T4", "units do not fit the product", test, "rate_units")
 
 
 # --- tables of one row per record -------------------------------------------------------------
@@ -49,129 +41,131 @@ def floor(rule_id: str, name: str) -> Check:
 
 def ident_checks() -> list[Check]:
     contact = ["contact_name", "contact_title", "address", "city", "phone", "email"]
+    seller, agent = P.is_seller(), P.is_agent()
 
     def zip_rule(rule_id: str, country: str) -> Check:
-        return Check(
-            rule_id, ERROR, "T11", f"zip is not valid for {country}",
-            lambda: (P.norm("country") == country) & P.not_matching("zip", K.ZIP_PATTERNS[country]), "zip",
-        )
-
-    def customer_contact() -> Column:
-        given = col("contact_name").isNotNull() | col("phone").isNotNull() | col("email").isNotNull()
-        sound = ~P.blank("contact_name") & ~P.blank("phone") & F.coalesce(col("email").rlike(K.EMAIL), F.lit(False))
-        return (P.norm("role") == "CUSTOMER") & given & ~sound
+        test = f"{P.norm('country')} = '{country}' AND {P.not_matching('zip', K.ZIP_PATTERNS[country])}"
+        return Check(rule_id, ERROR, "T11", f"zip is not valid for {country}", test, "zip")
 
+    sound_email = P.surely(f"email RLIKE r'{K.EMAIL}'")
+    customer_contact = (
+        f"{P.norm('role')} = 'CUSTOMER' AND NOT (contact_name IS NULL AND phone IS NULL AND email IS NULL)"
+        f" AND ({P.blank('contact_name')} OR {P.blank('phone')} OR NOT {sound_email})"
+    )
     return [
-        Check("F.16.8", ERROR, "T11", "email is not valid", lambda: P.not_matching("email", K.EMAIL), "email"),
+        Check("F.16.8", ERROR, "T11", "email is not valid", P.not_matching("email", K.EMAIL), "email"),
         Check("F.16.13", ERROR, "T1", "identity data is incomplete",
-              lambda: P.any_missing("filer_unique_id", "company_name", "contact_name", "email")),
-        Check("F.16.15", ERROR, "T1", "seller contact is incomplete", lambda: P.is_seller() & P.any_missing(*contact)),
+              P.any_missing("filer_unique_id", "company_name", "contact_name", "email")),
+        Check("F.16.15", ERROR, "T1", "seller contact is incomplete", f"{seller} AND {P.any_missing(*contact)}"),
         Check("F.16.17", XSD, "T4", "customer contact is given but not valid", customer_contact),
         Check("F.16.23.2", ERROR, "T1", "seller or agent has no company identifier",
-              lambda: (P.is_seller() | P.is_agent()) & P.blank("company_identifier")),
+              f"({seller} OR {agent}) AND {P.blank('company_identifier')}"),
         Check("F.16.27.2", ERROR, "T4", "only a seller may report to an index",
-              lambda: P.says_yes("report_to_index") & ~F.coalesce(P.is_seller(), F.lit(False))),
+              f"{P.says_yes('report_to_index')} AND NOT {P.surely(seller)}"),
         required("F.19.1.1", "zip"),
         zip_rule("F.19.1.2", "US"),
         Check("F.19.1.3", ERROR, "T4", "US state code must have two letters",
-              lambda: (P.norm("country") == "US") & (F.length("state") != 2), "state"),
+              f"{P.norm('country')} = 'US' AND length(state) <> 2", "state"),
         zip_rule("F.19.1.4", "MX"),
         zip_rule("F.19.1.5", "GB"),
         zip_rule("F.19.1.6", "CA"),
         required("F.19.1.7", "address"),
         Check("F.20.1.1", ERROR, "T1", "seller identifier is blank",
-              lambda: (P.norm("role") == "SELLER") & P.blank("filer_unique_id")),
+              f"{P.norm('role')} = 'SELLER' AND {P.blank('filer_unique_id')}"),
     ]
 
 
 def filing_checks(settings: Settings) -> list[Check]:
-    today = F.lit(settings.run_date)
+    today = f"DATE'{settings.run_date.isoformat()}'"
     return [
         Check("F.18.1.1", ERROR, "T4", "filing period starts too early",
-              lambda: col("period_start") < P.day(K.FIRST_FILING_DAY), PERIOD),
-        Check("F.18.1.2", ERROR, "T4", "filing period starts in the future", lambda: col("period_start") > today, PERIOD),
-        Check("F.18.2", ERROR, "T4", "filing period has not ended", lambda: today <= col("period_end"), PERIOD),
+              f"period_start < DATE'{K.FIRST_FILING_DAY}'", "period"),
+        Check("F.18.1.2", ERROR, "T4", "filing period starts in the future", f"period_start > {today}", "period"),
+        Check("F.18.2", ERROR, "T4", "filing period has not ended", f"{today} <= period_end", "period"),
     ]
 
 
-def contract_checks() -> list[Check]:
-    end_of_period = lambda: period_end(col(PERIOD))
+def contract_checks(settings: Settings) -> list[Check]:
+    hubs = settings.values("hub")
+    early, later = P.before(K.PERIOD_UNITS_ENFORCED), P.since(K.PERIOD_UNITS_ENFORCED)
+    still_running = f"actual_termination_date > {P.period_end()}"
+    hub_conflict = " OR ".join([
+        P.both_set("podsl", "podsl_hub"), P.both_set("porsl", "porsl_hub"),
+        P.hub_without_known_location("podba", "podsl_hub", hubs),
+        P.hub_without_known_location("porba", "porsl_hub", hubs),
+    ])
+    reassigned = P.unknown("product_name", ["Reassignment Agreement", "Point-To-Point Agreement"])
+    rates = "rate IS NULL AND rate_minimum IS NULL AND rate_maximum IS NULL AND rate_description IS NULL"
     return [
         Check("F.16.11", ERROR, "T1", "contract data is incomplete",
-              lambda: P.any_missing("contract_unique_id", "seller_company_name", "customer_company_name", "product_name")),
-        Check("F.17.1.1", WARNING, "T4", "energy product with power units",
-              product_units([K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS, valid_before=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.1.2", ERROR, "T4", "energy product with power units",
-              product_units([K.ENERGY], K.POWER_UNITS, valid_from=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.3.1", WARNING, "T4", "capacity product with energy units",
-              product_units([K.CAPACITY], K.ENERGY_UNITS, valid_before=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.3.2", ERROR, "T4", "capacity product with energy units",
-              product_units([K.CAPACITY], K.ENERGY_UNITS, valid_from=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.20.2.2", ERROR, "T1", "contract_execution_date is missing",
-              lambda: gate(K.PERIOD_EXECUTION_REQUIRED) & P.missing("contract_execution_date")),
+              P.any_missing("contract_unique_id", "seller_company_name", "customer_company_name", "product_name")),
+        wrong_units("F.17.1.1", WARNING, early, [K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS),
+        wrong_units("F.17.1.2", ERROR, later, [K.ENERGY], K.POWER_UNITS),
+        wrong_units("F.17.3.1", WARNING, early, [K.CAPACITY], K.ENERGY_UNITS),
+        wrong_units("F.17.3.2", ERROR, later, [K.CAPACITY], K.ENERGY_UNITS),
+        present("F.20.2.2", "contract_execution_date", P.since(K.PERIOD_EXECUTION_REQUIRED)),
         floor("F.20.3", "contract_execution_date"),
-        Check("F.20.4.2", ERROR, "T1", "commencement_date is missing", lambda: P.missing("commencement_date")),
+        present("F.20.4.2", "commencement_date"),
         floor("F.20.5", "commencement_date"),
         floor("F.20.7", "termination_date"),
-        Check("F.20.8", ERROR, "T4", "actual termination lies after the filing period",
-              lambda: col("actual_termination_date") > end_of_period(), "actual_termination_date"),
+        Check("F.20.8", ERROR, "T4", "actual termination lies after the filing period", still_running,
+              "actual_termination_date"),
         floor("F.20.9", "actual_termination_date"),
         required("F.20.22", "ferc_tariff_reference", WARNING),
         required("F.21.3.2", "customer_company_name"),
-        Check("F.21.5", XSD, "T3", "contract_affiliate is not Y or N",
-              lambda: P.unknown("contract_affiliate", ["Y", "N"]), "contract_affiliate"),
+        Check("F.21.5", XSD, "T3", "contract_affiliate is not Y or N", P.unknown("contract_affiliate", ["Y", "N"]),
+              "contract_affiliate"),
         required("F.21.6", "ferc_tariff_reference"),
         required("F.21.7", "contract_service_agreement_id"),
         required("F.21.12", "extension_provision_description"),
-        Check("F.21.15", ERROR, "T4", "actual termination lies after the filing period",
-              lambda: col("actual_termination_date") > end_of_period(), "actual_termination_date"),
+        Check("F.21.15", ERROR, "T4", "actual termination lies after the filing period", still_running,
+              "actual_termination_date"),
         Check("F.21.22", XSD, "T4", "customer name is too long",
-              lambda: F.length("customer_company_name") > K.MAX_BUYER_NAME),
-        Check("F.22.2.2", ERROR, "T1", "begin_date is missing", lambda: P.missing("begin_date")),
+              f"length(customer_company_name) > {K.MAX_BUYER_NAME}"),
+        present("F.22.2.2", "begin_date"),
         floor("F.22.3", "begin_date"),
-        Check("F.22.4.2", ERROR, "T1", "end_date is missing", lambda: P.missing("end_date")),
+        present("F.22.4.2", "end_date"),
         floor("F.22.5", "end_date"),
         Check("F.23.6", ERROR, "T4", "product name does not fit product type CR",
-              lambda: (P.norm("product_type_name") == "CR")
-              & P.unknown("product_name", ["Reassignment Agreement", "Point-To-Point Agreement"]), "product_name"),
-        Check("F.23.22", ERROR, "T4", "two delivery locations are given", lambda: P.both_set("podsl", "podsl_hub")),
-        Check("F.23.24", ERROR, "T1", "no rate is given",
-              lambda: F.coalesce(col("rate").cast("string"), col("rate_minimum").cast("string"),
-                                 col("rate_maximum").cast("string"), col("rate_description")).isNull()),
+              f"{P.norm('product_type_name')} = 'CR' AND {reassigned}", "product_name"),
+        hub_check("F.23.8", "porba", "porsl", hubs),
+        hub_check("F.23.10", "podba", "podsl", hubs),
+        Check("F.23.22", ERROR, "T4", "two delivery locations are given", P.both_set("podsl", "podsl_hub")),
+        Check("F.23.23", ERROR, "T4", "location and hub conflict", hub_conflict),
+        Check("F.23.24", ERROR, "T1", "no rate is given", rates),
     ]
 
 
 def hub_check(rule_id: str, authority: str, location: str, hubs: list[str]) -> Check:
     """A hub authority with a location that is given but unknown."""
-    return Check(rule_id, ERROR, "T3", f"{location} is no known hub",
-                 lambda: (P.norm(authority) == "HUB") & P.unknown(location, hubs), location)
-
-
-def charge_is_off() -> Column:
-    """Charge against price times quantity plus transmission, for the reported and the standardized pair."""
-    cents = F.when(P.known("rate_units", K.CENTS_UNITS), 0.01).otherwise(1.0)
-    transmission = F.coalesce(col("total_transmission_charge"), F.lit(0.0))
-    reported = col("price") * col("transaction_quantity") * cents + transmission
-    standardized = col("standardized_price") * col("standardized_quantity") + transmission
-    total = col("total_transaction_charge")
-    off = F.coalesce(P.off_by_more_than(reported, total, K.ABS_TOLERANCE, K.REL_TOLERANCE), F.lit(False))
-    standard_off = P.known("product_name", K.METERED_PRODUCTS) & P.off_by_more_than(
-        standardized, total, K.ABS_TOLERANCE, K.REL_TOLERANCE
-    )
-    return off | standard_off
+    test = f"{P.norm(authority)} = 'HUB' AND {P.unknown(location, hubs)}"
+    return Check(rule_id, ERROR, "T3", f"{location} is no known hub", test, location)
 
 
-def units_not_standard(a: str, b: str) -> Test:
-    """Equal reported and standardized value although the units are not the standard ones."""
+def charge_is_off() -> str:
+    """Charge against price times quantity plus transmission, for the reported and the standardized
+    pair. Prices in cents count as dollars divided by one hundred."""
+    transmission = "coalesce(total_transmission_charge, 0D)"
+    dollars = f"CASE WHEN {P.known('rate_units', K.CENTS_UNITS)} THEN 0.01D ELSE 1D END"
+    reported = f"(price * transaction_quantity * {dollars} + {transmission})"
+    standardized = f"(standardized_price * standardized_quantity + {transmission})"
+    off = P.off_by_more_than(reported, "total_transaction_charge")
+    standard_off = P.off_by_more_than(standardized, "total_transaction_charge")
+    return f"{off} OR ({METERED} AND {standard_off})"
 
-    def test() -> Column:
-        wrong = F.lit(False)
-        for product, units in K.STANDARD_UNITS.items():
-            fits = F.coalesce(P.known("rate_units", units), F.lit(False))
-            wrong = wrong | ((P.norm("product_name") == product) & ~fits)
-        return (F.col(a) == F.col(b)) & wrong
 
-    return test
+def charge_is_off_simple() -> str:
+    """Variant without transmission charge and with one dollar of tolerance."""
+    return f"abs(price * transaction_quantity - total_transaction_charge) > {K.ABS_TOLERANCE}D"
+
+
+def units_not_standard(a: str, b: str) -> str:
+    """Equal reported and standardized value although the units are not the standard ones."""
+    wrong = [
+        f"({P.known('product_name', [product])} AND NOT {P.surely(P.known('rate_units', units))})"
+        for product, units in K.STANDARD_UNITS.items()
+    ]
+    return f"{a} = {b} AND ({' OR '.join(wrong)})"
 
 
 def transaction_checks(settings: Settings) -> list[Check]:
@@ -180,66 +174,63 @@ def transaction_checks(settings: Settings) -> list[Check]:
     podba, podsl, hub = (
         "point_of_delivery_balancing_authority", "point_of_delivery_specific_location", "point_of_delivery_hub",
     )
+    early, later = P.before(K.PERIOD_UNITS_ENFORCED), P.since(K.PERIOD_UNITS_ENFORCED)
+    standardized = P.since(K.PERIOD_STANDARDIZED)
+    metered = f"{standardized} AND {METERED}"
+    cutover = f"DATE'{K.BOOKED_OUT_CUTOVER}'"
 
-    def over(unit: str) -> Test:
-        return lambda: P.known("rate_units", [unit]) & (F.abs("price") > K.PRICE_LIMITS[unit])
-
-    def since(name: str, metered: bool = False) -> Test:
-        product = (lambda: P.known("product_name", K.METERED_PRODUCTS)) if metered else (lambda: F.lit(True))
-        return lambda: gate(K.PERIOD_STANDARDIZED) & product() & P.missing(name)
+    def over(rule_id: str, unit: str) -> Check:
+        limit = K.PRICE_LIMITS[unit]
+        test = f"{P.known('rate_units', [unit])} AND abs(price) > {limit}D"
+        return Check(rule_id, WARNING, "T4", f"price is outside {limit} {unit}", test, "price")
 
     return [
         Check("tx_complete", ERROR, "T1", "transaction data is incomplete",
-              lambda: P.any_missing("transaction_unique_id", "product_name", "transaction_quantity", "price")),
-        Check("F.17.2.1", WARNING, "T4", "energy product with power units",
-              product_units([K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS, valid_before=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.2.2", ERROR, "T4", "energy product with power units",
-              product_units([K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS, valid_from=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.4.1", WARNING, "T4", "capacity product with energy units",
-              product_units([K.CAPACITY], K.ENERGY_UNITS, valid_before=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.4.2", ERROR, "T4", "capacity product with energy units",
-              product_units([K.CAPACITY], K.ENERGY_UNITS, valid_from=K.PERIOD_UNITS_ENFORCED), "rate_units"),
-        Check("F.17.8.1", WARNING, "T4", "price is outside 1,000 $/MWH", over("$/MWH"), "price"),
-        Check("F.17.8.2", WARNING, "T4", "price is outside 1 $/KWH", over("$/KWH"), "price"),
-        Check("F.17.8.3", WARNING, "T4", "price is outside 100 cents/KWH", over("CENTS/KWH"), "price"),
+              P.any_missing("transaction_unique_id", "product_name", "transaction_quantity", "price")),
+        wrong_units("F.17.2.1", WARNING, early, [K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS),
+        wrong_units("F.17.2.2", ERROR, later, [K.ENERGY, K.BOOKED_OUT], K.POWER_UNITS),
+        wrong_units("F.17.4.1", WARNING, early, [K.CAPACITY], K.ENERGY_UNITS),
+        wrong_units("F.17.4.2", ERROR, later, [K.CAPACITY], K.ENERGY_UNITS),
+        over("F.17.8.1", "$/MWH"),
+        over("F.17.8.2", "$/KWH"),
+        over("F.17.8.3", "CENTS/KWH"),
         required("F.24.1", "transaction_unique_id"),
-        Check("F.24.3", ERROR, "T4", "end date is not after begin date", lambda: col(end) <= col(begin), end),
+        Check("F.24.3", ERROR, "T4", "end date is not after begin date", f"{end} <= {begin}", end),
         Check("F.24.4", ERROR, "T4", "end date is missing or after the filing period",
-              lambda: P.missing(end) | (col(end) > period_end(col(PERIOD))), end),
+              f"{end} IS NULL OR {end} > {P.period_end()}", end),
         Check("F.24.5", ERROR, "T4", "begin date is missing or before the filing period",
-              lambda: P.missing(begin) | (col(begin) < period_start(col(PERIOD))), begin),
-        Check("F.24.6", ERROR, "T4", "total charge does not follow from price and quantity", charge_is_off,
+              f"{begin} IS NULL OR {begin} < {P.period_start()}", begin),
+        Check("F.24.6", ERROR, "T4", "total charge does not follow from price and quantity", charge_is_off(),
               "total_transaction_charge"),
         required("F.25.1", "transaction_unique_id", XSD),
         hub_check("F.25.3", podba, podsl, hubs),
         Check("F.25.13.2", ERROR, "T3", "booked out power sold to a market operator",
-              lambda: P.known("product_name", [K.BOOKED_OUT]) & P.known("customer_company_name", operators)
-              & (col(begin) >= P.day(K.BOOKED_OUT_CUTOVER)), "customer_company_name"),
+              f"{P.known('product_name', [K.BOOKED_OUT])} AND {P.known('customer_company_name', operators)}"
+              f" AND {begin} >= {cutover}", "customer_company_name"),
         Check("F.25.14.1", WARNING, "T4", "quantity is zero or missing",
-              lambda: (F.coalesce(col("transaction_quantity"), F.lit(0.0)) == 0) & (col(begin) < P.day(K.BOOKED_OUT_CUTOVER))),
+              f"coalesce(transaction_quantity, 0D) = 0 AND {begin} < {cutover}"),
         Check("F.25.15", ERROR, "T4", "quantity and total charge are both zero",
-              lambda: (col("transaction_quantity") == 0) & (col("total_transaction_charge") == 0)
-              & (col(begin) > P.day(K.BOOKED_OUT_CUTOVER))),
-        Check("F.25.19", WARNING, "T1", "trade_date is missing", since("trade_date")),
-        Check("F.25.20", WARNING, "T1", "standardized_price is missing", since("standardized_price", metered=True)),
-        Check("F.25.21", WARNING, "T1", "type_of_rate is missing", since("type_of_rate")),
-        Check("F.25.24", WARNING, "T1", "standardized_quantity is missing", since("standardized_quantity", metered=True)),
-        Check("F.25.21.2", WARNING, "T4", "quantity is zero or negative", lambda: col("transaction_quantity") <= 0,
+              f"transaction_quantity = 0 AND total_transaction_charge = 0 AND {begin} > {cutover}"),
+        present("F.25.19", "trade_date", standardized, WARNING),
+        present("F.25.20", "standardized_price", metered, WARNING),
+        present("F.25.21", "type_of_rate", standardized, WARNING),
+        present("F.25.24", "standardized_quantity", metered, WARNING),
+        Check("F.25.21.2", WARNING, "T4", "quantity is zero or negative", "transaction_quantity <= 0",
               "transaction_quantity"),
         Check("F.25.25", ERROR, "T4", "delivery location and hub conflict",
-              lambda: P.both_set(podsl, hub) | P.hub_without_known_location(podba, hub, hubs)),
+              f"{P.both_set(podsl, hub)} OR {P.hub_without_known_location(podba, hub, hubs)}"),
         Check("F.30.46", ERROR, "T4", "units are not standard although quantities are equal",
               units_not_standard("transaction_quantity", "standardized_quantity"), "rate_units"),
         Check("F.30.47", ERROR, "T4", "units are not standard although prices are equal",
               units_not_standard("price", "standardized_price"), "rate_units"),
         required("F.30.48", podsl),
-        Check("F.TYPE_PRICE", ERROR, "T1", "price is no number", lambda: P.missing("price")),
+        present("F.TYPE_PRICE", "price"),
     ]
 
 
 # --- lookups ----------------------------------------------------------------------------------
 
-# rule id, table, column, lookup name, severity, null is a violation as well
+# rule id, table, column, lookup name, severity, a blank value is a violation as well
 LOOKUP_RULES = [
     ("F.23.1.1", "contracts", "class_name", "class", ERROR, True),
     ("F.23.1.2", "contracts", "term_name", "term", ERROR, True),
@@ -264,27 +255,24 @@ LOOKUP_RULES = [
 
 
 def lookup_groups(settings: Settings) -> tuple[dict[str, list[Check]], list[Group]]:
-    """Lookup rules. A list is tested in the row scan; a table too long for that is anti-joined."""
+    """Lookup rules. A short list is tested in the row scan; a long table is anti-joined."""
     in_scan: dict[str, list[Check]] = {"contracts": [], "transactions": []}
     joined: list[Group] = []
-    for rule_id, table, name, lookup, severity, null_violates in LOOKUP_RULES:
-        template = "T1+T3" if null_violates else "T3"
-        text = f"{name} is missing or unknown" if null_violates else f"{name} is unknown"
-
-        def absent(name=name, null_violates=null_violates) -> Column:
-            return P.blank(name) if null_violates else F.lit(False)
-
+    for rule_id, table, name, lookup, severity, blank_violates in LOOKUP_RULES:
+        template = "T1+T3" if blank_violates else "T3"
+        text = f"{name} is missing or unknown" if blank_violates else f"{name} is unknown"
         if lookup in settings.lookup_tables:
-            listed = settings.lookup_tables[lookup]
-            right = lambda ctx, listed=listed: listed.select(F.upper(F.trim("value")).alias("value"))
-            present = (lambda name=name, absent=absent, nv=null_violates:
-                       (F.col(name).isNotNull() | F.lit(nv)))
-            check = Check(rule_id, severity, template, text, present, name)
-            joined.append(JoinGroup(f"lookup_{rule_id}", table, right,
-                                    {"value": lambda name=name: P.norm(name)}, "left_anti", [check]))
+            values = settings.lookup_tables[lookup]
+            test = "true" if blank_violates else f"{name} IS NOT NULL"
+            joined.append(JoinGroup(
+                f"lookup_{rule_id}", table,
+                lambda ctx, values=values: values.selectExpr("upper(trim(value)) AS value").distinct(),
+                {"value": P.norm(name)}, "left_anti", [Check(rule_id, severity, template, text, test, name)],
+            ))
         else:
-            values = settings.values(lookup)
-            test = lambda name=name, values=values, absent=absent: absent() | P.unknown(name, values)
+            test = P.unknown(name, settings.values(lookup))
+            if blank_violates:
+                test = f"{P.blank(name)} OR {test}"
             in_scan[table].append(Check(rule_id, severity, template, text, test, name))
     return in_scan, joined
 
@@ -294,17 +282,15 @@ def lookup_groups(settings: Settings) -> tuple[dict[str, list[Check]], list[Grou
 
 def ident_per_filing(ctx: FilingContext) -> DataFrame:
     """Counts of identity rows per filing, zero for a filing that has none."""
-    role = F.upper(F.trim("role"))
-    counts = ctx.table("ident").groupBy(*FILING_KEYS).agg(
-        F.count_if(P.is_seller()).alias("n_seller"),
-        F.count_if(P.is_agent()).alias("n_agent"),
-        F.count_if(F.col("filer_unique_id") == "FA1").alias("n_fa1"),
-        F.count_if(role == "SELLER").alias("n_seller_role"),
-        F.count_if(role == "AGENT").alias("n_agent_role"),
-        F.count_if(~F.coalesce(role.isin("SELLER", "AGENT"), F.lit(False))).alias("n_other_role"),
-    )
+    role, ident = "upper(trim(role))", ctx.table("ident")
+    tests = {
+        "n_seller": P.is_seller(), "n_agent": P.is_agent(), "n_fa1": "filer_unique_id = 'FA1'",
+        "n_seller_role": f"{role} = 'SELLER'", "n_agent_role": f"{role} = 'AGENT'",
+        "n_other_role": f"NOT {P.surely(role + ' IN (' + P.listed(['SELLER', 'AGENT']) + ')')}",
+    }
+    counts = ident.groupBy(*FILING_KEYS).agg(*[F.expr(f"count_if({t}) AS {n}") for n, t in tests.items()])
     organizations = (
-        ctx.table("ident").select(*FILING_KEYS, "company_name").distinct()
+        ident.select(*FILING_KEYS, "company_name").distinct()
         .groupBy(*FILING_KEYS).agg(F.count("company_name").alias("n_organizations"))
     )
     content = [
@@ -312,35 +298,33 @@ def ident_per_filing(ctx: FilingContext) -> DataFrame:
     ]
     content = content[0].unionByName(content[1]).groupBy(*FILING_KEYS).agg(F.sum("n").alias("n_content"))
     matched = (
-        ctx.table("ident")
-        .join(ctx.table("contacts").select("cid", "contact_name").distinct(), ["cid", "contact_name"], "left_semi")
+        ident.join(ctx.table("contacts").select("cid", "contact_name").distinct(), ["cid", "contact_name"], "left_semi")
         .groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("n_registered"))
     )
     wide = ctx.filings
     for part in (counts, organizations, content, matched):
         wide = wide.join(part, FILING_KEYS, "left")
     measures = [c for c in wide.columns if c.startswith("n_")]
-    return wide.fillna(0, subset=measures).withColumn("record_id", F.col("cid"))
+    return wide.fillna(0, subset=measures).selectExpr("*", "cid AS record_id")
 
 
 def per_filing_checks() -> list[Check]:
-    deleted = lambda: F.col("filing_type") == "Delete"
-    n = F.col
+    deleted = "filing_type = 'Delete'"
     return [
-        Check("F.16.3", ERROR, "T7", "needs a seller row and an agent row", lambda: (n("n_seller") < 1) | (n("n_agent") < 1)),
-        Check("F.16.12.1", WARNING, "T7", "needs exactly one FA1 row", lambda: n("n_fa1") != 1, "n_fa1"),
-        Check("F.16.12.2", ERROR, "T7", "needs exactly one FA1 row", lambda: n("n_fa1") != 1, "n_fa1"),
-        Check("F.16.14.1", ERROR, "T7", "needs exactly one seller", lambda: n("n_seller") != 1, "n_seller"),
-        Check("F.16.16.3", ERROR, "T5", "has no registered contact", lambda: n("n_registered") == 0),
+        Check("F.16.3", ERROR, "T7", "needs a seller row and an agent row", "n_seller < 1 OR n_agent < 1"),
+        Check("F.16.12.1", WARNING, "T7", "needs exactly one FA1 row", "n_fa1 <> 1", "n_fa1"),
+        Check("F.16.12.2", ERROR, "T7", "needs exactly one FA1 row", "n_fa1 <> 1", "n_fa1"),
+        Check("F.16.14.1", ERROR, "T7", "needs exactly one seller", "n_seller <> 1", "n_seller"),
+        Check("F.16.16.3", ERROR, "T5", "has no registered contact", "n_registered = 0"),
         Check("F.16.20.2", ERROR, "T7", "deleting filing lacks filer or seller",
-              lambda: deleted() & ((n("n_seller_role") < 1) | (n("n_agent_role") < 1))),
+              f"{deleted} AND (n_seller_role < 1 OR n_agent_role < 1)"),
         Check("F.16.20.3", ERROR, "T7", "deleting filing lists more than two organizations",
-              lambda: deleted() & (n("n_organizations") > 2), "n_organizations"),
+              f"{deleted} AND n_organizations > 2", "n_organizations"),
         Check("F.16.20.4", ERROR, "T7", "deleting filing lists more than seller and filer",
-              lambda: deleted() & ((n("n_other_role") > 0) | (n("n_content") > 0))),
+              f"{deleted} AND (n_other_role > 0 OR n_content > 0)"),
         Check("F.16.23.1", ERROR, "T7", "needs a seller role and an agent role",
-              lambda: (n("n_seller_role") < 1) | (n("n_agent_role") < 1)),
-        Check("F.31.02", ERROR, "T7", "needs exactly one agent contact", lambda: n("n_agent") != 1, "n_agent"),
+              "n_seller_role < 1 OR n_agent_role < 1"),
+        Check("F.31.02", ERROR, "T7", "needs exactly one agent contact", "n_agent <> 1", "n_agent"),
     ]
 
 
@@ -358,7 +342,7 @@ def contacts_per_seller(ctx: FilingContext) -> DataFrame:
 
 def contracts_per_id(ctx: FilingContext) -> DataFrame:
     return (
-        ctx.table("contracts").filter(F.col("contract_unique_id").isNotNull())
+        ctx.table("contracts").filter("contract_unique_id IS NOT NULL")
         .groupBy(*FILING_KEYS, "contract_unique_id")
         .agg(differs_within("customer_company_name").alias("buyers_differ"),
              differs_within("seller_company_name").alias("sellers_differ"))
@@ -371,13 +355,13 @@ def contract_sizes(ctx: FilingContext) -> DataFrame:
     return (
         per_contract.groupBy(*FILING_KEYS)
         .agg(F.count("contract_unique_id").alias("n_contracts"), F.sum("n").alias("n_products"),
-             F.max("n").alias("max_products"))
-        .withColumn("record_id", F.col("cid"))
+             F.max(F.when(F.col("contract_unique_id").isNotNull(), F.col("n"))).alias("max_products"))
+        .selectExpr("*", "cid AS record_id")
     )
 
 
 def tariff_kinds_per_seller(ctx: FilingContext) -> DataFrame:
-    kinds = ctx.table("contracts").withColumn("npu", F.upper(F.trim("ferc_tariff_reference")) == "NPU")
+    kinds = ctx.table("contracts").selectExpr("*", f"{NPU} AS npu")
     return (
         kinds.groupBy(*FILING_KEYS, "seller_company_name").agg(differs_within("npu").alias("mixed"))
         .withColumnRenamed("seller_company_name", "record_id")
@@ -388,19 +372,17 @@ def operator_sales(operators: list[str], booked_out_too: bool = True):
     """Average hours per market operator that buys: energy sales (class BA left out) of a seller to
     itself and, unless switched off, booked out power. The wording allows both readings.
     """
+    energy = f"{P.known('product_name', [K.ENERGY])} AND NOT {P.surely(P.known('class_name', ['BA']))}"
+    wanted = f"({energy} AND seller_company_name = customer_company_name)"
+    if booked_out_too:
+        wanted += f" OR {P.known('product_name', [K.BOOKED_OUT])}"
+    seconds = "unix_seconds(CAST({0} AS TIMESTAMP))"
+    hours = f"({seconds.format('transaction_end_date')} - {seconds.format('transaction_begin_date')}) / 3600.0D"
 
     def frame(ctx: FilingContext) -> DataFrame:
-        same_party = F.col("seller_company_name") == F.col("customer_company_name")
-        booked_out = P.known("product_name", [K.BOOKED_OUT])
-        energy = P.known("product_name", [K.ENERGY]) & ~F.coalesce(P.known("class_name", ["BA"]), F.lit(False))
-        wanted = (energy & same_party) | booked_out if booked_out_too else energy & same_party
-        hours = (
-            F.unix_seconds(F.col("transaction_end_date").cast("timestamp"))
-            - F.unix_seconds(F.col("transaction_begin_date").cast("timestamp"))
-        ) / 3600.0
         return (
-            ctx.table("transactions").filter(wanted & P.known("customer_company_name", operators))
-            .groupBy(*FILING_KEYS, "customer_company_name").agg(F.avg(hours).alias("avg_hours"))
+            ctx.table("transactions").filter(f"({wanted}) AND {P.known('customer_company_name', operators)}")
+            .groupBy(*FILING_KEYS, "customer_company_name").agg(F.expr(f"avg({hours}) AS avg_hours"))
             .withColumnRenamed("customer_company_name", "record_id")
         )
 
@@ -409,19 +391,17 @@ def operator_sales(operators: list[str], booked_out_too: bool = True):
 
 def changed_publishers(ctx: FilingContext) -> DataFrame:
     """Filings whose appended index rows name other publishers than the original."""
-    appended = F.lower("filing_type") == "append"
-    rows = ctx.table("index").withColumn("appended", F.coalesce(appended, F.lit(False)))
+    rows = ctx.table("index").selectExpr("*", "coalesce(lower(filing_type) = 'append', false) AS appended")
     different = set_difference_keys(rows, FILING_KEYS, ["publisher", "publication"], ~F.col("appended"), F.col("appended"))
-    return different.withColumn("record_id", F.col("cid"))
+    return different.selectExpr("*", "cid AS record_id")
 
 
 def sellers_without_fitting_role(ctx: FilingContext) -> DataFrame:
     """Seller rows of registered companies none of whose registry roles is agent or account manager."""
-    roles = ctx.table("registry").groupBy("cid").agg(
-        F.max(F.lower("role").isin("agent", "account manager").cast("int")).alias("fits")
-    )
+    fits = "coalesce(bool_or(lower(role) IN ('agent', 'account manager')), false) AS fits"
+    roles = ctx.table("registry").groupBy("cid").agg(F.expr(fits))
     rows = ctx.table("ident").filter(P.is_seller()).join(roles, "cid")
-    return rows.filter(F.coalesce("fits", F.lit(0)) == 0).withColumn("record_id", F.col("filer_unique_id"))
+    return rows.filter("NOT fits").selectExpr("*", "filer_unique_id AS record_id")
 
 
 def contacts_with_other_role(ctx: FilingContext) -> DataFrame:
@@ -430,7 +410,7 @@ def contacts_with_other_role(ctx: FilingContext) -> DataFrame:
     known = contacts.select("cid", "contact_name").distinct()
     roles = contacts.select("cid", "contact_name", "role").distinct()
     rows = ctx.table("ident").join(known, ["cid", "contact_name"], "left_semi")
-    return rows.join(roles, ["cid", "contact_name", "role"], "left_anti").withColumn("record_id", F.col("filer_unique_id"))
+    return rows.join(roles, ["cid", "contact_name", "role"], "left_anti").selectExpr("*", "filer_unique_id AS record_id")
 
 
 def tariff_not_found(ctx: FilingContext) -> DataFrame:
@@ -438,188 +418,161 @@ def tariff_not_found(ctx: FilingContext) -> DataFrame:
     tariffs = ctx.table("tariffs")
     rows = ctx.table("contracts").join(tariffs.select("cid").distinct(), "cid", "left_semi")
     named = tariffs.select("cid", "ferc_tariff_reference").distinct()
-    return rows.join(named, ["cid", "ferc_tariff_reference"], "left_anti").withColumn("record_id", F.col("contract_unique_id"))
+    return rows.join(named, ["cid", "ferc_tariff_reference"], "left_anti").selectExpr("*", "contract_unique_id AS record_id")
 
 
 # --- right sides of join rules ----------------------------------------------------------------
 
+CONTRACT_KEYS = [*FILING_KEYS, "contract_unique_id"]
 
-def headers(filing_type: str):
-    return lambda ctx: ctx.filings.filter(F.col("filing_type") == filing_type).select(*FILING_KEYS)
 
+def headers(filing_type: str):
+    return lambda ctx: ctx.filings.filter(f"filing_type = {P.lit(filing_type)}").select(*FILING_KEYS)
 
-def contract_keys(**where):
-    def right(ctx: FilingContext) -> DataFrame:
-        df = ctx.table("contracts")
-        for name, value in where.items():
-            df = df.filter(F.col(name) == value)
-        return df.select(*FILING_KEYS, "contract_unique_id").distinct()
 
-    return right
+def contract_keys(where: str = "true"):
+    return lambda ctx: ctx.table("contracts").filter(where).select(*CONTRACT_KEYS).distinct()
 
 
 def transactions_of_deleted_contracts(ctx: FilingContext) -> DataFrame:
     """Contract keys that both occur in transactions and belong to deleted contracts."""
-    keys = [*FILING_KEYS, "contract_unique_id"]
-    used = ctx.table("transactions").select(*keys).distinct()
-    return used.join(contract_keys(filing_type="Delete")(ctx), keys, "left_semi")
+    used = ctx.table("transactions").select(*CONTRACT_KEYS).distinct()
+    return used.join(contract_keys("filing_type = 'Delete'")(ctx), CONTRACT_KEYS, "left_semi")
+
+
+def distinct_of(table: str, *columns: str, where: str = "true"):
+    return lambda ctx: ctx.table(table).filter(where).select(*columns).distinct()
 
 
 def authorized_products(ctx: FilingContext) -> DataFrame:
     """(filing, agreement, product) a transaction may carry. Booked out power is covered by an
     energy or capacity contract and not by one of its own name."""
-    product = F.upper(F.trim("product_name"))
-    covers = (
-        F.when(product.isin(K.ENERGY, K.CAPACITY), F.array(product, F.lit(K.BOOKED_OUT)))
-        .when(product != K.BOOKED_OUT, F.array(product))
+    product, booked_out = P.norm("product_name"), P.lit(K.BOOKED_OUT)
+    covered = (
+        f"CASE WHEN {product} IN ({P.listed([K.ENERGY, K.CAPACITY])}) THEN array({product}, {booked_out})"
+        f" WHEN {product} <> {booked_out} THEN array({product}) END"
     )
-    return ctx.table("contracts").select(
-        *FILING_KEYS, F.col("contract_service_agreement_id").alias("agreement"), F.explode(covers).alias("product")
-    ).distinct()
-
-
-def registry_versions(ctx: FilingContext) -> DataFrame:
-    return ctx.table("registry").select("cid", "legal_name", "effective_start", "effective_end").distinct()
-
-
-def sellers_of_filing(ctx: FilingContext) -> DataFrame:
-    return ctx.table("ident").filter(P.is_seller()).select(*FILING_KEYS, "company_name", "filer_unique_id").distinct()
-
-
-def agents_of_filing(ctx: FilingContext) -> DataFrame:
-    return ctx.table("ident").filter(P.is_agent()).select(*FILING_KEYS, "contact_name").distinct()
+    columns = [*FILING_KEYS, "contract_service_agreement_id AS agreement", f"explode({covered}) AS product"]
+    return ctx.table("contracts").selectExpr(*columns).distinct()
 
 
 def first_termination(ctx: FilingContext) -> DataFrame:
-    return (
-        ctx.table("contracts").groupBy(*FILING_KEYS, "contract_unique_id")
-        .agg(F.min("termination_date").alias("termination_date"))
-    )
+    contracts = ctx.table("contracts").groupBy(*CONTRACT_KEYS)
+    return contracts.agg(F.min("termination_date").alias("termination_date"))
 
 
 def last_tariff_end(ctx: FilingContext) -> DataFrame:
     """Per tariff, its last end date; a tariff with an open version has none."""
-    last = F.when(F.count_if(F.col("tariff_end").isNull()) == 0, F.max("tariff_end"))
-    return ctx.table("tariffs").groupBy("cid", "ferc_tariff_reference").agg(last.alias("tariff_end"))
-
-
-def recent_contracts(ctx: FilingContext) -> DataFrame:
-    recent = ctx.table("contracts").filter(F.col("contract_execution_date") >= P.day(K.STANDARDIZED_SINCE))
-    return recent.select(*FILING_KEYS, "contract_unique_id").distinct()
+    last = "CASE WHEN count_if(tariff_end IS NULL) = 0 THEN max(tariff_end) END AS tariff_end"
+    return ctx.table("tariffs").groupBy("cid", "ferc_tariff_reference").agg(F.expr(last))
 
 
 def join_groups() -> list[Group]:
+    filing = {"cid": "cid", "period": "period"}
+    contract = {**filing, "contract_unique_id": "contract_unique_id"}
+    not_new = "filing_type <> 'New'"
     groups: list[Group] = []
-    not_new = lambda: F.col("filing_type") != "New"
-    contract = {**FILING, "contract_unique_id": key("contract_unique_id")}
 
+    # Filing types of the components against the header and against their contract.
     for table in ("contracts", "transactions"):
         groups += [
-            JoinGroup(f"new_header_{table}", table, headers("New"), FILING, "left_semi", [
+            JoinGroup(f"new_header_{table}", table, headers("New"), filing, "left_semi", [
                 Check("D.3.9.1", ERROR, "T8", "new filing holds another filing type", not_new, "filing_type"),
                 Check("F.16.18", ERROR, "T8", "new filing holds another filing type", not_new, "filing_type")]),
-            JoinGroup(f"replace_header_{table}", table, headers("Replace"), FILING, "left_semi", [
+            JoinGroup(f"replace_header_{table}", table, headers("Replace"), filing, "left_semi", [
                 Check("D.3.9.2", ERROR, "T8", "replacing filing holds another type than New", not_new, "filing_type"),
                 Check("F.16.19", ERROR, "T8", "replacing filing holds another type than New", not_new, "filing_type")]),
-            JoinGroup(f"delete_header_{table}", table, headers("Delete"), FILING, "left_semi", [
+            JoinGroup(f"delete_header_{table}", table, headers("Delete"), filing, "left_semi", [
                 Check("D.3.9.3", ERROR, "T8", "deleting filing holds data"),
                 Check("F.16.20.1", ERROR, "T8", "deleting filing holds data")]),
         ]
     groups += [
-        JoinGroup("new_contract", "transactions", contract_keys(filing_type="New"), contract, "left_semi", [
+        JoinGroup("new_contract", "transactions", contract_keys("filing_type = 'New'"), contract, "left_semi", [
             Check("D.3.9.6", ERROR, "T8", "new contract has a transaction of another type", not_new, "filing_type")]),
         JoinGroup("deleted_contract", "contracts", transactions_of_deleted_contracts, contract, "left_semi", [
-            Check("D.3.9.8", ERROR, "T8", "deleted contract has transactions",
-                  lambda: F.col("filing_type") == "Delete")]),
+            Check("D.3.9.8", ERROR, "T8", "deleted contract has transactions", "filing_type = 'Delete'")]),
     ]
 
-    # Names and identifiers against the company registry.
-    name = lambda column: {"cid": key("cid"), "legal_name": key(column)}
-    at_end = lambda: effective_at(period_end(F.col("l_period")), "r_effective_start", "r_effective_end")
-    during = lambda: overlaps(period_start(F.col("l_period")), period_end(F.col("l_period")),
-                              "r_effective_start", "r_effective_end")
-    period = {"period": key("period")}
+    # Names and identifiers against the versions of the company registry.
+    versions = distinct_of("registry", "cid", "legal_name", "effective_start", "effective_end")
+    valid = ("r_effective_start", "r_effective_end")
+    at_end = P.effective_at(P.period_end("l_period"), *valid)
+    during = P.overlaps(P.period_start("l_period"), P.period_end("l_period"), *valid)
+    period = {"period": "period"}
+    ident_name = {"cid": "cid", "legal_name": "company_name"}
+    seller_name = {"cid": "cid", "legal_name": "seller_company_name"}
     groups += [
-        JoinGroup("ident_name", "ident", registry_versions, name("company_name"), "left_anti", [
+        JoinGroup("ident_name", "ident", versions, ident_name, "left_anti", [
             Check("F.16.3.1", ERROR, "T5", "company name is not registered", None, "company_name")]),
-        JoinGroup("contract_seller_name", "contracts", registry_versions, name("seller_company_name"), "left_anti", [
+        JoinGroup("contract_seller_name", "contracts", versions, seller_name, "left_anti", [
             Check("F.16.3.2", ERROR, "T5", "seller name is not registered", None, "seller_company_name")]),
-        JoinGroup("ident_name_at_end", "ident", registry_versions, name("company_name"), "left_anti", [
-            Check("F.16.3.4", ERROR, "T5", "company name was not valid at the end of the period", P.is_seller,
+        JoinGroup("ident_name_at_end", "ident", versions, ident_name, "left_anti", [
+            Check("F.16.3.4", ERROR, "T5", "company name was not valid at the end of the period", P.is_seller(),
                   "company_name")], at_end, period),
-        JoinGroup("contract_seller_name_during", "contracts", registry_versions, name("seller_company_name"),
-                  "left_anti", [Check("F.16.3.5", ERROR, "T5", "seller name was not valid during the period", None,
-                                      "seller_company_name")], during, period),
-        JoinGroup("ident_cid", "ident", registry_versions, {"cid": key("cid")}, "left_anti", [
+        JoinGroup("contract_seller_name_during", "contracts", versions, seller_name, "left_anti", [
+            Check("F.16.3.5", ERROR, "T5", "seller name was not valid during the period", None,
+                  "seller_company_name")], during, period),
+        JoinGroup("ident_cid", "ident", versions, {"cid": "cid"}, "left_anti", [
             Check("F.16.26", ERROR, "T5", "company identifier was not valid during the period",
-                  lambda: P.is_seller() | P.is_agent(), "company_identifier")], during, period),
-        JoinGroup("contract_cid", "contracts", registry_versions, {"cid": key("seller_cid")}, "left_anti", [
+                  f"{P.is_seller()} OR {P.is_agent()}", "company_identifier")], during, period),
+        JoinGroup("contract_cid", "contracts", versions, {"cid": "seller_cid"}, "left_anti", [
             Check("F.21.2.2", ERROR, "T5", "seller identifier was not valid during the period", None, "seller_cid")],
             during, period),
-        JoinGroup("buyer_cid", "contracts", registry_versions, {"cid": key("customer_cid")}, "left_anti", [
+        JoinGroup("buyer_cid", "contracts", versions, {"cid": "customer_cid"}, "left_anti", [
             Check("F.21.3.3", ERROR, "T5", "buyer identifier was not valid during the period",
-                  lambda: F.col("customer_cid").isNotNull(), "customer_cid")], during, period),
-        JoinGroup("not_public", "contracts",
-                  lambda ctx: ctx.table("registry").filter("is_npu").select("cid").distinct(),
-                  {"cid": key("seller_cid")}, "left_anti", [
-                      Check("F.30.41.1", WARNING, "T5", "seller is not registered as non-public utility",
-                            lambda: P.known("ferc_tariff_reference", ["NPU"]), "seller_company_name")]),
+                  "customer_cid IS NOT NULL", "customer_cid")], during, period),
+        JoinGroup("not_public", "contracts", distinct_of("registry", "cid", where="is_npu"), {"cid": "seller_cid"},
+                  "left_anti", [Check("F.30.41.1", WARNING, "T5", "seller is not registered as non-public utility",
+                                      NPU, "seller_company_name")]),
     ]
 
     # Contact and tariff registries.
-    person = {"cid": key("cid"), "contact_name": key("contact_name")}
-    people = lambda ctx: ctx.table("contacts").select("cid", "contact_name").distinct()
+    tariff = {"cid": "cid", "ferc_tariff_reference": "ferc_tariff_reference"}
     groups += [
-        JoinGroup("contacts", "ident", people, person, "left_anti", [
-            Check("F.16.13.1", ERROR, "T5", "agent contact is not registered", P.is_agent, "contact_name"),
-            Check("F.16.14.5", ERROR, "T5", "seller contact is not registered", P.is_seller, "contact_name")]),
-        JoinGroup("tariff_seller", "contracts", lambda ctx: ctx.table("tariffs").select("cid").distinct(),
-                  {"cid": key("cid")}, "left_anti", [
-                      Check("F.20.19", ERROR, "T5", "seller has no tariff",
-                            lambda: ~F.coalesce(P.known("ferc_tariff_reference", ["NPU"]), F.lit(False)),
-                            "ferc_tariff_reference")]),
-        JoinGroup("tariff_expired", "contracts", last_tariff_end,
-                  {"cid": key("cid"), "ferc_tariff_reference": key("ferc_tariff_reference")}, "left_semi", [
-                      Check("F.20.20", WARNING, "T5", "tariff expired before the end of the period", None,
-                            "ferc_tariff_reference")],
-                  lambda: F.col("r_tariff_end") < period_end(F.col("l_period")), period),
+        JoinGroup("contacts", "ident", distinct_of("contacts", "cid", "contact_name"),
+                  {"cid": "cid", "contact_name": "contact_name"}, "left_anti", [
+                      Check("F.16.13.1", ERROR, "T5", "agent contact is not registered", P.is_agent(), "contact_name"),
+                      Check("F.16.14.5", ERROR, "T5", "seller contact is not registered", P.is_seller(), "contact_name")]),
+        JoinGroup("tariff_seller", "contracts", distinct_of("tariffs", "cid"), {"cid": "cid"}, "left_anti", [
+            Check("F.20.19", ERROR, "T5", "seller has no tariff", f"NOT {P.surely(NPU)}", "ferc_tariff_reference")]),
+        JoinGroup("tariff_expired", "contracts", last_tariff_end, tariff, "left_semi", [
+            Check("F.20.20", WARNING, "T5", "tariff expired before the end of the period", None,
+                  "ferc_tariff_reference")], f"r_tariff_end < {P.period_end('l_period')}", period),
     ]
 
     # References between the tables of a filing.
+    lists_index = distinct_of("index", *FILING_KEYS)
+    seller, reports = P.is_seller(), P.says_yes("report_to_index")
     groups += [
-        JoinGroup("submitter", "filings", agents_of_filing, {**FILING, "contact_name": key("submitter_name")},
-                  "left_anti", [Check("F.17.5", ERROR, "T9", "submitter is no agent of the filing", None,
-                                      "submitter_name")]),
-        JoinGroup("index_missing", "ident", lambda ctx: ctx.table("index").select(*FILING_KEYS).distinct(), FILING,
-                  "left_anti", [Check("F.16.27.1", ERROR, "T9", "reports to an index but lists none",
-                                      lambda: P.says_yes("report_to_index"))]),
-        JoinGroup("index_unannounced", "ident", lambda ctx: ctx.table("index").select(*FILING_KEYS).distinct(), FILING,
-                  "left_semi", [Check("F.16.27.4", ERROR, "T9", "lists an index but does not report to one",
-                                      lambda: P.is_seller() & ~P.says_yes("report_to_index"))]),
-        JoinGroup("index_owner", "index", sellers_of_filing, {**FILING, "filer_unique_id": key("filer_unique_id")},
-                  "left_anti", [Check("F.16.27.3", ERROR, "T9", "only a seller may list an index", None,
-                                      "filer_unique_id")]),
-        JoinGroup("contract_seller", "contracts", sellers_of_filing,
-                  {**FILING, "company_name": key("seller_company_name")}, "left_anti", [
+        JoinGroup("submitter", "filings", distinct_of("ident", *FILING_KEYS, "contact_name", where=P.is_agent()),
+                  {**filing, "contact_name": "submitter_name"}, "left_anti", [
+                      Check("F.17.5", ERROR, "T9", "submitter is no agent of the filing", None, "submitter_name")]),
+        JoinGroup("index_missing", "ident", lists_index, filing, "left_anti", [
+            Check("F.16.27.1", ERROR, "T9", "reports to an index but lists none", reports)]),
+        JoinGroup("index_unannounced", "ident", lists_index, filing, "left_semi", [
+            Check("F.16.27.4", ERROR, "T9", "lists an index but does not report to one", f"{seller} AND NOT {reports}")]),
+        JoinGroup("index_owner", "index", distinct_of("ident", *FILING_KEYS, "filer_unique_id", where=seller),
+                  {**filing, "filer_unique_id": "filer_unique_id"}, "left_anti", [
+                      Check("F.16.27.3", ERROR, "T9", "only a seller may list an index", None, "filer_unique_id")]),
+        JoinGroup("contract_seller", "contracts", distinct_of("ident", *FILING_KEYS, "company_name", where=seller),
+                  {**filing, "company_name": "seller_company_name"}, "left_anti", [
                       Check("F.21.2.1", ERROR, "T9", "seller is not part of the filing", None, "seller_company_name")]),
-        JoinGroup("customer", "transactions",
-                  lambda ctx: ctx.table("contracts").select(*FILING_KEYS, "customer_company_name").distinct(),
-                  {**FILING, "customer_company_name": key("customer_company_name")}, "left_anti", [
+        JoinGroup("customer", "transactions", distinct_of("contracts", *FILING_KEYS, "customer_company_name"),
+                  {**filing, "customer_company_name": "customer_company_name"}, "left_anti", [
                       Check("F.21.3.1", ERROR, "T9", "customer has no contract", None, "customer_company_name")]),
         JoinGroup("authorized_product", "transactions", authorized_products,
-                  {**FILING, "agreement": key("contract_service_agreement"), "product": lambda: P.norm("product_name")},
+                  {**filing, "agreement": "contract_service_agreement", "product": P.norm("product_name")},
                   "left_anti", [Check("F.25.18", ERROR, "T9", "no contract authorizes the product",
-                                      lambda: gate(K.PERIOD_STANDARDIZED), "product_name")]),
+                                      P.since(K.PERIOD_STANDARDIZED), "product_name")]),
         JoinGroup("terminated", "transactions", first_termination, contract, "left_semi", [
             Check("F.23.21.2", WARNING, "T10", "transaction ends after its contract", None, "transaction_end_date")],
-            lambda: F.col("r_termination_date") < F.col("l_end"), {"end": key("transaction_end_date")}),
-        JoinGroup("recent_contract", "transactions", recent_contracts, contract, "left_semi", [
-            Check("F.30.42", ERROR, "T10", "trade_date is missing", lambda: P.missing("trade_date")),
-            Check("F.30.43", ERROR, "T10", "type_of_rate is missing", lambda: P.missing("type_of_rate")),
-            Check("F.30.44", ERROR, "T10", "standardized_price is missing",
-                  lambda: P.known("product_name", K.METERED_PRODUCTS) & P.missing("standardized_price")),
-            Check("F.30.45", ERROR, "T10", "standardized_quantity is missing",
-                  lambda: P.known("product_name", K.METERED_PRODUCTS) & P.missing("standardized_quantity"))]),
+            "r_termination_date < l_end", {"end": "transaction_end_date"}),
+        JoinGroup("recent_contract", "transactions",
+                  contract_keys(f"contract_execution_date >= DATE'{K.STANDARDIZED_SINCE}'"), contract, "left_semi", [
+                      present("F.30.42", "trade_date", template="T10"),
+                      present("F.30.43", "type_of_rate", template="T10"),
+                      present("F.30.44", "standardized_price", METERED, template="T10"),
+                      present("F.30.45", "standardized_quantity", METERED, template="T10")]),
     ]
     return groups
 
@@ -645,7 +598,7 @@ def duplicate_groups() -> list[Group]:
         DuplicateGroup("ident", ["filer_unique_id"], [dup("F.16.4.2", ERROR, "filer identifier"),
                                                       dup("F.16.25", XSD, "identifier")]),
         DuplicateGroup("ident", ["company_name"], [dup("F.16.5", ERROR, "seller"), dup("F.16.6", ERROR, "seller")],
-                       P.is_seller),
+                       P.is_seller()),
         DuplicateGroup("contracts", ["contract_unique_id"], [dup("F.16.25", XSD, "identifier"),
                                                              dup("F.20.23", XSD, "contract identifier")]),
         DuplicateGroup("contracts", ["seller_company_name", "customer_company_name", "ferc_tariff_reference",
@@ -658,27 +611,28 @@ def duplicate_groups() -> list[Group]:
 
 
 def derived_groups(settings: Settings) -> list[Group]:
+    too_large = (
+        f"n_contracts > {settings.max_contracts} OR n_products > {settings.max_products}"
+        f" OR max_products > {settings.max_products_per_contract}"
+    )
     return [
         DerivedGroup("ident_per_filing", "filing", ident_per_filing, per_filing_checks()),
         DerivedGroup("contacts_per_seller", "identity", contacts_per_seller, [
-            Check("F.16.14.2", ERROR, "T7", "seller needs exactly one contact", lambda: F.col("n_contacts") != 1, "n_contacts"),
-            Check("F.16.14.4", ERROR, "T5", "seller has no registered contact", lambda: F.col("n_known") == 0)]),
+            Check("F.16.14.2", ERROR, "T7", "seller needs exactly one contact", "n_contacts <> 1", "n_contacts"),
+            Check("F.16.14.4", ERROR, "T5", "seller has no registered contact", "n_known = 0")]),
         DerivedGroup("contract_parties", "contract", contracts_per_id, [
-            Check("F.20.11", XSD, "T12", "contract has several buyers or sellers",
-                  lambda: F.col("buyers_differ") | F.col("sellers_differ"))]),
+            Check("F.20.11", XSD, "T12", "contract has several buyers or sellers", "buyers_differ OR sellers_differ")]),
         DerivedGroup("contract_sizes", "filing", contract_sizes, [
-            Check("F.21.32", ERROR, "T12", "filing exceeds a size limit",
-                  lambda: (F.col("n_contracts") > settings.max_contracts) | (F.col("n_products") > settings.max_products)
-                  | (F.col("max_products") > settings.max_products_per_contract), "n_products")]),
+            Check("F.21.32", ERROR, "T12", "filing exceeds a size limit", too_large, "n_products")]),
         DerivedGroup("tariff_kinds", "contract", tariff_kinds_per_seller, [
-            Check("F.30.41.3", WARNING, "T12", "seller is both public and non-public", lambda: F.col("mixed"))]),
+            Check("F.30.41.3", WARNING, "T12", "seller is both public and non-public", "mixed")]),
         DerivedGroup("operator_sales", "transaction", operator_sales(settings.values("iso")), [
             Check("F.25.16", ERROR, "T12", "sales to a market operator look aggregated",
-                  lambda: F.col("avg_hours") > K.MAX_AVERAGE_HOURS, "avg_hours")]),
+                  f"avg_hours > {K.MAX_AVERAGE_HOURS}D", "avg_hours")]),
         DerivedGroup("publishers", "index", changed_publishers, [
-            Check("F.16.27.5", ERROR, "T13", "appended index publishers differ from the original", None)]),
+            Check("F.16.27.5", ERROR, "T13", "appended index publishers differ from the original")]),
         DerivedGroup("seller_role", "identity", sellers_without_fitting_role, [
-            Check("F.31.01", WARNING, "T5", "seller is no agent or account manager in the registry", None)]),
+            Check("F.31.01", WARNING, "T5", "seller is no agent or account manager in the registry")]),
         DerivedGroup("contact_role", "identity", contacts_with_other_role, [
             Check("F.16.21", ERROR, "T5", "contact acts in an unregistered role", None, "role")]),
         DerivedGroup("tariff_reference", "contract", tariff_not_found, [
@@ -688,20 +642,11 @@ def derived_groups(settings: Settings) -> list[Group]:
 
 def catalogue(settings: Settings) -> list[Group]:
     """All rules. F.16.1 (acceptance) is a result of the others: see ``operators.results.acceptance``."""
-    hubs = settings.values("hub")
     in_scan, looked_up = lookup_groups(settings)
-    hub_contract = [
-        hub_check("F.23.8", "porba", "porsl", hubs),
-        hub_check("F.23.10", "podba", "podsl", hubs),
-        Check("F.23.23", ERROR, "T4", "location and hub conflict",
-              lambda: P.both_set("podsl", "podsl_hub") | P.both_set("porsl", "porsl_hub")
-              | P.hub_without_known_location("podba", "podsl_hub", hubs)
-              | P.hub_without_known_location("porba", "porsl_hub", hubs)),
-    ]
     return [
         RowGroup("ident", ident_checks()),
         RowGroup("filings", filing_checks(settings)),
-        RowGroup("contracts", contract_checks() + hub_contract + in_scan["contracts"]),
+        RowGroup("contracts", contract_checks(settings) + in_scan["contracts"]),
         RowGroup("index", [required("F.16.28", "transactions_reported")]),
         RowGroup("transactions", transaction_checks(settings) + in_scan["transactions"]),
         *looked_up,
@@ -712,12 +657,12 @@ def catalogue(settings: Settings) -> list[Group]:
 
 
 def catalogue_frame(spark: SparkSession, groups: list[Group]) -> DataFrame:
-    """The catalogue as data: id, order, text, severity, template, table, category and stage."""
+    """The catalogue as data: order, id, text, severity, template, table, test, category and stage."""
     seen: dict[str, tuple] = {}
     for group in groups:
         for c in group.checks:
-            seen.setdefault(c.rule_id, (len(seen), c.rule_id, c.text, c.severity, c.template, group.table))
-    schema = "seq int, rule_id string, description string, severity string, template string, source_table string"
+            seen.setdefault(c.rule_id, (len(seen), c.rule_id, c.text, c.severity, c.template, group.table, c.test))
+    schema = "seq int, rule_id string, description string, severity string, template string, source_table string, test string"
     frame = spark.createDataFrame(list(seen.values()), schema)
     return frame.withColumn("category", category(F.col("rule_id"), F.col("severity"))).withColumn(
         "stage", stage(F.col("category"))

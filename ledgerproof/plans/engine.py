@@ -6,9 +6,10 @@ from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerproof.context import FILING_KEYS, FilingContext
+from ledgerproof.functions.predicates import lit
 from ledgerproof.operators.groups import fingerprint, repeated_keys, rows_in_groups
 from ledgerproof.operators.results import rate
 from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
@@ -106,117 +107,104 @@ def _analyzed(ctx: FilingContext, group: Group) -> tuple[list[Check], dict[str,
     return good, broken
 
 
-def _test(check: Check) -> Column:
-    return F.lit(True) if check.test is None else check.test()
+def _test(check: Check) -> str:
+    return "true" if check.test is None else f"({check.test})"
 
 
-def _any_test(checks: list[Check]) -> Column | None:
-    """Condition under which a row can violate anything; None when every row does."""
-    if any(c.test is None for c in checks):
-        return None
-    return reduce(lambda a, b: a | b, [F.coalesce(c.test(), F.lit(False)) for c in checks])
+def _any_test(checks: list[Check]) -> str:
+    """Condition under which a row can violate anything."""
+    return " OR ".join(_test(c) for c in checks)
 
 
-def _message(check: Check) -> Column:
-    if check.show is None:
-        return F.lit(check.text)
-    return F.concat(F.lit(check.text + ": "), F.coalesce(F.col(check.show).cast("string"), F.lit("none")))
+def _entry(check: Check) -> str:
+    message = lit(check.text)
+    if check.show is not None:
+        message = f"concat({lit(check.text + ': ')}, coalesce(CAST({check.show} AS STRING), 'none'))"
+    fields = f"'rule_id', {lit(check.rule_id)}, 'severity', {lit(check.severity)}, 'message', {message}"
+    return f"CASE WHEN {_test(check)} THEN named_struct({fields}) END"
 
 
-def _explode(df: DataFrame, checks: list[Check], record_type: str, record_id: Column) -> DataFrame:
+def _explode(df: DataFrame, checks: list[Check], record_type: str, record_id: str) -> DataFrame:
     """All violated rules of each row in one projection."""
-    entries = [
-        F.when(
-            _test(c),
-            F.struct(F.lit(c.rule_id).alias("rule_id"), F.lit(c.severity).alias("severity"),
-                     _message(c).alias("message")),
-        )
-        for c in checks
-    ]
-    has_origin = {"source_filename", "source_row_index"} <= set(df.columns)
-    origin = F.concat_ws("#", "source_filename", "source_row_index") if has_origin else F.lit("")
-    return df.select(
+    columns = set(df.columns)
+    has_origin = {"source_filename", "source_row_index"} <= columns
+    origin = "concat_ws('#', source_filename, source_row_index)" if has_origin else "''"
+    hits = df.selectExpr(
         *FILING_KEYS,
-        F.lit(record_type).alias("record_type"),
-        record_id.cast("string").alias("record_id"),
-        origin.alias("origin"),
-        F.explode(F.array_compact(F.array(*entries))).alias("hit"),
-    ).select(*FILING_KEYS, "record_type", "record_id", "origin", "hit.rule_id", "hit.severity", "hit.message")
-
-
-def _joined(group: JoinGroup, left: DataFrame, right: DataFrame) -> DataFrame:
-    names = [f"_k_{k}" for k in group.keys]
-    partner = right.withColumnsRenamed(dict(zip(group.keys, names)))
-    partner = partner.withColumnsRenamed({n: f"r_{n}" for n in partner.columns})
-    on = [F.col(n) == F.col(f"r_{n}") for n in names]
-    if group.residual is not None:
-        on.append(group.residual())
-    return left.join(partner, reduce(lambda a, b: a & b, on), group.how)
+        f"{lit(record_type)} AS record_type",
+        f"CAST({record_id} AS STRING) AS record_id",
+        f"{origin} AS origin",
+        f"explode(array_compact(array({', '.join(_entry(c) for c in checks)}))) AS hit",
+    )
+    return hits.selectExpr(*FILING_KEYS, "record_type", "record_id", "origin", "hit.*")
 
 
-def _left_keys(group: JoinGroup) -> dict[str, Column]:
-    columns = {f"_k_{k}": f() for k, f in group.keys.items()}
-    columns.update({f"l_{k}": f() for k, f in group.carry.items()})
-    return columns
+def _with_keys(group: JoinGroup, left: DataFrame, extra: list[str]) -> DataFrame:
+    """Key and carried expressions as columns ``l_<name>``."""
+    named = {**group.keys, **group.carry}
+    return left.selectExpr(*extra, *[f"{text} AS l_{name}" for name, text in named.items()])
+
+
+def _matched(group: JoinGroup, left: DataFrame, right: DataFrame) -> DataFrame:
+    partner = right.selectExpr(*[f"{c} AS r_{c}" for c in right.columns])
+    on = [f"l_{k} = r_{k}" for k in group.keys]
+    if group.residual is not None:
+        on.append(group.residual)
+    return left.join(partner, F.expr(" AND ".join(on)), group.how)
 
 
 def _duplicate_frame(ctx: FilingContext, group: DuplicateGroup) -> tuple[DataFrame, list[str]]:
     df = ctx.table(group.table)
     if group.where is not None:
-        df = df.filter(group.where())
+        df = df.filter(group.where)
     if len(group.keys) == 1:
-        return df.filter(F.col(group.keys[0]).isNotNull()), [*FILING_KEYS, group.keys[0]]
-    return df.withColumn("_fingerprint", fingerprint(group.keys)), [*FILING_KEYS, "_fingerprint"]
+        return df.filter(f"{group.keys[0]} IS NOT NULL"), [*FILING_KEYS, group.keys[0]]
+    return df.selectExpr("*", f"{fingerprint(group.keys)} AS _fingerprint"), [*FILING_KEYS, "_fingerprint"]
 
 
 def group_violations(ctx: FilingContext, group: Group) -> DataFrame:
-    if isinstance(group, RowGroup):
-        return _explode(ctx.table(group.table), group.checks, RECORD_TYPE[group.table], F.col(RECORD_ID[group.table]))
+    """Violation rows of one group."""
     if isinstance(group, DerivedGroup):
-        return _explode(group.frame(ctx), group.checks, group.record_type, F.col("record_id"))
-    if isinstance(group, DuplicateGroup):
+        return _explode(group.frame(ctx), group.checks, group.record_type, "record_id")
+    if isinstance(group, RowGroup):
+        rows = ctx.table(group.table)
+    elif isinstance(group, DuplicateGroup):
         df, keys = _duplicate_frame(ctx, group)
         rows = rows_in_groups(df, repeated_keys(df, keys), keys)
-        return _explode(rows, group.checks, RECORD_TYPE[group.table], F.col(RECORD_ID[group.table]))
-    left = ctx.table(group.table)
-    candidate = _any_test(group.checks)
-    if candidate is not None:
-        left = left.filter(candidate)
-    rows = _joined(group, left.withColumns(_left_keys(group)), group.right(ctx))
-    return _explode(rows, group.checks, RECORD_TYPE[group.table], F.col(RECORD_ID[group.table]))
+    else:
+        candidates = ctx.table(group.table).filter(_any_test(group.checks))
+        rows = _matched(group, _with_keys(group, candidates, ["*"]), group.right(ctx))
+    return _explode(rows, group.checks, RECORD_TYPE[group.table], RECORD_ID[group.table])
+
+
+def _unpivot(per_filing: DataFrame, checks: list[Check]) -> DataFrame:
+    """The array column ``n`` of counts as one row per rule."""
+    ids = ", ".join(lit(c.rule_id) for c in checks)
+    named = per_filing.selectExpr(*FILING_KEYS, f"explode(map_from_arrays(array({ids}), n)) AS (rule_id, error_count)")
+    return named.select("rule_id", *FILING_KEYS, "error_count")
 
 
-def _conditional_counts(checks: list[Check]) -> tuple[list[Column], str]:
-    counts = [F.count_if(_test(c)).alias(f"n{i}") for i, c in enumerate(checks)]
-    pairs = ", ".join(f"'{c.rule_id}', n{i}" for i, c in enumerate(checks))
-    return counts, f"stack({len(checks)}, {pairs}) AS (rule_id, error_count)"
+def _count_array(tests: list[str]) -> str:
+    return "array(" + ", ".join(f"count_if({t})" for t in tests) + ") AS n"
 
 
 def group_counts(ctx: FilingContext, group: Group) -> DataFrame:
+    """Violations per rule and filing of one group, counted without making violation rows."""
+    checks = group.checks
     if isinstance(group, DuplicateGroup):
         df, keys = _duplicate_frame(ctx, group)
-        per_filing = repeated_keys(df, keys).groupBy(*FILING_KEYS).agg(F.sum("copies").alias("error_count"))
-        listed = F.explode(F.array(*[F.lit(c.rule_id) for c in group.checks]))
-        return per_filing.select(*FILING_KEYS, listed.alias("rule_id"), "error_count").select(
-            "rule_id", *FILING_KEYS, "error_count"
-        )
-    counts, unpivot = _conditional_counts(group.checks)
-    if isinstance(group, JoinGroup):
-        left = ctx.table(group.table)
-        candidate = _any_test(group.checks)
-        if candidate is not None:
-            left = left.filter(candidate)
-        keys = _left_keys(group)
-        tests = {f"t{i}": _test(c) for i, c in enumerate(group.checks)}
-        slim = left.select(*FILING_KEYS, *[v.alias(k) for k, v in {**keys, **tests}.items()])
-        per_key = slim.groupBy(*FILING_KEYS, *keys).agg(
-            *[F.count_if(F.col(f"t{i}")).alias(f"n{i}") for i in range(len(group.checks))]
-        )
-        kept = _joined(group, per_key, group.right(ctx))
-        per_filing = kept.groupBy(*FILING_KEYS).agg(
-            *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(group.checks))]
-        )
+        copies = ", ".join(["sum(copies)"] * len(checks))
+        per_filing = repeated_keys(df, keys).groupBy(*FILING_KEYS).agg(F.expr(f"array({copies}) AS n"))
+    elif isinstance(group, JoinGroup):
+        keys = [f"l_{k}" for k in {**group.keys, **group.carry}]
+        candidates = ctx.table(group.table).filter(_any_test(checks))
+        tests = [f"{_test(c)} AS t{i}" for i, c in enumerate(checks)]
+        slim = _with_keys(group, candidates, [*FILING_KEYS, *tests])
+        counted = [F.expr(f"count_if(t{i}) AS n{i}") for i in range(len(checks))]
+        per_key = slim.groupBy(*FILING_KEYS, *keys).agg(*counted)
+        sums = ", ".join(f"sum(n{i})" for i in range(len(checks)))
+        per_filing = _matched(group, per_key, group.right(ctx)).groupBy(*FILING_KEYS).agg(F.expr(f"array({sums}) AS n"))
     else:
         df = ctx.table(group.table) if isinstance(group, RowGroup) else group.frame(ctx)
-        per_filing = df.groupBy(*FILING_KEYS).agg(*counts)
-    return per_filing.selectExpr(*FILING_KEYS, unpivot).select("rule_id", *FILING_KEYS, "error_count")
+        per_filing = df.groupBy(*FILING_KEYS).agg(F.expr(_count_array([_test(c) for c in checks])))
+    return _unpivot(per_filing, checks)

@@ -1,15 +1,18 @@
-"""What a rule is. Rules that read the same rows are kept in one group and run as one plan."""
+"""What a rule is. Rules that read the same rows are kept in one group and run as one plan.
+
+Tests, keys and residual conditions are Spark SQL text (see ``functions.predicates``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from ledgerproof.context import FilingContext
 
-Test = Callable[[], Column]
+Frame = Callable[[FilingContext], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -20,7 +23,7 @@ class Check:
     severity: str
     template: str
     text: str
-    test: Test | None = None
+    test: str | None = None
     show: str | None = None
 
 
@@ -38,29 +41,28 @@ class DerivedGroup:
 
     name: str
     record_type: str
-    frame: Callable[[FilingContext], DataFrame]
+    frame: Frame
     checks: list[Check]
-    needs: tuple[str, ...] = ()
-    table = None
+    table: str | None = None
 
 
 @dataclass(frozen=True)
 class JoinGroup:
-    """Checks on rows of a table that have, or lack, a partner.
+    """Checks on rows of a table that have (left_semi), or lack (left_anti), a partner.
 
-    ``keys`` maps a column of the right frame to a function giving the left value. ``residual``
-    is an extra condition; it may use left columns named in ``carry`` and right columns.
+    ``keys`` maps a column of the right frame to the left expression it must equal. ``residual`` is
+    an extra condition over right columns, named ``r_<column>``, and the left expressions of
+    ``carry``, named ``l_<name>``.
     """
 
     name: str
     table: str
-    right: Callable[[FilingContext], DataFrame]
-    keys: dict[str, Test]
+    right: Frame
+    keys: dict[str, str]
     how: str
     checks: list[Check]
-    residual: Test | None = None
-    carry: dict[str, Test] = field(default_factory=dict)
-    needs: tuple[str, ...] = ()
+    residual: str | None = None
+    carry: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -70,7 +72,7 @@ class DuplicateGroup:
     table: str
     keys: list[str]
     checks: list[Check]
-    where: Test | None = None
+    where: str | None = None
 
 
 Group = RowGroup | DerivedGroup | JoinGroup | DuplicateGroup
@@ -80,7 +82,7 @@ def pick(groups: list[Group], rule_ids=None, templates=None, tables=None) -> lis
     """Subset of a catalogue by rule, template or table."""
     chosen = []
     for group in groups:
-        if tables is not None and getattr(group, "table", None) not in tables:
+        if tables is not None and group.table not in tables:
             continue
         checks = [
             c
