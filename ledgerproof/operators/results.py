@@ -64,11 +64,12 @@ def needs_brief(count: Column, total: Column) -> Column:
 def matrix(df: DataFrame, row: str, column: str, values: list[str], cell: str) -> DataFrame:
     """One row per company and one text column per rule, ``N/A`` where there is no result.
 
-    The column list is given, so this is one job with a stable schema. ``max_by`` is not needed:
-    the input has one cell per (row, column).
+    The column list is given, so this is one job with a stable schema. The input has one cell per
+    (row, column).
     """
-    wide = df.groupBy(row).pivot(column, values).agg(F.first(cell, ignorenulls=True))
-    return wide.fillna("N/A", subset=values)
+    wide = df.groupBy(row).pivot(column, values).agg(F.max(cell))
+    # Rule ids hold dots, so column names are quoted.
+    return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit("N/A")).alias(v) for v in values])
 
 
 def acceptance(violations: DataFrame, filings: DataFrame) -> DataFrame:
