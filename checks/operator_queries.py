@@ -490,8 +490,8 @@ tx_query("A4_totals", "SELECT count(*) AS total, count(DISTINCT cid) AS rules_fi
 tx_query("A5_duplicates", f"SELECT {ID}, count(*) AS n FROM tx GROUP BY 1 HAVING count(*) > 1",
          lambda tx: groups.duplicate_rows(tx, [ID]).groupBy(ID).agg(n_rows()))
 tx_query("A6_distinct", "SELECT DISTINCT product_name, class_name FROM tx", lambda tx: tx.select("product_name", "class_name").distinct())
-tx_query("A7_set_per_group", "SELECT customer_company_name, string_agg(product_name, ',' ORDER BY product_name) AS products FROM (SELECT DISTINCT customer_company_name, product_name FROM tx) v GROUP BY 1",
-         lambda tx: tx.groupBy("customer_company_name").agg(F.array_join(F.sort_array(F.collect_set("product_name")), ",").alias("products")))
+tx_query("A7_set_per_group", "SELECT DISTINCT customer_company_name, product_name FROM tx",
+         lambda tx: groups.members(tx, ["customer_company_name"], ["product_name"]))
 tx_query("A11_first_writer", f"SELECT cid, min({ID}) AS first_record FROM tx WHERE trade_date IS NULL GROUP BY 1",
          lambda tx: groups.first_per_group(tx.filter("trade_date IS NULL").withColumnRenamed(ID, "first_record"), ["cid"], ["first_record"], ["first_record"]))
 tx_query("A14_size_limits", "SELECT cid, count(*) AS n FROM tx GROUP BY 1 HAVING count(*) > 2400", lambda tx: tx.groupBy("cid").agg(n_rows()).filter("n > 2400"))

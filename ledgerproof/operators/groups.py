@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A broadcast side made of the largest groups has at most this many rows, whatever the data size.
 HOT_GROUPS = 1000
+# A group above this size is handled by several tasks.
+ROWS_PER_TASK = 1_000_000
 
 
 def fingerprint(columns: list[str]) -> str:
@@ -26,15 +26,21 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def rows_in_groups(df: DataFrame, groups: DataFrame, keys: list[str], size: str = "copies") -> DataFrame:
     """Rows of ``df`` whose keys occur in ``groups`` (one row per key, with its size).
 
-    The largest groups (a fixed number of keys) are matched by a broadcast, so that a group
-    holding a large part of the table is never shuffled to one task. All others go through an
-    ordinary shuffled semi join. Together the two parts are every row.
+    A group of more than ``ROWS_PER_TASK`` rows is cut into pieces: its rows get a piece number from
+    a hash of the whole row, and its key is listed once per piece, so the shuffled semi join spreads
+    the group over as many tasks as its size asks for. Which groups are cut only changes the
+    placement of rows; every row of every group is in the result.
     """
-    hot = groups.orderBy(F.col(size).desc(), *keys).limit(HOT_GROUPS).select(*keys)
-    cold = groups.select(*keys).join(F.broadcast(hot), keys, "left_anti")
-    hot_rows = df.join(F.broadcast(hot), keys, "left_semi")
-    cold_rows = df.join(F.broadcast(hot), keys, "left_anti").join(cold, keys, "left_semi")
-    return hot_rows.unionByName(cold_rows)
+    pieces = F.ceil(F.col(size) / F.lit(ROWS_PER_TASK)).cast("int").alias("_pieces")
+    hot = groups.filter(F.col(size) > ROWS_PER_TASK).orderBy(F.col(size).desc(), *keys).limit(HOT_GROUPS)
+    hot = F.broadcast(hot.select(*keys, pieces))
+    piece = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*df.columns), F.col("_pieces")).cast("int")
+    )
+    rows = df.join(hot, keys, "left").withColumn("_piece", piece)
+    listed = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)).alias("_piece")
+    wanted = groups.select(*keys).join(hot, keys, "left").select(*keys, listed)
+    return rows.join(wanted, [*keys, "_piece"], "left_semi").select(*df.columns)
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,6 +54,11 @@ def cardinality(df: DataFrame, group: list[str], **tests: Column) -> DataFrame:
     return df.groupBy(*group).agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
 
 
+def members(df: DataFrame, group: list[str], member: list[str]) -> DataFrame:
+    """The set of members of each group, as distinct rows instead of one array per group."""
+    return df.select(*group, *member).distinct()
+
+
 def differs_within(column: str) -> Column:
     """Aggregate: does a column take more than one value in the group? Needs no distinct set."""
     return F.coalesce(F.min(column) != F.max(column), F.lit(False))
@@ -78,7 +89,3 @@ def set_difference_keys(df: DataFrame, group: list[str], members: list[str], lef
         .filter("any_right = 1 AND n_different > 0")
         .select(*group, "n_different")
     )
-
-
-def all_of(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerproof import constants as K
@@ -426,18 +428,26 @@ def tariff_not_found(ctx: FilingContext) -> DataFrame:
 CONTRACT_KEYS = [*FILING_KEYS, "contract_unique_id"]
 
 
-def headers(filing_type: str):
-    return lambda ctx: ctx.filings.filter(f"filing_type = {P.lit(filing_type)}").select(*FILING_KEYS)
+def header_types(ctx: FilingContext) -> DataFrame:
+    return ctx.filings.select(*FILING_KEYS, F.col("filing_type").alias("header_type"))
 
 
-def contract_keys(where: str = "true"):
-    return lambda ctx: ctx.table("contracts").filter(where).select(*CONTRACT_KEYS).distinct()
+def contract_facts(ctx: FilingContext) -> DataFrame:
+    """One row per contract of a filing: is it new, is it recent, when does its first term end."""
+    facts = {
+        "is_new": "bool_or(filing_type = 'New')",
+        "is_recent": f"bool_or(contract_execution_date >= DATE'{K.STANDARDIZED_SINCE}')",
+        "first_termination": "min(termination_date)",
+    }
+    per_contract = ctx.table("contracts").filter("contract_unique_id IS NOT NULL").groupBy(*CONTRACT_KEYS)
+    return per_contract.agg(*[F.expr(f"{text} AS {name}") for name, text in facts.items()])
 
 
 def transactions_of_deleted_contracts(ctx: FilingContext) -> DataFrame:
     """Contract keys that both occur in transactions and belong to deleted contracts."""
     used = ctx.table("transactions").select(*CONTRACT_KEYS).distinct()
-    return used.join(contract_keys("filing_type = 'Delete'")(ctx), CONTRACT_KEYS, "left_semi")
+    deleted = ctx.table("contracts").filter("filing_type = 'Delete'").select(*CONTRACT_KEYS).distinct()
+    return used.join(deleted, CONTRACT_KEYS, "left_semi")
 
 
 def distinct_of(table: str, *columns: str, where: str = "true"):
@@ -456,11 +466,6 @@ def authorized_products(ctx: FilingContext) -> DataFrame:
     return ctx.table("contracts").selectExpr(*columns).distinct()
 
 
-def first_termination(ctx: FilingContext) -> DataFrame:
-    contracts = ctx.table("contracts").groupBy(*CONTRACT_KEYS)
-    return contracts.agg(F.min("termination_date").alias("termination_date"))
-
-
 def last_tariff_end(ctx: FilingContext) -> DataFrame:
     """Per tariff, its last end date; a tariff with an open version has none."""
     last = "CASE WHEN count_if(tariff_end IS NULL) = 0 THEN max(tariff_end) END AS tariff_end"
@@ -473,22 +478,35 @@ def join_groups() -> list[Group]:
     not_new = "filing_type <> 'New'"
     groups: list[Group] = []
 
-    # Filing types of the components against the header and against their contract.
+    # Filing types of the components against the header, and contract facts: one join per table
+    # and key serves all rules that need it.
+    def by_header(rule_id: str, header: str, text: str, test: str | None) -> Check:
+        return Check(rule_id, ERROR, "T8", text, test, "filing_type", f"r_header_type = '{header}'")
+
     for table in ("contracts", "transactions"):
-        groups += [
-            JoinGroup(f"new_header_{table}", table, headers("New"), filing, "left_semi", [
-                Check("D.3.9.1", ERROR, "T8", "new filing holds another filing type", not_new, "filing_type"),
-                Check("F.16.18", ERROR, "T8", "new filing holds another filing type", not_new, "filing_type")]),
-            JoinGroup(f"replace_header_{table}", table, headers("Replace"), filing, "left_semi", [
-                Check("D.3.9.2", ERROR, "T8", "replacing filing holds another type than New", not_new, "filing_type"),
-                Check("F.16.19", ERROR, "T8", "replacing filing holds another type than New", not_new, "filing_type")]),
-            JoinGroup(f"delete_header_{table}", table, headers("Delete"), filing, "left_semi", [
-                Check("D.3.9.3", ERROR, "T8", "deleting filing holds data"),
-                Check("F.16.20.1", ERROR, "T8", "deleting filing holds data")]),
-        ]
+        groups.append(JoinGroup(f"header_{table}", table, header_types, filing, "inner", [
+            by_header("D.3.9.1", "New", "new filing holds another filing type", not_new),
+            by_header("F.16.18", "New", "new filing holds another filing type", not_new),
+            by_header("D.3.9.2", "Replace", "replacing filing holds another type than New", not_new),
+            by_header("F.16.19", "Replace", "replacing filing holds another type than New", not_new),
+            by_header("D.3.9.3", "Delete", "deleting filing holds data", None),
+            by_header("F.16.20.1", "Delete", "deleting filing holds data", None),
+        ]))
+
+    def recent(rule_id: str, name: str, gate: str = "true") -> Check:
+        return replace(present(rule_id, name, gate, template="T10"), partner="r_is_recent")
+
     groups += [
-        JoinGroup("new_contract", "transactions", contract_keys("filing_type = 'New'"), contract, "left_semi", [
-            Check("D.3.9.6", ERROR, "T8", "new contract has a transaction of another type", not_new, "filing_type")]),
+        JoinGroup("contract_facts", "transactions", contract_facts, contract, "inner", [
+            Check("D.3.9.6", ERROR, "T8", "new contract has a transaction of another type", not_new, "filing_type",
+                  "r_is_new"),
+            Check("F.23.21.2", WARNING, "T10", "transaction ends after its contract", None, "transaction_end_date",
+                  "r_first_termination < l_end"),
+            recent("F.30.42", "trade_date"),
+            recent("F.30.43", "type_of_rate"),
+            recent("F.30.44", "standardized_price", METERED),
+            recent("F.30.45", "standardized_quantity", METERED),
+        ], carry={"end": "transaction_end_date"}),
         JoinGroup("deleted_contract", "contracts", transactions_of_deleted_contracts, contract, "left_semi", [
             Check("D.3.9.8", ERROR, "T8", "deleted contract has transactions", "filing_type = 'Delete'")]),
     ]
@@ -564,15 +582,6 @@ def join_groups() -> list[Group]:
                   {**filing, "agreement": "contract_service_agreement", "product": P.norm("product_name")},
                   "left_anti", [Check("F.25.18", ERROR, "T9", "no contract authorizes the product",
                                       P.since(K.PERIOD_STANDARDIZED), "product_name")]),
-        JoinGroup("terminated", "transactions", first_termination, contract, "left_semi", [
-            Check("F.23.21.2", WARNING, "T10", "transaction ends after its contract", None, "transaction_end_date")],
-            "r_termination_date < l_end", {"end": "transaction_end_date"}),
-        JoinGroup("recent_contract", "transactions",
-                  contract_keys(f"contract_execution_date >= DATE'{K.STANDARDIZED_SINCE}'"), contract, "left_semi", [
-                      present("F.30.42", "trade_date", template="T10"),
-                      present("F.30.43", "type_of_rate", template="T10"),
-                      present("F.30.44", "standardized_price", METERED, template="T10"),
-                      present("F.30.45", "standardized_quantity", METERED, template="T10")]),
     ]
     return groups
 

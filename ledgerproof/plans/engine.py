@@ -111,6 +111,10 @@ def _test(check: Check) -> str:
     return "true" if check.test is None else f"({check.test})"
 
 
+def _with_partner(check: Check) -> str:
+    return _test(check) if check.partner is None else f"({_test(check)} AND ({check.partner}))"
+
+
 def _any_test(checks: list[Check]) -> str:
     """Condition under which a row can violate anything."""
     return " OR ".join(_test(c) for c in checks)
@@ -121,7 +125,7 @@ def _entry(check: Check) -> str:
     if check.show is not None:
         message = f"concat({lit(check.text + ': ')}, coalesce(CAST({check.show} AS STRING), 'none'))"
     fields = f"'rule_id', {lit(check.rule_id)}, 'severity', {lit(check.severity)}, 'message', {message}"
-    return f"CASE WHEN {_test(check)} THEN named_struct({fields}) END"
+    return f"CASE WHEN {_with_partner(check)} THEN named_struct({fields}) END"
 
 
 def _explode(df: DataFrame, checks: list[Check], record_type: str, record_id: str) -> DataFrame:
@@ -202,7 +206,11 @@ def group_counts(ctx: FilingContext, group: Group) -> DataFrame:
         slim = _with_keys(group, candidates, [*FILING_KEYS, *tests])
         counted = [F.expr(f"count_if(t{i}) AS n{i}") for i in range(len(checks))]
         per_key = slim.groupBy(*FILING_KEYS, *keys).agg(*counted)
-        sums = ", ".join(f"sum(n{i})" for i in range(len(checks)))
+        # Conditions on the partner apply to the counted keys, after the join.
+        sums = ", ".join(
+            f"sum(n{i})" if c.partner is None else f"sum(CASE WHEN {c.partner} THEN n{i} ELSE 0 END)"
+            for i, c in enumerate(checks)
+        )
         per_filing = _matched(group, per_key, group.right(ctx)).groupBy(*FILING_KEYS).agg(F.expr(f"array({sums}) AS n"))
     else:
         df = ctx.table(group.table) if isinstance(group, RowGroup) else group.frame(ctx)

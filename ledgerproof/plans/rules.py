@@ -17,7 +17,11 @@ Frame = Callable[[FilingContext], DataFrame]
 
 @dataclass(frozen=True)
 class Check:
-    """One rule of a group. Without a test every row of the group's result violates it."""
+    """One rule of a group. Without a test every row of the group's result violates it.
+
+    ``test`` sees the columns of the row. ``partner``, for inner join groups only, is a further
+    condition on the partner's columns (``r_<column>``) and the carried ones (``l_<name>``).
+    """
 
     rule_id: str
     severity: str
@@ -25,6 +29,7 @@ class Check:
     text: str
     test: str | None = None
     show: str | None = None
+    partner: str | None = None
 
 
 @dataclass(frozen=True)
@@ -48,7 +53,9 @@ class DerivedGroup:
 
 @dataclass(frozen=True)
 class JoinGroup:
-    """Checks on rows of a table that have (left_semi), or lack (left_anti), a partner.
+    """Checks on rows of a table that have (left_semi), or lack (left_anti), a partner, or whose one
+    partner (inner, the right frame being unique on the keys) meets the ``partner`` condition. The
+    last form lets rules that need the same key share one join.
 
     ``keys`` maps a column of the right frame to the left expression it must equal. ``residual`` is
     an extra condition over right columns, named ``r_<column>``, and the left expressions of
