@@ -78,13 +78,15 @@ class FilingContext:
             .withColumn("period_end", period_end(F.col("period")))
         )
 
-    def stored(self, path: str) -> FilingContext:
-        """Write every table once as Parquet and read it back, so that all rules scan plain files.
+    def stored(self, path: str, names: list[str] | None = None) -> FilingContext:
+        """Write the tables (or the named ones) once as Parquet and read them back, so that all rules
+        scan plain files instead of repeating the plan that made the table.
 
         The table on shared storage also survives the loss of executors, unlike a cache.
         """
-        tables = {}
-        for name, frame in self.tables.items():
+        tables = dict(self.tables)
+        for name in names or list(self.tables):
+            frame = self.tables[name]
             frame.write.mode("overwrite").parquet(f"{path}/{name}")
             tables[name] = self.spark.read.parquet(f"{path}/{name}")
         return FilingContext(self.spark, tables, self.settings)
