@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,13 +48,16 @@ def local_session(app: str = "ledgerproof", cpus: int | str = "*") -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test on one machine) gets a local one.
+    A session on one machine (a test) that names none gets a local one; on a cluster that is an error, since
+    executors would write where nobody else can read.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if configured:
         return configured.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = os.path.join(tempfile.gettempdir(), f"ledgerproof-{os.getpid()}")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
