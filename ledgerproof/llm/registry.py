@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, mixing
+from ledgerproof.llm import exact_dedup, mixing, quality_rules
 
-MODULES = (exact_dedup, mixing)
+MODULES = (quality_rules, exact_dedup, mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
