@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, mixing, quality_rules
+from ledgerproof.llm import exact_dedup, mixing, packing, quality_rules
 
-MODULES = (quality_rules, exact_dedup, mixing)
+MODULES = (quality_rules, exact_dedup, mixing, packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
