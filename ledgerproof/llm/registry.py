@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, mixing, packing, quality_rules
+from ledgerproof.llm import exact_dedup, mixing, packing, quality_rules, substring_dedup
 
-MODULES = (quality_rules, exact_dedup, mixing, packing)
+MODULES = (quality_rules, exact_dedup, mixing, packing, substring_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
