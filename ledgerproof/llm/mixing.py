@@ -100,9 +100,9 @@ def _fit(rounded: DataFrame, most: int) -> DataFrame:
         "copies", F.col("copies") + F.when(F.col("row") == F.col("fit.row"), F.col("fit.sign")).otherwise(0)).drop("s", "fit")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Per input row: doc_id, size, source, source_size, target, rate, copies, taken."""
-    sizes = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size")), "mix-sizes")
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, piece_rows: int = PIECE_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per input row: doc_id, size, source, source_size, target, rate, copies, taken, and the columns to keep."""
+    sizes = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep, "source", F.size(words(F.col("text"))).cast("long").alias("size")), "mix-sizes")
     targets = stored(source_targets(sizes, weights, most), "mix-targets")
     lam = balance(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), targets, most)
     per = targets.join(lam.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
@@ -114,11 +114,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     rated = rated.withColumn("run", run + UNIT // 2)
     extra = F.floor(F.col("run") / UNIT) - F.floor((F.col("run") - F.col("rate") % UNIT) / UNIT)
     copies = (F.floor(F.col("rate") / UNIT) + extra).cast("long")
-    rounded = stored(rated.select("row", "doc_id", "size", "source", "source_size", "target", (F.col("rate") / UNIT).alias("rate"), copies.alias("copies")), "mix-copies")
+    rounded = stored(rated.select("row", "doc_id", *keep, "size", "source", "source_size", "target", (F.col("rate") / UNIT).alias("rate"), copies.alias("copies")), "mix-copies")
     for _ in range(FITS):
         rounded = _fit(rounded, most)
     return rounded.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents of the mix with all their columns, each as often as it is taken."""
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_text": F.xxhash64("text", "doc_id")})
+    taken = mix(keyed, keep=("_id", "_text")).groupBy("_id", "_text").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    return keyed.dropDuplicates(["_id", "_text"]).join(taken, ["_id", "_text"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

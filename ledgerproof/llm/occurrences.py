@@ -26,8 +26,8 @@ HASHES, TEXTS, MARKS = 0, 1, 2
 PACKED = "part int, kind int, chunk long, a binary, b binary"
 CHUNK = 4 << 20
 
-#: (word hashes, row bounds, batch rows' marks or None) -> (indices of words, their hashes)
-Emit = Callable[[np.ndarray, np.ndarray, list | None], tuple[np.ndarray, np.ndarray]]
+#: (word hashes, row bounds, batch rows' marks or None) -> (indices of words, their hashes, keys of the rows or None to keep them)
+Emit = Callable[[np.ndarray, np.ndarray, list | None], tuple[np.ndarray, np.ndarray, np.ndarray | None]]
 
 
 def text_key() -> list[Column]:
@@ -51,10 +51,10 @@ def _send(emit: Emit, bits: int, lower: bool, marked: bool) -> Callable:
                 starts, _, words = scan(data, offsets, lower)
                 bounds = row_bounds(starts, offsets)
                 rows = len(offsets) - 1
-                at, hashes = emit(words, bounds, batch.column(3).slice(first, rows).to_pylist() if marked else None)
+                at, hashes, other = emit(words, bounds, batch.column(3).slice(first, rows).to_pylist() if marked else None)
                 if not len(at):
                     continue
-                own = np.ascontiguousarray(keys[first:first + rows])
+                own = np.ascontiguousarray(keys[first:first + rows] if other is None else other)
                 chunk = int(np.bitwise_xor.reduce(mix(own.ravel().view(np.uint64) + mix(np.arange(1, 2 * rows + 1, dtype=np.uint64)))).astype(np.int64))
                 order = np.argsort(hashes, kind="stable")
                 hashes, at = hashes[order], at[order].astype(np.uint32)

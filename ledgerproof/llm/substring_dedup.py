@@ -45,23 +45,23 @@ def _covered(found: list, starts: np.ndarray, sizes: np.ndarray, back: int, forw
 def anchors(length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> Emit:
     size, on = length - period + 1, np.isin(np.arange(period), cover)
 
-    def emit(words: np.ndarray, bounds: np.ndarray, _) -> tuple[np.ndarray, np.ndarray]:
+    def emit(words: np.ndarray, bounds: np.ndarray, _) -> tuple[np.ndarray, np.ndarray, None]:
         row = owners(bounds)
         place = np.arange(len(words)) - bounds[:-1][row]
         left = bounds[1:][row] - np.arange(len(words))
         at = np.flatnonzero(on[place % period] & (left >= size) & (place + left >= length))
-        return at, windows(words, size)[at] if len(at) else np.zeros(0, np.uint64)
+        return at, windows(words, size)[at] if len(at) else np.zeros(0, np.uint64), None
 
     return emit
 
 
 def around(length: int = LENGTH, period: int = PERIOD) -> Emit:
-    def emit(words: np.ndarray, bounds: np.ndarray, marks: list) -> tuple[np.ndarray, np.ndarray]:
+    def emit(words: np.ndarray, bounds: np.ndarray, marks: list) -> tuple[np.ndarray, np.ndarray, None]:
         sizes = np.diff(bounds)
         near = _covered(marks, bounds[:-1], sizes, period - 1, 0, len(words))
         left = np.repeat(bounds[1:], sizes) - np.arange(len(words))
         at = np.flatnonzero(near & (left >= length))
-        return at, windows(words, length, 1)[at] if len(at) else np.zeros(0, np.uint64)
+        return at, windows(words, length, 1)[at] if len(at) else np.zeros(0, np.uint64), None
 
     return emit
 
