@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules, substring_dedup
+from ledgerproof.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules, substring_dedup, warc
 
-MODULES = (jaccard_join, quality_rules, exact_dedup, jaccard_join, mixing, packing, substring_dedup)
+MODULES = (jaccard_join, quality_rules, exact_dedup, mixing, packing, substring_dedup, warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
