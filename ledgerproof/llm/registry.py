@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, jaccard_join, main_text, mixing, packing, quality_rules, substring_dedup, warc
+from ledgerproof.llm import exact_dedup, jaccard_join, main_text, mixing, packing, quality_rules, substring_dedup, toxicity, warc
 
-MODULES = (jaccard_join, quality_rules, exact_dedup, mixing, packing, substring_dedup, warc, main_text)
+MODULES = (jaccard_join, quality_rules, exact_dedup, mixing, packing, substring_dedup, warc, main_text, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -41,6 +41,9 @@ _WORD_POWERS: dict = {}
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters and digits and the bytes of other characters separates.
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -62,17 +65,21 @@ def pieces(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Itera
         first = last
 
 
-def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 2 * CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start byte, end byte, hash) of every word; with lower, hashes are of A-Z lower-cased words."""
+def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 2 * CHUNK_BYTES, separators: np.ndarray = _IS_SPACE,
+         prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start byte, end byte, hash) of every word; with lower, hashes are of A-Z lower-cased words.
+
+    With prefixes, hashes has one more column for each: that of the word's first bytes, 0 if the word has no more.
+    """
     starts, ends, hashes, at = [], [], [], 0
     breaks = offsets[:-1]
     while at < len(data):
         stop = min(len(data), at + block)
-        while stop < len(data) and not _IS_SPACE[data[stop]]:
-            gap = np.flatnonzero(_IS_SPACE[data[stop:stop + 4096]])
+        while stop < len(data) and not separators[data[stop]]:
+            gap = np.flatnonzero(separators[data[stop:stop + 4096]])
             stop = stop + int(gap[0]) if len(gap) else min(len(data), stop + 4096)
         part = data[at:stop]
-        inside = ~_IS_SPACE[part]
+        inside = ~separators[part]
         edge = np.zeros(len(part) + 1, bool)
         edge[0] = edge[-1] = True
         edge[1:-1] = inside[1:] != inside[:-1]
@@ -86,10 +93,14 @@ def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int
         np.cumsum(_BYTE_VALUE[LOWER[part] if lower else part] * up[:-1], out=total[1:])
         starts.append(s + at)
         ends.append(e + at)
-        hashes.append(mix((total[e] - total[s]) * down[s] + (e - s).astype(U64)))
+        own = [mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))]
+        for n in prefixes:
+            cut = np.minimum(s + n, len(part))
+            own.append(np.where(e - s > n, mix((total[cut] - total[s]) * down[s] + U64(n + (1 << 32))), U64(0)))
+        hashes.append(np.stack(own, 1) if prefixes else own[0])
         at = stop
     if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(prefixes) + 1) if prefixes else 0, U64)
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
