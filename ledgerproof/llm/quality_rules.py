@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerproof.llm.base import SPACE, stored, table, without, words
@@ -39,17 +39,17 @@ LIMITS = {"sym": MAX_SYMBOLS_PER_100_WORDS, "low": MIN_MEAN_TENTHS, "high": MAX_
           "caps": MAX_SHOUTED_PERCENT, "letters": MIN_LETTERED_PERCENT}
 
 SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
 g AS (SELECT *, list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]]) AS g FROM d),
-u AS (SELECT doc_id, unnest(g) AS gram, unnest(range(1, len(w) - 1)) AS p FROM g),
-r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM u) WHERE c > 1),
-c AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM r) GROUP BY doc_id),
+u AS (SELECT rid, unnest(g) AS gram, unnest(range(1, len(w) - 1)) AS p FROM g),
+r AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, gram) AS c FROM u) WHERE c > 1),
+c AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS q FROM r) GROUP BY rid),
 b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(l) AS n_lines,
              len(list_filter(w, lambda x: length(x) > 1 AND x = upper(x) AND x <> lower(x))) AS shouted, len(list_filter(w, lambda x: upper(x) <> lower(x))) AS lettered
-      FROM d LEFT JOIN c USING (doc_id))
+      FROM d LEFT JOIN c USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * n_words OR 10 * word_chars < 25 * n_words
@@ -58,14 +58,19 @@ FROM b
 """
 
 
-def _repeated(w: Column, n: Column) -> Column:
-    """Words that lie in three-word windows found twice or more in the same text."""
-    hashes = F.expr("transform(sequence(0, n_words - 3), i -> xxhash64(words[i], words[i + 1], words[i + 2]))")
-    placed = F.array_sort(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
-    return {"_hashes": F.when(F.col("n_words") >= 4, hashes).otherwise(F.array().cast("array<bigint>")),
-            "_sorted": F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), placed).otherwise(F.array().cast("array<struct<h:bigint,p:int>>")),
-            "_places": F.expr("sort_array(transform(filter(_sorted, (x, i) -> x.h = get(_sorted, i - 1).h OR x.h = get(_sorted, i + 1).h), x -> x.p))"),
-            "n_repeat_words": F.expr("aggregate(_places, named_struct('n', 0L, 'end', 0), (a, p) -> named_struct('n', a.n + p + 3 - greatest(a.end, p), 'end', p + 3), a -> a.n)")}
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, computed once even if the optimizer moves the expression."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+#: Words that lie in three-word windows found twice or more in the same text: hashes of the windows, if any is found twice
+#: sorted with their places, places whose neighbour has the same hash, and the words these places cover.
+REPEATED = _bound("words", "w", _bound(
+    "CASE WHEN size(w) < 4 THEN CAST(array() AS array<bigint>) ELSE transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])) END", "h",
+    "CASE WHEN size(array_distinct(h)) = size(h) THEN 0L ELSE " + _bound(
+        "array_sort(transform(h, (x, i) -> named_struct('h', x, 'p', i)))", "s",
+        "aggregate(array_sort(transform(filter(s, (x, i) -> x.h = get(s, i - 1).h OR x.h = get(s, i + 1).h), x -> x.p)), named_struct('n', 0L, 'end', 0), "
+        "(a, p) -> named_struct('n', a.n + p + 3 - greatest(a.end, p), 'end', p + 3), a -> a.n)") + " END"))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -77,9 +82,7 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.char_length("t") - F.char_length(without(F.col("t"), SYMBOLS))).cast("long").alias("n_symbols"),
         F.filter(F.split("t", "\n"), lambda line: without(line, SPACE) != "").alias("lines"))
     out = out.withColumns({"n_lines": F.size("lines"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")}).drop("lines")
-    for name, column in _repeated(F.col("words"), F.col("n_words")).items():
-        out = out.withColumn(name, column)
-    out = out.drop("_hashes", "_sorted", "_places")
+    out = out.withColumn("n_repeat_words", F.expr(REPEATED))
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
@@ -97,7 +100,7 @@ def rule_order(sample: DataFrame, rules: dict[str, str]) -> list[str]:
 def judge(docs: DataFrame, rules: dict[str, str] | None = None, sample_fraction: float = SAMPLE_FRACTION, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Base counts, base_failed, kept and the first failed rule in the chosen order (null if none) of every row."""
     rules = {name: rule.format(**LIMITS) for name, rule in (RULES if rules is None else rules).items()}
-    sample = stored(measured(docs.sample(sample_fraction, 7).limit(sample_rows)).where("NOT base_failed"), "rule-sample")
+    sample = stored(measured(docs.sample(sample_fraction, 7).limit(sample_rows)), "rule-sample").where("NOT base_failed")
     failed = F.when(F.col("base_failed"), F.lit("base"))
     for name in rule_order(sample, rules):
         failed = failed.when(F.expr(rules[name]), F.lit(name))
@@ -105,9 +108,13 @@ def judge(docs: DataFrame, rules: dict[str, str] | None = None, sample_fraction:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns; no join, the verdict is computed beside the row."""
+    """The documents that pass, with all their columns; no join, the verdict is computed beside the row.
+
+    The row number keeps the optimizer from moving the filter below the measures and computing these twice.
+    """
     row = F.struct(*docs.columns).alias("doc_id")
-    return judge(docs.select(row, "text")).where("kept").select("doc_id.*")
+    judged = judge(docs.select(row, "text")).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where("kept AND _row >= 0").select("doc_id.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
