@@ -645,12 +645,11 @@ def _(spark, sf):
 
 
 @query("R4_briefs", f"""SELECT rule_id, count(*) AS error_count, (SELECT count(*) FROM ftx) AS total_count,
-    (SELECT string_agg(record, ',' ORDER BY record) FROM (SELECT record FROM {R_FOUND} s WHERE s.rule_id = v.rule_id AND record IS NOT NULL ORDER BY record LIMIT 5) q) AS sample_ids
+    (SELECT coalesce(string_agg(record, ',' ORDER BY record), '') FROM (SELECT record FROM {R_FOUND} s WHERE s.rule_id = v.rule_id ORDER BY record NULLS FIRST LIMIT 5) q) AS sample_ids
     FROM {R_FOUND} v GROUP BY rule_id""")
 def _(spark, sf):
     run = _run(spark, sf)
-    named = run.violations.filter("record_id IS NOT NULL")
-    made = reports.briefs(named, run.rule_stats, catalogue_frame(spark, run.groups))
+    made = reports.briefs(run.violations, run.rule_stats, catalogue_frame(spark, run.groups))
     return made.select("rule_id", "error_count", "total_count", F.array_join("sample_records.record_id", ",").alias("sample_ids"))
 
 
@@ -693,7 +692,7 @@ COVERAGE = ["supplier#00000000", "SUPPLIER#000000001", "Nowhere Power"]
 @query("R8_coverage", """WITH names AS (SELECT 'supplier#00000000' AS s UNION ALL SELECT 'SUPPLIER#000000001' UNION ALL SELECT 'Nowhere Power'),
     idx AS (SELECT concat('C', s_nationkey) AS cid, s_name AS legal_name FROM supplier),
     m AS (SELECT s, cid, min(legal_name) AS matched_name FROM names JOIN idx ON contains(lower(legal_name), lower(s)) GROUP BY 1, 2),
-    sales AS (SELECT concat('C', c_nationkey) AS cid, concat(year(o_orderdate), 'Q', quarter(o_orderdate)) AS period, o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey > 6),
+    sales AS (SELECT concat(CASE WHEN c_nationkey > 6 THEN 'C' ELSE 'X' END, c_nationkey) AS cid, concat(year(o_orderdate), 'Q', quarter(o_orderdate)) AS period, o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey),
     t AS (SELECT cid, period, count(*) AS tx_records, count(*) FILTER (WHERE o_orderstatus = 'P') AS ct_records FROM sales GROUP BY 1, 2),
     found AS (SELECT s, matched_name, m.cid, period, tx_records, ct_records FROM m JOIN t ON m.cid = t.cid)
     SELECT s AS search_name, matched_name, cid, period, tx_records, ct_records, 'Found in Lake' AS status FROM found
@@ -702,8 +701,8 @@ COVERAGE = ["supplier#00000000", "SUPPLIER#000000001", "Nowhere Power"]
 def _(spark, sf):
     register(spark, sf)
     index = spark.table("supplier").select(F.concat(lit("C"), "s_nationkey").alias("cid"), col("s_name").alias("legal_name"))
-    sales = spark.table("orders").join(spark.table("customer").filter("c_nationkey > 6"), col("o_custkey") == col("c_custkey")).select(
-        F.concat(lit("C"), "c_nationkey").alias("cid"), periods.period_of(col("o_orderdate").cast("date")).alias("period"), "o_orderstatus")
+    sales = spark.table("orders").join(spark.table("customer"), col("o_custkey") == col("c_custkey")).select(
+        F.concat(F.when(col("c_nationkey") > 6, "C").otherwise("X"), "c_nationkey").alias("cid"), periods.period_of(col("o_orderdate").cast("date")).alias("period"), "o_orderstatus")
     return coverage.company_coverage(COVERAGE, index, sales, sales.filter("o_orderstatus = 'P'"))
 
 

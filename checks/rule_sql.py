@@ -102,7 +102,7 @@ ROWS = {
         ("F.23.8", "fct"): _hub("porba", "porsl"),
         ("F.23.10", "fct"): _hub("podba", "podsl"),
         ("F.30.41.2", "fct"): _strange("ferc_tariff_reference", "tariff"),
-        ("F.25.3", "ftx"): _hub(PODBA, PODSL),
+        ("F.25.3", "ftx"): f"upper({PODBA}) = 'HUB' AND ({PODSL} IS NULL OR {_strange(PODSL, 'hub')})",
         ("F.25.13.2", "ftx"): f"product_name = 'BOOKED OUT POWER' AND {_in('customer_company_name', 'iso')} AND transaction_begin_date >= DATE '2006-10-01'",
     },
     "T1+T3": {

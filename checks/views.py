@@ -141,9 +141,9 @@ FULL = {
          CASE WHEN q = 26 THEN NULL WHEN q = 27 THEN DATE '1899-01-01' ELSE last_day END AS end_date,
          CASE WHEN q < 12 THEN 10.5 END AS rate, CASE WHEN q = 13 THEN 1.0 END AS rate_minimum, CASE WHEN q = 14 THEN 2.0 END AS rate_maximum,
          CAST(o_custkey AS BIGINT) * 1000 + CAST(q AS BIGINT) AS source_row_index
-  FROM (SELECT cid, {_quarter("begin_day")} AS period, o_custkey, c_name, product, min(l_quantity) AS q, min(l_suppkey) AS supp,
+  FROM (SELECT cid, {_quarter("begin_day")} AS period, o_custkey, c_name, CASE WHEN l_returnflag = 'R' THEN 'Old ' || product ELSE product END AS product, min(l_quantity) AS q, min(l_suppkey) AS supp,
                min(o_orderstatus) AS status, min(p_type) AS kind, min(begin_day) AS first_day, max(end_day) AS last_day
-        FROM fsales WHERE l_returnflag <> 'R' GROUP BY 1, 2, 3, 4, 5) g""",
+        FROM fsales GROUP BY 1, 2, 3, 4, 5) g""",
     "fseller": f"""
   SELECT s_nationkey, s_suppkey, s_name, s_acctbal, {_moved("CAST(o_orderdate AS DATE)", "s_nationkey")} AS begin_day
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey""",
@@ -170,28 +170,28 @@ FULL = {
         UNION ALL SELECT DISTINCT s_nationkey, s_suppkey, s_name, s_acctbal, {_quarter("begin_day")} AS period
         FROM fseller WHERE s_acctbal > 8000) v""",
     "fix": f"""
-  SELECT DISTINCT concat('C', c_nationkey) AS cid, {_quarter(_moved("CAST(o_orderdate AS DATE)", "c_nationkey"))} AS period,
+  SELECT DISTINCT concat(CASE WHEN o_totalprice > 300000 THEN 'C' ELSE 'X' END, c_nationkey) AS cid, {_quarter(_moved("CAST(o_orderdate AS DATE)", "c_nationkey"))} AS period,
          CASE WHEN o_orderstatus = 'P' THEN 'Append' WHEN o_orderstatus = 'O' THEN NULL ELSE 'New' END AS filing_type,
          CASE WHEN o_custkey % 4 = 3 THEN 'FS1' ELSE concat('FS', o_custkey % 10) END AS filer_unique_id,
          CASE WHEN o_orderpriority = '5-LOW' THEN 'Platts' ELSE 'Argus' END AS publisher, c_mktsegment AS publication,
          CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 500 THEN ' ' ELSE 'All' END AS transactions_reported
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 300000""",
+  FROM orders JOIN customer ON o_custkey = c_custkey""",
     "freg": """
-  SELECT concat('C', s_nationkey) AS cid,
+  SELECT concat(CASE WHEN yr % 3 = 1 THEN 'X' ELSE 'C' END, s_nationkey) AS cid,
          CASE WHEN yr % 2 = 0 THEN min(s_name) ELSE max(s_name) END AS legal_name,
          CASE WHEN s_nationkey % 4 = 3 THEN 'Other' WHEN yr % 4 = 0 THEN 'Agent' WHEN s_nationkey % 2 = 0 THEN 'Account Manager' ELSE 'Other' END AS role,
          make_date(yr, 1, 1) AS effective_start,
          CASE WHEN yr % 5 = 0 THEN NULL WHEN yr % 5 = 1 THEN make_date(yr, 7, 1) ELSE make_date(yr + 1, 1, 1) END AS effective_end,
          s_nationkey % 2 = 0 AS is_npu
   FROM (SELECT s_nationkey, s_name, year(begin_day) AS yr FROM fseller) v
-  WHERE yr % 3 <> 1 GROUP BY s_nationkey, yr""",
+  GROUP BY s_nationkey, yr""",
     "fcontacts": """
-  SELECT DISTINCT concat('C', c_nationkey) AS cid, concat('Person ', c_custkey % 7) AS contact_name,
-         CASE WHEN c_acctbal < 0 THEN 'Agent' ELSE 'Seller' END AS role FROM customer WHERE c_nationkey > 4""",
+  SELECT DISTINCT concat(CASE WHEN c_nationkey > 4 THEN 'C' ELSE 'X' END, c_nationkey) AS cid, concat('Person ', c_custkey % 7) AS contact_name,
+         CASE WHEN c_acctbal < 0 THEN 'Agent' ELSE 'Seller' END AS role FROM customer""",
     "ftariffs": """
-  SELECT DISTINCT concat('C', c_nationkey) AS cid, concat('Tariff ', c_custkey % 4) AS ferc_tariff_reference,
+  SELECT DISTINCT concat(CASE WHEN c_nationkey > 2 THEN 'C' ELSE 'X' END, c_nationkey) AS cid, concat('Tariff ', c_custkey % 4) AS ferc_tariff_reference,
          CASE c_custkey % 4 WHEN 0 THEN DATE '2005-01-01' WHEN 1 THEN DATE '2009-01-01' WHEN 2 THEN DATE '2012-01-01' END AS tariff_end
-  FROM customer WHERE c_nationkey > 2""",
+  FROM customer""",
     "ffilings": f"""
   SELECT cid, period, max(filing_type) AS filing_type, max(submitter_name) AS submitter_name,
          make_date(CAST(substring(period, 1, 4) AS INT), CAST(substring(period, 6, 1) AS INT) * 3 - 2, 1) AS period_start,

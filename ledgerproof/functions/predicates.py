@@ -99,10 +99,6 @@ def both_set(a: str, b: str) -> str:
     return f"({a} IS NOT NULL AND {b} IS NOT NULL)"
 
 
-def hub_without_known_location(authority: str, location: str, hubs: list[str]) -> str:
-    return f"({norm(authority)} = 'HUB' AND NOT {surely(known(location, hubs))})"
-
-
 def effective_at(day: str, start: str, end: str) -> str:
     """Validity interval with an open end when null."""
     return f"({start} <= {day} AND ({end} IS NULL OR {day} < {end}))"

@@ -4,11 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A broadcast side made of the largest groups has at most this many rows, whatever the data size.
-HOT_GROUPS = 1000
-# A group above this size is handled by several tasks.
-ROWS_PER_TASK = 1_000_000
-
 
 def fingerprint(columns: list[str]) -> str:
     """SQL text of one key for many columns; equal when all values, nulls included, are equal.
@@ -23,24 +18,14 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def rows_in_groups(df: DataFrame, groups: DataFrame, keys: list[str], size: str = "copies") -> DataFrame:
-    """Rows of ``df`` whose keys occur in ``groups`` (one row per key, with its size).
+def rows_in_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose keys, nulls included, occur in ``groups``.
 
-    A group of more than ``ROWS_PER_TASK`` rows is cut into pieces: its rows get a piece number from
-    a hash of the whole row, and its key is listed once per piece, so the shuffled semi join spreads
-    the group over as many tasks as its size asks for. Which groups are cut only changes the
-    placement of rows; every row of every group is in the result.
+    A semi join with one row per key on the right: adaptive skew handling splits the left side, so the rows of one
+    large group are several tasks.
     """
-    pieces = F.ceil(F.col(size) / F.lit(ROWS_PER_TASK)).cast("int").alias("_pieces")
-    hot = groups.filter(F.col(size) > ROWS_PER_TASK).orderBy(F.col(size).desc(), *keys).limit(HOT_GROUPS)
-    hot = F.broadcast(hot.select(*keys, pieces))
-    piece = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*df.columns), F.col("_pieces")).cast("int")
-    )
-    rows = df.join(hot, keys, "left").withColumn("_piece", piece)
-    listed = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)).alias("_piece")
-    wanted = groups.select(*keys).join(hot, keys, "left").select(*keys, listed)
-    return rows.join(wanted, [*keys, "_piece"], "left_semi").select(*df.columns)
+    wanted = groups.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)])
+    return df.join(wanted, F.expr(" AND ".join(f"{k} <=> _g{i}" for i, k in enumerate(keys))), "left_semi")
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:

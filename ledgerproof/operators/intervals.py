@@ -22,23 +22,19 @@ def interval_join(
     start: str,
     end: str,
     how: str = "inner",
-    first_year: int = 2002,
-    last_year: int = 2040,
 ) -> DataFrame:
     """Join each left row to the right versions of its key that are valid at its date.
 
     Both sides also carry a year bucket and are joined on (key, bucket), so a key with many rows
-    spreads over its years and a row meets only the versions of its own year. Years outside the
-    range share the first or last bucket on both sides, which keeps the result exact for any date.
+    spreads over its years and a row meets only the versions of its own year. The years are those
+    the left side has (two numbers, read first); a version is listed for the ones it reaches.
     """
-    def bucket(day: Column) -> Column:
-        return F.least(F.greatest(F.year(day), F.lit(first_year)), F.lit(last_year))
-
-    rows = left.withColumn("_bucket", bucket(F.col(point)))
-    last = F.when(F.col(end).isNull(), F.lit(last_year)).otherwise(bucket(F.col(end)))
-    versions = right.filter(F.col(end).isNull() | (F.col(start) < F.col(end))).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(start)), last))
-    )
+    years = left.agg(F.min(F.year(point)).alias("first"), F.max(F.year(point)).alias("last")).first()
+    rows = left.withColumn("_bucket", F.year(point))
+    first = F.greatest(F.year(start), F.lit(years["first"]))
+    last = F.least(F.coalesce(F.year(end), F.lit(years["last"])), F.lit(years["last"]))
+    valid = (F.col(end).isNull() | (F.col(start) < F.col(end))) & (first <= last)
+    versions = right.filter(valid).withColumn("_bucket", F.explode(F.sequence(first, last)))
     version_key, version_bucket = versions[key], versions["_bucket"]
     on = (rows[key] == version_key) & (rows["_bucket"] == version_bucket) & effective_at(F.col(point), start, end)
     joined = rows.join(versions, on, how)

@@ -84,3 +84,10 @@ def join_where(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], r
     """Equi join with an extra condition over both sides (column names must not clash)."""
     on = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in keys])
     return left.join(right, on if residual is None else on & residual, how)
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on equal keys, where null equals null; the keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = F.expr(" AND ".join(f"{k} <=> _right_{k}" for k in keys))
+    return left.join(renamed, on, "left").drop(*[f"_right_{k}" for k in keys])

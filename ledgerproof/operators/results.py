@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerproof import constants as K
+from ledgerproof.operators.joins import left_join_null_safe
 
 
 def first_n_per_group(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
@@ -75,7 +76,7 @@ def matrix(df: DataFrame, row: str, column: str, values: list[str], cell: str) -
 def acceptance(violations: DataFrame, filings: DataFrame) -> DataFrame:
     """Any violation of severity Error rejects the filing."""
     bad = violations.groupBy("cid", "period").agg(F.bool_or(F.col("severity") == "Error").alias("rejected"))
-    joined = filings.select("cid", "period").join(bad, ["cid", "period"], "left")
+    joined = left_join_null_safe(filings.select("cid", "period"), bad, ["cid", "period"])
     status = F.when(F.coalesce("rejected", F.lit(False)), "rejected").otherwise("accepted")
     return joined.select("cid", "period", status.alias("status"))
 

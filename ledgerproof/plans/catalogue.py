@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,8 +11,10 @@ from ledgerproof import constants as K
 from ledgerproof.context import FILING_KEYS, FilingContext, Settings
 from ledgerproof.functions import predicates as P
 from ledgerproof.operators.groups import differs_within, set_difference_keys
+from ledgerproof.operators.joins import left_join_null_safe
 from ledgerproof.operators.results import category, stage
-from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
+from ledgerproof.schemas import RECORD_ID, RECORD_TYPE
+from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Frame, Group, JoinGroup, RowGroup
 
 ERROR, WARNING, XSD = "Error", "Warning", "XSD"
 
@@ -88,14 +91,8 @@ def filing_checks(settings: Settings) -> list[Check]:
 
 
 def contract_checks(settings: Settings) -> list[Check]:
-    hubs = settings.values("hub")
     early, later = P.before(K.PERIOD_UNITS_ENFORCED), P.since(K.PERIOD_UNITS_ENFORCED)
     still_running = f"actual_termination_date > {P.period_end()}"
-    hub_conflict = " OR ".join([
-        P.both_set("podsl", "podsl_hub"), P.both_set("porsl", "porsl_hub"),
-        P.hub_without_known_location("podba", "podsl_hub", hubs),
-        P.hub_without_known_location("porba", "porsl_hub", hubs),
-    ])
     reassigned = P.unknown("product_name", ["Reassignment Agreement", "Point-To-Point Agreement"])
     rates = "rate IS NULL AND rate_minimum IS NULL AND rate_maximum IS NULL AND rate_description IS NULL"
     return [
@@ -130,20 +127,11 @@ def contract_checks(settings: Settings) -> list[Check]:
         floor("F.22.5", "end_date"),
         Check("F.23.6", ERROR, "T4", "product name does not fit product type CR",
               f"{P.norm('product_type_name')} = 'CR' AND {reassigned}", "product_name"),
-        hub_check("F.23.8", "porba", "porsl", hubs),
-        hub_check("F.23.10", "podba", "podsl", hubs),
         Check("F.23.22", ERROR, "T4", "two delivery locations are given", P.both_set("podsl", "podsl_hub")),
-        Check("F.23.23", ERROR, "T4", "location and hub conflict", hub_conflict),
         Check("F.23.24", ERROR, "T1", "no rate is given", rates),
     ]
 
 
-def hub_check(rule_id: str, authority: str, location: str, hubs: list[str]) -> Check:
-    """A hub authority with a location that is given but unknown."""
-    test = f"{P.norm(authority)} = 'HUB' AND {P.unknown(location, hubs)}"
-    return Check(rule_id, ERROR, "T3", f"{location} is no known hub", test, location)
-
-
 def charge_is_off() -> str:
     """Charge against price times quantity plus transmission, for the reported and the standardized
     pair. Prices in cents count as dollars divided by one hundred."""
@@ -171,11 +159,7 @@ def units_not_standard(a: str, b: str) -> str:
 
 
 def transaction_checks(settings: Settings) -> list[Check]:
-    hubs, operators = settings.values("hub"), settings.values("iso")
     begin, end = "transaction_begin_date", "transaction_end_date"
-    podba, podsl, hub = (
-        "point_of_delivery_balancing_authority", "point_of_delivery_specific_location", "point_of_delivery_hub",
-    )
     early, later = P.before(K.PERIOD_UNITS_ENFORCED), P.since(K.PERIOD_UNITS_ENFORCED)
     standardized = P.since(K.PERIOD_STANDARDIZED)
     metered = f"{standardized} AND {METERED}"
@@ -205,10 +189,6 @@ def transaction_checks(settings: Settings) -> list[Check]:
         Check("F.24.6", ERROR, "T4", "total charge does not follow from price and quantity", charge_is_off(),
               "total_transaction_charge"),
         required("F.25.1", "transaction_unique_id", XSD),
-        hub_check("F.25.3", podba, podsl, hubs),
-        Check("F.25.13.2", ERROR, "T3", "booked out power sold to a market operator",
-              f"{P.known('product_name', [K.BOOKED_OUT])} AND {P.known('customer_company_name', operators)}"
-              f" AND {begin} >= {cutover}", "customer_company_name"),
         Check("F.25.14.1", WARNING, "T4", "quantity is zero or missing",
               f"coalesce(transaction_quantity, 0D) = 0 AND {begin} < {cutover}"),
         Check("F.25.15", ERROR, "T4", "quantity and total charge are both zero",
@@ -219,13 +199,11 @@ def transaction_checks(settings: Settings) -> list[Check]:
         present("F.25.24", "standardized_quantity", metered, WARNING),
         Check("F.25.21.2", WARNING, "T4", "quantity is zero or negative", "transaction_quantity <= 0",
               "transaction_quantity"),
-        Check("F.25.25", ERROR, "T4", "delivery location and hub conflict",
-              f"{P.both_set(podsl, hub)} OR {P.hub_without_known_location(podba, hub, hubs)}"),
         Check("F.30.46", ERROR, "T4", "units are not standard although quantities are equal",
               units_not_standard("transaction_quantity", "standardized_quantity"), "rate_units"),
         Check("F.30.47", ERROR, "T4", "units are not standard although prices are equal",
               units_not_standard("price", "standardized_price"), "rate_units"),
-        required("F.30.48", podsl),
+        required("F.30.48", POD_LOCATION),
         present("F.TYPE_PRICE", "price"),
     ]
 
@@ -279,6 +257,80 @@ def lookup_groups(settings: Settings) -> tuple[dict[str, list[Check]], list[Grou
     return in_scan, joined
 
 
+Known = Callable[[str], str]
+POD_AUTHORITY, POD_LOCATION, POD_HUB = (
+    "point_of_delivery_balancing_authority", "point_of_delivery_specific_location", "point_of_delivery_hub",
+)
+
+
+def membership(settings: Settings, lookup: str, table: str, columns: list[str]) -> tuple[Frame, Known]:
+    """Rows of a table, and the text that tells whether a column's value is in the lookup; never null.
+
+    A list is tested in place. A lookup kept as a table is joined, one column after the other, and leaves flags.
+    """
+    values = settings.lookup_tables.get(lookup)
+    if values is None:
+        listed = settings.values(lookup)
+        return (lambda ctx: ctx.table(table)), (lambda name: P.surely(P.known(name, listed)))
+
+    def frame(ctx: FilingContext) -> DataFrame:
+        rows, known = ctx.table(table), values.selectExpr("upper(trim(value)) AS value").dropna().distinct()
+        for name in columns:
+            found = known.select(F.col("value").alias(f"_{name}"))
+            rows = rows.join(found, F.expr(f"{P.norm(name)} = _{name}"), "left")
+            rows = rows.withColumn(f"known_{name}", F.col(f"_{name}").isNotNull()).drop(f"_{name}")
+        return rows.withColumn("record_id", F.expr(RECORD_ID[table]))
+
+    return frame, (lambda name: f"known_{name}")
+
+
+def contract_hub_checks(known: Known) -> list[Check]:
+    def unknown_location(rule_id: str, authority: str, location: str) -> Check:
+        test = f"{P.norm(authority)} = 'HUB' AND {location} IS NOT NULL AND NOT {known(location)}"
+        return Check(rule_id, ERROR, "T3", f"{location} is no known hub", test, location)
+
+    def no_hub(authority: str, location: str) -> str:
+        return f"({P.norm(authority)} = 'HUB' AND NOT {known(location)})"
+
+    conflict = [P.both_set("podsl", "podsl_hub"), P.both_set("porsl", "porsl_hub"), no_hub("podba", "podsl_hub"), no_hub("porba", "porsl_hub")]
+    return [
+        unknown_location("F.23.8", "porba", "porsl"),
+        unknown_location("F.23.10", "podba", "podsl"),
+        Check("F.23.23", ERROR, "T4", "location and hub conflict", " OR ".join(conflict)),
+    ]
+
+
+def transaction_hub_checks(known: Known) -> list[Check]:
+    """F.25.3 asks for a non-empty value, so a blank location violates it."""
+    at_hub = f"{P.norm(POD_AUTHORITY)} = 'HUB'"
+    return [
+        Check("F.25.3", ERROR, "T3", f"{POD_LOCATION} is no known hub", f"{at_hub} AND NOT {known(POD_LOCATION)}", POD_LOCATION),
+        Check("F.25.25", ERROR, "T4", "delivery location and hub conflict",
+              f"{P.both_set(POD_LOCATION, POD_HUB)} OR ({at_hub} AND NOT {known(POD_HUB)})"),
+    ]
+
+
+def operator_checks(known: Known) -> list[Check]:
+    booked_out = f"{P.known('product_name', [K.BOOKED_OUT])} AND {known('customer_company_name')}"
+    return [Check("F.25.13.2", ERROR, "T3", "booked out power sold to a market operator",
+                  f"{booked_out} AND transaction_begin_date >= DATE'{K.BOOKED_OUT_CUTOVER}'", "customer_company_name")]
+
+
+def membership_groups(settings: Settings, in_table: bool) -> list[DerivedGroup]:
+    """Rules on hubs and market operators whose lookup is kept as a table, or those whose lookup is a list."""
+    specs = [
+        ("hub", "contracts", ["porsl", "podsl", "podsl_hub", "porsl_hub"], contract_hub_checks),
+        ("hub", "transactions", [POD_LOCATION, POD_HUB], transaction_hub_checks),
+        ("iso", "transactions", ["customer_company_name"], operator_checks),
+    ]
+    groups = []
+    for lookup, table, columns, checks in specs:
+        if (lookup in settings.lookup_tables) == in_table:
+            frame, known = membership(settings, lookup, table, columns)
+            groups.append(DerivedGroup(f"{lookup}_{table}", RECORD_TYPE[table], frame, checks(known), table))
+    return groups
+
+
 # --- checks per filing or per other subject ---------------------------------------------------
 
 
@@ -305,7 +357,7 @@ def ident_per_filing(ctx: FilingContext) -> DataFrame:
     )
     wide = ctx.filings
     for part in (counts, organizations, content, matched):
-        wide = wide.join(part, FILING_KEYS, "left")
+        wide = left_join_null_safe(wide, part, FILING_KEYS)
     measures = [c for c in wide.columns if c.startswith("n_")]
     return wide.fillna(0, subset=measures).selectExpr("*", "cid AS record_id")
 
@@ -370,7 +422,7 @@ def tariff_kinds_per_seller(ctx: FilingContext) -> DataFrame:
     )
 
 
-def operator_sales(operators: list[str], booked_out_too: bool = True):
+def operator_sales(settings: Settings, booked_out_too: bool = True):
     """Average hours per market operator that buys: energy sales (class BA left out) of a seller to
     itself and, unless switched off, booked out power. The wording allows both readings.
     """
@@ -381,9 +433,12 @@ def operator_sales(operators: list[str], booked_out_too: bool = True):
     seconds = "unix_seconds(CAST({0} AS TIMESTAMP))"
     hours = f"({seconds.format('transaction_end_date')} - {seconds.format('transaction_begin_date')}) / 3600.0D"
 
+    rows_with_flags, known = membership(settings, "iso", "transactions", ["customer_company_name"])
+
     def frame(ctx: FilingContext) -> DataFrame:
+        rows = rows_with_flags(ctx)
         return (
-            ctx.table("transactions").filter(f"({wanted}) AND {P.known('customer_company_name', operators)}")
+            rows.filter(f"({wanted}) AND {known('customer_company_name')}")
             .groupBy(*FILING_KEYS, "customer_company_name").agg(F.expr(f"avg({hours}) AS avg_hours"))
             .withColumnRenamed("customer_company_name", "record_id")
         )
@@ -635,7 +690,7 @@ def derived_groups(settings: Settings) -> list[Group]:
             Check("F.21.32", ERROR, "T12", "filing exceeds a size limit", too_large, "n_products")]),
         DerivedGroup("tariff_kinds", "contract", tariff_kinds_per_seller, [
             Check("F.30.41.3", WARNING, "T12", "seller is both public and non-public", "mixed")]),
-        DerivedGroup("operator_sales", "transaction", operator_sales(settings.values("iso")), [
+        DerivedGroup("operator_sales", "transaction", operator_sales(settings), [
             Check("F.25.16", ERROR, "T12", "sales to a market operator look aggregated",
                   f"avg_hours > {K.MAX_AVERAGE_HOURS}D", "avg_hours")]),
         DerivedGroup("publishers", "index", changed_publishers, [
@@ -652,14 +707,18 @@ def derived_groups(settings: Settings) -> list[Group]:
 def catalogue(settings: Settings) -> list[Group]:
     """All rules. F.16.1 (acceptance) is a result of the others: see ``operators.results.acceptance``."""
     in_scan, looked_up = lookup_groups(settings)
+    in_rows: dict[str, list[Check]] = {"contracts": [], "transactions": []}
+    for group in membership_groups(settings, in_table=False):
+        in_rows[group.table].extend(group.checks)
     return [
         RowGroup("ident", ident_checks()),
         RowGroup("filings", filing_checks(settings)),
-        RowGroup("contracts", contract_checks(settings) + in_scan["contracts"]),
+        RowGroup("contracts", contract_checks(settings) + in_scan["contracts"] + in_rows["contracts"]),
         RowGroup("index", [required("F.16.28", "transactions_reported")]),
-        RowGroup("transactions", transaction_checks(settings) + in_scan["transactions"]),
+        RowGroup("transactions", transaction_checks(settings) + in_scan["transactions"] + in_rows["transactions"]),
         *looked_up,
         *join_groups(),
+        *membership_groups(settings, in_table=True),
         *duplicate_groups(),
         *derived_groups(settings),
     ]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerproof.context import FILING_KEYS, FilingContext
 from ledgerproof.functions.predicates import lit
 from ledgerproof.operators.groups import fingerprint, repeated_keys, rows_in_groups
+from ledgerproof.operators.joins import left_join_null_safe
 from ledgerproof.operators.results import rate
 from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
 from ledgerproof.schemas import RECORD_ID, RECORD_TYPE
@@ -58,7 +59,8 @@ class Validation:
         listed = F.explode(F.array(*[F.lit(r) for r in rules]))
         base = self.ctx.filings.select(*FILING_KEYS, listed.alias("rule_id"))
         totals = self.ctx.table("transactions").groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("total_count"))
-        joined = base.join(self.counts, ["rule_id", *FILING_KEYS], "left").join(totals, FILING_KEYS, "left")
+        joined = left_join_null_safe(base, self.counts, ["rule_id", *FILING_KEYS])
+        joined = left_join_null_safe(joined, totals, FILING_KEYS)
         count, total = F.coalesce("error_count", F.lit(0)), F.coalesce("total_count", F.lit(0))
         failure = F.lit(None).cast("string")
         for rule_id, reason in sorted(self.failures.items()):
@@ -151,7 +153,9 @@ def _with_keys(group: JoinGroup, left: DataFrame, extra: list[str]) -> DataFrame
 
 def _matched(group: JoinGroup, left: DataFrame, right: DataFrame) -> DataFrame:
     partner = right.selectExpr(*[f"{c} AS r_{c}" for c in right.columns])
-    on = [f"l_{k} = r_{k}" for k in group.keys]
+    # A filing whose period is not readable is still one filing: its keys compare null-safe.
+    by_filing = set(FILING_KEYS) <= set(group.keys)
+    on = [f"l_{k} {'<=>' if by_filing and k in FILING_KEYS else '='} r_{k}" for k in group.keys]
     if group.residual is not None:
         on.append(group.residual)
     return left.join(partner, F.expr(" AND ".join(on)), group.how)

@@ -22,14 +22,14 @@ def close_versions(df: DataFrame, key: str = "cid", start: str = "effective_star
     return df.withColumn("effective_end", following)
 
 
-def with_lookup(settings: Settings, name: str, values: DataFrame, list_limit: int = 5000) -> Settings:
+def with_lookup(settings: Settings, name: str, values: DataFrame, as_table: bool = True) -> Settings:
     """Add a reference list given as a table with a column ``value``.
 
-    At most ``list_limit`` + 1 values reach the driver. A list within the limit is tested inside the
-    row scan; a longer one stays a table and is anti-joined.
+    The caller says which form it takes; results are the same. A table is joined. As a list, all values come to the
+    driver and are tested inside the row scan, which suits the short lists of a few hundred names.
     """
     distinct = values.select(F.upper(F.trim("value")).alias("value")).dropna().distinct()
-    head = [r.value for r in distinct.limit(list_limit + 1).collect()]
-    if len(head) <= list_limit:
-        return Settings(**{**vars(settings), "lookups": {**settings.lookups, name: sorted(head)}})
+    if not as_table:
+        listed = sorted(r.value for r in distinct.collect())
+        return Settings(**{**vars(settings), "lookups": {**settings.lookups, name: listed}})
     return Settings(**{**vars(settings), "lookup_tables": {**settings.lookup_tables, name: distinct}})

@@ -21,22 +21,20 @@ def hot(spark):
     return spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, id long")
 
 
-def test_duplicates_with_cut_hot_group_keep_every_row(spark, hot, monkeypatch):
-    want = sorted(r.id for r in hot.collect() if r.key == "hot" or (r.key or "").startswith("k") and 0 <= r.id)
+def test_duplicates_of_a_hot_group_keep_every_row(spark, hot):
     counts = {}
     for r in hot.collect():
         counts[r.key] = counts.get(r.key, 0) + 1
     want = sorted(r.id for r in hot.collect() if r.key is not None and counts[r.key] > 1)
-    plain = sorted(r.id for r in groups.duplicate_rows(hot, ["key"]).collect())
-    monkeypatch.setattr(groups, "ROWS_PER_TASK", 50)
-    cut = sorted(r.id for r in groups.duplicate_rows(hot, ["key"]).collect())
-    assert plain == cut == want
+    found = groups.duplicate_rows(hot, ["key"])
+    assert plan_of(found).count("Scan ExistingRDD") <= 2
+    assert sorted(r.id for r in found.collect()) == want
 
 
-def test_only_some_hot_groups_fit_the_broadcast(spark, hot, monkeypatch):
-    monkeypatch.setattr(groups, "ROWS_PER_TASK", 1)
-    monkeypatch.setattr(groups, "HOT_GROUPS", 3)
-    assert groups.duplicate_rows(hot, ["key"]).count() == 1000 + 800 * 2
+def test_rows_in_groups_finds_null_keys(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, null, 'x'), (2, null, 'x'), (3, 'a', 'x'), (4, 'a', null) AS t(id, k, l)")
+    found = groups.rows_in_groups(df, groups.repeated_keys(df, ["k", "l"]), ["k", "l"])
+    assert sorted(r.id for r in found.collect()) == [1, 2]
 
 
 def test_fingerprint_tells_null_from_text(spark):

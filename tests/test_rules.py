@@ -147,8 +147,8 @@ def test_long_lookup_becomes_a_join_with_the_same_result(spark):
     rows = [TRANSACTION, {**TRANSACTION, "transaction_unique_id": "T2", "class_name": "X"},
             {**TRANSACTION, "transaction_unique_id": "T3", "class_name": None}]
     values = spark.createDataFrame([("f",), (" NF ",), ("F",)], "value string")
-    by_list = filing(spark, with_lookup(SETTINGS, "class", values), transactions=rows)
-    by_table = filing(spark, with_lookup(SETTINGS, "class", values, list_limit=1), transactions=rows)
+    by_list = filing(spark, with_lookup(SETTINGS, "class", values, as_table=False), transactions=rows)
+    by_table = filing(spark, with_lookup(SETTINGS, "class", values), transactions=rows)
     assert "class" in by_table.settings.lookup_tables
 
     def ids(ctx):
@@ -158,6 +158,38 @@ def test_long_lookup_becomes_a_join_with_the_same_result(spark):
     assert ids(by_list) == ids(by_table) == ["T2", "T3"]
 
 
+def test_hub_and_operator_rules_agree_for_list_and_table(spark):
+    hub = {"point_of_delivery_balancing_authority": "Hub"}
+    rows = [{**TRANSACTION, "transaction_unique_id": f"T{i}", **hub, "point_of_delivery_specific_location": where, "point_of_delivery_hub": None}
+            for i, where in enumerate(["Palo Verde", "elsewhere", None, " "])]
+    rows += [{**TRANSACTION, "transaction_unique_id": f"B{i}", "product_name": "Booked Out Power", "customer_company_name": who} for i, who in enumerate(["Operator A", "other", None])]
+    deals = [{**CONTRACT, "contract_unique_id": f"K{i}", "porba": "HUB", "porsl": where, "podba": "HUB", "podsl_hub": where} for i, where in enumerate(["PALO VERDE ", "x", None])]
+    hubs, operators = (spark.createDataFrame([(v,)], "value string") for v in ("palo verde", "Operator A"))
+    rules = ["F.23.8", "F.23.10", "F.23.23", "F.25.3", "F.25.25", "F.25.13.2", "F.25.16"]
+
+    def found(as_table):
+        settings = with_lookup(with_lookup(SETTINGS, "hub", hubs, as_table), "iso", operators, as_table)
+        run = validate(filing(spark, settings, transactions=rows, contracts=deals), pick(catalogue(settings), rule_ids=rules))
+        shown = sorted((r.rule_id, r.record_id, r.message) for r in run.violations.collect())
+        counts = {r.rule_id: r.error_count for r in run.rule_stats.collect()}
+        assert counts == {rule: sum(r == rule for r, _, _ in shown) for rule in rules}
+        return shown
+
+    listed = found(False)
+    assert listed == found(True)
+    assert [i for r, i, _ in listed if r == "F.25.3"] == ["T1", "T2", "T3"] and ("F.25.13.2", "B0") in {(r, i) for r, i, _ in listed}
+
+
+def test_filing_without_readable_period_is_counted(spark):
+    rows = [{**TRANSACTION, "period": None, "price": None}, {**TRANSACTION, "period": None, "price": None}]
+    ctx = filing(spark, SETTINGS, transactions=rows)
+    run = validate(ctx, pick(catalogue(SETTINGS), rule_ids=["F.TYPE_PRICE", "F.UNIQUE_TX"]))
+    assert {r.rule_id: r.error_count for r in run.rule_stats.collect()} == {"F.TYPE_PRICE": 2, "F.UNIQUE_TX": 2}
+    assert run.violations.count() == 4
+    status = acceptance(run.violations, ctx.filings).filter("period IS NULL").collect()
+    assert [r.status for r in status] == ["rejected"]
+
+
 def test_catalogue_has_stage_for_every_rule(spark):
     rows = catalogue_frame(spark, catalogue(SETTINGS)).collect()
     assert len({r.rule_id for r in rows}) == len(rows) > 150
