@@ -76,3 +76,4 @@ STAGE_OF_CATEGORY = {
 }
 DEFAULT_STAGE = "Type 5"
 STRUCTURAL_PREFIXES = ["F.16.4", "F.24.1", "F.TYPE"]
+NO_AGREEMENT = "NONE (Agreement Missing)"  # fixed output text

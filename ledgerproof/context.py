@@ -51,8 +51,11 @@ class FilingContext:
     def filings(self) -> DataFrame:
         """One header per filing; a filing without identity rows is kept with null header fields.
 
-        Every branch is reduced to one row per filing on the map side before the shuffle.
+        Every branch is reduced to one row per filing on the map side before the shuffle. ``stored`` keeps the result as
+        a table, so that the rules that need headers do not read four tables each.
         """
+        if self.has("filings"):
+            return self.tables["filings"]
         ident = self.table("ident")
         header = ident.groupBy(*FILING_KEYS).agg(
             F.min_by("filing_type", F.struct(F.coalesce("filer_unique_id", F.lit("")), "filing_type")).alias("filing_type"),
@@ -89,7 +92,9 @@ class FilingContext:
             frame = self.tables[name]
             frame.write.mode("overwrite").parquet(f"{path}/{name}")
             tables[name] = self.spark.read.parquet(f"{path}/{name}")
-        return FilingContext(self.spark, tables, self.settings)
+        held = FilingContext(self.spark, {n: t for n, t in tables.items() if n != "filings"}, self.settings)
+        held.filings.write.mode("overwrite").parquet(f"{path}/filings")
+        return FilingContext(self.spark, {**held.tables, "filings": self.spark.read.parquet(f"{path}/filings")}, self.settings)
 
     def register_views(self, prefix: str = "") -> None:
         """Make the tables available to SQL."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ledgerproof import constants as K
 from ledgerproof.context import FILING_KEYS
 from ledgerproof.operators.groups import first_per_group
 from ledgerproof.operators.joins import without_partner
@@ -29,18 +31,12 @@ def briefs(violations: DataFrame, rule_stats: DataFrame, catalogue: DataFrame) -
 
 
 def mismatch_evidence(transactions: DataFrame, contracts: DataFrame, agreement: tuple[str, str], product: str) -> DataFrame:
-    """Transactions without a contract for (agreement, product), next to what the agreement authorizes.
-
-    Several authorized products are folded into one sorted text before the join, so a transaction
-    stays one row; products are a reference list, so the text is short.
-    """
+    """Transactions without a contract for (agreement, product), one row for each product the agreement authorizes."""
     left_key, right_key = agreement
     terms = contracts.select(F.col(right_key).alias(left_key), product).distinct()
     failed = without_partner(transactions, terms, [left_key, product])
-    listed = F.array_join(F.sort_array(F.collect_set(product)), "; ")
-    authorized = terms.groupBy(left_key).agg(listed.alias("authorized_product"))
-    joined = failed.join(authorized, left_key, "left")
-    return joined.withColumn("authorized_product", F.coalesce("authorized_product", F.lit("NONE (Agreement Missing)")))
+    joined = failed.join(terms.withColumnRenamed(product, "authorized_product"), left_key, "left")
+    return joined.withColumn("authorized_product", F.coalesce("authorized_product", F.lit(K.NO_AGREEMENT)))
 
 
 def outcomes(stats: DataFrame, catalogue: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -86,12 +82,13 @@ def report_lines(rule_stats: DataFrame, catalogue: DataFrame, title: str) -> Dat
     return head.unionByName(total.select(F.lit(1).cast("long").alias("line_no"), summary_text.alias("line"))).unionByName(body)
 
 
-def timed(spark: SparkSession, frame: DataFrame, rows_scanned: int) -> DataFrame:
-    """Run an action and report seconds and rows per second as a one-row frame."""
+def timed(source: DataFrame, query: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a query once and report the rows it scanned, seconds and rows per second as a one-row frame."""
+    scanned = Observation("scanned")
     began = time.perf_counter()
-    frame.write.format("noop").mode("overwrite").save()
-    seconds = time.perf_counter() - began
-    return spark.range(1).select(
-        F.lit(rows_scanned).alias("rows_scanned"), F.round(F.lit(seconds), 4).alias("seconds"),
-        F.when(F.lit(seconds) > 0, F.lit(rows_scanned) / F.lit(seconds)).otherwise(0.0).cast("long").alias("rows_per_second"),
+    query(source.observe(scanned, F.count(F.lit(1)).alias("n"))).write.format("noop").mode("overwrite").save()
+    seconds, rows = time.perf_counter() - began, scanned.get["n"]
+    return source.sparkSession.range(1).select(
+        F.lit(rows).cast("long").alias("rows_scanned"), F.lit(round(seconds, 4)).alias("seconds"),
+        F.lit(int(rows / seconds) if seconds > 0 else 0).cast("long").alias("rows_per_second"),
     )
