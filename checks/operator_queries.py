@@ -12,7 +12,7 @@ from ledgerproof import schemas
 from ledgerproof.functions import periods
 from ledgerproof.operators import groups, intervals, joins, results
 from ledgerproof.plans import coverage, profile, registry as rule_registry, reports
-from ledgerproof.plans.catalogue import catalogue, catalogue_frame
+from ledgerproof.plans.catalogue import catalogue, catalogue_frame, charge_is_off_simple, ends_too_early
 from ledgerproof.plans.engine import validate
 from ledgerproof.plans.mutation import Mutation, mutation_results
 from ledgerproof.plans.rules import pick
@@ -748,3 +748,47 @@ def _(spark, sf):
       'Error' AS severity, '2014-08-15' AS detected_at FROM ftx WHERE price IS NULL) v""")
 def _(spark, sf):
     return _run(spark, sf, ["F.TYPE_PRICE"]).violations
+
+
+# --- other readings of a rule -----------------------------------------------------------------
+
+
+@query("V_F_24_3_same_day", "SELECT cid, period, count(*) AS n FROM ftx WHERE transaction_end_date < transaction_begin_date GROUP BY 1, 2")
+def _(spark, sf):
+    found = context(spark, sf).table("transactions").filter(ends_too_early(same_day_allowed=True))
+    return found.groupBy("cid", "period").agg(F.count(lit(1)).alias("n"))
+
+
+@query("V_F_24_6_simple", "SELECT cid, period, count(*) AS n FROM ftx WHERE abs(price * transaction_quantity - total_transaction_charge) > 1 GROUP BY 1, 2")
+def _(spark, sf):
+    found = context(spark, sf).table("transactions").filter(charge_is_off_simple())
+    return found.groupBy("cid", "period").agg(F.count(lit(1)).alias("n"))
+
+
+def _per_filing(found):
+    return found.groupBy("cid", "period").agg(F.count(lit(1)).alias("n"))
+
+
+SAME_DEAL = "c.customer_company_name = t.customer_company_name AND c.product_name = t.product_name"
+
+
+@query("V_F_25_18_linked_terms", """SELECT t.cid, t.period, count(*) AS n FROM ftx t
+    WHERE EXISTS (SELECT 1 FROM fct c WHERE c.contract_unique_id = t.contract_unique_id AND c.product_name <> t.product_name) GROUP BY 1, 2""")
+def _(spark, sf):
+    ctx = context(spark, sf)
+    terms = ctx.table("contracts").select(col("contract_unique_id").alias("linked"), col("product_name").alias("agreed")).distinct()
+    on = F.expr("contract_unique_id = linked AND product_name <> agreed")
+    return _per_filing(ctx.table("transactions").join(terms, on, "left_semi"))
+
+
+@query("V_F_25_18_customer", f"SELECT t.cid, t.period, count(*) AS n FROM ftx t WHERE NOT EXISTS (SELECT 1 FROM fct c WHERE {SAME_DEAL}) GROUP BY 1, 2")
+def _(spark, sf):
+    ctx = context(spark, sf)
+    return _per_filing(joins.without_partner(ctx.table("transactions"), ctx.table("contracts"), ["customer_company_name", "product_name"]))
+
+
+@query("V_F_25_18_known_customer", f"""SELECT t.cid, t.period, count(*) AS n FROM ftx t WHERE NOT EXISTS (SELECT 1 FROM fct c WHERE {SAME_DEAL})
+    AND EXISTS (SELECT 1 FROM fct c WHERE c.customer_company_name = t.customer_company_name) GROUP BY 1, 2""")
+def _(spark, sf):
+    ctx = context(spark, sf)
+    return _per_filing(joins.known_group_unknown_member(ctx.table("transactions"), ctx.table("contracts"), ["customer_company_name"], ["product_name"]))

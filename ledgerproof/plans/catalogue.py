@@ -144,6 +144,11 @@ def charge_is_off() -> str:
     return f"{off} OR ({METERED} AND {standard_off})"
 
 
+def ends_too_early(same_day_allowed: bool = False) -> str:
+    """End date not after the begin date; the other reading lets both fall on one day."""
+    return f"transaction_end_date {'<' if same_day_allowed else '<='} transaction_begin_date"
+
+
 def charge_is_off_simple() -> str:
     """Variant without transmission charge and with one dollar of tolerance."""
     return f"abs(price * transaction_quantity - total_transaction_charge) > {K.ABS_TOLERANCE}D"
@@ -181,7 +186,7 @@ def transaction_checks(settings: Settings) -> list[Check]:
         over("F.17.8.2", "$/KWH"),
         over("F.17.8.3", "CENTS/KWH"),
         required("F.24.1", "transaction_unique_id"),
-        Check("F.24.3", ERROR, "T4", "end date is not after begin date", f"{end} <= {begin}", end),
+        Check("F.24.3", ERROR, "T4", "end date is not after begin date", ends_too_early(), end),
         Check("F.24.4", ERROR, "T4", "end date is missing or after the filing period",
               f"{end} IS NULL OR {end} > {P.period_end()}", end),
         Check("F.24.5", ERROR, "T4", "begin date is missing or before the filing period",
