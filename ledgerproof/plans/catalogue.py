@@ -733,7 +733,7 @@ def catalogue_frame(spark: SparkSession, groups: list[Group]) -> DataFrame:
     """The catalogue as data: order, id, text, severity, template, table, test, category and stage."""
     seen: dict[str, tuple] = {}
     for group in groups:
-        for c in group.checks:
+        for c in (c for c in group.checks if not c.guards):
             seen.setdefault(c.rule_id, (len(seen), c.rule_id, c.text, c.severity, c.template, group.table, c.test))
     schema = "seq int, rule_id string, description string, severity string, template string, source_table string, test string"
     frame = spark.createDataFrame(list(seen.values()), schema)

@@ -32,7 +32,7 @@ class Validation:
     @cached_property
     def violations(self) -> DataFrame:
         """One row per (rule, record)."""
-        parts = [group_violations(self.ctx, g) for g in self.groups]
+        parts = [group_violations(self.ctx, g) for g in _rules_only(self.groups)]
         found = reduce(DataFrame.unionByName, parts)
         locator = F.concat_ws("|", "rule_id", "record_type", "cid", "period", "record_id", "origin")
         return found.select(
@@ -48,14 +48,21 @@ class Validation:
         Row rules become conditional counts over one scan, and join rules count per key before
         they join, so that only filings and keys are shuffled, not records.
         """
-        parts = [group_counts(self.ctx, g) for g in self.groups]
-        found = reduce(DataFrame.unionByName, parts)
-        return found.groupBy("rule_id", *FILING_KEYS).agg(F.sum("error_count").alias("error_count"))
+        return _counted(self.ctx, _rules_only(self.groups))
+
+    @cached_property
+    def failed_rows(self) -> DataFrame | None:
+        """Rows per (rule, filing) on which a rule could not be evaluated; None if no rule can fail on rows."""
+        guards = [replace(g, checks=own) for g in self.groups if (own := [c for c in g.checks if c.guards])]
+        if not guards:
+            return None
+        names = F.create_map(*[F.lit(x) for g in guards for c in g.checks for x in (c.rule_id, c.guards)])
+        return _counted(self.ctx, guards).withColumn("rule_id", F.try_element_at(names, F.col("rule_id"))).withColumnRenamed("error_count", "failed")
 
     @cached_property
     def stats(self) -> DataFrame:
         """One row per (rule, filing), zero counts and failed rules included."""
-        rules = sorted({c.rule_id for g in self.groups for c in g.checks} | set(self.failures))
+        rules = sorted({c.rule_id for g in self.groups for c in g.checks if not c.guards} | set(self.failures))
         listed = F.explode(F.array(*[F.lit(r) for r in rules]))
         base = self.ctx.filings.select(*FILING_KEYS, listed.alias("rule_id"))
         totals = self.ctx.table("transactions").groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("total_count"))
@@ -63,6 +70,9 @@ class Validation:
         joined = left_join_null_safe(joined, totals, FILING_KEYS)
         count, total = F.coalesce("error_count", F.lit(0)), F.coalesce("total_count", F.lit(0))
         failure = F.lit(None).cast("string")
+        if self.failed_rows is not None:
+            joined = left_join_null_safe(joined, self.failed_rows, ["rule_id", *FILING_KEYS])
+            failure = F.when(F.col("failed") > 0, F.lit("CAST_INVALID_INPUT"))
         for rule_id, reason in sorted(self.failures.items()):
             failure = F.when(F.col("rule_id") == rule_id, F.lit(reason)).otherwise(failure)
         return joined.select(
@@ -81,6 +91,15 @@ class Validation:
         return totals.withColumn("violation_rate", rate(F.col("error_count"), F.col("total_count")))
 
 
+def _rules_only(groups: list[Group]) -> list[Group]:
+    return [replace(g, checks=own) for g in groups if (own := [c for c in g.checks if not c.guards])]
+
+
+def _counted(ctx: FilingContext, groups: list[Group]) -> DataFrame:
+    found = reduce(DataFrame.unionByName, [group_counts(ctx, g) for g in groups])
+    return found.groupBy("rule_id", *FILING_KEYS).agg(F.sum("error_count").alias("error_count"))
+
+
 def validate(ctx: FilingContext, groups: list[Group]) -> Validation:
     """Check every rule against the schemas first; a rule that cannot run is reported, not dropped."""
     sound: list[Group] = []

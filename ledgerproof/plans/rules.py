@@ -30,6 +30,8 @@ class Check:
     test: str | None = None
     show: str | None = None
     partner: str | None = None
+    # The rule whose failing rows this check counts; such a check makes no violations.
+    guards: str | None = None
 
 
 @dataclass(frozen=True)

@@ -143,6 +143,17 @@ def test_broken_rule_is_reported_and_others_run(spark):
     assert stats["BAD"].error_count == 0 and stats["BAD"].engine_failure.startswith("UNRESOLVED_COLUMN")
 
 
+def test_rule_that_fails_on_rows_is_reported(spark):
+    text = """[{"id": "OK", "table": "transactions", "test": "seller_cid = {{CID}}"},
+               {"id": "CASTS", "table": "transactions", "test": "CAST(product_name AS INT) > 1"},
+               {"id": "FINE", "table": "transactions", "test": "CAST(price AS INT) > 1"}]"""
+    ctx = filing(spark)
+    run = validate(ctx, parse_rules(text, ctx.settings, "C000001"))
+    stats = {r.rule_id: (r.error_count, r.engine_failure) for r in run.rule_stats.collect()}
+    assert stats == {"OK": (1, None), "CASTS": (0, "CAST_INVALID_INPUT"), "FINE": (1, None)}
+    assert sorted(r.rule_id for r in run.violations.collect()) == ["FINE", "OK"]
+
+
 def test_long_lookup_becomes_a_join_with_the_same_result(spark):
     rows = [TRANSACTION, {**TRANSACTION, "transaction_unique_id": "T2", "class_name": "X"},
             {**TRANSACTION, "transaction_unique_id": "T3", "class_name": None}]
