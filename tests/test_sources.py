@@ -57,11 +57,11 @@ def test_normalize_renames_types_and_metadata(spark):
 
 def test_registry_csv_blank_end_is_open(spark, tmp_path):
     path = tmp_path / "registry.csv"
-    path.write_text("CID,Organization_Name,effective_start_date,effective_end_date\nC1,Official Legal Name,2020-01-01,\nC1,Old,2018-01-01,2020-01-01\n")
+    path.write_text("CID,Organization_Name,effective_start_date,effective_end_date\nC7,Birch Grid,2021-03-01,\nC7,Elm Grid,2019-05-01,2021-03-01\n")
     rows = {r.legal_name: r for r in registry.import_registry(spark, str(path)).collect()}
-    assert rows["Official Legal Name"].effective_end is None and rows["Old"].effective_end == dt.date(2020, 1, 1)
+    assert rows["Birch Grid"].effective_end is None and rows["Elm Grid"].effective_end == dt.date(2021, 3, 1)
     closed = registry.close_versions(registry.import_registry(spark, str(path))).collect()
-    assert {r.legal_name: r.effective_end for r in closed} == {"Old": dt.date(2020, 1, 1), "Official Legal Name": None}
+    assert {r.legal_name: r.effective_end for r in closed} == {"Elm Grid": dt.date(2021, 3, 1), "Birch Grid": None}
 
 
 def _inner(rows: str) -> bytes:
@@ -76,8 +76,8 @@ def test_nested_archive_and_state_discovery(spark, tmp_path):
     path = str(tmp_path / "CSV_2025_Q1.zip")
     many = "".join(f"C{i},Company {i},OR\n" for i in range(10, 6010))  # more than one batch
     with zipfile.ZipFile(path, "w") as outer:
-        outer.writestr("b.ZIP", _inner('C1,"Seattle, City of",WA\nC2,Chelan,wa\n'))
-        outer.writestr("a.ZIP", _inner("C1,Seattle City Light,WA\nC3,,WA\n"))
+        outer.writestr("b.ZIP", _inner('C1,"Pine Harbor, Town of",WA\nC2,Maple Falls,wa\n'))
+        outer.writestr("a.ZIP", _inner("C1,Pine Harbor Light,WA\nC3,,WA\n"))
         outer.writestr("c.ZIP", _inner(many))
         outer.writestr("readme.txt", "not a filing")
     raw = archive.read_archive(spark, path, "_ident.CSV")
@@ -85,7 +85,7 @@ def test_nested_archive_and_state_discovery(spark, tmp_path):
     assert ident.count() == 6004
     assert ident.filter("company_name IS NULL").count() == 1
     found = {r.cid: (r.company_name, r.source_filing) for r in archive.discover_entities(ident, "WA").collect()}
-    assert found == {"C1": ("Seattle City Light", "a.ZIP"), "C2": ("Chelan", "b.ZIP"), "C3": (None, "a.ZIP")}
+    assert found == {"C1": ("Pine Harbor Light", "a.ZIP"), "C2": ("Maple Falls", "b.ZIP"), "C3": (None, "a.ZIP")}
     assert archive.read_archive(spark, path, "_contracts.CSV").count() == 3
 
 
@@ -102,14 +102,14 @@ def test_optional_table_and_first_available(spark, tmp_path):
 
 
 def test_coverage_has_three_outcomes(spark):
-    index = spark.createDataFrame([("C1", "Powerex Corp"), ("C2", "Shell Energy North"), ("C3", "SHELL ENERGY South")], "cid string, legal_name string")
+    index = spark.createDataFrame([("C1", "Heron Trading"), ("C2", "Otter Fuel North"), ("C3", "OTTER FUEL South")], "cid string, legal_name string")
     tx = spark.createDataFrame([("C1", "2025Q1"), ("C1", "2025Q1"), ("C1", "2025Q2")], "cid string, period string")
     ct = spark.createDataFrame([("C1", "2025Q1")], "cid string, period string")
-    rows = coverage.company_coverage(["powerex", "Shell Energy", "Tono Solar"], index, tx, ct).collect()
+    rows = coverage.company_coverage(["heron", "Otter Fuel", "Finch Solar"], index, tx, ct).collect()
     assert sorted((r.search_name, r.matched_name, r.period, r.tx_records, r.ct_records, r.status) for r in rows if r.period) == [
-        ("powerex", "Powerex Corp", "2025Q1", 2, 1, "Found in Lake"), ("powerex", "Powerex Corp", "2025Q2", 1, 0, "Found in Lake")]
+        ("heron", "Heron Trading", "2025Q1", 2, 1, "Found in Lake"), ("heron", "Heron Trading", "2025Q2", 1, 0, "Found in Lake")]
     assert {(r.search_name, r.cid, r.status) for r in rows if not r.period} == {
-        ("Shell Energy", "C2", "Found in Index, not in Lake"), ("Tono Solar", None, "Not in Index")}
+        ("Otter Fuel", "C2", "Found in Index, not in Lake"), ("Finch Solar", None, "Not in Index")}
 
 
 def test_schema_profile_and_join_keys(spark):
