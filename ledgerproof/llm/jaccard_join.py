@@ -6,12 +6,12 @@
    that fail are done; the others carry on with all their shingles.
 3. Partition: sets are grouped by their smallest repeated shingle hash. The most typical member leads; members that link
    with it form a star, the rest stay alone.
-4. Token-group matrix: rows (shingle, group) of the rarest shingles of each group's members, floor(n / 4) + ``LEVEL`` of each
-   set. A set that links with a member shares at least LEVEL of these with the group, which bounds the overlap. Leaders
-   are compared with the leaders of groups that qualify; links merge groups into components.
-5. Each set is bounded against the components it is not in; those that qualify are opened and the set is compared with
-   their members. Only pairs still apart are opened: copies of one text cost one comparison each, not one per pair, and
-   no link between components is missed.
+4. Token-group matrix: rows (shingle, group) of the rarest shingles of each group's members. A set that links with a member
+   shares a number of these with the group that grows with its size (``least_shared``), which bounds the overlap. Groups
+   that qualify are opened: the set is compared with their members that share as much. Leaders come first; their links
+   merge groups into components.
+5. Then all sets against the components they are not in. Only pairs still apart are opened: copies of one text cost one
+   comparison each, not one per pair, and no link between components is missed.
 
 The order "rarest first" comes from a count sketch of fixed size; any order gives the same links.
 
@@ -38,7 +38,8 @@ NAME = "op1_ngram_jaccard"
 SHINGLE = 5
 PERCENT = 75
 SAMPLED = 0.4  # part of the hash range that the first test looks at
-LEVEL = 3
+LEVEL_PART = 16
+BLOCK = 256  # sets of one side in an opened block
 CELLS, BLOCKS = 1 << 20, 64  # the count sketch: four bytes a cell
 SQL = None
 
@@ -184,30 +185,54 @@ def _sketch(all_sets: DataFrame) -> np.ndarray:
     return cells.ravel()
 
 
-def _rarest(cells, percent: int, level: int):
-    """(token, sid, need) of the rarest shingles of each set; need is how many a link must share."""
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """How many of its rarest shingles a set of n must share with a link (``need``); grows with n."""
+    return min(-(-percent * n // 100), 1 + n // LEVEL_PART)
+
+
+def _rarest(cells, percent: int):
+    """(token, sid, n, need, small) of the rarest shingles of each set, enough for links to smaller sets.
+
+    A link of sets of n and m >= n shingles overlaps in 2t / (1 + t) * n, so ``small`` marks the fewer ones that do for links
+    to sets of the same size or larger ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = cells.value
         for batch in batches:
-            tokens, sids, needs = [], [], []
+            columns: tuple[list, ...] = ([], [], [], [], [])
             for sid, x in zip(batch.column(0).to_pylist(), batch.column(1)):
                 x = np.frombuffer(x.as_buffer(), np.uint64)
-                overlap = -(-percent * len(x) // 100)
-                need = min(level, overlap)
-                length = len(x) - overlap + need
+                n = len(x)
+                need = least_shared(n, percent)
+                length = n + need - -(-percent * n // 100)
+                small = n + need - -(-2 * percent * n // (100 + percent))
                 seen = counts[(x & np.uint64(CELLS - 1)).astype(np.int64)]
                 own = x[np.lexsort((x, seen))[:length]]
-                tokens.append(own)
-                sids.append(np.full(len(own), sid))
-                needs.append(np.full(len(own), need))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(sids), pa.int64()), pa.array(np.concatenate(needs), pa.int32())], ["token", "sid", "need"])
+                for column, value in zip(columns, (own, np.full(len(own), sid), np.full(len(own), n), np.full(len(own), need), np.arange(len(own)) < small)):
+                    column.append(value)
+            if columns[0]:
+                token, sid, n, need, small = map(np.concatenate, columns)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(need, pa.int32()), pa.array(small)], ["token", "sid", "n", "need", "small"])
 
     return run
 
 
-def set_components(all_sets: DataFrame, percent: int = PERCENT, level: int = LEVEL) -> DataFrame:
+def _qualify(queries: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a set and one of a group it is not in, of the same size or larger, that share enough to be opened.
+
+    The matrix row of a shingle names the groups whose sets hold it; its column counts bound a query's overlap with a group.
+    """
+    matrix = rare.groupBy("token", "grp").agg(F.max("n").alias("largest"))
+    small = queries.where("small").select("token", F.col("sid").alias("a"), F.col("grp").alias("own"), F.col("n").alias("na"), "need")
+    bound = small.join(matrix, "token").where("own <> grp AND largest >= na").groupBy("a", "grp").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need")
+    opened = small.join(bound.select("a", "grp"), "a").select("token", "a", "na", "need", "grp")
+    members = rare.select("token", "grp", F.col("sid").alias("b"), F.col("n").alias("nb"))
+    pairs = opened.join(members, ["token", "grp"]).where("na < nb OR (na = nb AND a < b)").where(_similar_size("na", "nb", percent))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("a", "b")
+
+
+def set_components(all_sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the sets (sid, n, typical, grp, tokens) that link with another."""
     spark = all_sets.sparkSession
     leads = all_sets.groupBy("grp").agg(F.max(F.struct("typical", (-F.col("sid")).alias("minus"))).alias("x"), F.count("*").alias("members")).where("members > 1").select("grp", (-F.col("x.minus")).alias("leader"))
@@ -216,29 +241,75 @@ def set_components(all_sets: DataFrame, percent: int = PERCENT, level: int = LEV
     links = stored(stars.mapInArrow(_linked(percent), "a long, b long"), "star-links")
 
     cells = spark.sparkContext.broadcast(_sketch(all_sets))
-    rare = all_sets.select("sid", "tokens").mapInArrow(_rarest(cells, percent, level), "token long, sid long, need int")
+    rare = all_sets.select("sid", "tokens").mapInArrow(_rarest(cells, percent), "token long, sid long, n int, need int, small boolean")
     shared = rare.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
     star = links.select(F.col("b").alias("sid"), F.col("a").alias("grp"))
-    rare = stored(rare.join(shared, "token", "left_semi").join(star, "sid", "left").select("token", "sid", F.coalesce("grp", "sid").alias("grp"), "need"), "rare-shingles")
+    rare = stored(rare.join(shared, "token", "left_semi").join(star, "sid", "left").withColumn("grp", F.coalesce("grp", "sid")), "rare-shingles")
 
-    # Leaders against groups: the matrix row of a shingle names the groups that hold it.
-    matrix = rare.groupBy("token", "grp").agg(F.min("need").alias("least"))
-    heads = rare.where("sid = grp").select("token", F.col("sid").alias("a"), "need")
-    pairs = heads.join(matrix.withColumnRenamed("grp", "b"), "token").where("a < b").groupBy("a", "b").agg(F.count("*").alias("bound"), F.min(F.least("need", "least")).alias("need")).where("bound >= need")
-    links = stored(links.unionByName(_verify(pairs.select("a", "b"), all_sets, percent)), "leader-links")
+    # Leaders against leaders: most links between groups are found here.
+    heads = rare.where("sid = grp")
+    links = stored(links.unionByName(_verify(_qualify(heads, heads, percent), all_sets, percent)), "leader-links")
     whole = stored(components(links), "components")
 
-    # Sets against the components they are not in; what qualifies is opened.
-    named = rare.join(whole.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", F.coalesce("component", "sid").alias("grp"), "need")
-    named = stored(named, "rare-shingles")
-    matrix = named.groupBy("token", "grp").agg(F.min("need").alias("least"))
-    bound = named.withColumnRenamed("grp", "own").join(matrix, "token").where("own <> grp").groupBy("sid", "grp").agg(F.count("*").alias("bound"), F.min(F.least("need", "least")).alias("need")).where("bound >= need")
-    opened = named.join(bound.select("sid", F.col("grp").alias("other")), "sid").select("token", F.col("sid").alias("a"), "other", "need")
-    pairs = opened.join(named.select("token", F.col("sid").alias("b"), F.col("grp").alias("other"), F.col("need").alias("need_b")), ["token", "other"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("bound"), F.min(F.least("need", "need_b")).alias("need")).where("bound >= need")
-    late = stored(_verify(pairs.select("a", "b"), all_sets, percent), "late-links")
+    # Sets against the components they are not in, from the side of the component with fewer members.
+    sizes = whole.groupBy("component").agg(F.count("*").alias("members"))
+    named = rare.drop("grp").join(whole.join(sizes, "component").withColumnRenamed("node", "sid"), "sid", "left")
+    named = stored(named.select("token", "sid", "n", "need", "small", F.coalesce("component", "sid").alias("grp"), F.coalesce("members", F.lit(1)).alias("members")), "rare-shingles")
+    late = stored(_open(_bounded(named), named, whole, all_sets, percent), "late-links")
     return whole if late.isEmpty() else components(links.unionByName(late))
 
 
+def _bounded(rare: DataFrame) -> DataFrame:
+    """(sid, grp): sets that share enough with the sets of a larger component; for links to sets of either size."""
+    queries = rare.select("token", "sid", "n", "need", "small", F.col("grp").alias("own"), F.col("members").alias("own_members"))
+    matrix = rare.groupBy("token", "grp", "members").agg(F.max("n").alias("largest"), F.min(F.when(F.col("small"), F.col("n"))).alias("smallest"), F.min(F.when(F.col("small"), F.col("need"))).alias("least"))
+    met = queries.join(matrix, "token").where("own <> grp AND (own_members < members OR (own_members = members AND own < grp))")
+    upward, downward = F.col("small") & (F.col("largest") >= F.col("n")), F.col("smallest") <= F.col("n")
+    counts = met.where(upward | downward).groupBy("sid", "grp").agg(F.count_if(upward).alias("up"), F.first("need").alias("need"), F.count_if(downward).alias("down"), F.min(F.when(downward, F.col("least"))).alias("least"))
+    return counts.where("up >= need OR down >= least").select("sid", "grp")
+
+
+def _links_in_block(percent: int):
+    """Links between the queries and the members of one opened block; one for each query suffices."""
+
+    def run(block: pa.Table) -> pa.Table:
+        side, sids = block["side"].to_numpy(), block["sid"].to_numpy()
+        tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["tokens"]]
+        members, queries = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        found: list[tuple[int, int]] = []
+        if len(members) and len(queries):
+            size = np.array([len(tokens[i]) for i in members])
+            flat = np.concatenate([tokens[i] for i in members])
+            order = np.argsort(flat, kind="stable")
+            flat, holder = flat[order], np.repeat(np.arange(len(members)), size)[order]
+            for i in queries:
+                x = tokens[i]
+                a, b = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+                n = b - a
+                at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                both = np.bincount(holder[at], minlength=len(members))
+                hit = np.flatnonzero(100 * both >= percent * (len(x) + size - both))
+                if len(hit):
+                    found.append((int(sids[i]), int(sids[members[hit[0]]])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def _open(bounded: DataFrame, rare: DataFrame, whole: DataFrame, all_sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the bounded sets with members of the components opened for them, in blocks of both."""
+    bounded = stored(bounded, "opened")
+    asked = bounded.groupBy("grp").agg(F.count("*").alias("asking"))
+    member = asked.join(whole.withColumnRenamed("component", "grp"), "grp", "left").select("grp", "asking", F.coalesce("node", "grp").alias("sid"))
+    blocks = member.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("mine"), F.ceil(F.max("asking") / BLOCK).cast("int").alias("theirs"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("sid"), F.col(n)).cast("int")
+    members = member.select("grp", "sid").join(blocks, "grp").select("grp", "sid", F.lit(1).alias("side"), place("mine").alias("m"), every("theirs").alias("q"))
+    queries = bounded.join(blocks, "grp").select("grp", "sid", F.lit(0).alias("side"), place("theirs").alias("q"), every("mine").alias("m"))
+    held = members.unionByName(queries).join(all_sets.select("sid", "tokens"), "sid").select("grp", "m", "q", "side", "sid", "tokens")
+    return held.groupBy("grp", "m", "q").applyInArrow(_links_in_block(percent), "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, part: float = SAMPLED) -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id."""
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -24,7 +24,7 @@ from ledgerproof.llm.textscan import mix, pieces, row_bounds, scan
 SILENT = np.uint32(0xFFFFFFFF)  # asks for no reply
 HASHES, TEXTS, MARKS = 0, 1, 2
 PACKED = "part int, kind int, chunk long, a binary, b binary"
-CHUNK = 4 << 20
+CHUNK = 3 << 20
 
 #: (word hashes, row bounds, batch rows' marks or None) -> (indices of words, their hashes, keys of the rows or None to keep them)
 Emit = Callable[[np.ndarray, np.ndarray, list | None], tuple[np.ndarray, np.ndarray, np.ndarray | None]]

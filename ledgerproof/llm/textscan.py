@@ -65,7 +65,7 @@ def pieces(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Itera
         first = last
 
 
-def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 2 * CHUNK_BYTES, separators: np.ndarray = _IS_SPACE,
+def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 1 << 20, separators: np.ndarray = _IS_SPACE,
          prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start byte, end byte, hash) of every word; with lower, hashes are of A-Z lower-cased words.
 
