@@ -8,10 +8,10 @@
    with it form a star, the rest stay alone.
 4. Token-group matrix: rows (shingle, group) of the rarest shingles of each group's members. A set that links with a member
    shares a number of these with the group that grows with its size (``least_shared``), which bounds the overlap. Groups
-   that qualify are opened: the set is compared with their members that share as much. Leaders come first; their links
-   merge groups into components.
-5. Then all sets against the components they are not in. Only pairs still apart are opened: copies of one text cost one
-   comparison each, not one per pair, and no link between components is missed.
+   that qualify are opened in blocks, and the set is compared with their members, from the side of the group with fewer
+   members. One link of a set with a group suffices, so copies of one text never cost one comparison per pair of texts
+   that are in one star, and no link between groups is missed.
+5. Links within stars and between them are joined to components.
 
 The order "rarest first" comes from a count sketch of fixed size; any order gives the same links.
 
@@ -152,14 +152,6 @@ def _similar_size(x: str, y: str, percent: int) -> str:
     return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
 
 
-def _verify(pairs: DataFrame, all_sets: DataFrame, percent: int) -> DataFrame:
-    """Links among pairs (a, b) of sids."""
-    b = all_sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tokens_b"))
-    a = all_sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), "tokens")
-    both = pairs.join(a, "a").join(b, "b").where(_similar_size("na", "nb", percent)).select("a", "b", "tokens", "tokens_b")
-    return both.mapInArrow(_linked(percent), "a long, b long")
-
-
 def _sketch(all_sets: DataFrame) -> np.ndarray:
     """Approximate number of sets per hash cell; a fixed 4 MB, however large the corpus."""
 
@@ -218,20 +210,6 @@ def _rarest(cells, percent: int):
     return run
 
 
-def _qualify(queries: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a set and one of a group it is not in, of the same size or larger, that share enough to be opened.
-
-    The matrix row of a shingle names the groups whose sets hold it; its column counts bound a query's overlap with a group.
-    """
-    matrix = rare.groupBy("token", "grp").agg(F.max("n").alias("largest"))
-    small = queries.where("small").select("token", F.col("sid").alias("a"), F.col("grp").alias("own"), F.col("n").alias("na"), "need")
-    bound = small.join(matrix, "token").where("own <> grp AND largest >= na").groupBy("a", "grp").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need")
-    opened = small.join(bound.select("a", "grp"), "a").select("token", "a", "na", "need", "grp")
-    members = rare.select("token", "grp", F.col("sid").alias("b"), F.col("n").alias("nb"))
-    pairs = opened.join(members, ["token", "grp"]).where("na < nb OR (na = nb AND a < b)").where(_similar_size("na", "nb", percent))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("a", "b")
-
-
 def set_components(all_sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the sets (sid, n, typical, grp, tokens) that link with another."""
     spark = all_sets.sparkSession
@@ -243,20 +221,14 @@ def set_components(all_sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     cells = spark.sparkContext.broadcast(_sketch(all_sets))
     rare = all_sets.select("sid", "tokens").mapInArrow(_rarest(cells, percent), "token long, sid long, n int, need int, small boolean")
     shared = rare.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
-    star = links.select(F.col("b").alias("sid"), F.col("a").alias("grp"))
-    rare = stored(rare.join(shared, "token", "left_semi").join(star, "sid", "left").withColumn("grp", F.coalesce("grp", "sid")), "rare-shingles")
-
-    # Leaders against leaders: most links between groups are found here.
-    heads = rare.where("sid = grp")
-    links = stored(links.unionByName(_verify(_qualify(heads, heads, percent), all_sets, percent)), "leader-links")
-    whole = stored(components(links), "components")
+    whole = stored(links.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()), "stars")
 
-    # Sets against the components they are not in, from the side of the component with fewer members.
+    # Sets against the stars they are not in, from the side of the star with fewer members.
     sizes = whole.groupBy("component").agg(F.count("*").alias("members"))
-    named = rare.drop("grp").join(whole.join(sizes, "component").withColumnRenamed("node", "sid"), "sid", "left")
+    named = rare.join(shared, "token", "left_semi").join(whole.join(sizes, "component").withColumnRenamed("node", "sid"), "sid", "left")
     named = stored(named.select("token", "sid", "n", "need", "small", F.coalesce("component", "sid").alias("grp"), F.coalesce("members", F.lit(1)).alias("members")), "rare-shingles")
     late = stored(_open(_bounded(named), named, whole, all_sets, percent), "late-links")
-    return whole if late.isEmpty() else components(links.unionByName(late))
+    return components(links.unionByName(late))
 
 
 def _bounded(rare: DataFrame) -> DataFrame:
