@@ -22,8 +22,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("x"), F.col("low").alias("y")).where("x <> y").unionByName(low.select(F.col("a").alias("x"), F.col("low").alias("y")))
         after = stored(small.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "small-star")
-        # Done when every node has one link and no target is itself linked on: all components are stars.
-        flat = after.join(after.select(F.col("a").alias("t")), F.col("b") == F.col("t"), "left_semi").isEmpty()
+        # Done when every node has one link (no node has two roots) and no target is itself linked on: all components are stars.
+        flat = after.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty() and after.join(after.select(F.col("a").alias("t")), F.col("b") == F.col("t"), "left_semi").isEmpty()
         links = after
         if flat:
             break

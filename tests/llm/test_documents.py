@@ -151,6 +151,22 @@ def test_components(spark):
     assert found == {i: find(i) for a, b in links if a != b for i in (a, b)}
 
 
+def test_components_with_two_roots(spark):
+    """After one round node 5 is linked to both roots, which no link of a target shows."""
+    links = spark.createDataFrame([(2, 5), (5, 6), (6, 7), (7, 1)], "a long, b long")
+    assert {x.node: x.component for x in components(links).collect()} == dict.fromkeys([1, 2, 5, 6, 7], 1)
+
+
+@pytest.mark.parametrize("shape, size, seed", [("path", 5, 3), ("path", 8, 10), ("path", 12, 47), ("tree", 7, 11), ("tree", 12, 66)])
+def test_components_of_shuffled_graphs(spark, shape, size, seed):
+    """Paths and random trees with shuffled node numbers, each alone: the round that ends one graph's work would hide another's."""
+    rng = random.Random(seed)
+    nodes = rng.sample(range(size), size)
+    links = [(nodes[i], nodes[i - 1 if shape == "path" else rng.randrange(i)]) for i in range(1, size)]
+    found = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == dict.fromkeys(range(size), 0)
+
+
 @pytest.mark.parametrize("operator", [jaccard_join.jaccard_components, substring_dedup.remove_repeats, exact_dedup.exact_duplicates, exact_dedup.keep_first, mixing.mix, mixing.mixed,
                                       quality_rules.judge, quality_rules.keep_good, jaccard_join.keep_one, lambda d: packing.pack(packing.token_pieces(d))])
 def test_empty_table(spark, operator):
