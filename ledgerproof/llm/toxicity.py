@@ -1,16 +1,16 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, through a block-max inverted index.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, through an inverted index.
 
-Terms are words (runs of letters and digits, A-Z lower-cased) and beginnings of words; those that go with the label on the
-labelled sample (chi-square) are indexed, all other words of a text together are one more term. Examples are sorted by
-their strongest term and cut into blocks; each term has a posting list and its largest weight per block. A query adds up
-these maxima to bounds per block, scores the blocks with the best bounds, and then every block whose bound reaches the
-k-th best cosine, so the k nearest are exact. Votes weighted by cosine are calibrated with a logistic curve fitted on the
-examples themselves, each left out of its own vote. The nearest examples are the evidence.
+Terms are words (runs of letters and digits, A-Z lower-cased) and beginnings of words. Every term of the labelled sample is
+indexed with an inverse document frequency of its own; a term that no example has counts in a text's length as one that one
+example has, so a text is as long as an example equal to it and their cosine is 1. A query adds up the posting lists of all
+its terms, so the k nearest are exact. Votes weighted by cosine, the largest cosine to an example of label 1 and the summed
+log odds of terms that go with label 1 (weighted by chi-square, no term cut off) are calibrated with a logistic curve fitted
+on the examples themselves, each left out of its own vote and counts. The nearest examples are the evidence.
 
-The index is built from at most ``LABELLED`` documents of the learning folds, ``TERMS`` terms; it is small by these bounds
-and broadcast. Every text is scored whole.
+The index is built from at most ``LABELLED`` documents of the learning folds; it is small by this bound and broadcast.
+Every text is scored whole.
 
-Nulls: null, empty and blank texts have no terms and get the calibrated score of a text without evidence. Without labels
+Nulls: null, empty and blank texts have no terms and get the calibrated score of a text without evidence; so does a text that shares no term with any example. Without labels
 of both kinds the score is the share of label 1 (0.5 if there is none). Repeated rows score alike. Extra columns are ignored.
 """
 
@@ -25,25 +25,38 @@ from pyspark.sql import functions as F
 
 from ledgerproof.llm.base import in_fold, python_workers, stored, table
 from ledgerproof.llm.labelled import labelled_sample, logistic, probability
-from ledgerproof.llm.textscan import NOT_ALNUM, owners, pieces, row_bounds, scan
+from ledgerproof.llm.textscan import NOT_ALNUM, pieces, row_bounds, scan
 
 NAME = "op2_toxicity"
-LABELLED, TERMS, LEAST_DF = 4000, 800, 4
+LABELLED = 4000
 PREFIXES = (4, 5, 6, 7, 8)
-NEAREST, BLOCK = 20, 64
+NEAREST = 20
+EVIDENCE_CHI = 60.0  # chi-square at which a term's log odds count a quarter
 SQL = None
 
 
-def term_counts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, rows, words per row, row of each term occurrence, its hash) per piece of a text column."""
+def term_counts(texts: pa.Array) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(first row, distinct terms and how often each occurs, for every row) per piece of a text column."""
     for first, data, offsets in pieces(texts):
         starts, _, hashes = scan(data, offsets, True, separators=NOT_ALNUM, prefixes=PREFIXES)
-        bounds = row_bounds(starts, offsets)
-        yield first, len(offsets) - 1, np.diff(bounds), owners(bounds), hashes
+        bounds = row_bounds(starts, offsets).tolist()
+        found = []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            flat = hashes[a:b].ravel()
+            found.append(np.unique(flat[flat != 0], return_counts=True))
+        yield first, found
+
+
+def evidence_weight(p: np.ndarray, df: np.ndarray, pos: np.ndarray | float, neg: np.ndarray | float) -> np.ndarray:
+    """Log odds for label 1 of a term in p of pos and df - p of neg examples, shrunk by its chi-square; 0 if it goes with 0."""
+    m, n = df - p, pos + neg
+    chi = n * (p * (neg - m) - m * (pos - p)) ** 2 / np.maximum(df * (n - df + 1) * pos * neg, 1)
+    odds = np.log((p + 0.5) / (pos + 1)) - np.log((m + 0.5) / (neg + 1))
+    return np.where(df > 0, np.maximum(odds, 0) * (chi / (chi + EVIDENCE_CHI)) ** 2, 0)
 
 
 class Index:
-    """Unit TF-IDF vectors of the examples by term, in blocks. Term number ``len(terms)`` is any other word."""
+    """Unit TF-IDF vectors of the examples by term. Term number ``len(terms)`` counts ``others``, if there are any."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, others: np.ndarray, labels: np.ndarray, names: list[str]):
         self.terms, self.idf = terms, np.append(idf, OTHER_IDF)
@@ -52,53 +65,36 @@ class Index:
         weight = self.weight(term, tf)
         norm = np.sqrt(np.bincount(doc, weight**2, n))
         weight = weight / np.where(norm > 0, norm, 1)[doc]
-        strongest = np.full(n, len(terms))
-        order = np.argsort(weight, kind="stable")
-        strongest[doc[order]] = term[order]
-        place = np.empty(n, np.int64)
-        place[np.lexsort((labels, strongest))] = np.arange(n)
-        doc = place[doc]
         keep = weight > 0
         order = np.lexsort((doc[keep], term[keep]))
         self.doc, self.weights, term = doc[keep][order], weight[keep][order], term[keep][order]
         self.at = np.searchsorted(term, np.arange(len(terms) + 2))
-        self.blocks = -(-n // BLOCK)
-        self.block_max = np.zeros((len(terms) + 1, self.blocks))
-        np.maximum.at(self.block_max, (term, self.doc // BLOCK), self.weights)
-        self.labels = np.empty(n, np.int64)
-        self.labels[place] = labels
-        self.names = np.empty(n, object)
-        self.names[place] = names
-        self.n, self.place = n, place
+        self.n, self.labels, self.names = n, labels, names
+        self.leaning = np.zeros(len(terms))
         self.curve: np.ndarray | None = None
 
     def weight(self, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * self.idf[term]
 
-    def nearest(self, term: np.ndarray, tf: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def numbers(self, hashes: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """(term numbers, counts, squared weight of the terms that no example has)."""
+        if not len(self.terms):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0
+        place = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        hit = self.terms[place] == hashes
+        return place[hit], tf[hit], float((((1 + np.log(tf[~hit])) * np.log(self.n + 1)) ** 2).sum())
+
+    def nearest(self, term: np.ndarray, tf: np.ndarray, leave: slice | None = None, unseen: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the nearest with a positive cosine, best first; exact."""
         q = self.weight(term, tf)
-        q = q / max(np.sqrt((q**2).sum()), 1e-12)
-        bounds = q @ self.block_max[term]
-        scores = np.zeros(self.n)
-        lists = [slice(a, b) for a, b in zip(self.at[term].tolist(), self.at[term + 1].tolist())]
-        opened = np.zeros(self.blocks, bool)
-
-        def open_blocks(chosen: np.ndarray) -> None:
-            fresh = np.zeros(self.blocks, bool)
-            fresh[chosen] = True
-            for weight, own in zip(q.tolist(), lists):
-                doc = self.doc[own]
-                use = fresh[doc // BLOCK]
-                scores[doc[use]] += weight * self.weights[own][use]
-            opened[chosen] = True
-
-        open_blocks(np.argsort(-bounds, kind="stable")[:max(1, 2 * NEAREST // BLOCK + 1)])
-        if leave >= 0:
-            scores[leave] = 0
-        kth = np.partition(scores, -NEAREST)[-NEAREST] if self.n > NEAREST else 0.0
-        open_blocks(np.flatnonzero(~opened & (bounds >= kth) & (bounds > 0)))
-        if leave >= 0:
+        q = q / max(np.sqrt((q**2).sum() + unseen), 1e-12)
+        first, last = self.at[term], self.at[term + 1]
+        lists = list(zip(first.tolist(), last.tolist()))
+        if not lists:
+            return np.zeros(0, np.int64), np.zeros(0)
+        weights = np.concatenate([self.weights[a:b] for a, b in lists]) * np.repeat(q, last - first)
+        scores = np.bincount(np.concatenate([self.doc[a:b] for a, b in lists]), weights, self.n)
+        if leave is not None:
             scores[leave] = 0
         best = np.lexsort((np.arange(self.n), -scores))[:NEAREST] if self.n <= 4 * NEAREST else _top(scores)
         best = best[scores[best] > 0]
@@ -124,61 +120,36 @@ def _top(scores: np.ndarray) -> np.ndarray:
     return best[np.lexsort((best, -scores[best]))]
 
 
-def _row_terms(terms: np.ndarray, words: np.ndarray, row: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row cuts, term numbers, counts, other words per row) of the indexed terms."""
-    place = np.minimum(np.searchsorted(terms, hashes), max(0, len(terms) - 1))
-    hit = (terms[place] == hashes) & (hashes != 0) if len(terms) else np.zeros(hashes.shape, bool)
-    others = words - np.bincount(row[hit.any(1)], minlength=rows)
-    r, c = np.nonzero(hit)
-    pairs, counts = np.unique(row[r] * (len(terms) + 1) + place[r, c], return_counts=True)
-    own = pairs // (len(terms) + 1)
-    return np.searchsorted(own, np.arange(rows + 1)), pairs % (len(terms) + 1), counts, others
-
-
-def build_index(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, most_terms: int = TERMS) -> Index | float:
+def build_index(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Index | float:
     """The calibrated index, or the share of label 1 if the sample does not have both labels."""
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, rows, words, row, hashes in term_counts(batch.column(1)):
-                flat, own = hashes.ravel(), np.repeat(row, hashes.shape[1])
-                use = flat != 0
-                order = np.lexsort((flat[use], own[use]))
-                flat, own = flat[use][order], own[use][order]
-                new = np.flatnonzero(np.append(True, (flat[1:] != flat[:-1]) | (own[1:] != own[:-1]))) if len(flat) else np.zeros(0, np.int64)
-                tf = np.diff(np.append(new, len(flat)))
-                at = np.append(own[new], np.arange(rows))  # and a row without a term for each document
-                part = batch.slice(first, rows)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), part.column(2).take(pa.array(at)), pa.array(np.append(flat[new], np.zeros(rows, np.uint64)).view(np.int64)),
-                                                  pa.array(np.append(tf, words), pa.int64())], ["doc", "label", "term", "tf"])
-
-    sample = python_workers(labelled_sample(docs, labels, "toxic", bound).select("doc", "text", "label"))
-    seen = stored(sample.mapInArrow(occurrences, "doc string, label int, term long, tf long"), "toxic-terms")
-    whole = seen.where("term = 0").groupBy("doc").agg(F.max("label").alias("label"), F.max("tf").alias("words")).orderBy("doc").collect()
-    y = np.array([x.label for x in whole])
-    if not len(whole) or y.min() == y.max():
-        return float(y.mean()) if len(whole) else 0.5
-    pos, neg = int(y.sum()), int((1 - y).sum())
-    counts = seen.where("term <> 0").groupBy("term").agg(F.countDistinct(F.when(F.col("label") == 1, F.col("doc"))).alias("p"), F.countDistinct("doc").alias("df")).where(f"df >= {LEAST_DF}")
-    n, a = float(pos + neg), F.col("p").cast("double")
-    b, c, d = F.col("df") - a, F.lit(float(pos)) - a, F.lit(float(neg)) - (F.col("df") - a)
-    chi = n * F.pow(a * d - b * c, F.lit(2.0)) / (F.col("df") * (n - F.col("df") + 1) * pos * neg)
-    chosen = counts.where(a * neg > b * pos).withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(most_terms).select("term", "df").collect()
-    terms = np.array(sorted(np.int64(x.term).astype(np.uint64) for x in chosen), np.uint64)
-    df = {np.int64(x.term).astype(np.uint64): x.df for x in chosen}
-    idf = np.log((n + 1) / np.array([df[t] for t in terms])) if len(terms) else np.zeros(0)
-    rows = seen.where(F.col("term").isin([x.term for x in chosen])).select("doc", "term", "tf").collect() if len(chosen) else []
-    number = {x.doc: i for i, x in enumerate(whole)}
-    doc = np.array([number[x.doc] for x in rows], np.int64)
-    term = np.searchsorted(terms, np.array([x.term for x in rows], np.int64).astype(np.uint64))
-    tf = np.array([x.tf for x in rows], np.int64)
-    # Words are counted by their own term or by one of their beginnings; the rest is approximated from below by zero.
-    others = np.maximum(np.array([x.words for x in whole]) - np.bincount(doc, tf, len(whole)).astype(np.int64), 0)
-    index = Index(terms, idf, doc, term, tf, others, y, [x.doc for x in whole])
-    order = np.argsort(doc, kind="stable")
-    cuts = np.searchsorted(doc[order], np.arange(len(whole) + 1))
-    signals = np.array([index.signals(*index.nearest(np.append(term[order[p:q]], len(terms)), np.append(tf[order[p:q]], others[i]), int(index.place[i]))) for i, (p, q) in enumerate(zip(cuts[:-1], cuts[1:]))])
-    index.curve = logistic(signals, y, 0.1)
+            for first, found in term_counts(batch.column(1)):
+                part, cuts = batch.slice(first, len(found)), pa.array(np.cumsum([0, *(len(t) for t, _ in found)]), pa.int32())
+                terms, tf = (np.concatenate([x[i] for x in found]).astype(np.int64) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(cuts, pa.array(terms)), pa.ListArray.from_arrays(cuts, pa.array(tf))], ["doc", "label", "terms", "tf"])
+
+    # Repeated rows are one example; texts that share an id are examples that leave each other out.
+    sample = python_workers(labelled_sample(docs, labels, "toxic", bound).select("doc", "text", "label").distinct())
+    seen = stored(sample.mapInArrow(occurrences, "doc string, label int, terms array<long>, tf array<long>"), "toxic-terms").toArrow().combine_chunks()
+    seen = seen.take(pa.array(sorted(range(len(seen)), key=lambda i, d=seen["doc"].to_pylist(), t=seen["terms"]: (d[i], t[i].values.to_numpy().tobytes())), pa.int64()))
+    y = np.array(seen["label"].to_pylist(), np.int64)
+    if not len(y) or y.min() == y.max():
+        return float(y.mean()) if len(y) else 0.5
+    names, n = np.array(seen["doc"].to_pylist(), object), len(y)
+    hashes, tf = (seen[c].combine_chunks().flatten().to_numpy() for c in ("terms", "tf"))
+    cuts = np.append(0, np.cumsum([len(t) for t in seen["terms"]]))
+    doc = np.repeat(np.arange(n), np.diff(cuts))
+    terms, term = np.unique(hashes.view(np.uint64), return_inverse=True)
+    df, p = np.bincount(term, minlength=len(terms)), np.bincount(term, y[doc], len(terms))
+    index = Index(terms, np.log((n + 1) / df), doc, term, tf, np.zeros(n, np.int64), y, names.tolist())
+    pos, neg = float(y.sum()), float((1 - y).sum())
+    index.leaning = evidence_weight(p, df, pos, neg)
+    own = y[doc]
+    leaning = np.bincount(doc, evidence_weight(p[term] - own, df[term] - 1, pos - own, neg - 1 + own), n)
+    same = [slice(int(a), int(b)) for a, b in zip(np.searchsorted(names, names, "left"), np.searchsorted(names, names, "right"))]
+    index.curve = logistic(np.array([[*index.signals(*index.nearest(term[a:b], tf[a:b], same[i])), leaning[i]] for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]), y, 0.1)
     return index
 
 
@@ -193,13 +164,14 @@ def score_texts(docs: DataFrame, index: Index | float) -> DataFrame:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([index] * n, pa.float64()), pa.array([None] * n, pa.string()), pa.array([None] * n, pa.float64())], ["doc_id", "held_out", "score", "evidence", "cosine"])
                 continue
-            for first, rows, words, row, hashes in term_counts(batch.column(2)):
-                cuts, term, tf, others = _row_terms(index.terms, words, row, hashes, rows)
-                signals, evidence, cosines = np.zeros((rows, 2)), [None] * rows, [None] * rows
-                for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                    if b > a:
-                        best, near = index.nearest(np.append(term[a:b], len(index.terms)), np.append(tf[a:b], others[i]))
-                        signals[i] = index.signals(best, near)
+            for first, found in term_counts(batch.column(2)):
+                rows = len(found)
+                signals, evidence, cosines = np.zeros((rows, 3)), [None] * rows, [None] * rows
+                for i, (hashes, counts) in enumerate(found):
+                    term, tf, unseen = index.numbers(hashes, counts)
+                    best, near = index.nearest(term, tf, unseen=unseen)
+                    if len(best):
+                        signals[i] = *index.signals(best, near), index.leaning[term].sum()
                         evidence[i], cosines[i] = index.names[best[0]], float(near[0])
                 part = batch.slice(first, rows)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(probability(signals, index.curve)), pa.array(evidence, pa.string()), pa.array(cosines, pa.float64())], ["doc_id", "held_out", "score", "evidence", "cosine"])

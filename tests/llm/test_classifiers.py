@@ -72,6 +72,20 @@ def test_nearest_is_exact():
         assert np.allclose(found, best[best > 1e-15][:len(found)]) and len(found) == min((cosines > 1e-15).sum(), toxicity.NEAREST)
 
 
+def test_every_text_finds_its_own_example(spark):
+    """Also texts without a word that goes with label 1; and a text equal to an example has cosine 1."""
+    rng = random.Random(6)
+    rows = [(i, " ".join([f"w{rng.randrange(10**6)}" for _ in range(30)] + ["vile"] * (i % 4 == 0))) for i in range(120)]
+    docs = documents(spark, rows)
+    index = toxicity.build_index(docs, spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(120)], "doc_id long, toxic int"))
+    again = documents(spark, [(1000 + i, t) for i, t in rows] + [(9, "none of these")])
+    found = {x.doc_id: x for x in toxicity.score_texts(again, index).collect()}
+    learned = [i for i in range(120) if str(i) in index.names]
+    assert len(learned) > 60
+    assert all(found[1000 + i].evidence == str(i) and abs(found[1000 + i].cosine - 1) < 1e-9 for i in learned)
+    assert found[9].evidence is None and found[9].cosine is None
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(1)
     row = np.repeat([0, 1, 3, 4], [4, 1, 6, 3])
