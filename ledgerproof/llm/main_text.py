@@ -31,7 +31,9 @@ LABELLED = 500
 SQL = None
 
 # Element names by role, and words of class, id and role attributes.
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "canvas", "select", "math", "head")
+RAW = ("script", "style", "textarea", "iframe", "title")
+SKIPPED = {"noscript", "template", "svg", "object", "canvas", "select", "math"}  # elements whose content is no text of the page
+HEAD = {"base", "link", "meta", "noscript", "template"}  # besides raw ones; anything else ends the head
 NEVER = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "label"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "dd", "dt", "td", "th", "figcaption", "caption"}
@@ -71,13 +73,26 @@ def _is_never(name: str, attrs: str, stack: list) -> bool:
     return any(p.lower() in _NEVER_WORDS for groups in _NAMED.findall(attrs) for p in _PARTS.findall("".join(groups)))
 
 
+def _breaks_out(name: str, skip: list[str]) -> bool:
+    """Whether an element cannot lie in the skipped ones, so that these were left unclosed."""
+    if name in HEADLESS or name == "body":
+        return True
+    return skip[0] in ("svg", "math", "select") and name in BLOCKS and "foreignobject" not in skip
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; tags between blocks are kept with the block that follows them."""
     stack: list[tuple[str, int, bool]] = []  # name, number of the element, never
     out, number, last, linked, articles = [], 0, 0, 0, 0
     block = Block((), False, "", False)
+    skip: list[str] = []  # the skipped element and those open in it
+    head = False
 
     def text(value: str) -> None:
+        nonlocal head
+        if skip or (head and value.isspace()):
+            return
+        head = False
         if value and not value.isspace():
             n = len(entities.unescape(value).split())
             block.words += n
@@ -92,6 +107,26 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m["close"])
+        empty = name in VOID or m["attrs"].endswith("/")
+        if skip:
+            if closing and name in skip:
+                del skip[len(skip) - 1 - skip[::-1].index(name):]
+                continue
+            if not (any(s[0] == name for s in stack) if closing else _breaks_out(name, skip)):
+                if not closing and not empty:
+                    skip.append(name)
+                continue
+            skip.clear()
+        if name == "head":
+            head = not closing
+            continue
+        if head and (closing or name in HEAD - SKIPPED):
+            continue
+        head = head and name in HEAD
+        if name in SKIPPED:
+            if not closing and not empty:
+                skip.append(name)
+            continue
         if name == "a":
             linked = 0 if closing else 1
         if name not in BLOCKS:

@@ -26,6 +26,17 @@ def test_odd_pages(page, text):
     assert main_text.article(page, main_text.DEFAULT) == text
 
 
+BODY = "<article><p>Words of the article.</p><p>And its end.</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><body>{BODY}", f"<html><head><title>T</title><meta charset=x>{BODY}", f"<head><noscript><img src=x>no</noscript><title>T</title></head>{BODY}",
+    *[f"<body><{name} a='b'/>{BODY}<{name}>no</{name}>" for name in ("svg", "math", "object", "canvas", "select")],
+    f"<body><svg><path d=x>{BODY}", f"<body><div><object data=x>no</div>{BODY}", f"<body><div><select><option>no</div>{BODY}", f"<body><svg><svg>no</svg>no</svg>{BODY}", f"<object><object>no</object><p>no</object>{BODY}"])
+def test_unclosed_elements_keep_the_page(page):
+    assert main_text.article(page, main_text.DEFAULT) == "Words of the article.\nAnd its end."
+
+
 def test_long_page_is_linear():
     page = "<div>" + "".join(f"<p>{'word ' * 20}{i}</p>" for i in range(20_000)) + "</div>"
     assert main_text.article(page, main_text.DEFAULT).count("\n") == 19_999
