@@ -45,8 +45,13 @@ HEADLESS = {"article", "main"}  # a header element inside these holds the headli
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)  # as an attribute, looked for without quoted values
+_HIDDEN_STYLE = re.compile(r"(?:^|\s)(?:style\s*=\s*(?:\"[^\"]*?|'[^']*?|[^\s\"'>]*?)display\s*:\s*none|aria-hidden\s*=\s*[\"']?true)", re.I)
 _NEVER_WORDS = frozenset(NEVER_WORDS)
+_ABOUT = re.compile(r"(?:has|have|no|not|with|without|hide|show|is)(?:[-_]|(?=[A-Z]))")  # a token that tells of another element
+TALK = {"comment", "comments", "replies", "respond", "disqus"}  # long, and still not the article
+WRAPPER = ["wrapper"] * 3  # what a wrapper named like a menu or sidebar costs a run that enters it
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 KNOWN_TAGS = BLOCKS | VOID | {"a", "b", "i", "em", "strong", "span", "u", "small", "sup", "sub", "code"}
 DEFAULT = {"word": 1.0, "short": 0.6, "link": 0.1, "never": -1.0, "tag": -0.6}
@@ -68,9 +73,17 @@ def _is_never(name: str, attrs: str, stack: list) -> bool:
         return not (name == "header" and any(s[0] in HEADLESS for s in stack))
     if name in ("html", "body", "main", "article") or not attrs:
         return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(p.lower() in _NEVER_WORDS for groups in _NAMED.findall(attrs) for p in _PARTS.findall("".join(groups)))
+    return _is_hidden(attrs) or bool(_never_words(attrs))
+
+
+def _is_hidden(attrs: str) -> bool:
+    return bool(_HIDDEN.search(_QUOTED.sub("''", attrs)) or _HIDDEN_STYLE.search(attrs))
+
+
+def _never_words(attrs: str) -> set[str]:
+    """Words of class, id and role tokens that name something else than text; has-sidebar and the like name no sidebar."""
+    tokens = (t for groups in _NAMED.findall(attrs) for t in "".join(groups).split() if not _ABOUT.match(t))
+    return {p.lower() for t in tokens for p in _PARTS.findall(t) if p.lower() in _NEVER_WORDS}
 
 
 def _breaks_out(name: str, skip: list[str]) -> bool:
@@ -81,7 +94,34 @@ def _breaks_out(name: str, skip: list[str]) -> bool:
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order; tags between blocks are kept with the block that follows them."""
+    """The page's text blocks in order; tags between blocks are kept with the block that follows them.
+
+    An element that is never text by its class alone stays, at a cost, if it holds the article or main element or most of the
+    page's paragraph words, and no such element lies outside it.
+    """
+    found, named, holders = _blocks(page, frozenset())
+    if not named:
+        return found
+    below, total = Counter(), 0
+    for block in found:
+        if block.name == "p" and not any(name in NEVER for name, _ in block.path):
+            total += block.words
+            for _, number in block.path:
+                below[number] += block.words
+    inside = Counter(number for path in holders for number in path)
+    ends = {path[-1] for path in holders}
+    kept = set()
+    for number, (words, path) in named.items():
+        outside = len(holders) - inside[number] - sum(n in ends for n in path)
+        if not outside and not words & TALK and (inside[number] or 2 * below[number] > total):
+            kept.add(number)
+    return _blocks(page, frozenset(kept))[0] if kept else found
+
+
+def _blocks(page: str, kept: frozenset[int]) -> tuple[list[Block], dict[int, tuple[set[str], tuple[int, ...]]], list[tuple[int, ...]]]:
+    """Blocks, never words and ancestors of each element that is never text by its class, and the numbers from the root to each article or main."""
+    named: dict[int, tuple[set[str], tuple[int, ...]]] = {}
+    holders: list[tuple[int, ...]] = []
     stack: list[tuple[str, int, bool]] = []  # name, number of the element, never
     out, number, last, linked, articles = [], 0, 0, 0, 0
     block = Block((), False, "", False)
@@ -153,7 +193,15 @@ def blocks(page: str) -> list[Block]:
                     if stack[i][0] not in ("p", "span"):
                         break
             number += 1
-            stack.append((name, number, (bool(stack) and stack[-1][2]) or _is_never(name, m["attrs"], stack)))
+            never = _is_never(name, m["attrs"], stack)
+            if never and name not in NEVER and not _is_hidden(m["attrs"]):
+                named[number] = _never_words(m["attrs"]), tuple(x[1] for x in stack)
+            if number in kept:
+                never = False
+                tags.extend(WRAPPER)
+            stack.append((name, number, (bool(stack) and stack[-1][2]) or never))
+            if name in HEADLESS:
+                holders.append(tuple(x[1] for x in stack))
             linked = 0
         block = Block(tuple(s[:2] for s in stack), bool(stack) and stack[-1][2], stack[-1][0] if stack else "", any(s[0] == "article" for s in stack))
         block.tags = tags
@@ -163,7 +211,7 @@ def blocks(page: str) -> list[Block]:
         text(tail[:cut.start()] if cut else tail)
     if block.words:
         out.append(block)
-    return out
+    return out, named, holders
 
 
 def _kind(block: Block) -> str:

@@ -37,6 +37,21 @@ def test_unclosed_elements_keep_the_page(page):
     assert main_text.article(page, main_text.DEFAULT) == "Words of the article.\nAnd its end."
 
 
+@pytest.mark.parametrize("wrapper", ["class='content has-sidebar'", "class='no-sidebar'", "class='post with-comments'", "class='hasSidebar'", "class='search-results'", "class='shareable widget-area main'", "title='a hidden gem'", "data-x='display:none'"])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_wrappers_keep_their_article(wrapper, element):
+    words = "Many words of a story that goes on for a while and then some more of them, "
+    page = f"<body><div class='sidebar'><p>Other things to read today</p></div><div {wrapper}><{element}><p>{words}one.</p><p>{words}two.</p></{element}></div><div class='related-posts'><p>More of it</p></div></body>"
+    assert main_text.article(page, main_text.DEFAULT) == f"{words}one.\n{words}two."
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "hidden=''", "style='color:red;display: none'", "aria-hidden='true'", "class='comments-area'", "class='cookie-notice'"])
+def test_other_elements_stay_out(attrs):
+    story = "<article><p>Words of the article which is here for all to read.</p></article>"
+    page = f"<body>{story}<div {attrs}><p>{'Words that are not of the article. ' * 9}</p></div></body>"
+    assert main_text.article(page, main_text.DEFAULT) == "Words of the article which is here for all to read."
+
+
 def test_long_page_is_linear():
     page = "<div>" + "".join(f"<p>{'word ' * 20}{i}</p>" for i in range(20_000)) + "</div>"
     assert main_text.article(page, main_text.DEFAULT).count("\n") == 19_999
