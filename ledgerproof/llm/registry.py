@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerproof.llm import exact_dedup, jaccard_join, line_quality, main_text, mixing, packing, quality_rules, substring_dedup, toxicity, warc
+from ledgerproof.llm import (exact_dedup, jaccard_join, line_quality, main_text, mixing, packing, quality_rules, ranked_search, substring_dedup, toxicity,
+                             warc)
 
-MODULES = (jaccard_join, quality_rules, exact_dedup, mixing, packing, substring_dedup, warc, main_text, toxicity, line_quality)
+MODULES = (jaccard_join, quality_rules, exact_dedup, mixing, packing, substring_dedup, warc, main_text, toxicity, line_quality, ranked_search)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
