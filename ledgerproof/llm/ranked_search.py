@@ -1,11 +1,13 @@
 """Ranked lexical search: exact largest inner products over sparse ball trees.
 
 A document is a sparse vector of whole-number term scores, a query one of whole-number term weights; a document's score is
-their inner product. Every task builds ball trees over runs of its own documents: a node has the centroid of its documents
-and a radius that holds them all, so no document below it scores more than ``<query, centroid> + |query| * radius``. Both
-sides of that sum are rounded up. Nodes are opened best first; when the best open node cannot reach the query's 20th score
-of the task so far, all others are left closed. Documents of opened leaves are scored in 64-bit integers, so results equal
-those of a full scan. The tasks' lists meet in one ranking per query.
+their inner product. Every task builds ball trees over runs of its own documents: a node has the centroid of its documents,
+a radius that holds them all, and along each term the radius upward from the centroid. No document below it scores more than
+``<query, centroid>`` plus the smaller of ``|query| * radius`` and the query's product with the upward radii; weights are never
+negative. In text the ball alone leaves nearly every node open (documents differ in thousands of terms that a query lacks), the
+radii by term close four of five. Bounds are rounded up. Nodes are opened best first; when the best open node cannot reach the
+query's 20th score of the task so far, all others stay closed. Documents of opened leaves are scored in 64-bit integers, so
+results equal those of a full scan. The tasks' lists meet in one ranking per query.
 
 Queries are taken in blocks of at most ``BLOCK_BYTES`` of text, which bounds what tasks are sent; each block reads the
 documents twice (term statistics, then search). Vectors hold only terms of the block's queries: others add nothing.
@@ -33,8 +35,9 @@ from ledgerproof.llm.textscan import NOT_ALNUM, owners, pieces, row_bounds, scan
 NAME = "op13_ranked_search"
 TOP = 20
 BLOCK_BYTES = 4 << 20  # of query text in one block
-LEAF = 32  # documents in a leaf at most, unless centroids would take more than CENTROIDS numbers
-TREE_DOCS, TREE_ENTRIES, CENTROIDS = 16_384, 2_000_000, 6_000_000
+LEAF = 8  # documents in a leaf at most, unless centroids would take more than CENTROIDS numbers
+TREE_DOCS, TREE_ENTRIES, CENTROIDS = 16_384, 2_000_000, 8_000_000
+POWER = 0.5  # terms are stretched by their weight to this power, so that rare terms shape the tree
 SLACK = 1e-9  # far above the error of any sum of doubles here
 
 SQL = r"""
@@ -110,17 +113,19 @@ def _statistics(terms: np.ndarray) -> Callable:
 
 
 class BallTree:
-    """Nodes over sparse non-negative integer vectors; rows are re-ordered so that a node's documents are one run."""
+    """Nodes over sparse non-negative integer vectors; rows are re-ordered so that a node's documents are one run.
 
-    def __init__(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int, leaf: int = LEAF):
+    Centroids and distances are taken in a space where each term is stretched by ``scale``; queries shrink by it.
+    """
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, scale: np.ndarray, leaf: int = LEAF):
         """Entries must be sorted by row; every row from 0 on must have one."""
-        rows = int(row[-1]) + 1
+        rows, n_terms = int(row[-1]) + 1, len(scale)
         starts = np.searchsorted(row, np.arange(rows + 1))
-        real = value.astype(float)
-        squares = np.add.reduceat(real * real, starts[:-1])
+        self.scale, self._term, self._real, self._starts = scale, term, value * scale[term], starts
+        squares = np.add.reduceat(self._real * self._real, starts[:-1])
         leaf = max(leaf, math.ceil(2 * rows * n_terms / CENTROIDS))
-        order = np.arange(rows)
-        nodes: list[tuple[int, int]] = [(0, rows)]
+        order, nodes = np.arange(rows), [(0, rows)]
         self.children: list[tuple[int, int] | None] = []
         while len(self.children) < len(nodes):
             a, b = nodes[len(self.children)]
@@ -128,55 +133,58 @@ class BallTree:
                 self.children.append(None)
                 continue
             own = order[a:b]
-            products, at = self._gather(own, starts, term, real)
+            take, ends = self._entries(own)
+            held = term[take], self._real[take], ends[:-1]
             # Two documents far apart; the others are halved by which of the two is nearer, so depth is logarithmic.
-            pivot = self._far(products, at, own, squares, int(own[0]), starts, term, real, n_terms)
-            other = self._far(products, at, own, squares, int(pivot), starts, term, real, n_terms)
-            lean = self._dots(products, at, pivot, starts, term, real, n_terms) * 2 - squares[pivot] - (self._dots(products, at, other, starts, term, real, n_terms) * 2 - squares[other])
-            order[a:b] = own[np.argsort(-lean, kind="stable")]
+            one = own[np.argmax(squares[own] - 2 * self._dots(held, own[0]))]
+            to_one = squares[one] - 2 * self._dots(held, one)
+            other = own[np.argmax(squares[own] + to_one)]
+            to_other = squares[other] - 2 * self._dots(held, other)
+            order[a:b] = own[np.argsort(to_one - to_other, kind="stable")]
             middle = (a + b) // 2
             self.children.append((len(nodes), len(nodes) + 1))
             nodes += [(a, middle), (middle, b)]
-        self.rows, self.bounds = order, nodes
-        (take, self.starts) = self._entries(order, starts)
-        self.term, self.value = term[take], value[take]
-        real = real[take]
-        self.centroids, self.radii = np.zeros((len(nodes), n_terms)), np.zeros(len(nodes))
+        take, self.starts = self._entries(order)
+        self.rows, self.bounds, self.term, self.value, real = order, nodes, term[take], value[take], self._real[take]
+        del self._term, self._real, self._starts
+        self.centroids, self.upward, self.radii = np.zeros((len(nodes), n_terms)), np.zeros((len(nodes), n_terms), np.float32), np.zeros(len(nodes))
         for i, (a, b) in enumerate(nodes):
             lo, hi = self.starts[a], self.starts[b]
             centroid = np.bincount(self.term[lo:hi], real[lo:hi], n_terms) / (b - a)
             dots = np.add.reduceat(real[lo:hi] * centroid[self.term[lo:hi]], self.starts[a:b] - lo)
-            sizes = squares[order[a:b]] + centroid @ centroid
             self.centroids[i] = centroid
-            self.radii[i] = math.sqrt(max(0.0, float((sizes * (1 + SLACK) - 2 * dots).max()))) * (1 + SLACK)
+            self.radii[i] = math.sqrt(max(0.0, float(((squares[order[a:b]] + centroid @ centroid) * (1 + SLACK) - 2 * dots).max())))
+            most = np.zeros(n_terms)
+            np.maximum.at(most, self.term[lo:hi], real[lo:hi])
+            self.upward[i] = np.nextafter((most - centroid).astype(np.float32), np.float32(np.inf))
 
-    @staticmethod
-    def _entries(rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = starts[rows + 1] - starts[rows]
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self._starts[rows + 1] - self._starts[rows]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        return np.arange(ends[-1]) + np.repeat(starts[rows] - ends[:-1], sizes), ends
-
-    def _gather(self, rows, starts, term, real):
-        take, at = self._entries(rows, starts)
-        return (term[take], real[take]), at[:-1]
-
-    @staticmethod
-    def _dots(products, at, row, starts, term, real, n_terms):
-        dense = np.zeros(n_terms)
-        dense[term[starts[row]:starts[row + 1]]] = real[starts[row]:starts[row + 1]]
-        return np.add.reduceat(products[1] * dense[products[0]], at)
-
-    def _far(self, products, at, own, squares, row, starts, term, real, n_terms) -> int:
-        return int(own[np.argmax(squares[own] - 2 * self._dots(products, at, row, starts, term, real, n_terms))])
+        return np.arange(ends[-1]) + np.repeat(self._starts[rows] - ends[:-1], sizes), ends
+
+    def _dots(self, held: tuple, row: int) -> np.ndarray:
+        """Inner products of one document with those held."""
+        terms, values, at = held
+        lo, hi = self._starts[row], self._starts[row + 1]
+        dense = np.zeros(len(self.scale))
+        dense[self._term[lo:hi]] = self._real[lo:hi]
+        return np.add.reduceat(values * dense[terms], at)
+
+    def most(self, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What no document below each node exceeds: the nearer of the ball's bound and that of the terms' own radii."""
+        query = weight / self.scale[at]
+        centre = self.centroids[:, at] @ query
+        away = np.minimum(math.sqrt(float(query @ query)) * self.radii, self.upward[:, at] @ query)
+        return (centre + away) * (1 + SLACK) + 1
 
     def search(self, at: np.ndarray, weight: np.ndarray, floor: int, top: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(rows, scores, documents scored): all rows that score at least the ``top``-th best of the tree and ``floor``, and above 0.
 
         More rows than that may come. ``weight`` has the whole weights of the query's terms ``at``.
         """
-        length = math.sqrt(float((weight.astype(float) ** 2).sum()))
-        above = (self.centroids[:, at] @ weight.astype(float)) * (1 + SLACK) + length * self.radii * (1 + SLACK) + 1
-        dense = np.zeros(self.centroids.shape[1], np.int64)
+        above = self.most(at, weight)
+        dense = np.zeros(len(self.scale), np.int64)
         dense[at] = weight
         open_, best, rows, scores, scored = [(-above[0], 0)], [], [], [], 0
         while open_:
@@ -214,7 +222,7 @@ def _search(block: Block, weights: np.ndarray, n_docs: int, n_terms: int, top: i
             if not held:
                 return
             row, term, value, ids, none = (np.concatenate(x) for x in zip(*held))
-            tree = BallTree(row, term, value, len(block.terms), leaf)
+            tree = BallTree(row, term, value, np.maximum(weights, 1).astype(float) ** POWER, leaf)
             for i, (at, repeats) in enumerate(zip(block.at, block.repeats)):
                 scores, own, missing = best[i]
                 found, new, n = tree.search(at, weights[at] * repeats, int(scores[-1]) if len(scores) == top else 0, top)
