@@ -38,7 +38,7 @@ SQL = None
 ORDER = 2
 LEARN_BY, LEFT_OUT = 7, 2  # crc32(doc_id) mod 7 = 2 is never learned from
 FOLD = 16
-CHUNK, RANGE = 8 << 20, 32 << 20  # bytes of text in a chunk and, on average, behind a hash range
+CHUNK, RANGE = 5 << 20, 32 << 20  # bytes of text in a chunk and, on average, behind a hash range
 ROUNDS, SETTLED = 60, 1e-6
 LEVELS = 40  # powers of two of context frequencies
 HELD, LEARNED, DELETED = 0, 1, 2  # roles: scored only; learned from; learned from, and deleted while weights are learned
