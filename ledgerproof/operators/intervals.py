@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def effective_at(point: Column, start: str, end: str) -> Column:
@@ -41,3 +41,35 @@ def interval_join(
     return joined.drop(rows["_bucket"]) if how in ("left_semi", "left_anti") else joined.drop(
         version_key
     ).drop("_bucket")
+
+
+def covered(spans: DataFrame, versions: DataFrame, keys: list[str], name: str = "covered") -> DataFrame:
+    """Spans (keys, first, last and whatever else) with a flag: is some version of the key valid on a day of the span?
+
+    ``versions`` has the keys, start and end. One ordered pass: versions and spans of a key are merged by date, versions by
+    start and spans by last day, and the latest end so far is carried along; a span is covered if that end lies after its
+    first day. An open end is later than all. A key's line of dates is cut into years, each a piece of work of its own that
+    begins with the latest end of the years before it (one row per key and year), so a key with a third of all rows is many
+    tasks. A null key, first or last day is not covered.
+    """
+    ever = F.lit("9999-12-31").cast("date")
+    rest = [c for c in spans.columns if c not in keys]
+    asked = spans.select(*keys, F.col("last").alias("_day"), F.lit(1).alias("_side"), F.lit(None).cast("date").alias("_end"), F.struct(*rest).alias("_row"))
+    valid = versions.dropna(subset=[*keys, "start"])
+    told = valid.select(*keys, F.col("start").alias("_day"), F.lit(0).alias("_side"), F.coalesce("end", ever).alias("_end"))
+    merged = asked.unionByName(told, allowMissingColumns=True).withColumn("_year", F.year("_day"))
+    by_year = valid.groupBy(*keys, F.year("start").alias("_from")).agg(F.max(F.coalesce("end", ever)).alias("_reach"))
+    # What each year that has spans begins with: the same pass over one row per key and year.
+    asked_years = asked.select(*keys, F.year("_day").alias("_from")).distinct().withColumn("_reach", F.lit(None).cast("date"))
+    before = Window.partitionBy(*keys).orderBy("_from").rangeBetween(Window.unboundedPreceding, -1)
+    carried = by_year.unionByName(asked_years).select(*keys, "_from", F.max("_reach").over(before).alias("_carried"))
+    carried = carried.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_from")).agg(F.max("_carried").alias("_carried"))
+    so_far = Window.partitionBy(*keys, "_year").orderBy("_day", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passed = merged.withColumn("_reach", F.max("_end").over(so_far)).where("_side = 1")
+    on = F.expr(" AND ".join([f"{k} <=> _k{i}" for i, k in enumerate(keys)] + ["_year <=> _from"]))
+    reach = F.greatest("_reach", "_carried")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    flag = F.coalesce(known & F.col("_row.last").isNotNull() & (reach > F.col("_row.first")), F.lit(False))
+    return passed.join(carried, on, "left").select(*keys, "_row.*", flag.alias(name))

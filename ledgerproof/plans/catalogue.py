@@ -14,7 +14,7 @@ from ledgerproof.operators.groups import differs_within, set_difference_keys
 from ledgerproof.operators.joins import left_join_null_safe
 from ledgerproof.operators.results import category, stage
 from ledgerproof.schemas import RECORD_ID, RECORD_TYPE
-from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Frame, Group, JoinGroup, RowGroup
+from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Frame, Group, JoinGroup, KeyFacts, RowGroup
 
 ERROR, WARNING, XSD = "Error", "Warning", "XSD"
 
@@ -340,31 +340,31 @@ def membership_groups(settings: Settings, in_table: bool) -> list[DerivedGroup]:
 
 
 def ident_per_filing(ctx: FilingContext) -> DataFrame:
-    """Counts of identity rows per filing, zero for a filing that has none."""
+    """Counts of identity rows per filing, zero for a filing that has none.
+
+    Headers and everything counted meet in one aggregate, which combines on the map side.
+    """
     role, ident = "upper(trim(role))", ctx.table("ident")
     tests = {
         "n_seller": P.is_seller(), "n_agent": P.is_agent(), "n_fa1": "filer_unique_id = 'FA1'",
         "n_seller_role": f"{role} = 'SELLER'", "n_agent_role": f"{role} = 'AGENT'",
         "n_other_role": f"NOT {P.surely(role + ' IN (' + P.listed(['SELLER', 'AGENT']) + ')')}",
+        "n_organizations": "company_name IS NOT NULL", "n_content": "true", "n_registered": "true",
     }
-    counts = ident.groupBy(*FILING_KEYS).agg(*[F.expr(f"count_if({t}) AS {n}") for n, t in tests.items()])
-    organizations = (
-        ident.select(*FILING_KEYS, "company_name").distinct()
-        .groupBy(*FILING_KEYS).agg(F.count("company_name").alias("n_organizations"))
-    )
-    content = [
-        ctx.table(t).groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("n")) for t in ("contracts", "transactions")
-    ]
-    content = content[0].unionByName(content[1]).groupBy(*FILING_KEYS).agg(F.sum("n").alias("n_content"))
-    matched = (
-        ident.join(ctx.table("contacts").select("cid", "contact_name").distinct(), ["cid", "contact_name"], "left_semi")
-        .groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("n_registered"))
-    )
-    wide = ctx.filings
-    for part in (counts, organizations, content, matched):
-        wide = left_join_null_safe(wide, part, FILING_KEYS)
-    measures = [c for c in wide.columns if c.startswith("n_")]
-    return wide.fillna(0, subset=measures).selectExpr("*", "cid AS record_id")
+
+    def part(rows: DataFrame, *names: str, header: str = "CAST(null AS STRING)") -> DataFrame:
+        counted = [f"{f'CAST({tests[n]} AS INT)' if n in names else '0'} AS {n}" for n in tests]
+        return rows.selectExpr(*FILING_KEYS, f"{header} AS filing_type", *counted)
+
+    registered = ident.join(ctx.table("contacts").select("cid", "contact_name").distinct(), ["cid", "contact_name"], "left_semi")
+    merged = part(ctx.filings, header="filing_type")
+    for other in (
+        part(ident, *list(tests)[:6]), part(ident.select(*FILING_KEYS, "company_name").distinct(), "n_organizations"),
+        part(ctx.table("contracts"), "n_content"), part(ctx.table("transactions"), "n_content"), part(registered, "n_registered"),
+    ):
+        merged = merged.unionByName(other)
+    counts = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in tests]
+    return merged.groupBy(*FILING_KEYS).agg(F.max("filing_type").alias("filing_type"), *counts).selectExpr("*", "cid AS record_id")
 
 
 def per_filing_checks() -> list[Check]:
@@ -458,14 +458,6 @@ def changed_publishers(ctx: FilingContext) -> DataFrame:
     return different.selectExpr("*", "cid AS record_id")
 
 
-def sellers_without_fitting_role(ctx: FilingContext) -> DataFrame:
-    """Seller rows of registered companies none of whose registry roles is agent or account manager."""
-    fits = "coalesce(bool_or(lower(role) IN ('agent', 'account manager')), false) AS fits"
-    roles = ctx.table("registry").groupBy("cid").agg(F.expr(fits))
-    rows = ctx.table("ident").filter(P.is_seller()).join(roles, "cid")
-    return rows.filter("NOT fits").selectExpr("*", "filer_unique_id AS record_id")
-
-
 def contacts_with_other_role(ctx: FilingContext) -> DataFrame:
     """Registered contacts that act in a role they are not registered for."""
     contacts = ctx.table("contacts")
@@ -488,48 +480,33 @@ def tariff_not_found(ctx: FilingContext) -> DataFrame:
 CONTRACT_KEYS = [*FILING_KEYS, "contract_unique_id"]
 
 
-def header_types(ctx: FilingContext) -> DataFrame:
-    return ctx.filings.select(*FILING_KEYS, F.col("filing_type").alias("header_type"))
+def distinct_of(table: str, *columns: str, where: str = "true") -> KeyFacts:
+    return KeyFacts(table, {c: c for c in columns}, where)
 
 
-def contract_facts(ctx: FilingContext) -> DataFrame:
-    """One row per contract of a filing: is it new, is it recent, when does its first term end."""
-    facts = {
-        "is_new": "bool_or(filing_type = 'New')",
-        "is_recent": f"bool_or(contract_execution_date >= DATE'{K.STANDARDIZED_SINCE}')",
-        "first_termination": "min(termination_date)",
-    }
-    per_contract = ctx.table("contracts").filter("contract_unique_id IS NOT NULL").groupBy(*CONTRACT_KEYS)
-    return per_contract.agg(*[F.expr(f"{text} AS {name}") for name, text in facts.items()])
-
+HEADER_TYPES = KeyFacts("filings", {k: k for k in FILING_KEYS}, facts={"header_type": ("text", "filing_type")})
 
-def transactions_of_deleted_contracts(ctx: FilingContext) -> DataFrame:
-    """Contract keys that both occur in transactions and belong to deleted contracts."""
-    used = ctx.table("transactions").select(*CONTRACT_KEYS).distinct()
-    deleted = ctx.table("contracts").filter("filing_type = 'Delete'").select(*CONTRACT_KEYS).distinct()
-    return used.join(deleted, CONTRACT_KEYS, "left_semi")
+# One row per contract of a filing: is it new, is it recent, when does its first term end.
+CONTRACT_FACTS = KeyFacts("contracts", {k: k for k in CONTRACT_KEYS}, "contract_unique_id IS NOT NULL", {
+    "is_new": ("any", "filing_type = 'New'"),
+    "is_recent": ("any", f"contract_execution_date >= DATE'{K.STANDARDIZED_SINCE}'"),
+    "first_termination": ("first", "termination_date"),
+})
 
+# Per tariff, its last end date, and whether a version is open.
+TARIFF_ENDS = KeyFacts("tariffs", {c: c for c in ("cid", "ferc_tariff_reference")}, facts={
+    "open": ("any", "tariff_end IS NULL"), "tariff_end": ("last", "tariff_end")})
 
-def distinct_of(table: str, *columns: str, where: str = "true"):
-    return lambda ctx: ctx.table(table).filter(where).select(*columns).distinct()
+ROLES = KeyFacts("registry", {"cid": "cid"}, facts={"fits": ("any", "lower(role) IN ('agent', 'account manager')")})
 
 
-def authorized_products(ctx: FilingContext) -> DataFrame:
+def authorized_products() -> KeyFacts:
     """(filing, agreement, product) a transaction may carry. Booked out power is covered by an
     energy or capacity contract and not by one of its own name."""
     product, booked_out = P.norm("product_name"), P.lit(K.BOOKED_OUT)
-    covered = (
-        f"CASE WHEN {product} IN ({P.listed([K.ENERGY, K.CAPACITY])}) THEN array({product}, {booked_out})"
-        f" WHEN {product} <> {booked_out} THEN array({product}) END"
-    )
-    columns = [*FILING_KEYS, "contract_service_agreement_id AS agreement", f"explode({covered}) AS product"]
-    return ctx.table("contracts").selectExpr(*columns).distinct()
-
-
-def last_tariff_end(ctx: FilingContext) -> DataFrame:
-    """Per tariff, its last end date; a tariff with an open version has none."""
-    last = "CASE WHEN count_if(tariff_end IS NULL) = 0 THEN max(tariff_end) END AS tariff_end"
-    return ctx.table("tariffs").groupBy("cid", "ferc_tariff_reference").agg(F.expr(last))
+    keys = {**{k: k for k in FILING_KEYS}, "agreement": "contract_service_agreement_id"}
+    covers = f"{product} IN ({P.listed([K.ENERGY, K.CAPACITY])})"
+    return KeyFacts("contracts", {**keys, "product": product}, f"{product} <> {booked_out}", also=((covers, {**keys, "product": booked_out}),))
 
 
 def join_groups() -> list[Group]:
@@ -544,7 +521,7 @@ def join_groups() -> list[Group]:
         return Check(rule_id, ERROR, "T8", text, test, "filing_type", f"r_header_type = '{header}'")
 
     for table in ("contracts", "transactions"):
-        groups.append(JoinGroup(f"header_{table}", table, header_types, filing, "inner", [
+        groups.append(JoinGroup(f"header_{table}", table, HEADER_TYPES, filing, "inner", [
             by_header("D.3.9.1", "New", "new filing holds another filing type", not_new),
             by_header("F.16.18", "New", "new filing holds another filing type", not_new),
             by_header("D.3.9.2", "Replace", "replacing filing holds another type than New", not_new),
@@ -557,7 +534,7 @@ def join_groups() -> list[Group]:
         return replace(present(rule_id, name, gate, template="T10"), partner="r_is_recent")
 
     groups += [
-        JoinGroup("contract_facts", "transactions", contract_facts, contract, "inner", [
+        JoinGroup("contract_facts", "transactions", CONTRACT_FACTS, contract, "inner", [
             Check("D.3.9.6", ERROR, "T8", "new contract has a transaction of another type", not_new, "filing_type",
                   "r_is_new"),
             Check("F.23.21.2", WARNING, "T10", "transaction ends after its contract", None, "transaction_end_date",
@@ -567,16 +544,14 @@ def join_groups() -> list[Group]:
             recent("F.30.44", "standardized_price", METERED),
             recent("F.30.45", "standardized_quantity", METERED),
         ], carry={"end": "transaction_end_date"}),
-        JoinGroup("deleted_contract", "contracts", transactions_of_deleted_contracts, contract, "left_semi", [
+        JoinGroup("deleted_contract", "contracts", distinct_of("transactions", *CONTRACT_KEYS), contract, "left_semi", [
             Check("D.3.9.8", ERROR, "T8", "deleted contract has transactions", "filing_type = 'Delete'")]),
     ]
 
     # Names and identifiers against the versions of the company registry.
     versions = distinct_of("registry", "cid", "legal_name", "effective_start", "effective_end")
-    valid = ("r_effective_start", "r_effective_end")
-    at_end = P.effective_at(P.period_end("l_period"), *valid)
-    during = P.overlaps(P.period_start("l_period"), P.period_end("l_period"), *valid)
-    period = {"period": "period"}
+    first_day, last_day = P.period_start("period"), P.period_end("period")
+    at_end, during = {"during": (last_day, last_day)}, {"during": (first_day, last_day)}
     ident_name = {"cid": "cid", "legal_name": "company_name"}
     seller_name = {"cid": "cid", "legal_name": "seller_company_name"}
     groups += [
@@ -586,24 +561,28 @@ def join_groups() -> list[Group]:
             Check("F.16.3.2", ERROR, "T5", "seller name is not registered", None, "seller_company_name")]),
         JoinGroup("ident_name_at_end", "ident", versions, ident_name, "left_anti", [
             Check("F.16.3.4", ERROR, "T5", "company name was not valid at the end of the period", P.is_seller(),
-                  "company_name")], at_end, period),
+                  "company_name")], **at_end),
         JoinGroup("contract_seller_name_during", "contracts", versions, seller_name, "left_anti", [
             Check("F.16.3.5", ERROR, "T5", "seller name was not valid during the period", None,
-                  "seller_company_name")], during, period),
+                  "seller_company_name")], **during),
         JoinGroup("ident_cid", "ident", versions, {"cid": "cid"}, "left_anti", [
             Check("F.16.26", ERROR, "T5", "company identifier was not valid during the period",
-                  f"{P.is_seller()} OR {P.is_agent()}", "company_identifier")], during, period),
+                  f"{P.is_seller()} OR {P.is_agent()}", "company_identifier")], **during),
         JoinGroup("contract_cid", "contracts", versions, {"cid": "seller_cid"}, "left_anti", [
             Check("F.21.2.2", ERROR, "T5", "seller identifier was not valid during the period", None, "seller_cid")],
-            during, period),
+            **during),
         JoinGroup("buyer_cid", "contracts", versions, {"cid": "customer_cid"}, "left_anti", [
             Check("F.21.3.3", ERROR, "T5", "buyer identifier was not valid during the period",
-                  "customer_cid IS NOT NULL", "customer_cid")], during, period),
+                  "customer_cid IS NOT NULL", "customer_cid")], **during),
         JoinGroup("not_public", "contracts", distinct_of("registry", "cid", where="is_npu"), {"cid": "seller_cid"},
                   "left_anti", [Check("F.30.41.1", WARNING, "T5", "seller is not registered as non-public utility",
                                       NPU, "seller_company_name")]),
     ]
 
+    groups.append(JoinGroup("seller_role", "ident", ROLES, {"cid": "cid"}, "inner", [
+        Check("F.31.01", WARNING, "T5", "seller is no agent or account manager in the registry", P.is_seller(),
+              partner="NOT coalesce(r_fits, false)")]))
+
     # Contact and tariff registries.
     tariff = {"cid": "cid", "ferc_tariff_reference": "ferc_tariff_reference"}
     groups += [
@@ -613,9 +592,9 @@ def join_groups() -> list[Group]:
                       Check("F.16.14.5", ERROR, "T5", "seller contact is not registered", P.is_seller(), "contact_name")]),
         JoinGroup("tariff_seller", "contracts", distinct_of("tariffs", "cid"), {"cid": "cid"}, "left_anti", [
             Check("F.20.19", ERROR, "T5", "seller has no tariff", f"NOT {P.surely(NPU)}", "ferc_tariff_reference")]),
-        JoinGroup("tariff_expired", "contracts", last_tariff_end, tariff, "left_semi", [
+        JoinGroup("tariff_expired", "contracts", TARIFF_ENDS, tariff, "left_semi", [
             Check("F.20.20", WARNING, "T5", "tariff expired before the end of the period", None,
-                  "ferc_tariff_reference")], f"r_tariff_end < {P.period_end('l_period')}", period),
+                  "ferc_tariff_reference")], f"NOT r_open AND r_tariff_end < {P.period_end('l_period')}", {"period": "period"}),
     ]
 
     # References between the tables of a filing.
@@ -638,7 +617,7 @@ def join_groups() -> list[Group]:
         JoinGroup("customer", "transactions", distinct_of("contracts", *FILING_KEYS, "customer_company_name"),
                   {**filing, "customer_company_name": "customer_company_name"}, "left_anti", [
                       Check("F.21.3.1", ERROR, "T9", "customer has no contract", None, "customer_company_name")]),
-        JoinGroup("authorized_product", "transactions", authorized_products,
+        JoinGroup("authorized_product", "transactions", authorized_products(),
                   {**filing, "agreement": "contract_service_agreement", "product": P.norm("product_name")},
                   "left_anti", [Check("F.25.18", ERROR, "T9", "no contract authorizes the product",
                                       P.since(K.PERIOD_STANDARDIZED), "product_name")]),
@@ -679,7 +658,15 @@ def duplicate_groups() -> list[Group]:
     ]
 
 
+def known_but_not(table: str, right: str, group: list[str], member: str, check: Check) -> tuple[tuple[int, JoinGroup], ...]:
+    """Rows whose group is known less those whose member is known too, which are some of the former."""
+    keys = [group, [*group, member]]
+    return tuple((sign, JoinGroup(f"{right}_{len(k)}", table, distinct_of(right, *k), {c: c for c in k}, "left_semi", [check])) for sign, k in zip((1, -1), keys))
+
+
 def derived_groups(settings: Settings) -> list[Group]:
+    other_role = Check("F.16.21", ERROR, "T5", "contact acts in an unregistered role", None, "role")
+    no_tariff = Check("F.20.21", ERROR, "T5", "tariff is not registered for the seller", None, "ferc_tariff_reference")
     too_large = (
         f"n_contracts > {settings.max_contracts} OR n_products > {settings.max_products}"
         f" OR max_products > {settings.max_products_per_contract}"
@@ -700,12 +687,10 @@ def derived_groups(settings: Settings) -> list[Group]:
                   f"avg_hours > {K.MAX_AVERAGE_HOURS}D", "avg_hours")]),
         DerivedGroup("publishers", "index", changed_publishers, [
             Check("F.16.27.5", ERROR, "T13", "appended index publishers differ from the original")]),
-        DerivedGroup("seller_role", "identity", sellers_without_fitting_role, [
-            Check("F.31.01", WARNING, "T5", "seller is no agent or account manager in the registry")]),
-        DerivedGroup("contact_role", "identity", contacts_with_other_role, [
-            Check("F.16.21", ERROR, "T5", "contact acts in an unregistered role", None, "role")]),
-        DerivedGroup("tariff_reference", "contract", tariff_not_found, [
-            Check("F.20.21", ERROR, "T5", "tariff is not registered for the seller", None, "ferc_tariff_reference")]),
+        DerivedGroup("contact_role", "identity", contacts_with_other_role, [other_role],
+                     counted=known_but_not("ident", "contacts", ["cid", "contact_name"], "role", other_role)),
+        DerivedGroup("tariff_reference", "contract", tariff_not_found, [no_tariff],
+                     counted=known_but_not("contracts", "tariffs", ["cid"], "ferc_tariff_reference", no_tariff)),
     ]
 
 

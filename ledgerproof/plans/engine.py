@@ -13,6 +13,7 @@ from ledgerproof.functions.predicates import lit
 from ledgerproof.operators.groups import fingerprint, repeated_keys, rows_in_groups
 from ledgerproof.operators.joins import left_join_null_safe
 from ledgerproof.operators.results import rate
+from ledgerproof.plans import bundle
 from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
 from ledgerproof.schemas import RECORD_ID, RECORD_TYPE
 
@@ -96,10 +97,26 @@ def _rules_only(groups: list[Group]) -> list[Group]:
 
 
 def _counted(ctx: FilingContext, groups: list[Group]) -> DataFrame:
-    found = reduce(DataFrame.unionByName, [group_counts(ctx, g) for g in groups])
+    """Counts of all groups; those that only ask for partners are counted together."""
+    signed = [(sign, g) for group in groups for sign, g in _as_joins(group)]
+    together = [(sign, g) for sign, g in signed if bundle.fits(g)]
+    during = [(sign, g) for sign, g in signed if isinstance(g, JoinGroup) and g.during is not None]
+    alone = [g for _, g in signed if not bundle.fits(g) and not (isinstance(g, JoinGroup) and g.during is not None)]
+    parts = [group_counts(ctx, g) for g in alone]
+    for counts, own in ((bundle.bundled_counts, together), (bundle.span_counts, during)):
+        if own:
+            checks = [(sign, c) for sign, g in own for c in g.checks]
+            parts.append(_unpivot(counts(ctx, [g for _, g in own]), [c for _, c in checks], [sign for sign, _ in checks]))
+    found = reduce(DataFrame.unionByName, parts)
     return found.groupBy("rule_id", *FILING_KEYS).agg(F.sum("error_count").alias("error_count"))
 
 
+def _as_joins(group: Group) -> list[tuple[int, Group]]:
+    if isinstance(group, DerivedGroup) and group.counted:
+        return [(sign, replace(g, checks=group.checks)) for sign, g in group.counted]
+    return [(1, group)]
+
+
 def validate(ctx: FilingContext, groups: list[Group]) -> Validation:
     """Check every rule against the schemas first; a rule that cannot run is reported, not dropped."""
     sound: list[Group] = []
@@ -180,6 +197,15 @@ def _matched(group: JoinGroup, left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(partner, F.expr(" AND ".join(on)), group.how)
 
 
+def _not_covered(ctx: FilingContext, group: JoinGroup, rows: DataFrame) -> DataFrame:
+    """Rows whose key has no version in their span: one pass over the distinct spans, then a semi join."""
+    lacking = bundle.spans(ctx, [group]).where("NOT covered")
+    keys = bundle.KEYS[:len(group.keys)]
+    found = lacking.select(*[F.col(j).alias(f"_{j}") for j in keys], *[F.col(k).alias(f"_{k}") for k in FILING_KEYS])
+    on = [f"CAST({text} AS STRING) <=> _{j}" for j, text in zip(keys, group.keys.values())] + [f"{k} <=> _{k}" for k in FILING_KEYS]
+    return rows.join(found, F.expr(" AND ".join(on)), "left_semi")
+
+
 def _duplicate_frame(ctx: FilingContext, group: DuplicateGroup) -> tuple[DataFrame, list[str]]:
     df = ctx.table(group.table)
     if group.where is not None:
@@ -200,15 +226,20 @@ def group_violations(ctx: FilingContext, group: Group) -> DataFrame:
         rows = rows_in_groups(df, repeated_keys(df, keys), keys)
     else:
         candidates = ctx.table(group.table).filter(_any_test(group.checks))
-        rows = _matched(group, _with_keys(group, candidates, ["*"]), group.right(ctx))
+        if group.during is not None:
+            rows = _not_covered(ctx, group, candidates)
+        else:
+            rows = _matched(group, _with_keys(group, candidates, ["*"]), group.right(ctx))
     return _explode(rows, group.checks, RECORD_TYPE[group.table], RECORD_ID[group.table])
 
 
-def _unpivot(per_filing: DataFrame, checks: list[Check]) -> DataFrame:
-    """The array column ``n`` of counts as one row per rule."""
-    ids = ", ".join(lit(c.rule_id) for c in checks)
-    named = per_filing.selectExpr(*FILING_KEYS, f"explode(map_from_arrays(array({ids}), n)) AS (rule_id, error_count)")
-    return named.select("rule_id", *FILING_KEYS, "error_count")
+def _unpivot(per_filing: DataFrame, checks: list[Check], signs: list[int] | None = None) -> DataFrame:
+    """The array column ``n`` of counts as one row per check; a rule may have several."""
+    structs = ", ".join(
+        f"named_struct('rule_id', {lit(c.rule_id)}, 'error_count', {sign} * n[{i}])"
+        for i, (c, sign) in enumerate(zip(checks, signs or [1] * len(checks)))
+    )
+    return per_filing.selectExpr(*FILING_KEYS, f"explode(array({structs})) AS c").select("c.rule_id", *FILING_KEYS, "c.error_count")
 
 
 def _count_array(tests: list[str]) -> str:
@@ -222,6 +253,8 @@ def group_counts(ctx: FilingContext, group: Group) -> DataFrame:
         df, keys = _duplicate_frame(ctx, group)
         copies = ", ".join(["sum(copies)"] * len(checks))
         per_filing = repeated_keys(df, keys).groupBy(*FILING_KEYS).agg(F.expr(f"array({copies}) AS n"))
+    elif isinstance(group, JoinGroup) and group.during is not None:
+        per_filing = bundle.span_counts(ctx, [group])
     elif isinstance(group, JoinGroup):
         keys = [f"l_{k}" for k in {**group.keys, **group.carry}]
         candidates = ctx.table(group.table).filter(_any_test(checks))

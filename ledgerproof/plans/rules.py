@@ -8,11 +8,51 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerproof.context import FilingContext
+from ledgerproof.functions.predicates import lit
 
 Frame = Callable[[FilingContext], DataFrame]
+#: How rows of one key merge into a fact: aggregate function and type.
+FACTS = {"any": ("max", "boolean"), "first": ("min", "date"), "last": ("max", "date"), "text": ("max", "string")}
+
+
+@dataclass(frozen=True)
+class KeyFacts:
+    """The partner side of a join as data: the keys that occur in a table, and merged facts about each.
+
+    ``keys`` maps a name to an expression over the table's rows, ``facts`` a name to a kind of ``FACTS`` and an expression.
+    ``also`` lists further (condition, keys) under which the same row gives another key. Called with a context it is the
+    frame of distinct keys with their facts; being data, many of them can be read off one scan of their table.
+    """
+
+    table: str
+    keys: dict[str, str]
+    where: str = "true"
+    facts: dict[str, tuple[str, str]] = field(default_factory=dict)
+    also: tuple[tuple[str, dict[str, str]], ...] = ()
+
+    def variants(self) -> list[tuple[str, dict[str, str]]]:
+        return [(self.where, self.keys), *self.also]
+
+    def __call__(self, ctx: FilingContext) -> DataFrame:
+        rows = ctx.table(self.table)
+        if self.also:
+            structs = ", ".join(
+                f"CASE WHEN {where} THEN named_struct({', '.join(f'{lit(n)}, {text}' for n, text in keys.items())}) END"
+                for where, keys in self.variants()
+            )
+            rows = rows.selectExpr(f"explode(array_compact(array({structs}))) AS k").select("k.*")
+        else:
+            rows = rows.filter(self.where).selectExpr(
+                *[f"{text} AS {n}" for n, text in self.keys.items()],
+                *[f"CAST({text} AS {FACTS[kind][1]}) AS _{n}" for n, (kind, text) in self.facts.items()],
+            )
+        if not self.facts:
+            return rows.distinct()
+        merged = [F.expr(f"{FACTS[kind][0]}(_{n}) AS {n}") for n, (kind, _) in self.facts.items()]
+        return rows.groupBy(*self.keys).agg(*merged)
 
 
 @dataclass(frozen=True)
@@ -51,6 +91,8 @@ class DerivedGroup:
     frame: Frame
     checks: list[Check]
     table: str | None = None
+    # Join groups whose counts, added or taken away, are the count of the group's only check.
+    counted: tuple[tuple[int, JoinGroup], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -61,7 +103,9 @@ class JoinGroup:
 
     ``keys`` maps a column of the right frame to the left expression it must equal. ``residual`` is
     an extra condition over right columns, named ``r_<column>``, and the left expressions of
-    ``carry``, named ``l_<name>``.
+    ``carry``, named ``l_<name>``. ``during`` makes the partners versions: a row lacks one if no
+    version of its key, valid from ``effective_start`` until before ``effective_end`` (open if
+    null), reaches any day of the row's span (first and last day, over left columns).
     """
 
     name: str
@@ -72,6 +116,7 @@ class JoinGroup:
     checks: list[Check]
     residual: str | None = None
     carry: dict[str, str] = field(default_factory=dict)
+    during: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
