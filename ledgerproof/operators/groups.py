@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerproof.session import scratch_path
+
 
 def fingerprint(columns: list[str]) -> str:
     """SQL text of one key for many columns; equal when all values, nulls included, are equal.
@@ -18,6 +22,25 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def repeated_hashes(frames: list[DataFrame], path: str) -> tuple[DataFrame, int]:
+    """Hashes (h) found more than once, written to ``path``, and how many there are.
+
+    The slim pass before an exact search for duplicates: 8 bytes of each row are shuffled, and only rows whose hash repeats
+    need to be built and compared.
+    """
+    seen = reduce(DataFrame.unionByName, frames).groupBy("h").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("h")
+    seen.write.mode("overwrite").parquet(path)
+    stored = seen.sparkSession.read.schema(seen.schema).parquet(path)
+    return stored, stored.count()
+
+
+def with_repeated_hash(df: DataFrame, key_hash: str, hashes: DataFrame, n_hashes: int, most: int = 1_000_000) -> DataFrame:
+    """Rows whose hash is among those that repeat. Up to ``most`` hashes (8 bytes each) go to every task and no row moves;
+    more are met in a shuffled semi join, whose left side adaptive execution can split."""
+    wanted = F.broadcast(hashes) if n_hashes <= most else hashes
+    return df.withColumn("_h", F.expr(key_hash)).join(wanted, F.col("_h") == F.col("h"), "left_semi").drop("_h")
+
+
 def rows_in_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose keys, nulls included, occur in ``groups``.
 
@@ -29,9 +52,14 @@ def rows_in_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFra
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row whose key occurs more than once; rows with a null key are left out."""
-    present = df.dropna(subset=keys)
-    return rows_in_groups(present, repeated_keys(present, keys), keys)
+    """Every row whose key occurs more than once; rows with a null key are left out.
+
+    A slim pass over hashes of the keys comes first, so rows that cannot have a double are neither shuffled nor compared.
+    """
+    present, key_hash = df.dropna(subset=keys), f"xxhash64({', '.join(keys)})"
+    hashes = repeated_hashes([present.selectExpr(f"{key_hash} AS h")], scratch_path(df.sparkSession, "repeats"))
+    candidates = with_repeated_hash(present, key_hash, *hashes)
+    return rows_in_groups(candidates, repeated_keys(candidates, keys), keys)
 
 
 def cardinality(df: DataFrame, group: list[str], **tests: Column) -> DataFrame:

@@ -58,12 +58,10 @@ def covered(spans: DataFrame, versions: DataFrame, keys: list[str], name: str =
     valid = versions.dropna(subset=[*keys, "start"])
     told = valid.select(*keys, F.col("start").alias("_day"), F.lit(0).alias("_side"), F.coalesce("end", ever).alias("_end"))
     merged = asked.unionByName(told, allowMissingColumns=True).withColumn("_year", F.year("_day"))
-    by_year = valid.groupBy(*keys, F.year("start").alias("_from")).agg(F.max(F.coalesce("end", ever)).alias("_reach"))
-    # What each year that has spans begins with: the same pass over one row per key and year.
-    asked_years = asked.select(*keys, F.year("_day").alias("_from")).distinct().withColumn("_reach", F.lit(None).cast("date"))
+    # What each year begins with: the same pass over one row per key and year.
     before = Window.partitionBy(*keys).orderBy("_from").rangeBetween(Window.unboundedPreceding, -1)
-    carried = by_year.unionByName(asked_years).select(*keys, "_from", F.max("_reach").over(before).alias("_carried"))
-    carried = carried.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_from")).agg(F.max("_carried").alias("_carried"))
+    by_year = merged.groupBy(*keys, F.col("_year").alias("_from")).agg(F.max("_end").alias("_reach"))
+    carried = by_year.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_from", F.max("_reach").over(before).alias("_carried"))
     so_far = Window.partitionBy(*keys, "_year").orderBy("_day", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     passed = merged.withColumn("_reach", F.max("_end").over(so_far)).where("_side = 1")
     on = F.expr(" AND ".join([f"{k} <=> _k{i}" for i, k in enumerate(keys)] + ["_year <=> _from"]))

@@ -125,27 +125,36 @@ def bundled_counts(ctx: FilingContext, groups: list[JoinGroup]) -> DataFrame:
 
 
 def spans(ctx: FilingContext, groups: list[JoinGroup]) -> DataFrame:
-    """(space, keys, cid, period, first, last, n..., covered): the distinct spans of version groups, with their rows counted."""
-    asked, told = [], []
-    for space, g in enumerate(groups):
-        first, last = g.during
-        keys = [f"CAST({text} AS STRING) AS {j}" for j, text in zip(KEYS, g.keys.values())]
-        rows = ctx.table(g.table).filter(" OR ".join(_test(c) for c in g.checks)).selectExpr(
-            f"{space} AS space", *keys, *FILING_KEYS, f"{first} AS first", f"{last} AS last",
-            " + ".join(f"IF({_test(c)}, {1 << i}, 0)" for i, c in enumerate(g.checks)) + " AS hits")
-        asked.append(rows)
-        told.append(g.right(ctx).selectExpr(f"{space} AS space", *[f"CAST({k} AS STRING) AS {j}" for j, k in zip(KEYS, g.keys)], "effective_start AS start", "effective_end AS end"))
-    most = max(len(g.checks) for g in groups)
-    width = max(len(g.keys) for g in groups)
-    # Keys that a group does not have are one blank text, so that null keeps meaning no partner.
-    pad = lambda rows, g: rows.withColumns({j: F.lit("") for j in KEYS[len(g.keys):width]})
-    rows = reduce(DataFrame.unionByName, [pad(r, g) for r, g in zip(asked, groups)])
-    counted = rows.groupBy("space", *KEYS[:width], *FILING_KEYS, "first", "last").agg(*[F.sum(F.shiftright("hits", i).bitwiseAND(1)).alias(f"n{i}") for i in range(most)])
-    versions = reduce(DataFrame.unionByName, [pad(r, g) for r, g in zip(told, groups)])
-    return covered(counted, versions, ["space", *KEYS[:width]])
+    """(space, keys, group, cid, period, first, last, n..., covered): the distinct spans of version groups, with their rows counted.
+
+    Groups whose versions have the same keys share them; every table is read once.
+    """
+    width, most = max(len(g.keys) for g in groups), max(len(g.checks) for g in groups)
+    sources = list(dict.fromkeys((g.right.table, tuple(g.keys)) for g in groups))
+
+    def keys(texts) -> dict[str, str]:
+        # Keys that a group does not have are one blank text, so that null keeps meaning no partner.
+        return dict(zip(KEYS[:width], [*(f"CAST({t} AS STRING)" for t in texts), *["''"] * width]))
+
+    asked: dict[str, list[str]] = {}
+    told: dict[str, list[str]] = {}
+    for i, g in enumerate(groups):
+        fields = {"space": str(sources.index((g.right.table, tuple(g.keys)))), **keys(g.keys.values()), "grp": str(i), **{k: k for k in FILING_KEYS}}
+        fields |= {"first": g.during[0], "last": g.during[1], "hits": " + ".join(f"IF({_test(c)}, {1 << j}, 0)" for j, c in enumerate(g.checks))}
+        asked.setdefault(g.table, []).append(f"CASE WHEN {' OR '.join(_test(c) for c in g.checks)} THEN {_struct(fields)} END")
+    for space, (table, names) in enumerate(sources):
+        right = next(g.right for g in groups if g.right.table == table and tuple(g.keys) == names)
+        fields = {"space": str(space), **keys(right.keys[n] for n in names), "start": "effective_start", "end": "effective_end"}
+        told.setdefault(table, []).append(f"CASE WHEN {right.where} THEN {_struct(fields)} END")
+
+    def read(by_table: dict[str, list[str]]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [ctx.table(t).selectExpr(f"explode(array_compact(array({', '.join(own)}))) AS e").select("e.*") for t, own in by_table.items()])
+
+    counted = read(asked).groupBy("space", *KEYS[:width], "grp", *FILING_KEYS, "first", "last").agg(*[F.sum(F.shiftright("hits", i).bitwiseAND(1)).alias(f"n{i}") for i in range(most)])
+    return covered(counted, read(told), ["space", *KEYS[:width]])
 
 
 def span_counts(ctx: FilingContext, groups: list[JoinGroup]) -> DataFrame:
     """(cid, period, n): rows that no version covers, for every check of every group, in order."""
-    sums = [f"sum(IF(space = {space} AND NOT covered, n{i}, 0))" for space, g in enumerate(groups) for i in range(len(g.checks))]
+    sums = [f"sum(IF(grp = {at} AND NOT covered, n{i}, 0))" for at, g in enumerate(groups) for i in range(len(g.checks))]
     return spans(ctx, groups).groupBy(*FILING_KEYS).agg(F.expr(f"array({', '.join(sums)}) AS n"))

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerproof.context import FILING_KEYS, FilingContext
 from ledgerproof.functions.predicates import lit
-from ledgerproof.operators.groups import fingerprint, repeated_keys, rows_in_groups
+from ledgerproof.operators.groups import fingerprint, repeated_hashes, repeated_keys, rows_in_groups, with_repeated_hash
 from ledgerproof.operators.joins import left_join_null_safe
 from ledgerproof.operators.results import rate
 from ledgerproof.plans import bundle
 from ledgerproof.plans.rules import Check, DerivedGroup, DuplicateGroup, Group, JoinGroup, RowGroup
 from ledgerproof.schemas import RECORD_ID, RECORD_TYPE
+from ledgerproof.session import scratch_path
 
 VIOLATION_COLUMNS = [
     "violation_id", "rule_id", "cid", "period", "record_type", "record_id", "message", "severity", "detected_at",
@@ -33,7 +35,7 @@ class Validation:
     @cached_property
     def violations(self) -> DataFrame:
         """One row per (rule, record)."""
-        parts = [group_violations(self.ctx, g) for g in _rules_only(self.groups)]
+        parts = [group_violations(self.ctx, g, self.repeats, self.lacking) for g in _rules_only(self.groups)]
         found = reduce(DataFrame.unionByName, parts)
         locator = F.concat_ws("|", "rule_id", "record_type", "cid", "period", "record_id", "origin")
         return found.select(
@@ -49,7 +51,19 @@ class Validation:
         Row rules become conditional counts over one scan, and join rules count per key before
         they join, so that only filings and keys are shuffled, not records.
         """
-        return _counted(self.ctx, _rules_only(self.groups))
+        return _counted(self.ctx, _rules_only(self.groups), self.repeats)
+
+    @cached_property
+    def repeats(self) -> Repeats | None:
+        """Hashes of keys that may occur twice; found once for rows and counts."""
+        groups = [g for g in self.groups if isinstance(g, DuplicateGroup)]
+        return find_repeats(self.ctx, groups) if groups else None
+
+    @cached_property
+    def lacking(self) -> Lacking | None:
+        """Spans without a version, of all groups that ask for versions: one pass over dates for all of them, stored."""
+        groups = [g for g in _rules_only(self.groups) if isinstance(g, JoinGroup) and g.during is not None]
+        return find_lacking(self.ctx, groups) if groups else None
 
     @cached_property
     def failed_rows(self) -> DataFrame | None:
@@ -96,13 +110,16 @@ def _rules_only(groups: list[Group]) -> list[Group]:
     return [replace(g, checks=own) for g in groups if (own := [c for c in g.checks if not c.guards])]
 
 
-def _counted(ctx: FilingContext, groups: list[Group]) -> DataFrame:
-    """Counts of all groups; those that only ask for partners are counted together."""
+def _counted(ctx: FilingContext, groups: list[Group], repeats: Repeats | None = None) -> DataFrame:
+    """Counts of all groups; those that only ask for partners, or for doubles, are counted together."""
     signed = [(sign, g) for group in groups for sign, g in _as_joins(group)]
     together = [(sign, g) for sign, g in signed if bundle.fits(g)]
     during = [(sign, g) for sign, g in signed if isinstance(g, JoinGroup) and g.during is not None]
-    alone = [g for _, g in signed if not bundle.fits(g) and not (isinstance(g, JoinGroup) and g.during is not None)]
+    doubles = [g for g in groups if isinstance(g, DuplicateGroup)]
+    alone = [g for _, g in signed if not bundle.fits(g) and not (isinstance(g, JoinGroup) and g.during is not None) and not isinstance(g, DuplicateGroup)]
     parts = [group_counts(ctx, g) for g in alone]
+    if doubles:
+        parts.append(_duplicate_counts(ctx, doubles, repeats or find_repeats(ctx, doubles)))
     for counts, own in ((bundle.bundled_counts, together), (bundle.span_counts, during)):
         if own:
             checks = [(sign, c) for sign, g in own for c in g.checks]
@@ -197,37 +214,91 @@ def _matched(group: JoinGroup, left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(partner, F.expr(" AND ".join(on)), group.how)
 
 
-def _not_covered(ctx: FilingContext, group: JoinGroup, rows: DataFrame) -> DataFrame:
-    """Rows whose key has no version in their span: one pass over the distinct spans, then a semi join."""
-    lacking = bundle.spans(ctx, [group]).where("NOT covered")
+class Lacking(NamedTuple):
+    """Spans that no version covers, with the number of their group, and the numbers by name."""
+
+    spans: DataFrame
+    number: dict[str, int]
+
+
+def find_lacking(ctx: FilingContext, groups: list[JoinGroup]) -> Lacking:
+    path = scratch_path(ctx.spark, "lacking")
+    found = bundle.spans(ctx, groups).where("NOT covered")
+    found.write.parquet(path)
+    return Lacking(ctx.spark.read.schema(found.schema).parquet(path), {g.name: i for i, g in enumerate(groups)})
+
+
+def _not_covered(ctx: FilingContext, group: JoinGroup, rows: DataFrame, lacking: Lacking | None) -> DataFrame:
+    """Rows whose key has no version in their span: a semi join with the spans that lack one."""
+    spans = bundle.spans(ctx, [group]).where("NOT covered") if lacking is None else lacking.spans.where(F.col("grp") == lacking.number[group.name])
     keys = bundle.KEYS[:len(group.keys)]
-    found = lacking.select(*[F.col(j).alias(f"_{j}") for j in keys], *[F.col(k).alias(f"_{k}") for k in FILING_KEYS])
+    found = spans.select(*[F.col(j).alias(f"_{j}") for j in keys], *[F.col(k).alias(f"_{k}") for k in FILING_KEYS])
     on = [f"CAST({text} AS STRING) <=> _{j}" for j, text in zip(keys, group.keys.values())] + [f"{k} <=> _{k}" for k in FILING_KEYS]
     return rows.join(found, F.expr(" AND ".join(on)), "left_semi")
 
 
-def _duplicate_frame(ctx: FilingContext, group: DuplicateGroup) -> tuple[DataFrame, list[str]]:
-    df = ctx.table(group.table)
-    if group.where is not None:
-        df = df.filter(group.where)
+class Repeats(NamedTuple):
+    """Hashes of keys that may occur twice, over all duplicate groups of a run."""
+
+    hashes: DataFrame
+    n: int
+
+
+def _key_hash(group: DuplicateGroup) -> str:
+    """One number for a row's key; keys of different groups differ by a salt."""
+    return f"xxhash64({lit('|'.join([group.table, group.where or '', *group.keys]))}, {', '.join([*FILING_KEYS, *group.keys])})"
+
+
+def _has_key(group: DuplicateGroup) -> str:
+    """Rows that the group compares: a single key that is null is no key."""
+    present = f"{group.keys[0]} IS NOT NULL" if len(group.keys) == 1 else "true"
+    return present if group.where is None else f"({group.where}) AND {present}"
+
+
+def find_repeats(ctx: FilingContext, groups: list[DuplicateGroup]) -> Repeats:
+    """One scan per table hashes the keys of all its duplicate groups; a job of its own, since its size decides how rows are met."""
+    by_table: dict[str, list[str]] = {}
+    for g in groups:
+        by_table.setdefault(g.table, []).append(f"CASE WHEN {_has_key(g)} THEN {_key_hash(g)} END")
+    frames = [ctx.table(t).selectExpr(f"explode(array_compact(array({', '.join(own)}))) AS h") for t, own in by_table.items()]
+    return Repeats(*repeated_hashes(frames, scratch_path(ctx.spark, "repeats")))
+
+
+def _duplicate_frame(ctx: FilingContext, group: DuplicateGroup, repeats: Repeats | None) -> tuple[DataFrame, list[str]]:
+    """Rows of a duplicate group that may have a double, with their exact key. Without repeats, all its rows."""
+    df = ctx.table(group.table).filter(_has_key(group))
+    if repeats is not None:
+        df = with_repeated_hash(df, _key_hash(group), *repeats)
     if len(group.keys) == 1:
-        return df.filter(f"{group.keys[0]} IS NOT NULL"), [*FILING_KEYS, group.keys[0]]
-    return df.selectExpr("*", f"{fingerprint(group.keys)} AS _fingerprint"), [*FILING_KEYS, "_fingerprint"]
+        return df.withColumn("_key", F.expr(f"CAST({group.keys[0]} AS STRING)")), [*FILING_KEYS, "_key"]
+    return df.withColumn("_key", F.expr(fingerprint(group.keys))), [*FILING_KEYS, "_key"]
+
+
+def _duplicate_counts(ctx: FilingContext, groups: list[DuplicateGroup], repeats: Repeats) -> DataFrame:
+    """Counts of all duplicate groups: one aggregate finds the repeated keys of all, one adds them up per filing."""
+    parts = []
+    for i, g in enumerate(groups):
+        df, keys = _duplicate_frame(ctx, g, repeats)
+        parts.append(df.select(F.lit(i).alias("grp"), *keys))
+    repeated = repeated_keys(reduce(DataFrame.unionByName, parts), ["grp", *FILING_KEYS, "_key"])
+    sums = [f"sum(IF(grp = {i}, copies, 0))" for i, g in enumerate(groups) for _ in g.checks]
+    per_filing = repeated.groupBy(*FILING_KEYS).agg(F.expr(f"array({', '.join(sums)}) AS n"))
+    return _unpivot(per_filing, [c for g in groups for c in g.checks])
 
 
-def group_violations(ctx: FilingContext, group: Group) -> DataFrame:
-    """Violation rows of one group."""
+def group_violations(ctx: FilingContext, group: Group, repeats: Repeats | None = None, lacking: Lacking | None = None) -> DataFrame:
+    """Violation rows of one group. What was found for all groups of a run, doubles and spans without a version, need not be found again."""
     if isinstance(group, DerivedGroup):
         return _explode(group.frame(ctx), group.checks, group.record_type, "record_id")
     if isinstance(group, RowGroup):
         rows = ctx.table(group.table)
     elif isinstance(group, DuplicateGroup):
-        df, keys = _duplicate_frame(ctx, group)
+        df, keys = _duplicate_frame(ctx, group, repeats)
         rows = rows_in_groups(df, repeated_keys(df, keys), keys)
     else:
         candidates = ctx.table(group.table).filter(_any_test(group.checks))
         if group.during is not None:
-            rows = _not_covered(ctx, group, candidates)
+            rows = _not_covered(ctx, group, candidates, lacking)
         else:
             rows = _matched(group, _with_keys(group, candidates, ["*"]), group.right(ctx))
     return _explode(rows, group.checks, RECORD_TYPE[group.table], RECORD_ID[group.table])
@@ -250,10 +321,8 @@ def group_counts(ctx: FilingContext, group: Group) -> DataFrame:
     """Violations per rule and filing of one group, counted without making violation rows."""
     checks = group.checks
     if isinstance(group, DuplicateGroup):
-        df, keys = _duplicate_frame(ctx, group)
-        copies = ", ".join(["sum(copies)"] * len(checks))
-        per_filing = repeated_keys(df, keys).groupBy(*FILING_KEYS).agg(F.expr(f"array({copies}) AS n"))
-    elif isinstance(group, JoinGroup) and group.during is not None:
+        return _duplicate_counts(ctx, [group], find_repeats(ctx, [group]))
+    if isinstance(group, JoinGroup) and group.during is not None:
         per_filing = bundle.span_counts(ctx, [group])
     elif isinstance(group, JoinGroup):
         keys = [f"l_{k}" for k in {**group.keys, **group.carry}]

@@ -127,3 +127,28 @@ def test_set_difference_skips_groups_without_right_side(spark):
     df = spark.createDataFrame(rows, "g string, m string, later boolean")
     out = groups.set_difference_keys(df, ["g"], ["m"], ~F.col("later"), F.col("later"))
     assert [tuple(r) for r in out.collect()] == [("b", 2)]
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0], ids=["sent to tasks", "joined"])
+def test_hash_pass_keeps_every_double(spark, most, tmp_path):
+    """Doubles, nulls in different places and a key with a third of all rows; rows without a double are left out."""
+    rows = [(i, "a") for i in range(300)] + [(7, "b")] * 150 + [(None, "x"), (None, "x"), ("y" and 8, None), (8, None), (9, None)]
+    df = spark.createDataFrame(rows, "k int, l string")
+    key_hash = "xxhash64(k, l)"
+    hashes = groups.repeated_hashes([df.selectExpr(f"{key_hash} AS h")], str(tmp_path / "h"))
+    kept = groups.with_repeated_hash(df, key_hash, *hashes, most)
+    assert sorted((r.k or 0, r.l or "") for r in kept.collect()) == sorted([(7, "b")] * 150 + [(0, "x")] * 2 + [(8, "")] * 2)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_covered_spans(spark, seed):
+    """Against every version of every key: open ends, overlaps, empty versions, nulls, and one key with a third of all rows."""
+    rng = random.Random(seed)
+    day = lambda: rng.choice([None] + [dt.date(2010, 1, 1) + dt.timedelta(days=rng.randrange(2500)) for _ in range(12)])
+    key = lambda: rng.choice(["hot", *[f"k{i}" for i in range(3)], None]) if rng.random() < 0.9 else f"q{rng.randrange(5)}"
+    versions = [(key(), day(), day()) for _ in range(60)]
+    asked = [(i, key(), a, b) for i, (a, b) in enumerate((day(), day()) for _ in range(400))]
+    found = intervals.covered(spark.createDataFrame(asked, "id int, k string, first date, last date"),
+                              spark.createDataFrame(versions, "k string, start date, end date"), ["k"])
+    want = {i: any(k is not None and k == v and a and b and s and s <= b and (e is None or e > a) for v, s, e in versions) for i, k, a, b in asked}
+    assert {r.id: r.covered for r in found.collect()} == {i: bool(w) for i, w in want.items()}

@@ -1,13 +1,17 @@
 """Golden filing, seeded errors, mutations, and the agreement of the two evaluation paths."""
 
+import re
+from collections import Counter
+
 import pytest
 
 from ledgerproof.operators.results import acceptance
 from ledgerproof.plans.catalogue import catalogue, catalogue_frame
-from ledgerproof.plans.engine import validate
+from ledgerproof.plans import bundle
+from ledgerproof.plans.engine import group_counts, validate
 from ledgerproof.plans.mutation import Mutation, mutation_results
 from ledgerproof.plans.registry import parse_rules
-from ledgerproof.plans.rules import pick
+from ledgerproof.plans.rules import JoinGroup, pick
 from ledgerproof.sources.registry import with_lookup
 from tests.golden import AGENT, CONTRACT, INDEX, SELLER, SETTINGS, TRANSACTION, DAY, filing, frame
 
@@ -207,3 +211,34 @@ def test_catalogue_has_stage_for_every_rule(spark):
     stages = {r.rule_id: r.stage for r in rows}
     assert stages["F.16.4.1"] == "Type 1" and stages["F.25.21.2"] == "Type 5" and stages["F.25.18"] == "Type 2"
     assert frame(spark, "tariffs", []).count() == 0
+
+
+def test_counts_share_scans_and_shuffles(spark, tmp_path):
+    """The whole catalogue counts in a few scans and shuffles, whatever the number of rules."""
+    ctx = filing(spark).stored(str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = validate(ctx, catalogue(ctx.settings)).counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(rf"{tmp_path.name}/transactions?\]", plan)) <= 8
+    assert plan.count("Exchange hashpartitioning") <= 40
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bundle_equals_single_joins(spark):
+    """Every join group counted alone, by its own join, gives what the bundle gives."""
+    wrong = [{**TRANSACTION, "transaction_unique_id": f"T{i}", "filing_type": t, "contract_unique_id": k, "product_name": p, "customer_company_name": c,
+              "transaction_end_date": e, "source_row_index": i + 2}
+             for i, (t, k, p, c, e) in enumerate([("Replace", "K1", "Energy", None, DAY(2020, 1, 1)), (None, None, None, "Nobody", None), ("New", "K9", "BOOKED OUT POWER", "Nobody", DAY(2050, 1, 1)),
+                                                  ("New", TRANSACTION["contract_unique_id"], "x", TRANSACTION["customer_company_name"], DAY(2050, 1, 1))])]
+    ctx = filing(spark, transactions=[TRANSACTION, *wrong], index=[], ident=[AGENT, SELLER, {**SELLER, "company_name": None, "contact_name": None}])
+    joins = [g for g in catalogue(ctx.settings) if isinstance(g, JoinGroup)]
+    assert sum(bundle.fits(g) for g in joins) > 15
+    together = {(r.rule_id, r.cid, r.period): r.error_count for r in validate(ctx, joins).counts.where("error_count > 0").collect()}
+    alone = Counter()
+    for g in joins:
+        for r in group_counts(ctx, g).where("error_count > 0").collect():
+            alone[r.rule_id, r.cid, r.period] += r.error_count
+    assert together == dict(alone) and len(together) > 5
