@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -9,9 +11,10 @@ from pyspark.sql import functions as F
 from checks.driver import base, context, register
 from checks.registry import query
 from ledgerproof import schemas
+from ledgerproof.context import FilingContext
 from ledgerproof.functions import periods
 from ledgerproof.operators import groups, intervals, joins, results
-from ledgerproof.plans import coverage, profile, registry as rule_registry, reports
+from ledgerproof.plans import coverage, incremental, profile, registry as rule_registry, reports
 from ledgerproof.plans.catalogue import catalogue, catalogue_frame, charge_is_off_simple, ends_too_early
 from ledgerproof.plans.engine import validate
 from ledgerproof.plans.mutation import Mutation, mutation_results
@@ -45,11 +48,18 @@ def _(spark, sf):
     )
 
 
-@query("S4_recursive_discovery", "SELECT 'orders' AS table_name, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 2")
+@query("S4_recursive_discovery", """SELECT concat('C', o_custkey % 7) AS cid, concat(year(o_orderdate), 'Q', quarter(o_orderdate)) AS period,
+      CASE WHEN o_orderstatus = 'F' THEN 'silver' ELSE 'bronze' END AS tier, count(*) AS n FROM orders
+    WHERE (concat('C', o_custkey % 7), concat(year(o_orderdate), 'Q', quarter(o_orderdate))) IN (SELECT concat('C', c_custkey % 7), concat(1992 + c_custkey % 6, 'Q', 1 + c_custkey % 4)
+      FROM customer WHERE c_acctbal > 5000) GROUP BY 1, 2, 3""")
 def _(spark, sf):
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "orders.parquet").parquet(sf)
-    name = F.regexp_extract(col("_metadata.file_path"), r"([^/]+)\.parquet$", 1)
-    return found.groupBy(name.alias("table_name"), col("o_orderstatus").alias("status")).agg(F.count(lit(1)).alias("n"))
+    register(spark, sf)
+    root = scratch_path(spark, "lake")
+    filed = spark.sql("""SELECT concat('C', o_custkey % 7) AS cid, concat(year(o_orderdate), 'Q', quarter(o_orderdate)) AS period,
+        CASE WHEN o_orderstatus = 'F' THEN 'silver' ELSE 'bronze' END AS tier, o_orderkey FROM orders""")
+    lake.write_lake(filed, root, "transactions")
+    wanted = spark.sql("SELECT concat('C', c_custkey % 7) AS cid, concat(1992 + c_custkey % 6, 'Q', 1 + c_custkey % 4) AS period FROM customer WHERE c_acctbal > 5000")
+    return lake.read_lake(spark, root, "transactions", wanted).groupBy("cid", "period", "tier").agg(F.count(lit(1)).alias("n"))
 
 
 @query("S5_file_sizes")
@@ -384,20 +394,21 @@ def _(spark, sf):
     return path.join(lines, col("o_orderkey") == col("l_orderkey")).select("n_name", "c_custkey", "o_orderkey", "n_lines")
 
 
-@query("J8_bounded_path", """WITH e AS (SELECT concat('n', n_nationkey) AS src, concat('c', c_custkey) AS dst FROM nation JOIN customer ON c_nationkey = n_nationkey
+@query("J8_bounded_path", """WITH RECURSIVE e AS (SELECT concat('n', c_nationkey) AS src, concat('c', c_custkey) AS dst FROM customer
+      UNION ALL SELECT concat('c', c_custkey), concat('n', c_nationkey) FROM customer
       UNION ALL SELECT concat('c', o_custkey), concat('o', o_orderkey) FROM orders
-      UNION ALL SELECT concat('r', n_regionkey), concat('n', n_nationkey) FROM nation)
-    SELECT root, hops, count(*) AS n FROM (
-      SELECT a.src AS root, 1 AS hops FROM e a WHERE a.src LIKE 'r%'
-      UNION ALL SELECT a.src, 2 FROM e a JOIN e b ON a.dst = b.src WHERE a.src LIKE 'r%'
-      UNION ALL SELECT a.src, 3 FROM e a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src WHERE a.src LIKE 'r%') p GROUP BY 1, 2""")
+      UNION ALL SELECT concat('r', n_regionkey), concat('n', n_nationkey) FROM nation),
+    p AS (SELECT concat('r', r_regionkey) AS root, concat('r', r_regionkey) AS node, 0 AS hops FROM region
+      UNION SELECT root, dst, hops + 1 FROM p JOIN e ON src = node WHERE hops < 4)
+    SELECT root, node, min(hops) AS hops FROM p GROUP BY 1, 2 HAVING min(hops) > 0""")
 def _(spark, sf):
     register(spark, sf)
     edges = spark.sql("""SELECT concat('r', n_regionkey) AS src, concat('n', n_nationkey) AS dst FROM nation
         UNION ALL SELECT concat('n', c_nationkey), concat('c', c_custkey) FROM customer
+        UNION ALL SELECT concat('c', c_custkey), concat('n', c_nationkey) FROM customer
         UNION ALL SELECT concat('c', o_custkey), concat('o', o_orderkey) FROM orders""")
     roots = spark.table("region").select(F.concat(lit("r"), "r_regionkey").alias("root"))
-    return joins.within_hops(edges, roots, 3).groupBy("root", "hops").agg(F.count(lit(1)).alias("n"))
+    return joins.within_hops(edges, roots, 4)
 
 
 @query("J9_known_group", f"""SELECT {ID}, {AGREEMENT}, product_name FROM tx
@@ -448,14 +459,13 @@ def _(spark, sf):
     return hits.unionByName(without)
 
 
-@query("J14_registry_order", """SELECT s.n_regionkey AS seq, r_name AS name, n FROM (SELECT n_regionkey, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1) s
-    JOIN region ON r_regionkey = s.n_regionkey""")
+@query("J14_registry_order", """SELECT cid, code, CASE WHEN n > 0 THEN concat('Failed (', n, ' violations)') ELSE 'Passed' END AS result FROM (
+      SELECT cid, 'F.24.3' AS code, count(*) FILTER (WHERE transaction_end_date <= transaction_begin_date) AS n FROM ffilings LEFT JOIN ftx USING (cid, period) GROUP BY cid
+      UNION ALL SELECT cid, 'F.25.21.2', count(*) FILTER (WHERE transaction_quantity <= 0) FROM ffilings LEFT JOIN ftx USING (cid, period) GROUP BY cid
+      UNION ALL SELECT cid, 'F.30.48', count(*) FILTER (WHERE source_row_index IS NOT NULL AND point_of_delivery_specific_location IS NULL) FROM ffilings LEFT JOIN ftx USING (cid, period) GROUP BY cid) v""")
 def _(spark, sf):
-    register(spark, sf)
-    t = spark.table
-    stats = t("customer").join(t("nation"), col("c_nationkey") == col("n_nationkey")).groupBy("n_regionkey").agg(F.count(lit(1)).alias("n"))
-    joined = stats.join(t("region"), col("n_regionkey") == col("r_regionkey"))
-    return joined.select(col("n_regionkey").alias("seq"), col("r_name").alias("name"), "n").orderBy("seq")
+    run = _run(spark, sf, MATRIX_RULES)
+    return reports.outcomes(run.stats, catalogue_frame(spark, run.groups)).select("cid", "code", "result")
 
 
 @query("J15_sibling_table", """SELECT t.cid, t.period, t.n AS tx_records, coalesce(c.n, 0) AS ct_records FROM (SELECT cid, period, count(*) AS n FROM ftx GROUP BY 1, 2) t
@@ -494,8 +504,6 @@ tx_query("A5_duplicates", f"SELECT {ID}, count(*) AS n FROM tx GROUP BY 1 HAVING
 tx_query("A6_distinct", "SELECT DISTINCT product_name, class_name FROM tx", lambda tx: tx.select("product_name", "class_name").distinct())
 tx_query("A7_set_per_group", "SELECT DISTINCT customer_company_name, product_name FROM tx",
          lambda tx: groups.members(tx, ["customer_company_name"], ["product_name"]))
-tx_query("A11_first_writer", f"SELECT cid, min({ID}) AS first_record FROM tx WHERE trade_date IS NULL GROUP BY 1",
-         lambda tx: groups.first_per_group(tx.filter("trade_date IS NULL").withColumnRenamed(ID, "first_record"), ["cid"], ["first_record"], ["first_record"]))
 tx_query("A14_size_limits", "SELECT cid, count(*) AS n FROM tx GROUP BY 1 HAVING count(*) > 2400", lambda tx: tx.groupBy("cid").agg(n_rows()).filter("n > 2400"))
 tx_query("A15_mixed_groups", f"SELECT {AGREEMENT} FROM tx GROUP BY 1 HAVING count(DISTINCT trade_date IS NULL) > 1",
          lambda tx: tx.withColumn("open", col("trade_date").isNull()).groupBy(AGREEMENT).agg(groups.differs_within("open").alias("mixed"))
@@ -632,15 +640,48 @@ def _(spark, sf):
     return _run(spark, sf).stats.select("rule_id", "cid", "period", "error_count", "total_count")
 
 
+# Rules that fail on some rows: a cast of an expression, a division, a cast by ::, a date, an element.
+FAILING = {
+    "X.CAST": ("CAST(trim(transaction_unique_id) AS INT) < 0", "TRY_CAST(trim(transaction_unique_id) AS INTEGER)", "< 0", "trim(transaction_unique_id) IS NOT NULL", "CAST_INVALID_INPUT"),
+    "X.DIVIDE": ("price / total_transmission_charge > 100000", "price / nullif(total_transmission_charge, 0)", "> 100000", "price IS NOT NULL AND total_transmission_charge IS NOT NULL", "DIVIDE_BY_ZERO"),
+    "X.CASTS": ("class_name::int = 1", "TRY_CAST(class_name AS INTEGER)", "= 1", "class_name IS NOT NULL", "CAST_INVALID_INPUT"),
+    "X.DATE": ("to_date(contract_unique_id) < DATE'2000-01-01'", "TRY_CAST(contract_unique_id AS DATE)", "< DATE '2000-01-01'", "contract_unique_id IS NOT NULL", "CANNOT_PARSE_TIMESTAMP"),
+    "X.ELEMENT": ("element_at(split(product_name, ' '), 2) = 'OUT'", "string_split(product_name, ' ')[2]", "= 'OUT'", "product_name IS NOT NULL", "INVALID_ARRAY_INDEX"),
+}
+_FAILING_SQL = " UNION ALL ".join(
+    f"SELECT '{name}', count(*) FILTER (WHERE {value} {test}), CASE WHEN count(*) FILTER (WHERE {given} AND {value} IS NULL) > 0 THEN '{reason}' END FROM ftx"
+    for name, (_, value, test, given, reason) in FAILING.items())
+
+
 @query("R2_isolated_failure", f"""SELECT rule_id, count(*) AS error_count, CAST(NULL AS STRING) AS engine_failure FROM {R_FOUND} v WHERE rule_id = 'F.24.3' GROUP BY 1
-    UNION ALL SELECT 'BROKEN', 0, 'UNRESOLVED_COLUMN.WITH_SUGGESTION'""")
+    UNION ALL SELECT 'BROKEN', 0, 'UNRESOLVED_COLUMN.WITH_SUGGESTION' UNION ALL {_FAILING_SQL}""")
 def _(spark, sf):
     ctx = context(spark, sf)
-    broken = rule_registry.parse_rules('[{"id": "BROKEN", "table": "transactions", "test": "no_such_column > 1"}]', ctx.settings)
-    run = validate(ctx, pick(catalogue(ctx.settings), rule_ids=["F.24.3"]) + broken)
+    given = [{"id": "BROKEN", "table": "transactions", "test": "no_such_column > 1"},
+             *[{"id": name, "table": "transactions", "test": test[0]} for name, test in FAILING.items()]]
+    run = validate(ctx, pick(catalogue(ctx.settings), rule_ids=["F.24.3"]) + rule_registry.parse_rules(json.dumps(given), ctx.settings))
     return run.rule_stats.select("rule_id", "error_count", "engine_failure")
 
 
+@query("S14_incremental_results", f"""SELECT r.rule_id, f.cid, f.period, coalesce(v.n, 0) AS error_count FROM ffilings f CROSS JOIN (SELECT DISTINCT rule_id FROM {R_FOUND} x WHERE rule_id <> 'F.TYPE_PRICE') r
+    LEFT JOIN (SELECT rule_id, cid, period, count(*) AS n FROM {R_FOUND} y GROUP BY 1, 2, 3) v ON v.rule_id = r.rule_id AND v.cid = f.cid AND v.period = f.period""")
+def _(spark, sf):
+    kept = ["transactions", "contracts", "ident", "index"]
+    held = context(spark, sf).stored(scratch_path(spark, "filings"), kept)
+    ctx = FilingContext(spark, {t: held.table(t) for t in [*kept, "filings"]}, held.settings)
+    rules, path = pick(catalogue(ctx.settings), rule_ids=MATRIX_RULES), scratch_path(spark, "results")
+    # An earlier state in which one company reported other quantities; then only its filings are validated again.
+    earlier = ctx.table("transactions").withColumn("transaction_quantity", F.when(col("cid") == "C3", -1.0).otherwise(col("transaction_quantity")))
+    incremental.refresh(FilingContext(spark, {**ctx.tables, "transactions": earlier}, ctx.settings), rules, path)
+    incremental.refresh(ctx, rules, path)
+    return incremental.current(ctx, path).select("rule_id", "cid", "period", "error_count")
+
+
+@query("A11_first_writer", f"""SELECT rule_id, cid, period, CASE WHEN count(*) = count(record) THEN min(record) END AS record_id FROM {R_FOUND} v GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    return reports.rolled_up(_run(spark, sf).violations).select("rule_id", "cid", "period", "record_id")
+
+
 @query("R3_alerts", f"""SELECT rule_id, count(*) AS error_count FROM {R_FOUND} v GROUP BY 1
     HAVING count(*) > 5000 OR count(*) >= 0.025 * (SELECT count(*) FROM ftx)""")
 def _(spark, sf):
@@ -675,10 +716,18 @@ def _(spark, sf):
     return profile.key_uniqueness({"orders": (spark.table("orders"), "o_orderkey"), "transactions": (tx, profile.key_column(tx.columns))})
 
 
-@query("R6_schema_profile")
+JOINABLE = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "customer": ["c_nationkey", "c_mktsegment"],
+            "supplier": ["s_suppkey", "s_nationkey", "s_name"]}
+_VALUES = " UNION ALL ".join(f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, {'true' if c.endswith('key') else 'false'} AS num, CAST({c} AS STRING) AS v FROM {t}" for t, cs in JOINABLE.items() for c in cs)
+
+
+@query("R6_joinable_columns", f"""WITH v AS ({_VALUES}), n AS (SELECT t, c, count(v) AS n FROM v GROUP BY 1, 2),
+    b AS (SELECT a.t AS lt, a.c AS lc, z.t AS rt, z.c AS rc, count(*) AS n_both FROM v a JOIN v z ON a.v = z.v AND a.num = z.num AND a.t <> z.t GROUP BY 1, 2, 3, 4)
+    SELECT lt AS left_table, lc AS left_column, rt AS right_table, rc AS right_column, l.n AS n_left, r.n AS n_right, round(n_both / CAST(l.n AS DOUBLE), 6) AS containment
+    FROM b JOIN n l ON l.t = lt AND l.c = lc JOIN n r ON r.t = rt AND r.c = rc WHERE n_both >= 0.9 * l.n""")
 def _(spark, sf):
-    ctx = context(spark, sf)
-    return profile.schema_profile(spark, {t: ctx.table(t) for t in ("transactions", "contracts", "ident", "index")})
+    register(spark, sf)
+    return profile.joinable_columns({t: spark.table(t).select(*cs) for t, cs in JOINABLE.items()})
 
 
 @query("R7_discover_by_state", """SELECT cid, company_name, state, source_filing FROM (SELECT cid, company_name, state, concat('filing_', period, '.zip') AS source_filing,

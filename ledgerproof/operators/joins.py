@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerproof.session import scratch_path
+
 
 def without_partner(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` with no row of ``right`` on the keys; a null key has no partner."""
@@ -51,27 +53,63 @@ def known_group_unknown_member(left: DataFrame, right: DataFrame, group: list[st
 
 
 def within_hops(edges: DataFrame, roots: DataFrame, hops: int = 3) -> DataFrame:
-    """Nodes reachable from the roots in 1..hops steps, as (root, node, hops).
+    """Nodes reachable from the roots in at most ``hops`` steps, each once, with the least number of steps: (root, node, hops).
 
-    ``edges`` has (src, dst); ``roots`` has (root). The bound is fixed, so the plan is a union of
-    that many joins; no iteration and no driver loop over data.
+    ``edges`` has (src, dst); ``roots`` has (root). Every step goes on only from nodes reached for the first time (an anti
+    join with those seen), so cycles and many paths to one node cost nothing more, and a root does not reach itself. Levels
+    are written to the shared folder; a step that reaches nothing new is the last.
     """
-    frontier = roots.select("root", F.col("root").alias("node"))
-    levels = []
+    spark = edges.sparkSession
+    steps = edges.select("src", "dst").distinct()
+    seen = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("hops")).distinct()
+    frontier = seen
     for depth in range(1, hops + 1):
-        frontier = frontier.join(edges, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node"))
-        levels.append(frontier.withColumn("hops", F.lit(depth)))
-    return reduce(DataFrame.unionByName, levels)
+        ahead = frontier.join(steps, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
+        path = scratch_path(spark, "hops")
+        ahead.join(seen, ["root", "node"], "left_anti").withColumn("hops", F.lit(depth)).write.parquet(path)
+        frontier = spark.read.schema(seen.schema).parquet(path)
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier)
+    return seen.where("hops > 0")
+
+
+GRAM = 3
+
 
+def _grams(text: Column, size: int) -> Column:
+    """Distinct runs of ``size`` characters of a text; none if it is shorter."""
+    last = F.char_length(text) - size + 1
+    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
 
-def match_names(index: DataFrame, names: list[str], column: str) -> DataFrame:
-    """(name, index row) for every listed name contained in the column, ignoring case.
 
-    The names are literals, so each index row is tested where it lies: no join and no shuffle.
+def match_names(index: DataFrame, names: list[str] | DataFrame, column: str) -> DataFrame:
+    """(index row, search_name) for every wanted name contained in the column, ignoring case.
+
+    Each name is looked up by the rarest of its runs of three characters (shorter names by themselves): values of the column
+    that hold this run are candidates and are compared in full. Work grows with the names, the distinct values and the
+    candidates, not with names times rows. A blank name is contained in every value; a null one, or a null value, in none.
     """
-    listed = F.array(*[F.lit(n) for n in names])
-    hits = F.filter(listed, lambda n: F.contains(F.lower(F.col(column)), F.lower(n)))
-    return index.withColumn("search_name", F.explode(hits))
+    spark = index.sparkSession
+    wanted = names if isinstance(names, DataFrame) else spark.createDataFrame([(n,) for n in names], "search_name string")
+    low = F.lower("search_name")
+    wanted = wanted.select("search_name", low.alias("_low")).dropna().distinct()
+    values = index.select(F.lower(F.col(column)).alias("_value")).dropna().distinct()
+    sizes = F.explode(F.array(*[F.lit(n) for n in range(GRAM + 1)])).alias("_size")
+    size = F.least(F.char_length("_low"), F.lit(GRAM))
+    own = wanted.select("search_name", "_low", size.alias("_size")).select("*", F.explode(F.when(F.col("_size") > 0, _by_size("_low")).otherwise(F.array(F.lit("")))).alias("_gram"))
+    asked = wanted.select(size.alias("_size")).distinct()
+    held = values.select("_value", sizes).join(asked, "_size", "left_semi").select("_value", "_size", F.explode(F.when(F.col("_size") > 0, _by_size("_value")).otherwise(F.array(F.lit("")))).alias("_gram"))
+    often = held.join(own.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = own.join(often, "_gram").groupBy("search_name", "_low").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+    found = held.select("_value", "_gram").join(rarest, "_gram").where(F.contains("_value", "_low")).select("_value", "search_name")
+    return index.join(found, F.lower(F.col(column)) == F.col("_value")).drop("_value")
+
+
+def _by_size(name: str) -> Column:
+    text, size = F.col(name), F.col("_size")
+    return F.when(size == 1, _grams(text, 1)).when(size == 2, _grams(text, 2)).otherwise(_grams(text, GRAM))
 
 
 def with_flag(left: DataFrame, right: DataFrame, keys: list[str], flag: str) -> DataFrame:
@@ -80,12 +118,6 @@ def with_flag(left: DataFrame, right: DataFrame, keys: list[str], flag: str) ->
     return left.join(marks, keys, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def join_where(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], residual: Column | None, how: str) -> DataFrame:
-    """Equi join with an extra condition over both sides (column names must not clash)."""
-    on = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in keys])
-    return left.join(right, on if residual is None else on & residual, how)
-
-
 def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on equal keys, where null equals null; the keys appear once."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})

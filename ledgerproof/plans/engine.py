@@ -71,8 +71,11 @@ class Validation:
         guards = [replace(g, checks=own) for g in self.groups if (own := [c for c in g.checks if c.guards])]
         if not guards:
             return None
-        names = F.create_map(*[F.lit(x) for g in guards for c in g.checks for x in (c.rule_id, c.guards)])
-        return _counted(self.ctx, guards).withColumn("rule_id", F.try_element_at(names, F.col("rule_id"))).withColumnRenamed("error_count", "failed")
+        checks = [c for g in guards for c in g.checks]
+        rule, reason = (F.create_map(*[F.lit(x) for c in checks for x in (c.rule_id, getattr(c, what))]) for what in ("guards", "reason"))
+        told = _counted(self.ctx, guards).where("error_count > 0").select(
+            F.try_element_at(rule, F.col("rule_id")).alias("rule_id"), *FILING_KEYS, "error_count", F.try_element_at(reason, F.col("rule_id")).alias("reason"))
+        return told.groupBy("rule_id", *FILING_KEYS).agg(F.sum("error_count").alias("failed"), F.min("reason").alias("reason"))
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -87,7 +90,7 @@ class Validation:
         failure = F.lit(None).cast("string")
         if self.failed_rows is not None:
             joined = left_join_null_safe(joined, self.failed_rows, ["rule_id", *FILING_KEYS])
-            failure = F.when(F.col("failed") > 0, F.lit("CAST_INVALID_INPUT"))
+            failure = F.col("reason")
         for rule_id, reason in sorted(self.failures.items()):
             failure = F.when(F.col("rule_id") == rule_id, F.lit(reason)).otherwise(failure)
         return joined.select(

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerproof.session import scratch_path
+
 AGREEMENT_KEYS = ("contract_service_agreement", "contract_service_agreement_id")
-OPTIONAL_KEYS = ["product_name", "rate_units", "class_name", "term_name"]
 
 
 def type_name(data_type: T.DataType) -> str:
@@ -37,9 +38,41 @@ def schema_profile(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
     )
 
 
-def join_keys(transactions: DataFrame, contracts: DataFrame) -> list[str]:
-    """Optional keys both tables offer besides the agreement."""
-    return [c for c in OPTIONAL_KEYS if c in transactions.columns and c in contracts.columns]
+def column_sketches(tables: dict[str, DataFrame], size_log2: int = 12) -> DataFrame:
+    """(table_name, column_name, kind, sketch): a theta sketch of the distinct values of every column, from one scan per table.
+
+    A sketch keeps about 2**size_log2 of the smallest value hashes: exact up to that many distinct values, beyond with a
+    relative error of about 1 / sqrt(2**size_log2). Sketches merge on the map side; text and numbers are kept apart.
+    """
+    parts = []
+    for table, df in tables.items():
+        names = [(f.name, "STRING" if type_name(f.dataType) == "STRING" else "NUMBER") for f in df.schema.fields]
+        # Numbers of any width compare as one text.
+        text = {"STRING": "CAST(`{0}` AS STRING)", "NUMBER": "CAST(CAST(`{0}` AS DOUBLE) AS STRING)"}
+        entries = ", ".join(f"named_struct('column_name', '{n}', 'kind', '{kind}', 'value', {text[kind].format(n)})" for n, kind in names)
+        parts.append(df.selectExpr(f"explode(array({entries})) AS e").select(F.lit(table).alias("table_name"), "e.*"))
+    values = reduce(DataFrame.unionByName, parts).where("value IS NOT NULL")
+    return values.groupBy("table_name", "column_name", "kind").agg(F.expr(f"theta_sketch_agg(value, {size_log2})").alias("sketch"))
+
+
+def joinable_columns(tables: dict[str, DataFrame], least: float = 0.9, size_log2: int = 12) -> DataFrame:
+    """Pairs of columns of different tables where (nearly) all values of the left one occur in the right one.
+
+    (left_table, left_column, right_table, right_column, n_left, n_right, containment), estimated from sketches alone: the
+    pairs are pairs of columns, not of rows, so tables of any size meet as a few kilobytes each.
+    """
+    sketches = column_sketches(tables, size_log2)
+    spark = sketches.sparkSession
+    path = scratch_path(spark, "sketches")
+    sketches.write.parquet(path)
+    sketches = spark.read.schema(sketches.schema).parquet(path)
+    left = sketches.select(*[F.col(c).alias(f"left_{c.removesuffix('_name')}") for c in ("table_name", "column_name")], "kind", F.col("sketch").alias("a"))
+    right = sketches.select(*[F.col(c).alias(f"right_{c.removesuffix('_name')}") for c in ("table_name", "column_name")], "kind", F.col("sketch").alias("b"))
+    pairs = left.join(right, "kind").where("left_table <> right_table").selectExpr(
+        "left_table", "left_column", "right_table", "right_column", "theta_sketch_estimate(a) AS n_left", "theta_sketch_estimate(b) AS n_right",
+        "theta_sketch_estimate(theta_intersection(a, b)) AS n_both")
+    share = F.round(F.col("n_both") / F.col("n_left"), 6)
+    return pairs.where("n_left > 0").select("left_table", "left_column", "right_table", "right_column", "n_left", "n_right", share.alias("containment")).where(F.col("containment") >= least)
 
 
 def key_uniqueness(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

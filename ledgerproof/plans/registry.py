@@ -3,28 +3,21 @@
 from __future__ import annotations
 
 import json
-import re
 from dataclasses import replace
 
+from pyspark.sql import SparkSession
+
 from ledgerproof.context import Settings
 from ledgerproof.functions.predicates import lit
 from ledgerproof.plans.rules import Check, RowGroup
-
-
-CAST = re.compile(r"\bCAST\s*\(\s*([^()]+?)\s+AS\s+([A-Za-z]+(?:\([0-9, ]+\))?)\s*\)", re.I)
-
-
-def _tolerant(test: str) -> tuple[str, str | None]:
-    """The test with casts that give null instead of ending the run, and the condition of rows on which one did so."""
-    failed = [f"({value} IS NOT NULL AND TRY_CAST({value} AS {kind}) IS NULL)" for value, kind in CAST.findall(test)]
-    return CAST.sub(r"TRY_CAST(\1 AS \2)", test), " OR ".join(dict.fromkeys(failed)) or None
-
+from ledgerproof.plans.total import total
 
 def parse_rules(text: str, settings: Settings, cid: str | None = None) -> list[RowGroup]:
     """Row rules from a JSON text, one group per table.
 
-    ``{{CID}}`` and ``{{DATE}}`` in a test become quoted literals. A rule whose cast fails on some rows does not end the
-    run: the other rules finish and the statistics name the failure.
+    ``{{CID}}`` and ``{{DATE}}`` in a test become quoted literals. A rule that fails on some rows, by a cast, a division, an
+    element, a date or an overflow, does not end the run: it counts the rows it can tell, the other rules finish and the
+    statistics name the failure.
     """
     values = {"{{CID}}": lit(cid or ""), "{{DATE}}": lit(settings.run_date.isoformat())}
     by_table: dict[str, list[Check]] = {}
@@ -32,15 +25,15 @@ def parse_rules(text: str, settings: Settings, cid: str | None = None) -> list[R
         test = entry["test"]
         for name, value in values.items():
             test = test.replace(name, value)
-        test, failed = _tolerant(test)
+        test, failed = total(test)
         check = Check(entry["id"], entry.get("severity", "Error"), "T4", entry.get("description", entry["id"]), test)
         own = by_table.setdefault(entry["table"], [])
         own.append(check)
-        if failed:
-            own.append(replace(check, rule_id=f"{check.rule_id} cast", test=failed, guards=check.rule_id))
+        own += [replace(check, rule_id=f"{check.rule_id} {reason}", test=lost, guards=check.rule_id, reason=reason) for reason, lost in failed.items()]
     return [RowGroup(table, checks) for table, checks in by_table.items()]
 
 
-def load_rules(path: str, settings: Settings, cid: str | None = None) -> list[RowGroup]:
-    with open(path, encoding="utf-8") as source:
-        return parse_rules(source.read(), settings, cid)
+def load_rules(spark: SparkSession, path: str, settings: Settings, cid: str | None = None) -> list[RowGroup]:
+    """Rules from a JSON file anywhere that Spark can read."""
+    text = spark.read.option("wholetext", True).text(path).head()
+    return parse_rules(text.value if text else "[]", settings, cid)

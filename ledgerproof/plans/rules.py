@@ -72,6 +72,7 @@ class Check:
     partner: str | None = None
     # The rule whose failing rows this check counts; such a check makes no violations.
     guards: str | None = None
+    reason: str | None = None
 
 
 @dataclass(frozen=True)

@@ -34,12 +34,36 @@ def lake_files(spark: SparkSession, root: str, table: str = "*") -> DataFrame:
     return placed.select("cid", "period", "tier", "table", F.round(F.col("length") / 1048576, 2).alias("size_mb"), "path")
 
 
-def read_lake(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All files of one table anywhere below the root, with cid, period and tier from the path."""
+def read_files(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All files of one table anywhere below the root, with cid, period and tier from the path. Lists and reads everything."""
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{table}.parquet").parquet(root)
     return _located(rows, F.col("_metadata.file_path"))
 
 
+PLACE = ["cid", "period", "tier"]
+
+
+def write_lake(df: DataFrame, root: str, table: str) -> None:
+    """One table of the lake as ``<root>/<table>/cid=/period=/tier=``; a large filing is several files."""
+    df.hint("rebalance", *PLACE).write.mode("overwrite").partitionBy(*PLACE).parquet(f"{root}/{table}")
+
+
+def read_lake(spark: SparkSession, root: str, table: str, wanted: DataFrame | None = None, tier: str | None = None) -> DataFrame:
+    """One table of the lake, with cid, period and tier as columns; only partitions that are asked for are read.
+
+    ``wanted`` has (cid, period) of the filings to read. It meets the table in a semi join on the partition columns, from
+    which Spark takes the list of partitions before it opens a file.
+    """
+    rows = spark.read.parquet(f"{root}/{table}")
+    if tier is not None:
+        rows = rows.where(F.col("tier") == tier)
+    if wanted is None:
+        return rows
+    # The comparison holds for every text; Spark prunes by a join only if the other side is filtered.
+    filings = wanted.select(*[F.col(k).alias(f"_{k}") for k in FILING_KEYS]).where("_cid >= '' AND _period >= ''")
+    return rows.join(filings, (F.col("cid") == F.col("_cid")) & (F.col("period") == F.col("_period")), "left_semi")
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str] = FILING_KEYS) -> None:
     """Partitioned write. The rebalance hint lets adaptive execution cut a large partition into
     several tasks and merge small ones, so a hot filing is not written by one task."""

@@ -29,7 +29,7 @@ def test_every_surveyed_rule_is_built(spark):
 
 def test_sql_names_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(SQL) == {"S5_file_sizes", "R6_schema_profile"}
+    assert set(QUERIES) - set(SQL) == {"S5_file_sizes"}
 
 
 def test_entry_finds_unauthorized_transactions(spark):

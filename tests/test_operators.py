@@ -152,3 +152,38 @@ def test_covered_spans(spark, seed):
                               spark.createDataFrame(versions, "k string, start date, end date"), ["k"])
     want = {i: any(k is not None and k == v and a and b and s and s <= b and (e is None or e > a) for v, s, e in versions) for i, k, a, b in asked}
     assert {r.id: r.covered for r in found.collect()} == {i: bool(w) for i, w in want.items()}
+
+
+def test_reachable_nodes_with_cycles(spark):
+    """Each node once with its least steps, whatever cycles and numbers of paths there are."""
+    rng = random.Random(4)
+    edges = [(f"n{rng.randrange(30)}", f"n{rng.randrange(30)}") for _ in range(90)] + [("n1", "n2"), ("n2", "n1"), ("n3", "n3")] * 3
+    for hops in (1, 3, 40):
+        found = joins.within_hops(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("n1",), ("n3",), ("lone",)], "root string"), hops)
+        want = set()
+        for root in ("n1", "n3", "lone"):
+            seen, frontier = {root}, {root}
+            for depth in range(1, hops + 1):
+                frontier = {b for a, b in edges if a in frontier} - seen
+                seen |= frontier
+                want |= {(root, n, depth) for n in frontier}
+        rows = found.collect()
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+
+
+def test_many_names(spark):
+    """100,000 names against a few thousand values, with short, blank and null names; no nested loop."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeFGH") for _ in range(rng.randrange(3, 9)))
+    values = [f"{word()} {word()} {word()}" for _ in range(3000)] + [None, "", "ab", "É x"] + ["same value abcd"] * 500
+    names = sorted({f"{word()} {word()[:2]}" for _ in range(100_000)} | {word() for _ in range(3000)}) + ["a", "É", "bc", "", None, "zz"]
+    index = spark.createDataFrame(list(enumerate(values)), "id int, legal_name string")
+    found = joins.match_names(index, spark.createDataFrame([(n,) for n in names], "search_name string"), "legal_name")
+    lower = {}
+    for n in names:
+        if n is not None:
+            lower.setdefault(n.lower(), []).append(n)
+    want = {(i, n) for i, v in enumerate(values) if v is not None for t in {v.lower()[a:b] for a in range(len(v) + 1) for b in range(a, len(v) + 1)} for n in lower.get(t, ())}
+    rows = found.select("id", "search_name").collect()
+    assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)

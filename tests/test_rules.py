@@ -9,9 +9,11 @@ from ledgerproof.operators.results import acceptance
 from ledgerproof.plans.catalogue import catalogue, catalogue_frame
 from ledgerproof.plans import bundle
 from ledgerproof.plans.engine import group_counts, validate
+from ledgerproof.plans.incremental import current, refresh
 from ledgerproof.plans.mutation import Mutation, mutation_results
 from ledgerproof.plans.registry import parse_rules
 from ledgerproof.plans.rules import JoinGroup, pick
+from ledgerproof.plans.total import total
 from ledgerproof.sources.registry import with_lookup
 from tests.golden import AGENT, CONTRACT, INDEX, SELLER, SETTINGS, TRANSACTION, DAY, filing, frame
 
@@ -242,3 +244,28 @@ def test_bundle_equals_single_joins(spark):
         for r in group_counts(ctx, g).where("error_count > 0").collect():
             alone[r.rule_id, r.cid, r.period] += r.error_count
     assert together == dict(alone) and len(together) > 5
+
+
+def test_rules_made_total(spark):
+    """What can fail gives null; rows behind a guard of the rule's own are not counted as lost."""
+    rows = spark.createDataFrame([("1", 0, ["a"]), ("x", 2, []), (None, None, None)], "s string, n int, a array<string>")
+    for test, lost in [("CAST(trim(s) AS INT) > 0", 1), ("s::int > 0", 1), ("int(s) > 0", 1), ("4 / n > 1", 1), ("4 % n = 0", 1), ("4 div n = 2", 1), ("element_at(a, 1) = 'a'", 1), ("a[0] = 'a'", 1),
+                       ("to_date(s) > DATE'2000-01-01'", 2), ("n * 2000000000 > 1", 1), ("CASE WHEN n <> 0 THEN 4 / n > 1 ELSE false END", 0), ("n <> 0 AND 4 / n > 1", 0), ("n = 0 OR 4 / n > 1", 0),
+                       ("if(n = 0, false, 4 / n > 1)", 0), ("TRY_CAST(s AS INT) > 0", 0), ("s RLIKE '^[0-9]+$' AND CAST(s AS INT) > 0", 0), ("exists(a, e -> e = 'a')", 0)]:
+        made, failed = total(test, spark)
+        rows.selectExpr(made).collect()
+        assert sum(rows.where(condition).count() for condition in failed.values()) == lost, test
+
+
+def test_only_changed_filings_are_validated(spark, tmp_path):
+    path, rules = str(tmp_path / "r"), pick(catalogue(SETTINGS), rule_ids=["F.25.21.2", "F.16.12.1"])
+    many = [{**TRANSACTION, "cid": f"C{i}", "transaction_unique_id": f"T{i}"} for i in range(6)]
+    ctx = filing(spark, transactions=many)
+    assert refresh(ctx, rules, path) >= 6
+    assert refresh(filing(spark, transactions=many[::-1]), rules, path) == 0
+    changed = filing(spark, transactions=[{**many[0], "transaction_quantity": -5.0}, *many[1:5]])
+    assert refresh(changed, rules, path) == 1
+    found = {(r.rule_id, r.cid, r.period): r.error_count for r in current(changed, path).collect()}
+    assert found == {(r.rule_id, r.cid, r.period): r.error_count for r in validate(changed, rules).stats.collect()}
+    assert found["F.25.21.2", "C0", many[0]["period"]] == 1
+    assert refresh(changed, rules, path, version="next") >= 5

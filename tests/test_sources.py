@@ -21,7 +21,7 @@ def test_lake_layout_gives_company_period_tier(spark, tmp_path):
         pq.write_table(pa.table({"transaction_unique_id": [str(i) for i in range(n)]}), folder / "transactions.parquet")
         pq.write_table(pa.table({"contract_unique_id": ["k"]}), folder / "contracts.parquet")
     root = str(tmp_path / "lake")
-    counts = lake.read_lake(spark, root, "transactions").groupBy("cid", "period", "tier").count().collect()
+    counts = lake.read_files(spark, root, "transactions").groupBy("cid", "period", "tier").count().collect()
     assert sorted(map(tuple, counts)) == [("C1", "2025Q1", "bronze", 3), ("C1", "2025Q2", "silver", 2), ("C2", "2025Q1", "bronze", 1)]
     files = lake.lake_files(spark, root).collect()
     assert len(files) == 6 and {f.table for f in files} == {"transactions", "contracts"}
@@ -112,12 +112,11 @@ def test_coverage_has_three_outcomes(spark):
         ("Otter Fuel", "C2", "Found in Index, not in Lake"), ("Finch Solar", None, "Not in Index")}
 
 
-def test_schema_profile_and_join_keys(spark):
+def test_schema_profile(spark):
     tx, ct = frame(spark, "transactions", [TRANSACTION]), frame(spark, "contracts", [CONTRACT])
     rows = {(r.table_name, r.column_name): r for r in profile.schema_profile(spark, {"transactions": tx, "contracts": ct}).collect()}
     assert rows["transactions", "price"].data_type == "DOUBLE" and rows["transactions", "trade_date"].data_type == "STRING"
     assert rows["contracts", "contract_unique_id"].is_key_candidate and rows["contracts", "product_name"].shared_with == "transactions"
-    assert profile.join_keys(tx, ct) == ["product_name", "rate_units", "class_name", "term_name"]
 
 
 def test_mismatch_evidence_names_missing_agreements(spark):
@@ -157,3 +156,28 @@ def test_session_names_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") == folder
     assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
     assert F.lit(1) is not None
+
+
+def test_lake_reads_only_wanted_partitions(spark, tmp_path):
+    """Two tiers; the list of partitions comes from the table of wanted filings before files are opened."""
+    rows = [(f"C{i % 5}", f"202{i % 3}Q{1 + i % 4}", "silver" if i % 2 else "bronze", i) for i in range(240)]
+    lake.write_lake(spark.createDataFrame(rows, "cid string, period string, tier string, n int"), str(tmp_path), "transactions")
+    wanted = spark.createDataFrame([("C1", "2021Q2"), ("C4", "2020Q1"), ("C9", "2020Q1"), (None, "2020Q1")], "cid string, period string")
+    read = lake.read_lake(spark, str(tmp_path), "transactions", wanted)
+    assert {r.n for r in read.collect()} == {n for c, p, _, n in rows if (c, p) in {("C1", "2021Q2"), ("C4", "2020Q1")}}
+    assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
+    silver = lake.read_lake(spark, str(tmp_path), "transactions", wanted, tier="silver")
+    assert {r.n for r in silver.collect()} == {n for c, p, t, n in rows if (c, p) in {("C1", "2021Q2"), ("C4", "2020Q1")} and t == "silver"}
+
+
+def test_joinable_columns_from_sketches(spark):
+    """Beyond the sketch size, containment is within three standard errors; below, it is exact."""
+    n = 60_000
+    a = spark.range(n).selectExpr("id AS a_key", "concat('x', id % 700) AS a_name", "CAST(NULL AS STRING) AS nothing")
+    b = spark.range(n).selectExpr("id * 2 AS b_key", "concat('x', id % 900) AS b_name")
+    found = {(r.left_column, r.right_column): r for r in profile.joinable_columns({"a": a, "b": b}, least=0.0).collect()}
+    assert found["a_name", "b_name"].containment == 1.0 and found["b_name", "a_name"].containment == round(700 / 900, 6)
+    assert (found["a_name", "b_name"].n_left, found["a_name", "b_name"].n_right) == (700, 900)
+    error = 3 / 4096 ** 0.5
+    assert abs(found["a_key", "b_key"].n_left - n) < error * n and abs(found["a_key", "b_key"].containment - 0.5) < 2 * error
+    assert ("a_key", "b_name") not in found and not any("nothing" in k for k in found)
