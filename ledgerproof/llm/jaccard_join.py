@@ -4,14 +4,14 @@
 2. A set can only link if at most a quarter of its shingles is held by no other set. This is tested on the shingles in a
    fixed part of the hash range (``SAMPLED``; what is missing there is missing), through the exchange of occurrences. Sets
    that fail are done; the others carry on with all their shingles.
-3. Partition: sets are grouped by their smallest repeated shingle hash. The most typical member leads; members that link
-   with it form a star, the rest stay alone.
-4. Token-group matrix: rows (shingle, group) of the rarest shingles of each group's members. A set that links with a member
-   shares a number of these with the group that grows with its size (``least_shared``), which bounds the overlap. Groups
-   that qualify are opened in blocks, and the set is compared with their members, from the side of the group with fewer
-   members. One link of a set with a group suffices, so copies of one text never cost one comparison per pair of texts
-   that are in one star, and no link between groups is missed.
-5. Links within stars and between them are joined to components.
+3. Partition: sets are grouped by their smallest repeated shingle hash. The most typical member leads; members of at least
+   ``LOOSE`` percent similarity to it stay in its group, linked (its star) or not, the rest are groups of their own.
+4. Token-group matrix: one row (shingle, group) of the union of the rarest shingles of each group's members. A set that links
+   with a member shares a number of these with the group that grows with its size (``least_shared``), which bounds the
+   overlap. A set asks larger groups, and its own if it is not in the star. So the thousands of texts that lie just outside
+   each other's reach meet as one group, not pair by pair.
+5. Groups that qualify are opened in blocks. A block joins what its links connect, so it returns no more links than it has
+   sets; links within stars and these are joined to components.
 
 The order "rarest first" comes from a count sketch of fixed size; any order gives the same links.
 
@@ -37,6 +37,7 @@ from ledgerproof.llm.textscan import mix, owners, pieces, row_bounds, scan, wind
 NAME = "op1_ngram_jaccard"
 SHINGLE = 5
 PERCENT = 75
+LOOSE = 40  # similarity to a leader with which a set stays in its group
 SAMPLED = 0.4  # part of the hash range that the first test looks at
 LEVEL_PART = 16
 BLOCK = 256  # sets of one side in an opened block
@@ -132,18 +133,19 @@ def _tokens(size: int):
     return run
 
 
-def _linked(percent: int):
-    """Keep the pairs (a, b, tokens, tokens_b) whose sets link."""
+def _led(percent: int, loose: int):
+    """Keep the pairs (a, b, tokens, tokens_b) of at least ``loose`` percent similarity, and say which link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, linked = [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 place = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[place] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                keep.append(100 * both >= loose * (len(x) + len(y) - both))
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -215,37 +217,50 @@ def set_components(all_sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = all_sets.sparkSession
     leads = all_sets.groupBy("grp").agg(F.max(F.struct("typical", (-F.col("sid")).alias("minus"))).alias("x"), F.count("*").alias("members")).where("members > 1").select("grp", (-F.col("x.minus")).alias("leader"))
     led = all_sets.join(leads, F.col("sid") == F.col("leader"), "left_semi").select("grp", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("tokens_a"))
-    stars = all_sets.join(led, "grp").where(F.col("sid") != F.col("a")).where(_similar_size("n", "na", percent)).select("a", F.col("sid").alias("b"), F.col("tokens_a").alias("tokens"), F.col("tokens").alias("tokens_b"))
-    links = stored(stars.mapInArrow(_linked(percent), "a long, b long"), "star-links")
+    loose = min(LOOSE, percent)
+    near = all_sets.join(led, "grp").where(F.col("sid") != F.col("a")).where(_similar_size("n", "na", loose)).select("a", F.col("sid").alias("b"), F.col("tokens_a").alias("tokens"), F.col("tokens").alias("tokens_b"))
+    near = stored(near.mapInArrow(_led(percent, loose), "a long, b long, linked boolean"), "led-sets")
+    links = near.where("linked").select("a", "b")
 
     cells = spark.sparkContext.broadcast(_sketch(all_sets))
     rare = all_sets.select("sid", "tokens").mapInArrow(_rarest(cells, percent), "token long, sid long, n int, need int, small boolean")
     shared = rare.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
-    whole = stored(links.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()), "stars")
-
-    # Sets against the stars they are not in, from the side of the star with fewer members.
-    sizes = whole.groupBy("component").agg(F.count("*").alias("members"))
-    named = rare.join(shared, "token", "left_semi").join(whole.join(sizes, "component").withColumnRenamed("node", "sid"), "sid", "left")
-    named = stored(named.select("token", "sid", "n", "need", "small", F.coalesce("component", "sid").alias("grp"), F.coalesce("members", F.lit(1)).alias("members")), "rare-shingles")
-    late = stored(_open(_bounded(named), named, whole, all_sets, percent), "late-links")
+    # Sets of groups of two and more: their group, and the star they are in (alone, themselves).
+    held = near.select(F.col("b").alias("node"), F.col("a").alias("grp"), F.when(F.col("linked"), F.col("a")).otherwise(F.col("b")).alias("star"))
+    whole = stored(held.unionByName(near.select(F.col("a").alias("node"), F.col("a").alias("grp"), F.col("a").alias("star")).distinct()), "groups")
+
+    # Sets against the groups they are not in, from the side of the group with fewer members, and against the rest of their own.
+    sizes = whole.groupBy("grp").agg(F.count("*").alias("members"))
+    named = rare.join(shared, "token", "left_semi").join(whole.join(sizes, "grp").withColumnRenamed("node", "sid"), "sid", "left")
+    outside = (F.col("star") == F.col("sid")) & (F.col("sid") != F.col("grp"))
+    named = stored(named.select("token", "sid", "n", "need", "small", F.coalesce("grp", "sid").alias("grp"), F.coalesce("members", F.lit(1)).alias("members"), F.coalesce(outside, F.lit(False)).alias("outside")), "rare-shingles")
+    late = stored(_open(_bounded(named), whole, all_sets, percent), "late-links")
     return components(links.unionByName(late))
 
 
 def _bounded(rare: DataFrame) -> DataFrame:
-    """(sid, grp): sets that share enough with the sets of a larger component; for links to sets of either size."""
-    queries = rare.select("token", "sid", "n", "need", "small", F.col("grp").alias("own"), F.col("members").alias("own_members"))
-    matrix = rare.groupBy("token", "grp", "members").agg(F.max("n").alias("largest"), F.min(F.when(F.col("small"), F.col("n"))).alias("smallest"), F.min(F.when(F.col("small"), F.col("need"))).alias("least"))
-    met = queries.join(matrix, "token").where("own <> grp AND (own_members < members OR (own_members = members AND own < grp))")
+    """(sid, grp): sets that share enough with the union of a larger group, or of their own; for links to sets of either size."""
+    queries = rare.select("token", "sid", "n", "need", "small", F.col("grp").alias("own"), F.col("members").alias("own_members"), "outside")
+    matrix = rare.groupBy("token", "grp", "members").agg(F.max("n").alias("largest"), F.min(F.when(F.col("small"), F.col("n"))).alias("smallest"), F.min(F.when(F.col("small"), F.col("need"))).alias("least"), F.count("*").alias("holders"))
+    # In its own group a set must share the shingle with another member.
+    met = queries.join(matrix, "token").where("(own = grp AND outside AND holders > 1) OR (own <> grp AND (own_members < members OR (own_members = members AND own < grp)))")
     upward, downward = F.col("small") & (F.col("largest") >= F.col("n")), F.col("smallest") <= F.col("n")
     counts = met.where(upward | downward).groupBy("sid", "grp").agg(F.count_if(upward).alias("up"), F.first("need").alias("need"), F.count_if(downward).alias("down"), F.min(F.when(downward, F.col("least"))).alias("least"))
     return counts.where("up >= need OR down >= least").select("sid", "grp")
 
 
 def _links_in_block(percent: int):
-    """Links between the queries and the members of one opened block; one for each query suffices."""
+    """Links between the queries and the members of one opened block, as few as connect what they connect."""
 
     def run(block: pa.Table) -> pa.Table:
-        side, sids = block["side"].to_numpy(), block["sid"].to_numpy()
+        side, sids, stars = block["side"].to_numpy(), block["sid"].to_numpy(), block["star"].to_numpy()
+        parent = {x: x for x in stars.tolist()}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
         tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["tokens"]]
         members, queries = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         found: list[tuple[int, int]] = []
@@ -260,25 +275,29 @@ def _links_in_block(percent: int):
                 n = b - a
                 at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                 both = np.bincount(holder[at], minlength=len(members))
-                hit = np.flatnonzero(100 * both >= percent * (len(x) + size - both))
-                if len(hit):
-                    found.append((int(sids[i]), int(sids[members[hit[0]]])))
+                hit = members[np.flatnonzero(100 * both >= percent * (len(x) + size - both))]
+                own = int(stars[i])
+                for j in hit[np.unique(stars[hit], return_index=True)[1]].tolist():
+                    if root(own) != root(int(stars[j])):
+                        parent[root(own)] = root(int(stars[j]))
+                        found.append((int(sids[i]), int(sids[j])))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
-def _open(bounded: DataFrame, rare: DataFrame, whole: DataFrame, all_sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the bounded sets with members of the components opened for them, in blocks of both."""
+def _open(bounded: DataFrame, whole: DataFrame, all_sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the bounded sets with members of the groups opened for them, in blocks of both."""
     bounded = stored(bounded, "opened")
     asked = bounded.groupBy("grp").agg(F.count("*").alias("asking"))
-    member = asked.join(whole.withColumnRenamed("component", "grp"), "grp", "left").select("grp", "asking", F.coalesce("node", "grp").alias("sid"))
+    member = asked.join(whole, "grp", "left").select("grp", "asking", F.coalesce("node", "grp").alias("sid"), F.coalesce("star", "grp").alias("star"))
     blocks = member.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("mine"), F.ceil(F.max("asking") / BLOCK).cast("int").alias("theirs"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("sid"), F.col(n)).cast("int")
-    members = member.select("grp", "sid").join(blocks, "grp").select("grp", "sid", F.lit(1).alias("side"), place("mine").alias("m"), every("theirs").alias("q"))
-    queries = bounded.join(blocks, "grp").select("grp", "sid", F.lit(0).alias("side"), place("theirs").alias("q"), every("mine").alias("m"))
-    held = members.unionByName(queries).join(all_sets.select("sid", "tokens"), "sid").select("grp", "m", "q", "side", "sid", "tokens")
+    members = member.select("grp", "sid", "star").join(blocks, "grp").select("grp", "sid", "star", F.lit(1).alias("side"), place("mine").alias("m"), every("theirs").alias("q"))
+    stars = whole.select(F.col("node").alias("sid"), "star")
+    queries = bounded.join(blocks, "grp").join(stars, "sid", "left").select("grp", "sid", F.coalesce("star", "sid").alias("star"), F.lit(0).alias("side"), place("theirs").alias("q"), every("mine").alias("m"))
+    held = members.unionByName(queries).join(all_sets.select("sid", "tokens"), "sid").select("grp", "m", "q", "side", "sid", "star", "tokens")
     return held.groupBy("grp", "m", "q").applyInArrow(_links_in_block(percent), "a long, b long")
 
 
@@ -292,7 +311,10 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     held = F.coalesce(F.octet_length("marks") / 4, F.lit(0))
     alive = distinct.where("n > 2").join(marks, ["h1", "h2"], "left").where(held >= F.col("sampled") - F.floor(F.col("n") * (100 - percent) / 100))
     alive = stored(alive.select(F.monotonically_increasing_id().alias("sid"), "h1", "h2", "n", "key.k1", "key.k2", "marks", F.coalesce(F.try_divide(held, F.col("sampled")), F.lit(0.0)).alias("typical")), "alive-sets")
-    texts = keyed.drop("doc_id").join(alive, ["k1", "k2"]).select("sid", "text", "marks", "n", "typical")
+    # One document speaks for each content, so copies of a text are not tokenized and a hot content is no hot key.
+    speaker = described.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("speaker"))
+    speaker = stored(speaker.join(alive, ["k1", "k2"]).select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "speaker", "sid", "marks", "n", "typical"), "speakers")
+    texts = keyed.join(speaker, F.expr("doc_id <=> speaker AND k1 = c1 AND k2 = c2")).select("sid", "text", "marks", "n", "typical")
     all_sets = stored(texts.mapInArrow(_tokens(size), "sid long, n long, typical double, grp long, tokens binary").dropDuplicates(["sid"]), "shingle-sets")
     found = set_components(all_sets, percent)
     named = alive.join(found, F.col("sid") == F.col("node")).select("h1", "h2", "n", "component")

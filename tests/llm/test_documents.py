@@ -52,6 +52,32 @@ def test_near_chain_and_threshold(spark):
     assert plain(jaccard_join.jaccard_components(documents(spark, rows)), "doc_id", "n_shingles", "component_id") == Counter(brute.near_components(rows))
 
 
+def test_texts_just_outside_each_other(spark):
+    """Hundreds of texts near one base, few of which link: groups, not pairs, meet, and no link is lost."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 3, 4, 5])):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    found = jaccard_join.jaccard_components(documents(spark, rows))
+    assert plain(found, "doc_id", "n_shingles", "component_id") == Counter(brute.near_components(rows))
+
+
+def test_bounds_grow_with_groups_not_pairs(spark):
+    """2,000 sets outside the star of their group: rows of the bound join stay in step with the sets."""
+    made = {}
+    for n in (500, 2000):
+        sets = [(i, t, 40, 3, True, 0, n, i > 0) for i in range(n) for t in range(30)]
+        rare = spark.createDataFrame(sets, "sid long, token long, n int, need int, small boolean, grp long, members int, outside boolean")
+        bound = jaccard_join._bounded(rare)
+        matrix = rare.groupBy("token", "grp").count().count()
+        made[n] = (matrix, bound.count())
+    assert made[500] == (30, 499) and made[2000] == (30, 1999)
+
+
 @pytest.mark.parametrize("rows", [random_rows(), random_rows(5, 20), odd_rows()], ids=["random", "more", "odd"])
 def test_repeated_passages(spark, rows):
     found = substring_dedup.remove_repeats(documents(spark, rows))
