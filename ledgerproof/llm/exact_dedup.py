@@ -86,10 +86,11 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
     Of equal texts the one with the most code points stays, then the smallest doc_id.
     """
     rows = stored(identities(docs, block_chars), "identities")
-    best = rows.groupBy("level", "name").agg(
-        F.max(F.struct("n_chars", (-F.col("doc_id")).alias("minus"), (-F.col("row")).alias("row"))).alias("best"), F.count("*").alias("group_size"))
-    return rows.join(best, ["level", "name"]).select(
-        "doc_id", (-F.col("best.minus")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.row")).alias("kept"), "text_sha256", "n_chars")
+    order = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    best = rows.groupBy("level", "name").agg(F.min(order).alias("best"), F.count("*").alias("group_size"))
+    # Stored, so that the join has plain sides and the copies of one text can be split over tasks.
+    best = stored(best.select("level", "name", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("first"), "group_size"), "groups")
+    return rows.join(best, ["level", "name"]).select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), "text_sha256", "n_chars")
 
 
 def keep_first(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:

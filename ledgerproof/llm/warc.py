@@ -80,21 +80,22 @@ def resolve_revisits(records: DataFrame, span_seconds: int = SPAN_SECONDS) -> Da
 
     ``headers`` is a map of lower-cased names; ``ts`` is in seconds. Status: response, resolved, changed or no_target.
     """
-    named = stored(records.select("record_id", canonical_url(F.col("url")).alias("canonical"), "kind", "ts", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "digest", "n_bytes")
+    named = stored(records.select(F.monotonically_increasing_id().alias("row"), "record_id", canonical_url(F.col("url")).alias("canonical"), "kind", "ts", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "digest", "n_bytes")
                    .withColumn("span", F.floor(F.col("ts") / span_seconds)), "warc-records")
     ordered = named.where(F.col("kind").isin("response", "revisit") & F.col("canonical").isNotNull() & F.col("ts").isNotNull())
     # The last response of each span, carried to the spans after it.
-    mark = F.struct("ts", "record_id")
+    mark = F.struct("ts", "record_id", "row")
     spans = ordered.groupBy("canonical", "span").agg(F.max(F.when(F.col("kind") == "response", mark)).alias("last"))
     before = Window.partitionBy("canonical").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.select("canonical", "span", F.max("last").over(before).alias("carried"))
     # Within a span: responses of earlier moments.
     inside = Window.partitionBy("canonical", "span").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    own = ordered.select("record_id", "canonical", "span", "ts", "kind").withColumn("inside", F.max(F.when(F.col("kind") == "response", mark)).over(inside)).where("kind = 'revisit'")
-    near = own.join(spans, ["canonical", "span"]).select(F.col("record_id").alias("revisit"), F.coalesce("inside.record_id", "carried.record_id").alias("target")).where("target IS NOT NULL")
-    full = named.where("kind = 'response'").select(F.col("record_id").alias("target"), F.col("headers").alias("full"), F.col("digest").alias("full_digest"), F.col("n_bytes").alias("full_bytes"))
-    found = near.distinct().join(full.dropDuplicates(["target"]), "target")
-    joined = named.join(found, F.col("record_id") == F.col("revisit"), "left")
+    own = ordered.select("row", "record_id", "canonical", "span", "ts", "kind").withColumn("inside", F.max(F.when(F.col("kind") == "response", mark)).over(inside)).where("kind = 'revisit'")
+    near = own.join(stored(spans, "warc-spans"), ["canonical", "span"]).select(
+        F.col("row").alias("revisit"), F.coalesce("inside.record_id", "carried.record_id").alias("target"), F.coalesce("inside.row", "carried.row").alias("target_row")).where("target_row IS NOT NULL")
+    full = named.where("kind = 'response'").select(F.col("row").alias("target_row"), F.col("headers").alias("full"), F.col("digest").alias("full_digest"), F.col("n_bytes").alias("full_bytes"))
+    found = near.join(full, "target_row")
+    joined = named.join(found, F.col("row") == F.col("revisit"), "left")
     tag, full_tag = F.try_element_at("headers", F.lit("etag")), F.try_element_at("full", F.lit("etag"))
     agrees = F.when(tag.isNotNull(), _strong(tag).eqNullSafe(_strong(full_tag))).when(
         F.try_element_at("headers", F.lit("last-modified")).isNotNull(), F.try_element_at("headers", F.lit("last-modified")).eqNullSafe(F.try_element_at("full", F.lit("last-modified")))).otherwise(True)

@@ -95,12 +95,11 @@ def test_repeat_within_one_text(spark):
     assert plain(substring_dedup.remove_repeats(documents(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.without_repeats(rows))
 
 
-@pytest.mark.parametrize("rows", [random_rows(), odd_rows()], ids=["random", "odd"])
+@pytest.mark.parametrize("rows", [random_rows(), odd_rows() + [(20, "a <|endoftext|> b<|startoftext|>c <|endoftext|><|endoftext|> d")]], ids=["random", "odd"])
 def test_packing_round_trip(spark, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     for d, t in rows:
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -197,3 +196,18 @@ def test_components_of_shuffled_graphs(spark, shape, size, seed):
                                       quality_rules.judge, quality_rules.keep_good, jaccard_join.keep_one, lambda d: packing.pack(packing.token_pieces(d))])
 def test_empty_table(spark, operator):
     assert operator(documents(spark, odd_rows()).limit(0)).count() == 0
+
+
+def test_exact_duplicates_with_text_ids(spark):
+    """Ids of any type that sorts; null ids are chosen last."""
+    rows = [("b", "same text"), ("a", "sametext"), (None, "same  text"), ("c", "other"), (None, None), ("d", " ")]
+    found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert plain(found, "doc_id", "keep_id", "group_size", "kept") == Counter(
+        [("b", None, 3, False), ("a", None, 3, False), (None, None, 3, True), ("c", "c", 1, True), (None, "d", 2, False), ("d", "d", 2, True)])
+
+
+def test_letters_of_every_script(spark):
+    """Clean prose without upper and lower case is kept; lines of digits are not."""
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(80))) for i, letters in enumerate(["אבגדהו", "ابتثجح", "कखगघचछ", "กขคงจฉ", "가나다라마", "天地玄黄宇", "0123456789"])]
+    assert {r.doc_id: r.kept for r in quality_rules.judge(documents(spark, rows)).collect()} == {i: i < 6 for i in range(7)}

@@ -86,3 +86,13 @@ def test_revisits(spark):
     assert found[2].headers == {"etag": 'W/"1"', "content-type": "t", "expires": "e"}
     assert found[6].response_id == 5
     assert warc.resolve_revisits(frame.limit(0)).count() == 0
+
+
+def test_revisits_with_repeated_record_ids(spark):
+    """Rows are matched one by one: each revisit once, by its own URL, whatever ids repeat."""
+    schema = "record_id long, url string, kind string, ts long, headers map<string,string>, digest string, n_bytes long"
+    rows = [(1, "http://a.com/x", "response", 10, {}, "A", 1), (1, "http://b.com/x", "response", 10, {}, "B", 2), (2, "http://a.com/x", "revisit", 20, {}, None, None),
+            (2, "http://b.com/x", "revisit", 20, None, None, None), (2, "http://b.com/x", "revisit", 20, None, None, None), (None, "http://a.com/x", "revisit", 30, {}, None, None)]
+    found = warc.resolve_revisits(spark.createDataFrame(rows, schema)).where("kind = 'revisit'").collect()
+    assert sorted((r.record_id or 0, r.canonical, r.status, r.digest) for r in found) == [
+        (0, "a.com/x", "resolved", "A"), (2, "a.com/x", "resolved", "A"), (2, "b.com/x", "resolved", "B"), (2, "b.com/x", "resolved", "B")]
