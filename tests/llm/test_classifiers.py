@@ -51,25 +51,40 @@ def test_odd_rows(spark, module, label):
 
 
 def test_nearest_is_exact():
+    """The k nearest by brute force, also with an example left out, whatever blocks are skipped; and blocks are skipped."""
     rng = np.random.default_rng(3)
-    n, terms = 700, 40
-    doc, term = np.nonzero(rng.random((n, terms)) < 0.1)
+    n, terms, skipped = 1500, 400, 0
+    group = np.arange(n)[:, None] // 100 == np.arange(terms)[None, :] % 15  # a hundred neighbours share their rarer terms
+    doc, term = np.nonzero(rng.random((n, terms)) < np.where(group, 0.5, np.linspace(0.002, 0.6, terms)))
     tf = rng.integers(1, 6, len(doc))
-    index = toxicity.Index(np.arange(1, terms + 1, dtype=np.uint64), rng.random(terms) + 0.5, doc, term, tf, rng.integers(0, 50, n), rng.integers(0, 2, n), [str(i) for i in range(n)])
-    full = np.zeros((n, terms + 1))
-    for t, (a, b) in enumerate(zip(index.at[:-1], index.at[1:])):
-        full[index.doc[a:b], t] = index.weights[a:b]
-    for _ in range(60):
-        own = np.flatnonzero(rng.random(terms + 1) < 0.15)
-        if not len(own):
-            continue
+    idf = np.log((n + 1) / np.maximum(np.bincount(term, minlength=terms), 1)) * rng.choice([0.2, 1.2], terms)
+    used = np.unique(term)
+    index = toxicity.Index(used.astype(np.uint64) + 1, idf[used], doc, np.searchsorted(used, term), tf, rng.integers(0, 2, n), [str(i) for i in range(n)])
+    full = np.zeros((n, len(used)))
+    full[doc, np.searchsorted(used, term)] = index.weight(np.searchsorted(used, term), tf)
+    full /= np.maximum(np.linalg.norm(full, axis=1), 1e-300)[:, None]
+    for round_ in range(80):
+        own = np.flatnonzero(rng.random(len(used)) < (0.2 if round_ < 40 else np.where(used % 15 == round_ % 15, 0.6, 0.05)))
         counts = rng.integers(1, 5, len(own))
-        q = np.zeros(terms + 1)
+        q = np.zeros(len(used))
         q[own] = index.weight(own, counts)
         cosines = full @ (q / np.linalg.norm(q))
-        _, found = index.nearest(own, counts)
+        leave = slice(7, 9) if round_ % 2 else None
+        if leave:
+            cosines[leave] = 0
+        examples, found, missed = index.nearest(own, counts, leave)
         best = np.sort(cosines)[::-1][:toxicity.NEAREST]
-        assert np.allclose(found, best[best > 1e-15][:len(found)]) and len(found) == min((cosines > 1e-15).sum(), toxicity.NEAREST)
+        skipped += missed
+        assert np.allclose(found, best[best > 1e-15]) and np.allclose(cosines[examples], found)
+    assert skipped > 0
+
+
+def test_bound_on_terms(spark):
+    """More terms than the bound leave examples out, not the text of any document."""
+    docs = documents(spark, [(i, " ".join(f"w{i}x{j}" for j in range(50)) + " vile" * (i % 2)) for i in range(100)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    index = toxicity.build_index(docs, labels, most_terms=1000)
+    assert 15 <= index.n <= 20 and toxicity.score_texts(docs, index).count() == 100
 
 
 def test_every_text_finds_its_own_example(spark):
