@@ -38,7 +38,7 @@ NEVER = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "dd", "dt", "td", "th", "figcaption", "caption"}
 BLOCKS = TEXT_BLOCKS | {"address", "article", "body", "center", "details", "div", "dl", "figure", "hgroup", "hr", "html", "main", "ol", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul"} | NEVER
-NEVER_WORDS = ("ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer",
+NEVER_WORDS = ("ad", "adbanner", "adbox", "adcontainer", "ads", "adsbygoogle", "adslot", "adunit", "adwrapper", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer",
                "hidden", "masthead", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup", "promo", "promoted", "recommended", "related", "replies", "respond", "search", "share",
                "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget")
 HEADLESS = {"article", "main"}  # a header element inside these holds the headline
@@ -49,7 +49,7 @@ _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)  # as an attribute, looked for without quoted values
 _HIDDEN_STYLE = re.compile(r"(?:^|\s)(?:style\s*=\s*(?:\"[^\"]*?|'[^']*?|[^\s\"'>]*?)display\s*:\s*none|aria-hidden\s*=\s*[\"']?true)", re.I)
 _NEVER_WORDS = frozenset(NEVER_WORDS)
-_ABOUT = re.compile(r"(?:has|have|no|not|with|without|hide|show|is)(?:[-_]|(?=[A-Z]))")  # a token that tells of another element
+_ABOUT = re.compile(r"(?:has|have|no|not|with|without|hide|show)(?:[-_]|(?=[A-Z]))")  # a token that tells of another element
 TALK = {"comment", "comments", "replies", "respond", "disqus"}  # long, and still not the article
 WRAPPER = ["wrapper"] * 3  # what a wrapper named like a menu or sidebar costs a run that enters it
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -71,9 +71,11 @@ class Block:
 def _is_never(name: str, attrs: str, stack: list) -> bool:
     if name in NEVER:
         return not (name == "header" and any(s[0] in HEADLESS for s in stack))
-    if name in ("html", "body", "main", "article") or not attrs:
+    if name in ("html", "body", "main", "article"):
         return False
-    return _is_hidden(attrs) or bool(_never_words(attrs))
+    if "-" in name and not _NEVER_WORDS.isdisjoint(name.split("-")):  # amp-ad and other elements of a site's own
+        return True
+    return bool(attrs) and (_is_hidden(attrs) or bool(_never_words(attrs)))
 
 
 def _is_hidden(attrs: str) -> bool:
@@ -173,9 +175,17 @@ def _blocks(page: str, kept: frozenset[int]) -> tuple[list[Block], dict[int, tup
             block.tags.append(name)
             if name == "br":
                 block.parts.append(" ")
-            if name not in ("div", "span") or closing or not m["attrs"] or not _is_never(name, m["attrs"], stack):
-                if not (closing and name == "span" and any(s[0] == "span" for s in stack)):
+            opened = any(s[0] == name for s in stack)  # only within an element that is never text
+            if closing or empty:
+                if empty or not opened:
+                    continue
+            elif _is_never(name, m["attrs"], stack):
+                if stack and stack[-1][0] in TEXT_BLOCKS:  # the paragraph goes on after it
+                    skip.append(name)
+                    linked = 0
                     continue
+            elif not opened:
+                continue
         tags = [] if block.words else block.tags
         if block.words:
             out.append(block)
@@ -190,7 +200,7 @@ def _blocks(page: str, kept: frozenset[int]) -> tuple[list[Block], dict[int, tup
                     if stack[i][0] == "p" or (stack[i][0] == name and name in ("li", "dd", "dt", "td", "th", "tr")):
                         del stack[i:]
                         break
-                    if stack[i][0] not in ("p", "span"):
+                    if stack[i][0] in BLOCKS and stack[i][0] != "p":
                         break
             number += 1
             never = _is_never(name, m["attrs"], stack)

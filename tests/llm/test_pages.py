@@ -1,5 +1,10 @@
 """Main text of pages, and revisits, on small cases."""
 
+import html
+import random
+import re
+from collections import Counter
+
 import pytest
 
 from ledgerproof.llm import main_text, warc
@@ -52,6 +57,45 @@ def test_other_elements_stay_out(attrs):
     assert main_text.article(page, main_text.DEFAULT) == "Words of the article which is here for all to read."
 
 
+@pytest.mark.parametrize("advert, kept", [
+    *[(f"{tag}BUY NOW</{tag[1:].split()[0].rstrip('>')}>", "") for tag in ("<div class='is-sponsored'>", "<div class='is-hidden'>", "<a class='ad'>", "<ins class='adsbygoogle'>", "<div class='adbox'>", "<amp-ad>", "<span class='ad'>BUY <span>x</span>")],
+    ("<p>Before it <a class='ad'>BUY <b>x</b> NOW</a> and after.</p>", "\nBefore it and after."), ("<p>Before it <a class=ad>BUY NOW</p><p>After it.</p>", "\nBefore it\nAfter it."), ("<p>A <a class='link'>link</a> stays.</p>", "\nA link stays.")])
+def test_adverts_within_an_article(advert, kept):
+    first, last = "Many words of a story that goes on for a while and then some more.", "Its end is here, and that was all there is to tell of it today."
+    assert main_text.article(f"<body><article><p>{first}</p>{advert}<p>{last}</p></article></body>", main_text.DEFAULT) == f"{first}{kept}\n{last}"
+
+
+def test_best_run_is_the_best_of_all():
+    """The linear scan against every contiguous run of random blocks."""
+    rng = random.Random(4)
+    for _ in range(300):
+        found = []
+        for _ in range(rng.randrange(1, 12)):
+            block = main_text.Block((), rng.random() < 0.2, "p", False)
+            block.words, block.tags = rng.randrange(1, 14), [rng.choice(["p", "div", "a", "li"]) for _ in range(rng.randrange(6))]
+            block.links = rng.choice([0, block.words])
+            found.append(block)
+        weights = {**main_text.DEFAULT, "tag:p": -0.3, "tag:div": -2.0}
+        own = [weights[main_text._kind(b)] * b.words for b in found]
+        tags = [sum(weights.get("tag:" + t, weights["tag"]) for t in b.tags) for b in found]
+        # The tags before the first block of a run do not belong to it.
+        sums = {(a, b): sum(own[a:b + 1]) + sum(tags[a + 1:b + 1]) for a in range(len(found)) for b in range(a, len(found))}
+        run = main_text._best_run(found, weights)
+        assert (run is None and max(sums.values()) <= 0) or abs(sums[run] - max(sums.values())) < 1e-9
+
+
+def test_accuracy_without_the_markup(spark):
+    """Pages with the article element's name hidden give the text of that element."""
+    pages = [x.html for x in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    counts = sum((main_text.count_kinds(p) for p in pages), Counter())
+    weights = main_text.weights_from(counts)
+    right = 0
+    for page in pages:
+        parts = (" ".join(html.unescape("".join(b.parts)).split()) for b in main_text.blocks(page) if b.inside and not b.never)
+        right += main_text.article(re.sub(r"<(/?)article\b", r"<\1div", page), weights) == "\n".join(t for t in parts if t)
+    assert right >= 0.98 * len(pages)
+
+
 def test_long_page_is_linear():
     page = "<div>" + "".join(f"<p>{'word ' * 20}{i}</p>" for i in range(20_000)) + "</div>"
     assert main_text.article(page, main_text.DEFAULT).count("\n") == 19_999
