@@ -2,7 +2,9 @@
 
 Every line with a word is labelled good or bad. Its features are shares of kinds of characters and words, repetition
 within the document, and the same of the line before and the line after; two labels in sequence have a weight too.
-The field is trained on at most ``LABELLED`` labelled documents whose lines all take the document's label. Scoring runs
+The field is trained on at most ``LABELLED`` labelled documents whose lines all take the document's label; of a document of
+more than ``TRAIN_LINES`` lines it sees that many, in windows of ``WINDOW`` neighbouring lines spread over the whole document,
+and each document counts equally. Scoring covers every line and runs
 the forward-backward recursion over each document's lines; the marginals of "good", weighted by line length, are averaged
 and calibrated with a logistic curve fitted on the same sample.
 
@@ -26,7 +28,7 @@ from ledgerproof.llm.textscan import owners, pieces, row_bounds, scan, windows
 
 NAME = "op5_line_quality"
 LABELLED = 3000
-TRAIN_LINES = 400  # labelled documents with more lines are not used for training
+TRAIN_LINES, WINDOW = 400, 50  # lines that a labelled document gives to training, and in a window of a longer one
 THRESHOLD = 0.3
 STEPS, RATE, RIDGE = 300, 0.05, 1e-3
 SQL = None
@@ -126,10 +128,26 @@ def document_quality(good: np.ndarray, row: np.ndarray, length: np.ndarray, rows
     return np.bincount(row, good * length, rows) / np.where(total > 0, total, 1), total > 0
 
 
-def train(row: np.ndarray, features: np.ndarray, length: np.ndarray, labels: np.ndarray) -> Field:
-    """Maximum likelihood with a ridge, by Adam; each document counts equally whatever its number of lines."""
-    x, y = with_neighbours(row, features), labels[row]
-    weight = (1 / np.bincount(row, minlength=len(labels))[row]) / len(labels)
+def training_lines(n: int, most_lines: int = TRAIN_LINES) -> tuple[np.ndarray, np.ndarray]:
+    """(line, window) of the lines that a document of n lines gives to training: all, or windows spread from first to last line."""
+    if n <= most_lines:
+        return np.arange(n), np.zeros(n, np.int64)
+    count = max(1, most_lines // WINDOW)
+    first = np.linspace(0, n - most_lines // count, count).astype(np.int64)
+    line = (first[:, None] + np.arange(most_lines // count)).ravel()
+    return line, np.repeat(np.arange(count), most_lines // count)
+
+
+def train(row: np.ndarray, features: np.ndarray, length: np.ndarray, labels: np.ndarray, window: np.ndarray | None = None) -> Field:
+    """Maximum likelihood with a ridge, by Adam; each document (row) counts equally whatever its number of lines.
+
+    Lines are neighbours within a row and, if given, a window of it.
+    """
+    doc, y = row, labels[row]
+    if window is not None:
+        row = np.cumsum(np.append(0, (doc[1:] != doc[:-1]) | (window[1:] != window[:-1])))
+    x = with_neighbours(row, features)
+    weight = (1 / np.bincount(doc, minlength=len(labels))[doc]) / len(labels)
     field = Field(np.zeros(x.shape[1]), np.zeros((2, 2)))
     at = np.flatnonzero(np.append(False, row[1:] == row[:-1]))
     seen = np.zeros((len(at), 2, 2))
@@ -143,7 +161,7 @@ def train(row: np.ndarray, features: np.ndarray, length: np.ndarray, labels: np.
         theta = theta + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     field.emission, field.pairs = theta[:-4], theta[-4:].reshape(2, 2)
     good, _ = marginals(field, row, x)
-    share, has = document_quality(good, row, length, len(labels))
+    share, has = document_quality(good, doc, length, len(labels))
     field.curve, field.prior = logistic(share[has][:, None], labels[has], 0.1), float(labels.mean())
     return field
 
@@ -156,18 +174,20 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, most_lines:
                 row, features, length = line_features(data, offsets)
                 cuts = np.searchsorted(row, np.arange(rows + 1))
                 part = batch.slice(first, rows)
-                keep = pa.array(np.diff(cuts) <= most_lines)
-                packed = [np.column_stack([features[a:b], length[a:b]]).astype("<f8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())], ["doc", "label", "lines"]).filter(keep)
+                packed = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    line, window = training_lines(b - a, most_lines)
+                    packed.append(np.column_stack([features[a + line], length[a + line], window]).astype("<f8").tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())], ["doc", "label", "lines"])
 
     sample = python_workers(labelled_sample(docs, labels, "quality", bound).select("doc", "text", "label"))
     found = sample.mapInArrow(lines, "doc string, label int, lines binary").orderBy("doc").collect()
     y = np.array([x.label for x in found])
     if not len(found) or y.min() == y.max():
         return float(y.mean()) if len(found) else 0.5
-    per = [np.frombuffer(x.lines, "<f8").reshape(-1, FEATURES + 1) for x in found]
+    per = [np.frombuffer(x.lines, "<f8").reshape(-1, FEATURES + 2) for x in found]
     row, table_ = np.repeat(np.arange(len(per)), list(map(len, per))), np.concatenate(per)
-    return train(row, table_[:, :-1], table_[:, -1], y) if len(row) else float(y.mean())
+    return train(row, table_[:, :-2], table_[:, -2], y, table_[:, -1]) if len(row) else float(y.mean())
 
 
 def score_texts(docs: DataFrame, field: Field | float, threshold: float = THRESHOLD) -> DataFrame:

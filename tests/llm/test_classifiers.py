@@ -114,3 +114,17 @@ def test_forward_backward_is_exact():
             weight = np.exp(sum(s * y for s, y in zip(score, labels)) + sum(field.pairs[a, b] for a, b in zip(labels, labels[1:])))
             total, expected = total + weight, expected + weight * np.array(labels)
         assert np.allclose(good[row == r], expected / total)
+
+
+def test_long_documents_train(spark):
+    """Labelled documents of more lines than a document may give are learned from: here no other holds the bad lines."""
+    line, window = line_quality.training_lines(1003)
+    assert len(line) == line_quality.TRAIN_LINES and line[0] == 0 and line[-1] == 1002
+    assert all((np.diff(line[window == w]) == 1).all() for w in range(window.max() + 1))
+    assert list(line_quality.training_lines(7)[0]) == list(range(7))
+    good = [(i, "\n".join(f"a line of plain words w{i}x{j}" for j in range(5))) for i in range(60)]
+    bad = [(100 + i, "\n".join(f"### {j} $$$ {i}" for j in range(1500))) for i in range(20)]
+    docs = documents(spark, good + bad)
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad], "doc_id long, quality int")
+    found = line_quality.score_texts(docs, line_quality.learn(docs, labels)).collect()
+    assert all(x.predicted == int(x.doc_id < 100) for x in found)
