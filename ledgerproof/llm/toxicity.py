@@ -36,7 +36,7 @@ MOST_TERMS = 8_000_000  # (example, term) pairs of the index, 16 bytes each
 NEAREST = 50
 BLOCK = 16  # examples in a block of a posting list
 FLOOR, HALF_CHI = 0.2, 60.0  # least scale of a term's weight, and the chi-square that adds a half
-FIRST_TERMS = 0.8  # share of a query's total bound that is added up before blocks are judged
+FIRST_TERMS = 0.95  # share of a query's total bound that is added up before blocks are judged
 SLACK = 1e-9  # more than rounding can add to a sum of at most 1
 SQL = None
 
