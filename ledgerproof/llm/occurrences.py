@@ -2,7 +2,8 @@
 
 Texts are scanned in chunks. A chunk sends each distinct hash once to the task that owns its hash range; a hash found twice
 within the chunk is known to repeat and asks for no reply, so even a hash held by a third of all texts arrives once per
-chunk. Range owners sort what they got and reply to the chunks whose hashes others hold too; replies meet the chunk's
+chunk. The number of ranges follows the bytes of the texts (``RANGE``), and a task holds one range at a time, so its memory
+does not depend on how many tasks share the work. Range owners sort what they got and reply to the chunks whose hashes others hold too; replies meet the chunk's
 list of texts and become word positions per text. Rows in the shuffles are packed arrays, 12 bytes a hash.
 
 A text is known by two 64-bit hashes of its content: equal texts have equal repeats, so nulls or repeats in doc_id do not
@@ -25,6 +26,7 @@ SILENT = np.uint32(0xFFFFFFFF)  # asks for no reply
 HASHES, TEXTS, MARKS = 0, 1, 2
 PACKED = "part int, kind int, chunk long, a binary, b binary"
 CHUNK = 3 << 20
+RANGE = 128 << 20  # bytes of text whose hashes make up one range
 
 #: (word hashes, row bounds, batch rows' marks or None) -> (indices of words, their hashes, keys of the rows or None to keep them)
 Emit = Callable[[np.ndarray, np.ndarray, list | None], tuple[np.ndarray, np.ndarray, np.ndarray | None]]
@@ -75,21 +77,8 @@ def _send(emit: Emit, bits: int, lower: bool, marked: bool) -> Callable:
     return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replies of a range owner; lists of texts and marks pass through."""
-    hashes, asks, chunks = [], [], []
-    for batch in batches:
-        kinds = batch.column(1).to_numpy()
-        other = np.flatnonzero(kinds != HASHES)
-        if len(other):
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(other)) for c in batch.columns], batch.schema.names)
-        chunk = batch.column(2).to_numpy()
-        for i in np.flatnonzero(kinds == HASHES).tolist():
-            hashes.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64))
-            asks.append(np.frombuffer(batch.column(4)[i].as_buffer(), np.uint32))
-            chunks.append(int(chunk[i]))
-    if not hashes:
-        return
+def _replies(hashes: list[np.ndarray], asks: list[np.ndarray], chunks: list[int]) -> Iterator[pa.RecordBatch]:
+    """Marks for the chunks whose hashes of one range occur elsewhere too."""
     sizes = np.array([len(x) for x in hashes])
     hashes, asks = np.concatenate(hashes), np.concatenate(asks)
     order = np.argsort(hashes, kind="stable")
@@ -107,6 +96,28 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out[i:i + 5000])
 
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replies of the owner of some ranges, which come in order, so that one range is held at a time; lists of texts and
+    marks pass through."""
+    hashes, asks, chunks, current = [], [], [], None
+    for batch in batches:
+        kinds = batch.column(1).to_numpy()
+        other = np.flatnonzero(kinds != HASHES)
+        if len(other):
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(other)) for c in batch.columns], batch.schema.names)
+        part, chunk = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        for i in np.flatnonzero(kinds == HASHES).tolist():
+            if part[i] != current:
+                if hashes:
+                    yield from _replies(hashes, asks, chunks)
+                hashes, asks, chunks, current = [], [], [], part[i]
+            hashes.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64))
+            asks.append(np.frombuffer(batch.column(4)[i].as_buffer(), np.uint32))
+            chunks.append(int(chunk[i]))
+    if hashes:
+        yield from _replies(hashes, asks, chunks)
+
+
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(k1, k2, marks) per text: marks are the word positions whose hashes repeat."""
     texts: dict[int, tuple[bytes, bytes]] = {}
@@ -127,14 +138,19 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(keys[held, 0]), pa.array(keys[held, 1]), pa.array([(at[cuts[i]:cuts[i + 1]] - bounds[i]).tobytes() for i in held.tolist()], pa.binary())], ["k1", "k2", "marks"])
 
 
+def range_bits(text_bytes: int, tasks: int) -> int:
+    """Leading bits of a hash that name its range: at most ``RANGE`` bytes of text on average, and at least two ranges for each task."""
+    return max(6, (2 * tasks).bit_length(), (text_bytes // RANGE).bit_length())
+
+
 def repeats(texts: DataFrame, emit: Emit, lower: bool = False) -> DataFrame:
     """(k1, k2, marks) of texts with hashes found twice or more; marks holds word positions as little-endian uint32.
 
     ``texts`` has k1, k2, text and, if the emitter wants them, marks of an earlier round.
     """
     spark = texts.sparkSession
-    bits = max(6, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    bits = range_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     columns = ["k1", "k2", "text"] + (["marks"] if "marks" in texts.columns else [])
     sent = python_workers(texts.select(*columns)).mapInArrow(_send(emit, bits, lower, len(columns) == 4), PACKED)
-    replies = sent.repartition("part").mapInArrow(_compare, PACKED)
+    replies = sent.repartition("part").sortWithinPartitions("part").mapInArrow(_compare, PACKED)
     return replies.repartition("chunk").mapInArrow(_resolve, "k1 long, k2 long, marks binary").dropDuplicates(["k1", "k2"])

@@ -106,12 +106,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, period: int = PERIOD,
     """Per input row: doc_id, n_words, n_removed, kept_sha256."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "text", *text_key())
-    shared = repeats(keyed, anchors(length, period, cover))
+    # Stored, so that adaptive execution can split the copies of one text in the joins.
+    shared = stored(repeats(keyed, anchors(length, period, cover)), "repeated-anchors")
     joined = keyed.join(shared, ["k1", "k2"], "left").select("doc_id", "text", "marks", "k1", "k2")
     done = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
     rows = stored(python_workers(joined).mapInArrow(_finish(length, False), f"{done}, text string, marks binary, k1 long, k2 long"), "anchored")
     late = rows.where("kept_sha256 IS NULL").select("doc_id", "text", "marks", "k1", "k2")
-    removed = repeats(late, around(length, period))
+    removed = stored(repeats(late, around(length, period)), "repeated-windows")
     late = late.drop("marks").join(removed, ["k1", "k2"], "left").select("doc_id", "text", "marks")
     return rows.where("kept_sha256 IS NOT NULL").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(late.mapInArrow(_finish(length, True), done))
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from checks.compare import compare, duck
-from ledgerproof.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules, registry, substring_dedup
+from ledgerproof.llm import exact_dedup, jaccard_join, mixing, occurrences, packing, quality_rules, registry, substring_dedup
 from ledgerproof.llm.components import components
 from tests.llm import brute
 from tests.llm.frames import documents, odd_rows, random_rows
@@ -84,6 +84,25 @@ def test_repeated_passages(spark, rows):
     assert plain(found, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.without_repeats(rows))
 
 
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    """Many ranges in one task, one held at a time, give the same result; their number grows with the text, not with the tasks."""
+    assert occurrences.range_bits(1 << 20, 8) == 6 and occurrences.range_bits(0, 200) == 9
+    assert occurrences.range_bits(10**14, 200) == 20 and 10**14 / 2**20 <= occurrences.RANGE
+    monkeypatch.setattr(occurrences, "RANGE", 16)
+    rows = random_rows()
+    assert occurrences.range_bits(sum(len(t) for _, t in rows), 8) > 8
+    assert plain(substring_dedup.remove_repeats(documents(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.without_repeats(rows))
+
+
+def test_copies_of_one_passage_text_can_be_split(spark):
+    """The whole texts meet a stored table by their content, not an aggregate of the same stage, so a hot content is several tasks."""
+    rows = [(i, " ".join(f"c{j}" for j in range(60))) for i in range(50)] + [(99, "alone " * 3)]
+    found = substring_dedup.remove_repeats(documents(spark, rows))
+    assert {(x.n_words, x.n_removed) for x in found.collect() if x.doc_id < 99} == {(60, 60)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Deduplicate" not in plan
+
+
 def test_cover_has_every_difference():
     period, cover = substring_dedup.PERIOD, substring_dedup.COVER
     assert {(a - b) % period for a in cover for b in cover} == set(range(period))
