@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerproof.session import scratch_path
 
 AGREEMENT_KEYS = ("contract_service_agreement", "contract_service_agreement_id")
+# Columns on which transactions and contracts also have to agree, where both have them.
+OPTIONAL_KEYS = ["product_name", "rate_units", "class_name", "term_name"]
 
 
 def type_name(data_type: T.DataType) -> str:

@@ -41,3 +41,8 @@ def test_query_equals_sql(spark, name):
     ok, text = compare(spark, duck(DATA), DATA, name, entry.queries()[name], entry.oracle_sql()[name])
     assert ok, text
     assert duckdb.__version__
+
+
+def test_adaptive_join_query_equals_sql(spark):
+    ok, text = compare(spark, duck(DATA), DATA, "J5_adaptive_join", entry.queries()["J5_adaptive_join"], entry.oracle_sql()["J5_adaptive_join"])
+    assert ok, text
