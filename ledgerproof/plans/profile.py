@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -40,41 +41,46 @@ def schema_profile(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
     )
 
 
-def column_sketches(tables: dict[str, DataFrame], size_log2: int = 12) -> DataFrame:
-    """(table_name, column_name, kind, sketch): a theta sketch of the distinct values of every column, from one scan per table.
-
-    A sketch keeps about 2**size_log2 of the smallest value hashes: exact up to that many distinct values, beyond with a
-    relative error of about 1 / sqrt(2**size_log2). Sketches merge on the map side; text and numbers are kept apart.
-    """
-    parts = []
-    for table, df in tables.items():
-        names = [(f.name, "STRING" if type_name(f.dataType) == "STRING" else "NUMBER") for f in df.schema.fields]
-        # Numbers of any width compare as one text.
-        text = {"STRING": "CAST(`{0}` AS STRING)", "NUMBER": "CAST(CAST(`{0}` AS DOUBLE) AS STRING)"}
-        entries = ", ".join(f"named_struct('column_name', '{n}', 'kind', '{kind}', 'value', {text[kind].format(n)})" for n, kind in names)
-        parts.append(df.selectExpr(f"explode(array({entries})) AS e").select(F.lit(table).alias("table_name"), "e.*"))
-    values = reduce(DataFrame.unionByName, parts).where("value IS NOT NULL")
-    return values.groupBy("table_name", "column_name", "kind").agg(F.expr(f"theta_sketch_agg(value, {size_log2})").alias("sketch"))
+def column_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """(at, kind, value): the values of every column that are not null, from one scan per table; ``at`` numbers the columns
+    of all tables in order. Text and numbers are kept apart; whole numbers of any type compare as one text."""
+    text = {"STRING": "CAST(`{0}` AS STRING)", "INT64": "CAST(CAST(`{0}` AS BIGINT) AS STRING)", "BOOLEAN": "CAST(CAST(`{0}` AS INT) AS STRING)",
+            "DOUBLE": "IF(`{0}` = floor(`{0}`) AND abs(`{0}`) < 9e18D, CAST(CAST(`{0}` AS BIGINT) AS STRING), CAST(CAST(`{0}` AS DOUBLE) AS STRING))"}
+    parts, first = [], 0
+    for df in tables.values():
+        entries = []
+        for at, f in enumerate(df.schema.fields, first):
+            kind = type_name(f.dataType)
+            entries.append(f"named_struct('at', {at}, 'kind', '{'STRING' if kind == 'STRING' else 'NUMBER'}', 'value', {text[kind].format(f.name)})")
+        first += len(entries)
+        parts.append(df.selectExpr(f"explode(array({', '.join(entries)})) AS e").select("e.*"))
+    return reduce(DataFrame.unionByName, parts).where("value IS NOT NULL")
 
 
-def joinable_columns(tables: dict[str, DataFrame], least: float = 0.9, size_log2: int = 12) -> DataFrame:
+def joinable_columns(tables: dict[str, DataFrame], least: float = 0.9) -> DataFrame:
     """Pairs of columns of different tables where (nearly) all values of the left one occur in the right one.
 
-    (left_table, left_column, right_table, right_column, n_left, n_right, containment), estimated from sketches alone: the
-    pairs are pairs of columns, not of rows, so tables of any size meet as a few kilobytes each.
+    (left_table, left_column, right_table, right_column, n_left, n_right, containment), all exact. A value is shuffled once
+    per column that holds it and task; then it is one row with the list of its columns, and equal lists are counted. Pairs
+    are formed from those lists, of which there are no more than sets of columns that share a value, never from rows.
     """
-    sketches = column_sketches(tables, size_log2)
-    spark = sketches.sparkSession
-    path = scratch_path(spark, "sketches")
-    sketches.write.parquet(path)
-    sketches = spark.read.schema(sketches.schema).parquet(path)
-    left = sketches.select(*[F.col(c).alias(f"left_{c.removesuffix('_name')}") for c in ("table_name", "column_name")], "kind", F.col("sketch").alias("a"))
-    right = sketches.select(*[F.col(c).alias(f"right_{c.removesuffix('_name')}") for c in ("table_name", "column_name")], "kind", F.col("sketch").alias("b"))
-    pairs = left.join(right, "kind").where("left_table <> right_table").selectExpr(
-        "left_table", "left_column", "right_table", "right_column", "theta_sketch_estimate(a) AS n_left", "theta_sketch_estimate(b) AS n_right",
-        "theta_sketch_estimate(theta_intersection(a, b)) AS n_both")
-    share = F.round(F.col("n_both") / F.col("n_left"), 6)
-    return pairs.where("n_left > 0").select("left_table", "left_column", "right_table", "right_column", "n_left", "n_right", share.alias("containment")).where(F.col("containment") >= least)
+    names = [(t, c) for t, df in tables.items() for c in df.columns]
+    held = column_values(tables).distinct().groupBy("kind", "value").agg(F.sort_array(F.collect_list("at")).alias("columns"))
+    # Read three times below, so stored: a few rows.
+    lists, spark, path = held.groupBy("columns").agg(F.count(F.lit(1)).alias("n")), held.sparkSession, scratch_path(held.sparkSession, "columns")
+    lists.write.parquet(path)
+    lists = spark.read.schema(lists.schema).parquet(path)
+    both = lists.select(F.explode("columns").alias("a"), "columns", "n").select("a", F.explode("columns").alias("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n_both"))
+    sizes = both.where("a = b").select(F.col("a").alias("at"), F.col("n_both").alias("n"))
+    table, column = (F.array(*[F.lit(n[i]) for n in names]) for i in (0, 1))
+    left = sizes.select(F.col("at").alias("a"), F.col("n").alias("n_left"))
+    right = sizes.select(F.col("at").alias("b"), F.col("n").alias("n_right"))
+    pairs = both.join(left, "a").join(right, "b").select(
+        *[F.get(of, F.col(at)).alias(f"{side}_{what}") for side, at in (("left", "a"), ("right", "b")) for what, of in (("table", table), ("column", column))],
+        "n_left", "n_right", "n_both")
+    # The limit is compared as a decimal, before the share is rounded.
+    enough = (F.col("left_table") != F.col("right_table")) & (F.col("n_both") >= F.lit(Decimal(str(least))) * F.col("n_left"))
+    return pairs.where(enough).select("left_table", "left_column", "right_table", "right_column", "n_left", "n_right", F.round(F.col("n_both") / F.col("n_left"), 6).alias("containment"))
 
 
 def key_uniqueness(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -181,3 +181,13 @@ def test_joinable_columns_from_sketches(spark):
     error = 3 / 4096 ** 0.5
     assert abs(found["a_key", "b_key"].n_left - n) < error * n and abs(found["a_key", "b_key"].containment - 0.5) < 2 * error
     assert ("a_key", "b_name") not in found and not any("nothing" in k for k in found)
+
+
+def test_joinable_columns_are_exact_at_any_size(spark):
+    """More distinct values than a sketch holds, shares just at and below the limit, numbers past 2**53."""
+    a = spark.range(20_000).selectExpr("id AS a_key", "CAST(id % 5 AS DOUBLE) AS a_few", "id + 9007199254740992 AS a_large")
+    b = spark.range(18_000).selectExpr("id AS b_key", "id * 2 + 9007199254740993 AS b_large")
+    found = {(r.left_column, r.right_column): (r.n_left, r.n_right, r.containment) for r in profile.joinable_columns({"a": a, "b": b}).collect()}
+    assert found == {("a_key", "b_key"): (20_000, 18_000, 0.9), ("b_key", "a_key"): (18_000, 20_000, 1.0), ("a_few", "b_key"): (5, 18_000, 1.0)}
+    few = profile.joinable_columns({"a": spark.range(18_001).selectExpr("id AS a_key"), "b": spark.range(16_200).selectExpr("id AS b_key")}).collect()
+    assert {(r.left_column, r.right_column) for r in few} == {("b_key", "a_key")}
