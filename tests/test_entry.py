@@ -2,6 +2,7 @@
 
 import os
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -10,6 +11,8 @@ import __spark_entry__ as entry
 from checks import rule_sql
 from checks.registry import QUERIES, SQL
 from checks.compare import compare, duck
+from checks.driver import context
+from checks.views import FULL, with_clause
 from ledgerproof.plans.catalogue import catalogue
 from tests.golden import SETTINGS
 
@@ -46,3 +49,11 @@ def test_query_equals_sql(spark, name):
 def test_adaptive_join_query_equals_sql(spark):
     ok, text = compare(spark, duck(DATA), DATA, "J5_adaptive_join", entry.queries()["J5_adaptive_join"], entry.oracle_sql()["J5_adaptive_join"])
     assert ok, text
+
+
+def test_transactions_join_their_tables_once(spark):
+    """The rows that occur twice in the view of transactions come from one reading of the sales."""
+    ftx = context(spark, DATA).table("transactions")
+    assert ftx._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 3
+    want = duck(DATA).execute(f"{with_clause(FULL, ['ftx'])} SELECT source_row_index, transaction_unique_id, price FROM ftx").fetchall()
+    assert Counter(want) == Counter(tuple(r) for r in ftx.select("source_row_index", "transaction_unique_id", "price").collect())
