@@ -13,6 +13,8 @@ from checks.registry import QUERIES, SQL
 from checks.compare import compare, duck
 from checks.driver import context
 from checks.views import FULL, with_clause
+from ledgerproof.plans.engine import validate
+from ledgerproof.plans.rules import pick
 from ledgerproof.plans.catalogue import catalogue
 from tests.golden import SETTINGS
 
@@ -57,3 +59,11 @@ def test_transactions_join_their_tables_once(spark):
     assert ftx._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 3
     want = duck(DATA).execute(f"{with_clause(FULL, ['ftx'])} SELECT source_row_index, transaction_unique_id, price FROM ftx").fetchall()
     assert Counter(want) == Counter(tuple(r) for r in ftx.select("source_row_index", "transaction_unique_id", "price").collect())
+
+
+def test_entries_of_rows_are_projected_before_they_are_unfolded(spark):
+    """Inside a generator the tests of the rules would be interpreted row by row."""
+    ctx = context(spark, DATA)
+    plan = validate(ctx, pick(catalogue(ctx.settings), templates=["T1+T3"])).violations._jdf.queryExecution().optimizedPlan().toString()
+    unfolded = [line for line in plan.splitlines() if "Generate explode(" in line and "filter(" in line]
+    assert unfolded and not any("CASE WHEN" in line for line in unfolded)
