@@ -9,10 +9,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from checks.compare import compare, duck
 from ledgerproof.llm import language_model, ranked_search, registry, spelling
+from ledgerproof.llm.base import python_workers
 from tests.llm.brute import UPPER, WORD
 from tests.llm.frames import documents, odd_rows, random_rows
 
@@ -173,6 +175,34 @@ def test_model(spark, rows, order, tmp_path):
     assert all(math.isclose(a[i], b[i], rel_tol=1e-9, abs_tol=1e-9) for a, b in zip(found, want) for i in (5, 6))
 
 
+def test_chunks_are_filled_over_batches(spark):
+    """Small batches do not make small chunks: one chunk of each role here."""
+    docs = spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "concat('a b ', id) AS text", "CAST(id % 3 AS INT) AS role")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        found = python_workers(docs).mapInArrow(language_model._carry, language_model.CHUNKS).selectExpr("role", "length(ids) / 8 AS n").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.role, r.n) for r in found) == [(0, 134), (1, 133), (2, 133)]
+
+
+def test_replies_hold_one_range(spark):
+    """The replies of a range are given before the range after the next is read."""
+    read = []
+
+    def batches():
+        for part in range(4):
+            hashes = language_model._pack_hashes(np.array([5, 9], np.uint64) + np.uint64(part << 60), 8)
+            rows = [(part, chunk, 1, language_model.LEARNED, hashes, language_model._squeeze(np.array([1, 2]))) for chunk in (0, 1)]
+            read.append(part)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["part", "chunk", "k", "role", "hashes", "counts"])
+
+    out = language_model._reply(1)(batches())
+    first = next(out)
+    assert first.column(1).to_pylist()[:2] == [0, 0] and read == [0, 1]
+    assert sorted(p for b in [first, *out] for c, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if c >= 0) == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
 def test_model_is_a_distribution_and_beats_the_base(spark):
     """Over all tokens after a context the mixture sums to 1; held-out documents are likelier than by single words."""
     counts = [np.array([3, 1, 2, 0]), np.array([2, 0, 1, 0])]
