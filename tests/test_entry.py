@@ -13,7 +13,7 @@ from checks.registry import QUERIES, SQL
 from checks.compare import compare, duck
 from checks.driver import context
 from checks.views import FULL, with_clause
-from ledgerproof.plans.engine import validate
+from ledgerproof.plans.engine import stored_for, validate
 from ledgerproof.plans.rules import pick
 from ledgerproof.plans.catalogue import catalogue
 from tests.golden import SETTINGS
@@ -67,3 +67,19 @@ def test_entries_of_rows_are_projected_before_they_are_unfolded(spark):
     plan = validate(ctx, pick(catalogue(ctx.settings), templates=["T1+T3"])).violations._jdf.queryExecution().optimizedPlan().toString()
     unfolded = [line for line in plan.splitlines() if "Generate explode(" in line and "filter(" in line]
     assert unfolded and not any("CASE WHEN" in line for line in unfolded)
+
+
+def test_stored_tables_hold_what_the_rules_read(spark, tmp_path):
+    """Columns that no picked rule names are not built; headers of filings only if a rule reads them; else everything."""
+    ctx = context(spark, DATA)
+
+    def held(n, **chosen):
+        return stored_for(ctx, pick(catalogue(ctx.settings), **chosen), f"{tmp_path}/{n}", ["contracts", "transactions"])
+
+    one = held(1, rule_ids=["F.16.25"])
+    assert set(one.table("transactions").columns) == {"cid", "period", "filing_type", "transaction_unique_id", "source_filename", "source_row_index"}
+    assert not one.has("filings") and held(2, rule_ids=["D.3.9.1"]).has("filings")
+    assert held(3, rule_ids=["F.25.16"]).table("transactions").columns == ctx.table("transactions").columns
+    rules = {"rule_ids": ["F.16.25", "D.3.9.6", "F.23.21.2", "F.20.21", "F.25.18"]}
+    want, found = (Counter(validate(c, pick(catalogue(c.settings), **rules)).violations.select("violation_id", "message").collect()) for c in (ctx, held(4, **rules)))
+    assert found == want and want
