@@ -229,6 +229,14 @@ def test_counts_share_scans_and_shuffles(spark, tmp_path):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_shared_counts_hash_their_rows(spark, tmp_path):
+    """A fact kept as text would make the aggregates sort every entry; nor are entries built in a higher-order function."""
+    ctx = filing(spark).stored(str(tmp_path))
+    groups = [g for g in catalogue(ctx.settings) if bundle.fits(g)]
+    plan = bundle.bundled_counts(ctx, groups)._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "lambda" not in plan
+
+
 def test_bundle_equals_single_joins(spark):
     """Every join group counted alone, by its own join, gives what the bundle gives."""
     wrong = [{**TRANSACTION, "transaction_unique_id": f"T{i}", "filing_type": t, "contract_unique_id": k, "product_name": p, "customer_company_name": c,
