@@ -83,3 +83,16 @@ def test_stored_tables_hold_what_the_rules_read(spark, tmp_path):
     rules = {"rule_ids": ["F.16.25", "D.3.9.6", "F.23.21.2", "F.20.21", "F.25.18"]}
     want, found = (Counter(validate(c, pick(catalogue(c.settings), **rules)).violations.select("violation_id", "message").collect()) for c in (ctx, held(4, **rules)))
     assert found == want and want
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """However few partitions a session asks for, a join's task sorts a small part that adaptive execution has put together."""
+    rows = context(spark, DATA).table("transactions")
+    size = int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").removesuffix("m"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    parts = {int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)}
+    assert parts == {256} and size == 32
