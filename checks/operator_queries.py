@@ -671,10 +671,9 @@ def _(spark, sf):
 @query("S14_incremental_results", f"""SELECT r.rule_id, f.cid, f.period, coalesce(v.n, 0) AS error_count FROM ffilings f CROSS JOIN (SELECT DISTINCT rule_id FROM {R_FOUND} x WHERE rule_id <> 'F.TYPE_PRICE') r
     LEFT JOIN (SELECT rule_id, cid, period, count(*) AS n FROM {R_FOUND} y GROUP BY 1, 2, 3) v ON v.rule_id = r.rule_id AND v.cid = f.cid AND v.period = f.period""")
 def _(spark, sf):
-    kept = ["transactions", "contracts", "ident", "index"]
-    held = context(spark, sf).stored(scratch_path(spark, "filings"), kept)
-    ctx = FilingContext(spark, {t: held.table(t) for t in [*kept, "filings"]}, held.settings)
+    ctx = context(spark, sf)
     rules, path = pick(catalogue(ctx.settings), rule_ids=MATRIX_RULES), scratch_path(spark, "results")
+    ctx = stored_for(ctx, rules, scratch_path(spark, "filings"), ["transactions"], headers=True)
     # An earlier state in which one company reported other quantities; then only its filings are validated again.
     earlier = ctx.table("transactions").withColumn("transaction_quantity", F.when(col("cid") == "C3", -1.0).otherwise(col("transaction_quantity")))
     incremental.refresh(FilingContext(spark, {**ctx.tables, "transactions": earlier}, ctx.settings), rules, path)

@@ -1,20 +1,21 @@
 """Validate again only the filings that changed.
 
-A filing's fingerprint is the count, the sum and the xor of its rows' hashes over all tables, so it does not depend on the
-order or the place of rows and merges on the map side. Tables that are not kept by filing (registries) and the version text
-count for every filing. Filings whose fingerprint is new are validated and their partitions of the results replaced; the
-others are neither scanned by a rule nor rewritten.
+A filing's fingerprint is the count, the sum and the xor of its rows' hashes, so it does not depend on the order or the place
+of rows and merges on the map side. It covers the filing's header and all that the rules read: every row of their tables, with
+the columns that they name (all tables and columns if a rule does not tell), and transactions, which the results count. Tables
+that are not kept by filing (registries) and the version text count for every filing. Filings whose fingerprint is new are
+validated and their partitions of the results replaced; the others are neither scanned by a rule nor rewritten.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerproof.context import FILING_KEYS, FilingContext
-from ledgerproof.plans.engine import validate
-from ledgerproof.plans.rules import Group
+from ledgerproof.plans.engine import columns_read, validate
+from ledgerproof.plans.rules import Group, words_read
 from ledgerproof.schemas import TABLES
 from ledgerproof.session import scratch_path
 from ledgerproof.sources.lake import upsert_partitions
@@ -22,6 +23,8 @@ from ledgerproof.sources.tables import read_optional
 
 FINGERPRINT = ["n_rows", "hash_sum", "hash_xor"]
 STATE = "cid string, period string, n_rows long, hash_sum decimal(38,0), hash_xor long, version long"
+# Every filing's results are a file, of as many rows as there are rules; so many files are written by one task.
+FILINGS_PER_TASK = 50
 RESULTS = "rule_id string, error_count long, total_count long, violation_rate double, engine_failure string, cid string, period string"
 
 
@@ -30,26 +33,42 @@ def _by_filing(ctx: FilingContext) -> list[str]:
 
 
 def _hashes(df: DataFrame, table: str) -> tuple[str, str]:
-    columns = ", ".join(f"`{c}`" for c in sorted(df.columns))
-    # Nulls are skipped by the hash, so which columns are null is hashed with them.
-    nulls = ", ".join(f"`{c}` IS NULL" for c in sorted(df.columns))
+    names = sorted(df.columns)
+    columns = ", ".join(f"`{c}`" for c in names)
+    # Nulls are skipped by the hash, so which columns are null is hashed with them, a bit for each.
+    bits = [f"IF(`{c}` IS NULL, {1 << i % 62}L, 0L)" for i, c in enumerate(names)]
+    nulls = ", ".join(" | ".join(bits[i:i + 62]) for i in range(0, len(bits), 62))
     return f"xxhash64('{table}', {columns}, {nulls})", f"xxhash64({nulls}, {columns}, '{table}')"
 
 
-def fingerprints(ctx: FilingContext, version: str = "") -> DataFrame:
-    """(cid, period, n_rows, hash_sum, hash_xor, version) of every filing."""
-    parts, common = [], []
-    for t in _by_filing(ctx):
-        df = ctx.table(t)
+def _sum(name: str) -> Column:
+    """Exact sum of a column of longs. Decimals are slow to add row by row, so three runs of its bits are summed as longs (room
+    for 4 * 10^12 rows) and put together at the end."""
+    low = (1 << 21) - 1
+    bits = [(F.shiftright(name, 42), 1 << 42), (F.shiftright(name, 21).bitwiseAND(low), 1 << 21), (F.col(name).bitwiseAND(low), 1)]
+    return reduce(Column.__add__, [F.sum(b).cast("decimal(19,0)") * F.lit(place).cast("decimal(13,0)") for b, place in bits]).cast("decimal(38,0)")
+
+
+def fingerprints(ctx: FilingContext, groups: list[Group], version: str = "") -> DataFrame:
+    """(cid, period, n_rows, hash_sum, hash_xor, version) of every filing, as far as the groups read it."""
+    words = words_read(groups)
+    own = _by_filing(ctx)
+    frames = {"filings": ctx.filings}
+    for t in own:
+        if words is None:
+            frames[t] = ctx.table(t)
+        elif t in words or t == "transactions":
+            frames[t] = ctx.table(t).select(*columns_read(ctx, words, t))
+    parts = []
+    for t, df in frames.items():
         a, b = _hashes(df, t)
         parts.append(df.selectExpr(*FILING_KEYS, f"{a} AS a", f"{b} AS b"))
-    for t in sorted(set(ctx.tables) - set(_by_filing(ctx)) - {"filings"}):
-        df = ctx.table(t)
-        common.append(df.selectExpr(f"{_hashes(df, t)[0]} AS a"))
+    common = [ctx.table(t).selectExpr(f"{_hashes(ctx.table(t), t)[0]} AS a")
+              for t in sorted(set(ctx.tables) - set(own) - {"filings"}) if words is None or t in words]
     rows = reduce(DataFrame.unionByName, parts)
-    found = rows.groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("a").cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor("b").alias("hash_xor"))
+    found = rows.groupBy(*FILING_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), _sum("a").alias("hash_sum"), F.bit_xor("b").alias("hash_xor"))
     # One number for what all filings share.
-    shared = reduce(DataFrame.unionByName, common).agg(F.sum(F.col("a").cast("decimal(38,0)")).alias("s"), F.count("a").alias("n")) if common else None
+    shared = reduce(DataFrame.unionByName, common).agg(_sum("a").alias("s"), F.count("a").alias("n")) if common else None
     row = shared.head() if shared is not None else None
     return found.withColumn("version", F.xxhash64(F.lit(version), F.lit(str(row and row.s)), F.lit(str(row and row.n))))
 
@@ -70,7 +89,7 @@ def refresh(ctx: FilingContext, groups: list[Group], path: str, version: str = "
     """
     spark = ctx.spark
     now_path, changed_path = scratch_path(spark, "fingerprints"), scratch_path(spark, "changed")
-    fingerprints(ctx, version).write.parquet(now_path)
+    fingerprints(ctx, groups, version).write.parquet(now_path)
     now = spark.read.schema(STATE).parquet(now_path)
     before = read_optional(spark, f"{path}/state", spark.createDataFrame([], STATE).schema)
     same = F.expr(" AND ".join(f"n.{c} <=> b.{c}" for c in [*FILING_KEYS, *FINGERPRINT, "version"]))
@@ -79,8 +98,8 @@ def refresh(ctx: FilingContext, groups: list[Group], path: str, version: str = "
     n = changed.count()
     if n:
         # Every filing has a row for every rule, so each changed partition is replaced as a whole.
-        stats = validate(only(ctx, changed), groups).stats
-        upsert_partitions(stats.select("rule_id", "error_count", "total_count", "violation_rate", "engine_failure", *FILING_KEYS), f"{path}/results", FILING_KEYS)
+        stats = validate(ctx if n == now.count() else only(ctx, changed), groups).stats
+        upsert_partitions(stats.select("rule_id", "error_count", "total_count", "violation_rate", "engine_failure", *FILING_KEYS), f"{path}/results", FILING_KEYS, -(-n // FILINGS_PER_TASK))
     now.write.mode("overwrite").parquet(f"{path}/state")
     return n
 

@@ -70,9 +70,13 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str] = FILING_KEYS) -
     df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
-def upsert_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others."""
-    df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+def upsert_partitions(df: DataFrame, path: str, keys: list[str], tasks: int | None = None) -> None:
+    """Replace the partitions that occur in ``df`` and leave all others.
+
+    ``tasks`` is for many partitions of a few rows each: by their size, rebalancing would have one task write all the files.
+    """
+    placed = df.hint("rebalance", *keys) if tasks is None else df.repartition(tasks, *keys)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_draft(df: DataFrame, path: str, user_id: str, session_id: str) -> None:

@@ -61,6 +61,14 @@ def test_transactions_join_their_tables_once(spark):
     assert Counter(want) == Counter(tuple(r) for r in ftx.select("source_row_index", "transaction_unique_id", "price").collect())
 
 
+def test_sellers_join_their_tables_once(spark):
+    """Identity rows that occur twice come from one reading of the sellers."""
+    fid = context(spark, DATA).table("ident")
+    assert fid._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2
+    want = duck(DATA).execute(f"{with_clause(FULL, ['fid'])} SELECT * FROM fid").fetchall()
+    assert Counter(want) == Counter(tuple(r) for r in fid.collect())
+
+
 def test_entries_of_rows_are_projected_before_they_are_unfolded(spark):
     """Inside a generator the tests of the rules would be interpreted row by row."""
     ctx = context(spark, DATA)

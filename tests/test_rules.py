@@ -9,7 +9,7 @@ from ledgerproof.operators.results import acceptance
 from ledgerproof.plans.catalogue import catalogue, catalogue_frame
 from ledgerproof.plans import bundle
 from ledgerproof.plans.engine import group_counts, validate
-from ledgerproof.plans.incremental import current, refresh
+from ledgerproof.plans.incremental import _sum, current, fingerprints, refresh
 from ledgerproof.plans.mutation import Mutation, mutation_results
 from ledgerproof.plans.registry import parse_rules
 from ledgerproof.plans.rules import JoinGroup, pick
@@ -277,3 +277,33 @@ def test_only_changed_filings_are_validated(spark, tmp_path):
     assert found == {(r.rule_id, r.cid, r.period): r.error_count for r in validate(changed, rules).stats.collect()}
     assert found["F.25.21.2", "C0", many[0]["period"]] == 1
     assert refresh(changed, rules, path, version="next") >= 5
+
+
+def test_fingerprints_cover_what_the_rules_read(spark, tmp_path):
+    """Other columns are not scanned, and a change in them validates nothing; a column, header or table that counts does."""
+    of_sales, of_zip = (pick(catalogue(SETTINGS), rule_ids=[r]) for r in ("F.25.21.2", "F.19.1.2"))
+    ctx = filing(spark).stored(str(tmp_path / "filings"))
+    plan = fingerprints(ctx, of_sales)._jdf.queryExecution().executedPlan().toString()
+    assert "transaction_quantity" in plan and "standardized_price" not in plan and "commencement_date" not in plan
+    assert refresh(ctx, of_sales, str(tmp_path / "a")) == 1 and refresh(ctx, of_zip, str(tmp_path / "b")) == 1
+    moved = filing(spark, ident=[{**SELLER, "zip": "1"}, AGENT])
+    assert refresh(moved, of_sales, str(tmp_path / "a")) == 0 and refresh(moved, of_zip, str(tmp_path / "b")) == 1
+    assert {r.error_count for r in current(moved, str(tmp_path / "b")).collect()} == {1}
+    assert refresh(filing(spark, transactions=[TRANSACTION, {**TRANSACTION, "transaction_unique_id": "T2"}]), of_zip, str(tmp_path / "b")) == 1
+    assert {r.total_count for r in current(ctx, str(tmp_path / "b")).collect()} == {2}
+    only_ident = filing(spark, ident=[SELLER, AGENT, {**SELLER, "cid": "C9"}])
+    assert refresh(only_ident, of_sales, str(tmp_path / "a")) == 1
+    assert {r.cid for r in current(only_ident, str(tmp_path / "a")).collect()} == {"C000001", "C9"}
+
+
+def test_results_of_many_filings_are_written_by_several_tasks(spark, tmp_path):
+    many = [{**TRANSACTION, "cid": f"C{i}"} for i in range(120)]
+    refresh(filing(spark, transactions=many), pick(catalogue(SETTINGS), rule_ids=["F.25.21.2"]), str(tmp_path / "r"))
+    files = [f.name for f in (tmp_path / "r" / "results").rglob("part-*.parquet")]
+    assert len(files) == 121 and len({f.split("-")[1] for f in files}) == 3
+
+
+def test_sum_of_hashes_is_exact(spark):
+    values = [2**63 - 1, -2**63, -1, 0, 1, -2**42, 2**21, -2**21 - 1] + [2**63 - 1] * 5 + [-2**63] * 9 + [(-1)**i * 7**(i % 22) for i in range(100)]
+    frame_of = spark.createDataFrame([(v,) for v in values], "a long")
+    assert frame_of.agg(_sum("a").alias("s")).head().s == sum(values)
