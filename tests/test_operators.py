@@ -140,6 +140,20 @@ def test_hash_pass_keeps_every_double(spark, most, tmp_path):
     assert sorted((r.k or 0, r.l or "") for r in kept.collect()) == sorted([(7, "b")] * 150 + [(0, "x")] * 2 + [(8, "")] * 2)
 
 
+def test_many_repeated_hashes_move_no_rows(spark, tmp_path):
+    """However many hashes repeat, rows meet them where they are; a shuffle would move every row of the table."""
+    df = spark.range(2000).selectExpr("CAST(id % 1500 AS INT) AS k", "repeat('x', 50) AS l")
+    hashes = groups.repeated_hashes([df.selectExpr("xxhash64(k) AS h")], str(tmp_path / "h"))
+    kept = groups.with_repeated_hash(df, "xxhash64(k)", *hashes, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = [line for line in kept._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(joins) == 1 and "BroadcastHashJoin" in joins[0]
+    assert sorted(r.k for r in kept.collect()) == sorted([*range(500)] * 2)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_covered_spans(spark, seed):
     """Against every version of every key: open ends, overlaps, empty versions, nulls, and one key with a third of all rows."""
