@@ -8,7 +8,8 @@ import pytest
 from ledgerproof.operators.results import acceptance
 from ledgerproof.plans.catalogue import catalogue, catalogue_frame
 from ledgerproof.plans import bundle
-from ledgerproof.plans.engine import group_counts, validate
+from ledgerproof.operators import groups
+from ledgerproof.plans.engine import find_repeats, group_counts, validate
 from ledgerproof.plans.incremental import _sum, current, fingerprints, refresh
 from ledgerproof.plans.mutation import Mutation, mutation_results
 from ledgerproof.plans.registry import parse_rules
@@ -307,3 +308,20 @@ def test_sum_of_hashes_is_exact(spark):
     values = [2**63 - 1, -2**63, -1, 0, 1, -2**42, 2**21, -2**21 - 1] + [2**63 - 1] * 5 + [-2**63] * 9 + [(-1)**i * 7**(i % 22) for i in range(100)]
     frame_of = spark.createDataFrame([(v,) for v in values], "a long")
     assert frame_of.agg(_sum("a").alias("s")).head().s == sum(values)
+
+
+def test_doubles_of_one_group_do_not_fill_the_bitmap_of_another(spark, monkeypatch):
+    """Hashes are kept by group, and through bitmaps the doubles are the same."""
+    same = [{**TRANSACTION, "source_row_index": i, "price": float(i)} for i in range(40)] + [{**TRANSACTION, "transaction_unique_id": f"V{i}", "price": 1.0} for i in range(3)]
+    ctx = filing(spark, transactions=same)
+    doubles = pick(catalogue(SETTINGS), templates=["T6"], tables=["transactions"])
+    kept = find_repeats(ctx, doubles)
+    assert [r.n for r in kept.values()] == [1, 1] and [r.hashes.count() for r in kept.values()] == [1, 1]
+    assert len({r.hashes.head().h & 63 for r in kept.values()}) == 2
+
+    def found():
+        return Counter((r.rule_id, r.record_id) for r in validate(ctx, doubles).violations.collect())
+
+    want = found()
+    monkeypatch.setattr(groups, "MOST_HASHES", 0)
+    assert found() == want and want["F.25.17.2", "V0"] == 1 and want["F.24.15.1", "V0"] == 0
